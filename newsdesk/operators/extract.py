@@ -10,15 +10,18 @@ each page, and the results come back as columns. Everything around them
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from newsdesk.functions import htmltree as ht
 from newsdesk.functions.dates import parse_loose_date
 from newsdesk.functions.text import nullif_empty
 
-CONTENT_SCHEMA = ("body_text string, body_html string, body_xpath string, title string, "
-                  "authors array<string>, published string")
-XPATH_SCHEMA = "author string, body string, published string, title string, error string"
+_STR = T.StringType()
+CONTENT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
+    ("body_text", _STR), ("body_html", _STR), ("body_xpath", _STR), ("title", _STR),
+    ("authors", T.ArrayType(_STR)), ("published", _STR))])
+XPATH_SCHEMA = T.StructType([T.StructField(n, _STR) for n in
+                             ("author", "body", "published", "title", "error")])
 # elements that never hold the article body
 NOISE = {"script", "style", "noscript", "nav", "header", "footer", "aside", "form", "iframe", "template"}
 CANDIDATES = {"article", "main", "section", "div", "td", "body"}
@@ -176,7 +179,7 @@ def merge_extracted(df: DataFrame) -> DataFrame:
     title = F.coalesce(*( [nullif_empty(F.col("xp.title"))] if has_xp else []),
                        nullif_empty(c["title"]), F.col("title"))
     author = F.coalesce(*( [nullif_empty(F.col("xp.author"))] if has_xp else []),
-                        nullif_empty(F.element_at(c["authors"], 1)), F.col("author"))
+                        nullif_empty(F.try_element_at(c["authors"], F.lit(1))), F.col("author"))
     published = F.coalesce(*( [parse_loose_date(F.col("xp.published"))] if has_xp else []),
                            goose_pub, F.col("published"))
     xp_body = nullif_empty(F.col("xp.body")) if has_xp else F.lit(None).cast("string")

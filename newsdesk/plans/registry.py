@@ -868,3 +868,165 @@ def q_rss_article_counts(spark, d):
 
 
 ORACLE["rss_article_counts"] = ORACLE["rss_article_counts"].replace("__CLEAN__", _CLEAN_URL_SQL.strip())
+
+
+# ---------------------------------------------------------------- extraction
+def _pages_with_rules(spark, d) -> DataFrame:
+    p = art.has_html(art.page_validate(dt.page_fetches(spark, d)))
+    p = p.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return art.extract_route(art.article_pub_rules(p, dt.pubs(spark, d))).drop("reject_reason")
+
+
+@query("extract_content")
+def q_extract_content(spark, d):
+    from newsdesk.operators.extract import extract_content
+    e = extract_content(_pages_with_rules(spark, d))
+    return e.select("article_id", F.col("content.title").alias("title"),
+                    F.octet_length("content.body_text").alias("body_bytes"),
+                    F.col("content.body_xpath").alias("body_xpath"),
+                    joined("content.authors").alias("authors"),
+                    F.col("content.published").alias("published"))
+
+
+@query("extract_xpath")
+def q_extract_xpath(spark, d):
+    from newsdesk.operators.extract import extract_content, extract_xpath
+    e = extract_content(_pages_with_rules(spark, d).filter(F.col("route") == "xpath"))
+    x = extract_xpath(e.withColumn("body_text", F.col("content.body_text")))
+    return x.select("article_id", "xp.title", "xp.author", "xp.published",
+                    F.octet_length("xp.body").alias("body_bytes"), "xp.error")
+
+
+@query("merge_extracted")
+def q_merge_extracted(spark, d):
+    from newsdesk.operators.extract import extract_content, extract_xpath, merge_extracted
+    base = _pages_with_rules(spark, d).withColumn("published", dates.parse_rfc1123("published"))
+    e = extract_content(base).withColumn("body_text", F.col("content.body_text"))
+    x = extract_xpath(e)
+    m = merge_extracted(x)
+    return m.select("article_id", "title", "author", ts_str("published").alias("published"),
+                    F.octet_length("body_text").alias("body_bytes"),
+                    (F.col("body_html") == "").alias("body_html_cleared"))
+
+
+# ---------------------------------------------------------------- legacy dump
+def _legacy_dump(spark, d) -> str:
+    """Land the legacy catalogue dump (JSON lines) derived from customer:
+    pub k lists k % 4 feeds."""
+    import uuid
+    from newsdesk.session import checkpoint_dir
+    c = dt.read(spark, d, "customer")
+    k = F.col("c_custkey")
+    feeds_arr = F.transform(F.sequence(F.lit(0), (k % 4).cast("int") - 1),
+                            lambda i: F.struct(
+                                F.upper(F.concat(F.lpad(F.hex(F.lit(1262304000) + k), 8, "0"),
+                                                 F.format_string("%016x", k * 4 + i))).alias("ID"),
+                                F.concat(F.lit("http://legacy.example.com/"), k.cast("string"),
+                                         F.lit("/"), i.cast("string"), F.lit(".xml")).alias("URL"),
+                                F.lit(None).cast("timestamp").alias("Updated")))
+    rows = c.select(
+        F.upper(F.concat(F.lpad(F.hex(F.lit(1262304000) + k), 8, "0"), F.format_string("%016x", k))).alias("ID"),
+        F.col("c_name").alias("Title"),
+        F.concat(F.lit("http://legacy.example.com/"), k.cast("string")).alias("URL"),
+        (k % 1000).cast("int").alias("NumReaders"),
+        F.struct(F.when(k % 3 == 0, F.array(F.lit("//h1"))).alias("Title"),
+                 F.lit(None).cast("array<string>").alias("Author"),
+                 F.lit(None).cast("array<string>").alias("Body"),
+                 F.lit(None).cast("array<string>").alias("Date")).alias("XPaths"),
+        F.when(k % 4 > 0, feeds_arr).alias("Feeds"))
+    path = checkpoint_dir(spark, "runs", uuid.uuid4().hex, "legacy")
+    rows.write.json(path)
+    return path
+
+
+@query("read_legacy_pubs", """
+SELECT lower(lpad(hex(1262304000 + c_custkey), 8, '0') || printf('%016x', c_custkey)) AS pub_id,
+  c_name AS name, CAST(c_custkey % 4 AS INTEGER) AS num_feeds,
+  CASE WHEN c_custkey % 3 = 0 THEN '//h1' END AS xpath_title,
+  strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(1262304000 + c_custkey), '%Y-%m-%d %H:%M:%S') AS added
+FROM customer""")
+def q_read_legacy_pubs(spark, d):
+    from newsdesk.sources.files import read_legacy_pubs
+    p, _f = read_legacy_pubs(spark, _legacy_dump(spark, d))
+    return p.select("pub_id", "name", "num_feeds", joined("xpath_title").alias("xpath_title"),
+                    ts_str("added").alias("added"))
+
+
+@query("legacy_pub_feeds", """
+SELECT lower(lpad(hex(1262304000 + c_custkey), 8, '0') || printf('%016x', c_custkey * 4 + i)) AS feed_id,
+  lower(lpad(hex(1262304000 + c_custkey), 8, '0') || printf('%016x', c_custkey)) AS pub_id,
+  'http://legacy.example.com/' || CAST(c_custkey AS VARCHAR) || '/' || CAST(i AS VARCHAR) || '.xml' AS url
+FROM customer, range(CAST(c_custkey % 4 AS BIGINT)) t(i)""")
+def q_legacy_pub_feeds(spark, d):
+    from newsdesk.sources.files import read_legacy_pubs
+    _p, f = read_legacy_pubs(spark, _legacy_dump(spark, d))
+    return f.select("feed_id", "pub_id", "url")
+
+
+# ---------------------------------------------------------------- streaming
+def _run_dir(spark, name):
+    import uuid
+    from newsdesk.session import checkpoint_dir
+    return checkpoint_dir(spark, "runs", uuid.uuid4().hex, name)
+
+
+def _land(df: DataFrame, path: str, order_col: str, files: int = 4) -> None:
+    """Land an input as a few files in ``order_col`` order (arrival order)."""
+    df.repartitionByRange(files, order_col).sortWithinPartitions(order_col).write.parquet(path)
+
+
+@query("stream_article_counts", _COUNTS_SQL)
+def q_stream_article_counts(spark, d):
+    import os
+    from newsdesk.streaming import jobs
+    base = _run_dir(spark, "stream_article_counts")
+    a = dt.articles(spark, d).select("article_id", "pub_id", "feed_id")
+    _land(a, os.path.join(base, "in"), "article_id")
+    q = jobs.stream_article_counts(spark, os.path.join(base, "in"), os.path.join(base, "out"),
+                                   os.path.join(base, "ck"), schema=a.schema, max_files=1)
+    q.awaitTermination()
+    return jobs.current_counts(spark, os.path.join(base, "out"))
+
+
+@query("stream_feed_entries", """
+SELECT DISTINCT link FROM d_entry WHERE coalesce(status, 500) NOT IN (304, 410, 500) AND link IS NOT NULL""")
+def q_stream_feed_entries(spark, d):
+    import os
+    from newsdesk.streaming import jobs
+    base = _run_dir(spark, "stream_feed_entries")
+    _land(dt.feed_polls(spark, d), os.path.join(base, "in"), "fetched_at")
+    q = jobs.stream_feed_entries(spark, os.path.join(base, "in"), os.path.join(base, "out"),
+                                 os.path.join(base, "ck"))
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out")).select("link")
+
+
+@query("stream_wire", f"""
+SELECT seq, {_WIRE_URL_SQL} AS url, title FROM d_wire""")
+def q_stream_wire(spark, d):
+    import os
+    from newsdesk.streaming import jobs
+    base = _run_dir(spark, "stream_wire")
+    w = dt.wire_rows(spark, d).select("order_key", "article.*")
+    (w.repartitionByRange(4, "order_key").sortWithinPartitions("order_key").drop("order_key")
+      .write.format("xml").option("rowTag", "article").option("rootTag", "articles")
+      .save(os.path.join(base, "in")))
+    q = jobs.stream_wire(spark, os.path.join(base, "in"), dt.feeds(spark, d), os.path.join(base, "out"),
+                         os.path.join(base, "ck"), RUN_TS)
+    q.awaitTermination()
+    a = spark.read.parquet(os.path.join(base, "out", "articles"))
+    return a.select(F.col("metabase.sequence_id").cast("bigint").alias("seq"), "url", "title")
+
+
+@query("stream_articles", f"""
+SELECT g.article_id FROM d_page g JOIN d_pub p ON g.pub_id = p.pub_id
+WHERE g.content_type <> 'audio/mpeg' AND g.n_bytes > 0 AND g.n_bytes < 2097152""")
+def q_stream_articles(spark, d):
+    import os
+    from newsdesk.streaming import jobs
+    base = _run_dir(spark, "stream_articles")
+    _land(dt.page_fetches(spark, d), os.path.join(base, "in"), "fetched_at")
+    q = jobs.stream_articles(spark, os.path.join(base, "in"), dt.pubs(spark, d),
+                             os.path.join(base, "store"), os.path.join(base, "ck"))
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "store")).select("article_id")
