@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsdesk.functions import dates, ids, text, urls
@@ -386,7 +387,9 @@ SELECT w.seq, {_WIRE_URL_SQL} AS url, w.title,
   l.pub_id, l.feed_id
 FROM d_wire w LEFT JOIN d_wire_links l ON w.wire_feed_id = l.metabase_id""")
 def q_wire_to_article(spark, d):
-    w = _wire(spark, d)
+    # parents and articles both read the parsed batch: parse the XML once
+    # (persist keeps lineage, so a lost executor recomputes its part)
+    w = _wire(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
     _p, _f, links = _wire_links(spark, d, w)
     a = wire.wire_to_article(w, links, False, RUN_TS)
     return a.select(F.col("metabase.sequence_id").cast("bigint").alias("seq"), "url", "title", "author",
@@ -415,7 +418,8 @@ SELECT seq // 500 AS batch, count(*) AS articles, count(*) - count(DISTINCT wire
   count(DISTINCT CASE WHEN wire_feed_id IN (SELECT metabase_id FROM d_wire_links WHERE created) THEN wire_feed_id END) AS created
 FROM d_wire GROUP BY seq // 500""")
 def q_wire_batch_stats(spark, d):
-    w = _wire(spark, d).withColumn("batch", (F.col("seq") / 500).cast("bigint"))
+    w = (_wire(spark, d).withColumn("batch", (F.col("seq") / 500).cast("bigint"))
+         .persist(StorageLevel.MEMORY_AND_DISK))
     _p, _f, links = _wire_links(spark, d, w)
     return wire.wire_batch_stats(w, links, "batch")
 
