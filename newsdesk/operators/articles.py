@@ -85,12 +85,14 @@ def url_index(store: DataFrame) -> DataFrame:
                                 F.max("article_id").alias("_s_max")))
 
 
-def new_articles(articles: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split a batch into articles to save and duplicates.
+def judge_new_articles(articles: DataFrame, store: DataFrame) -> DataFrame:
+    """The batch with ``reject_reason`` set on duplicates.
 
     An article is a duplicate when the store holds the same url under a
     different id (re-saving the same id is allowed), or when an earlier
-    (smaller) id of the same batch carries the url.
+    (smaller) id of the same batch carries the url. Both sides are reduced
+    to one row per url first, so the joins never multiply rows, whatever
+    the number of copies of a url.
     """
     idx = url_index(store)
     batch_min = (articles.filter(F.col("url").isNotNull())
@@ -100,8 +102,14 @@ def new_articles(articles: DataFrame, store: DataFrame) -> tuple[DataFrame, Data
     other_in_store = F.col("_s_min").isNotNull() & ~((F.col("_s_min") == a) & (F.col("_s_max") == a))
     earlier_in_batch = F.col("_s_min").isNull() & F.col("_b_min").isNotNull() & (F.col("_b_min") < a)
     dup = F.coalesce(other_in_store | earlier_in_batch, F.lit(False))
-    j = j.withColumn("reject_reason", F.when(dup, F.lit("Article URL already exists")))
-    j = j.drop("_s_min", "_s_max", "_b_min")
+    return (j.withColumn("reject_reason", F.when(dup, F.lit("Article URL already exists")))
+             .drop("_s_min", "_s_max", "_b_min").select(*articles.columns, "reject_reason"))
+
+
+def new_articles(articles: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split a batch into (articles to save, duplicates with a reason).
+    Callers writing both should persist the batch first."""
+    j = judge_new_articles(articles, store)
     keep = j.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejects = j.filter(F.col("reject_reason").isNotNull())
     return keep, rejects

@@ -108,7 +108,7 @@ def q_read_wire(spark, d):
 
 
 @query("read_page_fetches", """
-SELECT article_id, link, content_type, n_bytes FROM d_page""")
+SELECT article_id, link, content_type, CAST(n_bytes AS INTEGER) AS n_bytes FROM d_page""")
 def q_read_page_fetches(spark, d):
     return dt.page_fetches(spark, d).select(
         "article_id", "link", "content_type", F.octet_length("html").alias("n_bytes"))
@@ -239,7 +239,14 @@ def q_dead_letter(spark, d):
 SELECT pub_id AS "ID", name AS "Pub Name", homepage AS "Homepage", strftime(added, '%m/%d/%Y') AS "Added"
 FROM d_pub""")
 def q_export_pubs_csv(spark, d):
-    return catalog.export_rows(dt.pubs(spark, d))
+    """Written with the CSV sink and read back (header, MM/dd/yyyy dates)."""
+    from newsdesk.sinks import export_pubs_csv
+    path = _run_dir(spark, "export_pubs_csv")
+    export_pubs_csv(dt.pubs(spark, d), path)
+    back = spark.read.option("header", True).schema(
+        "`ID` string, `Pub Name` string, `Homepage` string, `Added` string").csv(path)
+    # CSV has no NULL: an empty field reads back as the empty string
+    return back.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in back.columns])
 
 
 # ---------------------------------------------------------------- predicates
@@ -617,9 +624,8 @@ SELECT * FROM judged""")
 def q_new_articles(spark, d):
     a = dt.articles(spark, d)
     k = F.conv(F.col("article_id"), 16, 10).cast("bigint")
-    keep, rejects = art.new_articles(a.filter(k % 2 == 1), a.filter(k % 2 == 0))
-    return (keep.select("article_id", "url", F.lit(None).cast("string").alias("reject_reason"))
-            .unionByName(rejects.select("article_id", "url", "reject_reason")))
+    judged = art.judge_new_articles(a.filter(k % 2 == 1), a.filter(k % 2 == 0))
+    return judged.select("article_id", "url", "reject_reason")
 
 
 @query("pub_repoint", f"""
@@ -1034,3 +1040,60 @@ def q_stream_articles(spark, d):
                              os.path.join(base, "store"), os.path.join(base, "ck"))
     q.awaitTermination()
     return spark.read.parquet(os.path.join(base, "store")).select("article_id")
+
+
+# ---------------------------------------------------------------- more §2 items
+@query("category_key", """
+SELECT DISTINCT c AS category, replace(c, ' ', '') AS key FROM (SELECT unnest(categories) AS c FROM d_pub)""")
+def q_category_key(spark, d):
+    c = dt.pubs(spark, d).select(F.explode("categories").alias("category")).distinct()
+    return c.select("category", text.category_key("category").alias("key"))
+
+
+@query("name_order", """
+SELECT pub_id, name FROM d_pub ORDER BY name, pub_id""")
+def q_name_order(spark, d):
+    return pubs.pubs_by_name(dt.pubs(spark, d)).select("pub_id", "name")
+
+
+@query("archive_wire", """
+SELECT strftime(TIMESTAMP '2024-02-01 00:00:00' + to_hours(o_orderkey // 500), '%Y-%m-%d') AS fetch_date,
+  count(*) AS responses FROM orders GROUP BY 1""")
+def q_archive_wire(spark, d):
+    """Raw responses archived under their fetch date, read back per date."""
+    from newsdesk.sources.wire import archive_wire
+    # one fetch per batch of 500 articles, an hour apart
+    o = dt.read(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_key"),
+        (F.lit(RUN_TS).cast("timestamp")
+         + F.make_interval(hours=(F.col("o_orderkey") / 500).cast("int"))).alias("fetched_at"))
+    raw = dt.wire_rows(spark, d).select("order_key", render_wire(F.col("article")).alias("raw"))
+    path = _run_dir(spark, "archive_wire")
+    archive_wire(raw.join(o, "order_key"), path)
+    back = spark.read.parquet(path)
+    return back.groupBy(F.date_format("fetch_date", "yyyy-MM-dd").alias("fetch_date")).agg(
+        F.count("*").alias("responses"))
+
+
+@query("union_sources", """
+SELECT origin, count(*) AS n FROM (
+  SELECT 'rss' AS origin FROM pages
+  UNION ALL SELECT 'webnews' FROM orders)
+GROUP BY origin""")
+def q_union_sources(spark, d):
+    """Feed articles (from pages) and newswire articles land in one table;
+    columns missing on one side are NULL."""
+    rss = dt.page_fetches(spark, d).select("article_id", F.col("link").alias("url"), F.lit("rss").alias("origin"))
+    w = _wire(spark, d)
+    _p, _f, links = _wire_links(spark, d, w)
+    wa = wire.wire_to_article(w, links, False, RUN_TS).select("article_id", "url", "origin", "metabase")
+    both = rss.unionByName(wa, allowMissingColumns=True)
+    return both.groupBy("origin").agg(F.count("*").alias("n"))
+
+
+@query("decode_work_data", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+def q_decode_work_data(spark, d):
+    """The JSON blob of a work row decoded with an explicit schema."""
+    ev = dt.read(spark, d, "events")
+    return ev.select("event_id", F.from_json("props", "k INT").getField("k").alias("k"))

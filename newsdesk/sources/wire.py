@@ -113,8 +113,14 @@ def render_wire(article: Column) -> Column:
     return F.to_xml(article, {"rowTag": "article"})
 
 
-def archive_wire(raw: DataFrame, path: str, ts_col: str = "fetched_at") -> None:
-    """Keep a copy of every raw response, partitioned by fetch date. The
-    write is append-only, so a retried batch only adds a duplicate copy."""
+def archive_wire(raw: DataFrame, path: str, ts_col: str = "fetched_at", files_per_date: int = 4) -> None:
+    """Keep a copy of every raw response, partitioned by fetch date.
+
+    Rows are clustered by (date, salt) before the write, so each date gets at
+    most ``files_per_date`` files however many tasks produced it, and a date
+    holding a large share of the data is still spread over that many tasks.
+    The write is append-only: a retried batch only adds a duplicate copy."""
+    salt = F.pmod(F.xxhash64(*raw.columns), F.lit(files_per_date))
     (raw.withColumn("fetch_date", F.to_date(ts_col))
+        .repartition("fetch_date", salt)
         .write.mode("append").partitionBy("fetch_date").parquet(path))

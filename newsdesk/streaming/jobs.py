@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsdesk import schema as S
 from newsdesk.operators import articles as art
 from newsdesk.operators import counts, feeds, wire
-from newsdesk.operators.extract import XPATH_SCHEMA, extract_content, extract_xpath, merge_extracted
 from newsdesk.sources.wire import read_wire
 
 DEDUPE_WATERMARK = "6 hours"
@@ -132,42 +132,30 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
 
 
 def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame, store_table: str,
-                    checkpoint: str, size_limit: int = art.SIZE_LIMIT,
+                    checkpoint: str, size_limit: int = art.SIZE_LIMIT, max_files: int | None = None,
                     trigger_once: bool = True) -> StreamingQuery:
     """Fetched pages -> checks -> final URL -> extraction -> XPath rules ->
-    merge -> URL dedupe against the store -> save. One streaming query; the
-    stages are the batch functions. Rejects go to ``_rejects``."""
-    pages = spark.readStream.schema(S.PAGE_FETCH).parquet(pages_dir)
-    checked = art.has_html(art.page_validate(pages, size_limit))
+    merge -> URL dedupe against the store -> save; rejects go to
+    ``<store>_rejects``. One streaming query; the stages are the batch
+    functions of ``plans.rss``."""
+    from newsdesk.plans.rss import process_pages
+    r = spark.readStream.schema(S.PAGE_FETCH)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    pages = r.parquet(pages_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        ok = batch.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-        bad = batch.filter(F.col("reject_reason").isNotNull())
-        prepared = art.resolve_links(ok).withColumn("published_entry", F.col("published"))
-        from newsdesk.functions.dates import parse_rfc1123
-        prepared = prepared.withColumn("published", parse_rfc1123("published_entry")).drop("published_entry")
-        ruled = art.extract_route(art.article_pub_rules(prepared, pubs_table))
-        no_pub = ruled.filter(F.col("reject_reason").isNotNull())
-        ruled = ruled.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-        content = extract_content(ruled)
-        content = content.withColumn("body_text", F.col("content.body_text"))
-        xp = extract_xpath(content.filter(F.col("route") == "xpath"))
-        plain = content.filter(F.col("route") == "save").withColumn(
-            "xp", F.lit(None).cast(XPATH_SCHEMA))
-        merged = merge_extracted(xp.unionByName(plain))
-        batch_articles = merged.select("article_id", "feed_id", "pub_id", "url", "title", "author",
-                                       "published", "body_text", "body_html", F.lit("rss").alias("origin"))
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # two outputs from one read
         store = (spark.read.parquet(store_table).filter(F.col("batch") < batch_id).drop("batch")
-                 if _has_data(store_table) else batch_articles.limit(0))
-        keep, dups = art.new_articles(batch_articles, store)
-        keep = art.mark_empty_body(art.published_fallback(keep))
+                 if _has_data(store_table) else None)
+        if store is None:
+            store = spark.createDataFrame([], "article_id string, url string")
+        keep, rejects, cached = process_pages(batch, pubs_table, store, size_limit)
         keep.write.mode("overwrite").parquet(_batch_dir(store_table, batch_id))
-        rejects = (bad.select("article_id", "link", F.col("reject_reason").alias("reason"))
-                   .unionByName(no_pub.select("article_id", "link", F.col("reject_reason").alias("reason")))
-                   .unionByName(dups.select("article_id", F.col("url").alias("link"),
-                                            F.col("reject_reason").alias("reason"))))
         rejects.write.mode("overwrite").parquet(_batch_dir(store_table + "_rejects", batch_id))
+        cached.unpersist()
+        batch.unpersist()
 
-    w = checked.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    w = pages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="10 seconds")
     return w.start()
