@@ -124,3 +124,16 @@ def archive_wire(raw: DataFrame, path: str, ts_col: str = "fetched_at", files_pe
     (raw.withColumn("fetch_date", F.to_date(ts_col))
         .repartition("fetch_date", salt)
         .write.mode("append").partitionBy("fetch_date").parquet(path))
+
+
+def wire_cursor_from_files(spark: SparkSession, path: str) -> DataFrame:
+    """Last sequence id in document order of each response file.
+
+    The row-tag reader keeps no position, so each file is read whole and its
+    articles exploded with their position. A response holds at most one API
+    page (500 articles), so one file per task is a bounded unit."""
+    inner = "articles STRUCT<article: ARRAY<STRUCT<sequenceId: STRING>>>"
+    files = spark.read.text(path, wholetext=True).withColumn("source_file", F.input_file_name())
+    parsed = files.select("source_file", F.from_xml("value", inner, {"rowTag": "response"}).alias("r"))
+    arts = parsed.select("source_file", F.posexplode("r.articles.article").alias("pos", "a"))
+    return arts.groupBy("source_file").agg(F.max_by("a.sequenceId", "pos").alias("sequence_id"))

@@ -154,3 +154,26 @@ def test_queue_depth(spark):
     got = {r.stage: r for r in work.queue_depth(w, 2, stages=["s1", "s2", "s3"]).collect()}
     assert got["s1"].error and got["s2"].error is None and got["s3"].error
     assert work.may_enqueue(work.queue_depth(w, 5)).first().ok
+
+
+def test_category_job_twice_changes_nothing(spark):
+    p = spark.createDataFrame([("1", ["Arts", "Health Care"])], "pub_id string, categories array<string>")
+    first = categories.unique_categories(p, None, NOW)
+    assert categories.unique_categories(p, first, NOW).count() == 0
+
+
+def test_hot_url_holding_a_third_of_rows(spark):
+    # a third of the batch and of the store share one url: the judgement
+    # stays one row per input row and keeps exactly the smallest new id
+    n = 30000
+    batch = spark.range(n).select(F.format_string("%024x", F.col("id") * 2 + 1).alias("article_id"),
+                                  F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                   .otherwise(F.concat(F.lit("u"), F.col("id").cast("string"))).alias("url"))
+    store = spark.range(n).select(F.format_string("%024x", F.col("id") * 2).alias("article_id"),
+                                  F.when(F.col("id") % 3 == 0, F.lit("hot2"))
+                                   .otherwise(F.concat(F.lit("s"), F.col("id").cast("string"))).alias("url"))
+    keep, rej = art.new_articles(batch, store)
+    assert keep.count() + rej.count() == n
+    hot = keep.filter(F.col("url") == "hot").collect()
+    assert len(hot) == 1 and hot[0].article_id == f"{1:024x}"
+    assert rej.count() == n // 3 - 1

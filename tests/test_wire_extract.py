@@ -70,3 +70,8 @@ def test_fix_removed_node_keeps_tail():
     ht.remove(root, "//nav")
     body = ht.select(root, "//body")[0]
     assert "tail" in body.text() and "Menu" not in body.text()
+
+
+def test_wire_cursor_from_file(spark):
+    from newsdesk.sources.wire import wire_cursor_from_files
+    assert wire_cursor_from_files(spark, GOLDEN).first().sequence_id == "950"
