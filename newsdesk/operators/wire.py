@@ -29,6 +29,14 @@ def wire_url(a: str = "a", link_base: str = VIEW_LINK_BASE) -> Column:
                       nullif_empty(F.col(f"{a}.originalUrl")), F.col(f"{a}.url"))
 
 
+def feed_key(a: str = "a") -> Column:
+    """Wire feed id of an article; a missing id is 0, as a numeric decode of
+    the format gives. (No NULL filter is needed, which matters when the
+    article comes from ``from_xml``: a filter pushed under the projection
+    would parse every article a second time.)"""
+    return F.coalesce(F.col(f"{a}.source.feed.id"), F.lit(0).cast("bigint"))
+
+
 def wire_parents(wire: DataFrame, feeds: DataFrame, is_lexisnexis: bool, run_ts,
                  a: str = "a", order: str = "seq"):
     """Resolve each wire feed id to (pub_id, feed_id).
@@ -38,15 +46,14 @@ def wire_parents(wire: DataFrame, feeds: DataFrame, is_lexisnexis: bool, run_ts,
     (by ``order``) carrying that id. Ids are deterministic, so a replay
     creates nothing twice. Returns (new_pubs, new_feeds, links) with
     links(metabase_id, pub_id, feed_id, created)."""
-    fid = F.col(f"{a}.source.feed.id")
+    fid = feed_key(a)
     firsts = dedupe_first(
         wire.select(fid.alias("metabase_id"), F.col(order).alias("_ord"),
                     F.col(f"{a}.source.feed.name").alias("name"),
                     F.col(f"{a}.source.feed.editorialTopics.editorialTopic").alias("categories"),
                     F.col(f"{a}.source.location.country").alias("country"),
                     F.col(f"{a}.source.feed.description").alias("description"),
-                    F.col(f"{a}.source.feed.genre").alias("genre"))
-        .filter(F.col("metabase_id").isNotNull()),
+                    F.col(f"{a}.source.feed.genre").alias("genre")),
         "metabase_id", ["_ord"])
     known = (feeds.filter(F.col("metabase_id").isNotNull())
              .groupBy("metabase_id")
@@ -82,7 +89,7 @@ def wire_to_article(wire: DataFrame, links: DataFrame, is_lexisnexis: bool, run_
     author = clean_author(F.col(f"{a}.author.name"))
     origin = wire_origin(is_lexisnexis)
     w = wire.join(links.select(F.col("metabase_id").alias("_mid"), "pub_id", "feed_id"),
-                  F.col(f"{a}.source.feed.id") == F.col("_mid"), "left")
+                  feed_key(a) == F.col("_mid"), "left")
     meta = F.struct(
         author.alias("author"),
         F.col(f"{a}.author.homeUrl").alias("author_home_url"),
@@ -129,8 +136,8 @@ def wire_batch_stats(wire: DataFrame, links: DataFrame, batch_col: str, a: str =
     miss, the rest = hits) and parents created."""
     per = wire.groupBy(batch_col).agg(
         F.count("*").alias("articles"),
-        F.count_distinct(F.col(f"{a}.source.feed.id")).alias("misses"))
-    created = (wire.select(batch_col, F.col(f"{a}.source.feed.id").alias("metabase_id"))
+        F.count_distinct(feed_key(a)).alias("misses"))
+    created = (wire.select(batch_col, feed_key(a).alias("metabase_id"))
                .join(links.filter("created").select("metabase_id"), "metabase_id", "left_semi")
                .groupBy(batch_col).agg(F.count_distinct("metabase_id").alias("created")))
     return (per.join(created, batch_col, "left")

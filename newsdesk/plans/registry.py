@@ -87,11 +87,13 @@ def q_read_by_ids(spark, d):
     return found.select("feed_id", "url")
 
 
-def _wire(spark, d) -> DataFrame:
+def _wire(spark, d, mapped: bool = True) -> DataFrame:
     """Wire articles rendered to XML and parsed back (the newswire source
-    path, fed from the driver's orders)."""
+    path, fed from the driver's orders); mapping paths parse only the
+    fields they use."""
     w = dt.wire_rows(spark, d).select("order_key", render_wire(F.col("article")).alias("xml"))
-    return w.select(F.col("order_key").alias("seq"), "xml", parse_wire(spark, F.col("xml")).alias("a"))
+    return w.select(F.col("order_key").alias("seq"), "xml",
+                    parse_wire(spark, F.col("xml"), mapped).alias("a"))
 
 
 @query("read_wire", """
@@ -99,7 +101,7 @@ SELECT seq, wid AS id, title, published_date, wire_feed_id AS feed_id, country,
        segment || '|News' AS topics
 FROM d_wire""")
 def q_read_wire(spark, d):
-    return _wire(spark, d).select(
+    return _wire(spark, d, mapped=False).select(
         "seq", F.col("a.id").alias("id"), F.col("a.title").alias("title"),
         F.col("a.publishedDate").alias("published_date"),
         F.col("a.source.feed.id").alias("feed_id"),
@@ -670,7 +672,7 @@ SELECT p.pub_id, CASE WHEN l.k IS NULL THEN array_to_string(p.categories, '|') E
 FROM d_pub p LEFT JOIN latest l ON p.pub_id = l.pub_id LEFT JOIN d_wire w ON w.seq = l.k""")
 def q_pub_category_backfill(spark, d):
     out = pubs.pub_category_backfill(dt.pubs(spark, d), _wire_articles(spark, d),
-                                     lambda c: parse_wire(spark, F.decode(c, "UTF-8")))
+                                     lambda c: parse_wire(spark, F.decode(c, "UTF-8"), mapped=True))
     return out.select("pub_id", joined("categories").alias("categories"), "country", "genre")
 
 

@@ -70,24 +70,44 @@ source STRUCT<{_STR('id', 'syndicatorSourceId', 'name', 'homeUrl', 'publisher',
     editorialTopics: STRUCT<editorialTopic: ARRAY<{_S}>>, genre: {_S}>>
 """
 
+# The fields the article mapping, parent resolution and category back-fill
+# read. from_xml cannot prune a nested schema by itself, and parse time grows
+# with the schema, so those paths parse with this one.
+WIRE_MAPPED_DDL = f"""
+sequenceId {_S}, id {_S}, title {_S}, content {_S}, contentWithMarkup {_S},
+publishedDate {_S}, harvestDate {_S}, embargoDate {_S}, licenseEndDate {_S},
+contentLicenseEndDate {_S}, url {_S}, originalUrl {_S},
+publishingPlatform STRUCT<itemId: {_S}>,
+author STRUCT<{_STR('name', 'homeUrl', 'email')}>,
+source STRUCT<location: STRUCT<country: {_S}>,
+  feed: STRUCT<id: BIGINT, {_STR('name', 'description')},
+    editorialTopics: STRUCT<editorialTopic: ARRAY<{_S}>>, genre: {_S}>>
+"""
+
 WIRE_ARTICLE: T.StructType | None = None  # parsed from the DDL on first use
+WIRE_MAPPED: T.StructType | None = None
 CORRUPT = "_corrupt_record"
 RESPONSE_DDL = "status STRING, messageCode STRING, userMessage STRING, developerMessage STRING"
 
 
-def wire_schema(spark: SparkSession) -> T.StructType:
-    global WIRE_ARTICLE
+def wire_schema(spark: SparkSession, mapped: bool = False) -> T.StructType:
+    """Full newswire article schema, or only the mapped fields."""
+    global WIRE_ARTICLE, WIRE_MAPPED
+    if mapped:
+        if WIRE_MAPPED is None:
+            WIRE_MAPPED = spark.createDataFrame([], WIRE_MAPPED_DDL).schema
+        return WIRE_MAPPED
     if WIRE_ARTICLE is None:
         WIRE_ARTICLE = spark.createDataFrame([], WIRE_ARTICLE_DDL).schema
     return WIRE_ARTICLE
 
 
-def read_wire(spark: SparkSession, path: str, with_file: bool = True) -> DataFrame:
+def read_wire(spark: SparkSession, path: str, with_file: bool = True, mapped: bool = False) -> DataFrame:
     """Newswire response files -> one row per ``article`` element.
 
     Malformed articles land in ``_corrupt_record`` (PERMISSIVE mode), so a
     bad record is visible instead of becoming a row of nulls."""
-    schema = T.StructType(wire_schema(spark).fields + [T.StructField(CORRUPT, T.StringType())])
+    schema = T.StructType(wire_schema(spark, mapped).fields + [T.StructField(CORRUPT, T.StringType())])
     df = (spark.read.format("xml").option("rowTag", "article")
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .schema(schema).load(path))
@@ -103,9 +123,9 @@ def read_wire_status(spark: SparkSession, path: str) -> DataFrame:
             .withColumn("failed", F.coalesce(F.col("status") == "FAILURE", F.lit(False))))
 
 
-def parse_wire(spark: SparkSession, xml: Column) -> Column:
+def parse_wire(spark: SparkSession, xml: Column, mapped: bool = False) -> Column:
     """One ``<article>`` XML string -> the newswire struct."""
-    return F.from_xml(xml, wire_schema(spark), {"mode": "PERMISSIVE"})
+    return F.from_xml(xml, wire_schema(spark, mapped), {"mode": "PERMISSIVE"})
 
 
 def render_wire(article: Column) -> Column:

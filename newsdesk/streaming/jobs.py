@@ -104,7 +104,7 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
     next to the articles (``pubs``/``feeds`` sub-tables)."""
     src = (spark.readStream.format("xml").option("rowTag", "article")
            .option("maxFilesPerTrigger", max_files)
-           .schema(read_wire(spark, wire_dir, with_file=False).schema)
+           .schema(read_wire(spark, wire_dir, with_file=False, mapped=True).schema)
            .load(wire_dir))
     src = src.select(F.struct(*[F.col(c) for c in src.columns if c != "_corrupt_record"]).alias("a"),
                      F.col("_corrupt_record"))
