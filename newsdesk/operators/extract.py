@@ -115,19 +115,20 @@ def split_rules(rules) -> Column:
     return F.struct(removes.alias("removes"), searches.alias("searches"))
 
 
-def _apply_rules(html, rules) -> str | None:
+def _apply_rules(html, rules, shared=None) -> str | None:
+    """First non-empty match of a rule list. Removal rules change the tree,
+    so a list holding any gets a fresh parse; other lists read ``shared``."""
     if rules is None or len(rules) == 0:
         return None
-    root = ht.parse_html(html)  # a fresh tree per rule list: removals stay local
     rules = list(rules)
-    for r in rules:
-        if r.startswith("-"):
-            ht.remove(root, r[1:])
+    removes = [r[1:] for r in rules if r.startswith("-")]
+    root = ht.parse_html(html) if removes or shared is None else shared
+    for r in removes:
+        ht.remove(root, r)
     for r in rules:
         if r.startswith("-"):
             continue
-        r = r.split("~~", 1)[0]
-        v = ht.evaluate(root, r)
+        v = ht.evaluate(root, r.split("~~", 1)[0])
         if v:
             return v
     return None
@@ -138,12 +139,16 @@ def _xpath_row(html, body_rules, author_rules, date_rules, title_rules, body_tex
     if html is None or len(html) == 0:
         out["error"] = "No HTML"
         return out
+    lists = [body_rules if not body_text else None, author_rules, date_rules, title_rules]
+    if all(x is None or len(x) == 0 for x in lists):
+        return out
+    shared = ht.parse_html(html)
     try:
-        out["author"] = _apply_rules(html, author_rules)
+        out["author"] = _apply_rules(html, author_rules, shared)
         if not body_text:
-            out["body"] = _apply_rules(html, body_rules)
-        out["published"] = _apply_rules(html, date_rules)
-        out["title"] = _apply_rules(html, title_rules)
+            out["body"] = _apply_rules(html, body_rules, shared)
+        out["published"] = _apply_rules(html, date_rules, shared)
+        out["title"] = _apply_rules(html, title_rules, shared)
     except ht.UnsupportedXPath as e:
         out["error"] = f"Unsupported XPath: {e}"
     return out

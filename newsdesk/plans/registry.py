@@ -396,11 +396,10 @@ SELECT w.seq, {_WIRE_URL_SQL} AS url, w.title,
   l.pub_id, l.feed_id
 FROM d_wire w LEFT JOIN d_wire_links l ON w.wire_feed_id = l.metabase_id""")
 def q_wire_to_article(spark, d):
-    # parents and articles both read the parsed batch: parse the XML once
-    # (persist keeps lineage, so a lost executor recomputes its part)
-    w = _wire(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
-    _p, _f, links = _wire_links(spark, d, w)
-    a = wire.wire_to_article(w, links, False, RUN_TS)
+    from newsdesk.plans.wire import ingest_wire
+    # parents and articles both read the parsed batch: ingest_wire parses
+    # the XML once (persist keeps lineage; a lost executor recomputes)
+    _p, _f, a, _cached = ingest_wire(_wire(spark, d), dt.feeds(spark, d), RUN_TS, xml_col="xml")
     return a.select(F.col("metabase.sequence_id").cast("bigint").alias("seq"), "url", "title", "author",
                     "genre", ts_str("published").alias("published"), "has_empty_body", "origin",
                     "pub_id", "feed_id")

@@ -71,3 +71,28 @@ def checkpoint_dir(spark: SparkSession, *parts: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, *parts) if parts else base
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Zip this package into the shared folder and add it to the executors'
+    Python path (the ``--py-files`` route for clusters whose image does not
+    carry it). Content-addressed, so repeated calls reuse one zip."""
+    import hashlib
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py"))
+    h = hashlib.sha256()
+    for f in files:
+        with open(f, "rb") as fh:
+            h.update(f.encode() + fh.read())
+    target = checkpoint_dir(spark, "_pkg", f"newsdesk-{h.hexdigest()[:16]}.zip")
+    if not os.path.exists(target):
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        tmp = target + ".part"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in files:
+                z.write(f, os.path.join("newsdesk", os.path.relpath(f, root)))
+        os.replace(tmp, target)
+    spark.sparkContext.addPyFile(target)
+    return target

@@ -100,31 +100,28 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
                 checkpoint: str, run_ts, is_lexisnexis: bool = False, max_files: int = 1,
                 trigger_once: bool = True) -> StreamingQuery:
     """Newswire files in arrival order (``maxFilesPerTrigger``), mapped to
-    articles with their parent pub/feed. New parents of a batch are written
-    next to the articles (``pubs``/``feeds`` sub-tables)."""
+    articles with their parent pub/feed (``plans.wire.ingest_wire``). New
+    parents of a batch are written next to the articles, and later batches
+    see them as known parents."""
+    from newsdesk.plans.wire import ingest_wire, wire_rows_from_files
     src = (spark.readStream.format("xml").option("rowTag", "article")
            .option("maxFilesPerTrigger", max_files)
            .schema(read_wire(spark, wire_dir, with_file=False, mapped=True).schema)
            .load(wire_dir))
-    src = src.select(F.struct(*[F.col(c) for c in src.columns if c != "_corrupt_record"]).alias("a"),
-                     F.col("_corrupt_record"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        b = (batch.filter(F.col("_corrupt_record").isNull())
-             .withColumn("seq", F.col("a.sequenceId").cast("bigint"))
-             .withColumn("xml", F.lit(None).cast("string")))
-        known = feeds_table
+        rows = wire_rows_from_files(batch)
+        known = feeds_table.select("feed_id", "pub_id", "metabase_id")
         ptable = os.path.join(out_table, "_parents_feeds")
         if _has_data(ptable):
-            prior = spark.read.parquet(ptable).filter(F.col("batch") < batch_id).drop("batch")
-            known = known.select("feed_id", "pub_id", "metabase_id").unionByName(
-                prior.select("feed_id", "pub_id", "metabase_id"))
-        new_pubs, new_feeds, links = wire.wire_parents(b, known, is_lexisnexis, run_ts)
+            prior = spark.read.parquet(ptable).filter(F.col("batch") < batch_id)
+            known = known.unionByName(prior.select("feed_id", "pub_id", "metabase_id"))
+        new_pubs, new_feeds, arts, cached = ingest_wire(rows, known, run_ts, is_lexisnexis,
+                                                        batch_name=f"batch-{batch_id}")
         new_feeds.write.mode("overwrite").parquet(_batch_dir(ptable, batch_id))
         new_pubs.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "_parents_pubs"), batch_id))
-        arts = wire.wire_to_article(b, links, is_lexisnexis, run_ts, xml_col=None,
-                                    batch_name=f"batch-{batch_id}")
         arts.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "articles"), batch_id))
+        cached.unpersist()
 
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")

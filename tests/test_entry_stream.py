@@ -38,3 +38,28 @@ def test_registered_queries_run_small(spark):
     import __spark_entry__ as E
     for name in ["feeds_due", "clean_url", "wire_to_article", "stream_feed_entries", "extract_content"]:
         assert E.queries()[name](spark, SF).count() >= 0
+
+
+def test_landed_polls_batch_and_stream(spark):
+    import datetime as dt
+    from newsdesk import schema as S
+    from newsdesk.sources.files import read_feed_fetches
+    base = checkpoint_dir(spark, "tests", uuid.uuid4().hex)
+    t0 = dt.datetime(2024, 1, 1)
+    polls = spark.createDataFrame([
+        ("f1", t0, 200, 0, None, None, None, None, [("http://a/1?utm_x=1", "A", "T", "Mon, 01 Jan 2024 00:00:00 GMT")]),
+        ("f2", t0, 304, 0, None, None, None, None, [("http://a/2", None, None, None)])], S.FEED_POLL)
+    polls.write.json(os.path.join(base, "in"))
+    batch = read_feed_fetches(spark, os.path.join(base, "in"))
+    assert rows(batch, "feed_id", "status") == [("f1", 200), ("f2", 304)]
+    stream = read_feed_fetches(spark, os.path.join(base, "in"), stream=True)
+    q = (stream.writeStream.format("memory").queryName("landed_polls").trigger(availableNow=True)
+         .option("checkpointLocation", os.path.join(base, "ck")).start())
+    q.awaitTermination()
+    assert rows(spark.table("landed_polls"), "feed_id", "status") == rows(batch, "feed_id", "status")
+
+
+def test_ship_package(spark):
+    from newsdesk.session import ship_package
+    p = ship_package(spark)
+    assert p.endswith(".zip") and os.path.exists(p) and ship_package(spark) == p
