@@ -104,7 +104,10 @@ def wire_to_article(wire: DataFrame, links: DataFrame, is_lexisnexis: bool, run_
         F.col(f"{a}.contentLicenseEndDate").alias("content_license_end_date"),
         F.col(f"{a}.url").alias("url"),
         F.col(f"{a}.originalUrl").alias("original_url"))
-    html = F.encode(F.col(xml_col), "UTF-8") if xml_col else F.lit(None).cast("binary")
+    # raw XML kept as the article's html; without the raw text (XML file
+    # source) the parsed article is serialised back, as the reference does
+    xml = F.col(xml_col) if xml_col else F.to_xml(F.col(a), {"rowTag": "article"})
+    html = F.encode(xml, "UTF-8")
     return w.select(
         make_id(run, F.col(f"{a}.id"), F.col(f"{a}.sequenceId")).alias("article_id"),
         "feed_id", "pub_id",
