@@ -112,14 +112,14 @@ def read_wire(spark: SparkSession, path: str, with_file: bool = True, mapped: bo
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .schema(schema).load(path))
     if with_file:
-        df = df.withColumn("source_file", F.input_file_name())
+        df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df
 
 
 def read_wire_status(spark: SparkSession, path: str) -> DataFrame:
     """Response envelope per file; ``failed`` when status is FAILURE."""
     return (spark.read.format("xml").option("rowTag", "response").schema(RESPONSE_DDL).load(path)
-            .withColumn("source_file", F.input_file_name())
+            .withColumn("source_file", F.col("_metadata.file_path"))
             .withColumn("failed", F.coalesce(F.col("status") == "FAILURE", F.lit(False))))
 
 
@@ -153,7 +153,7 @@ def wire_cursor_from_files(spark: SparkSession, path: str) -> DataFrame:
     articles exploded with their position. A response holds at most one API
     page (500 articles), so one file per task is a bounded unit."""
     inner = "articles STRUCT<article: ARRAY<STRUCT<sequenceId: STRING>>>"
-    files = spark.read.text(path, wholetext=True).withColumn("source_file", F.input_file_name())
+    files = spark.read.text(path, wholetext=True).withColumn("source_file", F.col("_metadata.file_path"))
     parsed = files.select("source_file", F.from_xml("value", inner, {"rowTag": "response"}).alias("r"))
     arts = parsed.select("source_file", F.posexplode("r.articles.article").alias("pos", "a"))
     return arts.groupBy("source_file").agg(F.max_by("a.sequenceId", "pos").alias("sequence_id"))

@@ -19,7 +19,6 @@ from newsdesk.operators import articles as art
 from newsdesk.operators import counts, feeds, wire
 from newsdesk.sources.wire import read_wire
 
-DEDUPE_WATERMARK = "6 hours"
 
 
 def _batch_dir(table: str, batch_id: int) -> str:
@@ -33,29 +32,42 @@ def read_batches(spark: SparkSession, table: str, schema=None) -> DataFrame:
     return r.parquet(table)
 
 
-def _has_data(path: str) -> bool:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    return os.path.isdir(p) and any(n.startswith("batch=") for n in os.listdir(p))
+def _has_data(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds at least one ``batch=`` folder (Hadoop file
+    system of the path, so shared storage works)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(st.getPath().getName().startswith("batch=") for st in fs.listStatus(p))
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_feed_entries(spark: SparkSession, polls_dir: str, out_table: str, checkpoint: str,
-                        seen: DataFrame | None = None, trigger_once: bool = True) -> StreamingQuery:
-    """Landed poll results -> entries of readable polls -> links not seen
-    before. In-stream duplicates are dropped within the watermark; the
-    unlimited history check is an anti join against the stored entries (and
-    ``seen``) inside foreachBatch, so state stays bounded."""
-    polls = spark.readStream.schema(_poll_schema()).parquet(polls_dir)
+                        seen: DataFrame | None = None, trigger_once: bool = True,
+                        max_files: int | None = None) -> StreamingQuery:
+    """Landed poll results -> entries of readable polls -> links never seen
+    before, over all history.
+
+    The history is Spark's keyed streaming state (``dropDuplicates`` on the
+    link, no watermark). The state store holds only the link keys,
+    partitioned by link hash, in RocksDB on local disk, with snapshots in
+    the checkpoint. It grows with the number of distinct links without any
+    single task holding it, and a restarted query resumes with it. Among
+    copies of a new link inside one micro-batch, one is kept. ``seen`` (e.g.
+    the links still in the work table) is an extra anti join."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    r = spark.readStream.schema(_poll_schema())
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    polls = r.parquet(polls_dir)
     entries = (feeds.entries_with_link(feeds.feed_entries(polls))
-               .withWatermark("fetched_at", DEDUPE_WATERMARK)
-               .dropDuplicatesWithinWatermark(["link"]))
+               .select("feed_id", "fetched_at", "entry_pos", "link", "author", "title", "published")
+               .dropDuplicates(["link"]))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        fresh = feeds.entry_ids(batch.select("feed_id", "fetched_at", "entry_pos", "link", "author",
-                                             "title", "published"))
-        fresh = feeds.entry_dedupe(fresh, None)
-        if _has_data(out_table):
-            old = spark.read.parquet(out_table).filter(F.col("batch") < batch_id).select("link")
-            fresh = fresh.join(old, "link", "left_anti")
+        fresh = feeds.entry_ids(batch)
         if seen is not None:
             fresh = fresh.join(seen.select("link"), "link", "left_anti")
         fresh.write.mode("overwrite").parquet(_batch_dir(out_table, batch_id))
@@ -113,7 +125,7 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
         rows = wire_rows_from_files(batch)
         known = feeds_table.select("feed_id", "pub_id", "metabase_id")
         ptable = os.path.join(out_table, "_parents_feeds")
-        if _has_data(ptable):
+        if _has_data(spark, ptable):
             prior = spark.read.parquet(ptable).filter(F.col("batch") < batch_id)
             known = known.unionByName(prior.select("feed_id", "pub_id", "metabase_id"))
         new_pubs, new_feeds, arts, cached = ingest_wire(rows, known, run_ts, is_lexisnexis,
@@ -144,7 +156,7 @@ def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame,
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # two outputs from one read
         store = (spark.read.parquet(store_table).filter(F.col("batch") < batch_id).drop("batch")
-                 if _has_data(store_table) else None)
+                 if _has_data(spark, store_table) else None)
         if store is None:
             store = spark.createDataFrame([], "article_id string, url string")
         keep, rejects, cached = process_pages(batch, pubs_table, store, size_limit)

@@ -63,3 +63,20 @@ def test_ship_package(spark):
     from newsdesk.session import ship_package
     p = ship_package(spark)
     assert p.endswith(".zip") and os.path.exists(p) and ship_package(spark) == p
+
+
+def test_stream_entries_history_across_batches_and_restart(spark):
+    from newsdesk import schema as S
+    import datetime as dt
+    base = checkpoint_dir(spark, "tests", uuid.uuid4().hex)
+    t0 = dt.datetime(2024, 1, 1)
+    schema = jobs._poll_schema()
+    mk = lambda i, links: (f"f{i}", t0 + dt.timedelta(hours=i), 200, 0, None, None, None, None,
+                           [(l, None, None, None) for l in links], i)
+    spark.createDataFrame([mk(1, ["a", "b"]), mk(2, ["b", "c"])], schema).write.parquet(os.path.join(base, "in", "p1"))
+    args = (os.path.join(base, "in", "*"), os.path.join(base, "out"), os.path.join(base, "ck"))
+    jobs.stream_feed_entries(spark, *args).awaitTermination()
+    spark.createDataFrame([mk(3, ["a", "d", "d"])], schema).write.parquet(os.path.join(base, "in", "p2"))
+    jobs.stream_feed_entries(spark, *args).awaitTermination()       # restart: history kept in state
+    out = spark.read.parquet(os.path.join(base, "out"))
+    assert rows(out, "link") == [("a",), ("b",), ("c",), ("d",)]
