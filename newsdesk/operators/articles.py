@@ -94,9 +94,12 @@ def judge_new_articles(articles: DataFrame, store: DataFrame) -> DataFrame:
     to one row per url first, so the joins never multiply rows, whatever
     the number of copies of a url.
     """
-    idx = url_index(store)
     batch_min = (articles.filter(F.col("url").isNotNull())
                  .groupBy("url").agg(F.min("article_id").alias("_b_min")))
+    # only stored rows whose url occurs in the batch matter: the semi join
+    # (the batch side is small and AQE broadcasts it) filters the store scan
+    # before anything of the store is shuffled
+    idx = url_index(store.select("url", "article_id").join(batch_min.select("url"), "url", "left_semi"))
     j = articles.join(idx, "url", "left").join(batch_min, "url", "left")
     a = F.col("article_id")
     other_in_store = F.col("_s_min").isNotNull() & ~((F.col("_s_min") == a) & (F.col("_s_max") == a))
