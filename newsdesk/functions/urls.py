@@ -1,4 +1,4 @@
-"""URL cleaning and resolution as pure Column expressions (JVM side, codegen).
+"""URL cleaning and resolution as pure Column expressions (JVM side, no Python).
 
 ``clean_url`` removes tracking parameters from a query string and re-encodes
 what is left with keys in byte order, the way a URL query encoder does
@@ -88,6 +88,7 @@ def clean_query(rawq: Column) -> Column:
     """Cleaned, re-encoded query string ('' when nothing is left)."""
     pairs = query_pairs(rawq)
     # the value tested is the first value of the key; all values of a bad key go
+    # (a lookup within one URL's own parameters, a handful per row)
     first_v = lambda q: F.element_at(F.filter(pairs, lambda r: r["k"] == q["k"]), 1)["v"]
     kept = F.filter(pairs, lambda q: ~_key_is_bad(q["k"], first_v(q)))
     # keys in byte order, values of one key in input order
@@ -115,7 +116,3 @@ def resolve_url(location, link) -> Column:
                  .when(loc.startswith("//"), F.concat(F.substring_index(lnk, "//", 1), loc))
                  .when(loc.startswith("/"), F.concat(origin, loc)))
     return F.coalesce(F.when(loc != "", absolute), lnk)
-
-
-def url_host(c) -> Column:
-    return F.lower(F.regexp_extract(as_col(c), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))

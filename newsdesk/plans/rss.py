@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from newsdesk.functions.dates import parse_rfc1123
 from newsdesk.operators import articles as art
-from newsdesk.operators import feeds as fd
 from newsdesk.operators.extract import extract_content, extract_xpath, merge_extracted
 from newsdesk.operators.tables import dead_letter
 
@@ -21,11 +20,6 @@ ARTICLE_COLS = ["article_id", "feed_id", "pub_id", "url", "title", "author", "pu
                 "body_text", "body_html", "origin", "goose", "xpath"]
 
 
-def new_entries(polls: DataFrame, seen_links: DataFrame | None = None) -> DataFrame:
-    """Entries of readable polls whose link is new, with deterministic ids."""
-    return fd.entry_ids(fd.entry_dedupe(fd.feed_entries(polls), seen_links))
-
-
 def check_pages(pages: DataFrame, size_limit: int = art.SIZE_LIMIT) -> DataFrame:
     """Type, size and empty-body checks; sets ``reject_reason``. Runs before
     any Python so oversized or refused bodies never reach the UDFs."""

@@ -1,27 +1,12 @@
-"""Writers. Tables are immutable snapshots: a job writes a new snapshot
-folder and then points readers at it; the folder being read is never
-overwritten in place."""
+"""Writers for outside consumers (tables live in ``newsdesk.store``)."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 
 from newsdesk.operators.catalog import export_rows
 
 
-def write_snapshot(df: DataFrame, table_dir: str, version: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as ``table_dir/v=<version>`` (overwrite of that version
-    only, so a retried job rewrites its own snapshot) and return the path."""
-    path = os.path.join(table_dir, f"v={version}")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
 def export_pubs_csv(pubs: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with header ``ID, Pub Name, Homepage, Added`` (MM/dd/yyyy). Written
     in parallel, one part per task; ``single_file`` only for small exports."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsdesk import schema as S
+from newsdesk.functions.dates import not_zero_time
 from newsdesk.functions.ids import objectid_time
 
 
@@ -30,7 +31,7 @@ def read_legacy_pubs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
         F.lower("ID").alias("pub_id"), F.col("Title").alias("name"), F.col("URL").alias("homepage"),
         F.col("NumReaders").alias("num_readers"),
         F.coalesce(F.size("Feeds"), F.lit(0)).cast("int").alias("num_feeds"),
-        F.col("Updated").alias("last_update"),
+        not_zero_time("Updated").alias("last_update"),
         F.col("XPaths.Author").alias("xpath_author"), F.col("XPaths.Body").alias("xpath_body"),
         F.col("XPaths.Date").alias("xpath_date"), F.col("XPaths.Title").alias("xpath_title"),
         objectid_time(F.lower("ID")).alias("added"))

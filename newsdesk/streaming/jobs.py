@@ -3,7 +3,7 @@
 Sinks are replay-safe: each micro-batch writes its own ``batch=<id>``
 folder with overwrite, so a batch re-run after a failure replaces its own
 output and nothing else; the checkpoint is the only cursor. Readers of such
-a table take, per key, the row of the highest batch (see ``read_batches``).
+a table take, per key, the row of the highest batch (``current_counts``).
 """
 
 from __future__ import annotations
@@ -25,13 +25,6 @@ def _batch_dir(table: str, batch_id: int) -> str:
     return os.path.join(table, f"batch={batch_id:012d}")
 
 
-def read_batches(spark: SparkSession, table: str, schema=None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(table)
-
-
 def _has_data(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds at least one ``batch=`` folder (Hadoop file
     system of the path, so shared storage works)."""
