@@ -1098,3 +1098,54 @@ def q_decode_work_data(spark, d):
     """The JSON blob of a work row decoded with an explicit schema."""
     ev = dt.read(spark, d, "events")
     return ev.select("event_id", F.from_json("props", "k INT").getField("k").alias("k"))
+
+
+# ---------------------------------------------------------------- batch jobs
+def _job_store(spark, d):
+    """A fresh table store holding the fixture's pubs and feeds."""
+    from newsdesk import schema as S
+    from newsdesk.plans import jobs
+    from newsdesk.store import TableStore
+    store = TableStore(spark, _run_dir(spark, "tables"))
+    store.write("pubs", jobs.conform(dt.pubs(spark, d), S.PUB))
+    store.write("feeds", jobs.conform(dt.feeds(spark, d), S.FEED))
+    return store
+
+
+@query("job_enqueue_feeds", f"""
+SELECT feed_id FROM d_feed
+WHERE coalesce(bozo, 0) = 0 AND metabase_id IS NULL AND (next_download IS NULL OR next_download <= {SQL_NOW})
+ORDER BY next_download ASC NULLS FIRST, feed_id LIMIT 25""")
+def q_job_enqueue_feeds(spark, d):
+    from newsdesk.plans import jobs
+    return jobs.enqueue_feeds(_job_store(spark, d), NOW)
+
+
+@query("job_recount_articles", _COUNTS_SQL)
+def q_job_recount_articles(spark, d):
+    """Two recount runs over two article parts (the second adds only the
+    ids after the cursor) give the full counts."""
+    from newsdesk import schema as S
+    from newsdesk.plans import jobs
+    store = _job_store(spark, d)
+    a = jobs.conform(dt.articles(spark, d), S.ARTICLE)
+    cut = "%024x" % 7000
+    jobs._articles(store).append(a.filter(F.col("article_id") <= cut), "000001")
+    jobs.recount_articles(store)
+    jobs._articles(store).append(a.filter(F.col("article_id") > cut), "000002")
+    jobs.recount_articles(store)
+    return store.read("counts")
+
+
+@query("job_merge_publications", f"""
+, {_DUP_SQL}
+SELECT a.article_id, coalesce(m.new_id, a.pub_id) AS pub_id FROM d_article a LEFT JOIN d_dups m ON a.pub_id = m.old_id""")
+def q_job_merge_publications(spark, d):
+    """Articles read through the merge job's pub map (no article rewrite)."""
+    from newsdesk import schema as S
+    from newsdesk.plans import jobs
+    store = _job_store(spark, d)
+    jobs._articles(store).append(jobs.conform(dt.articles(spark, d), S.ARTICLE), "000001")
+    jobs.merge_publications(store)
+    jobs.merge_publications(store)   # a second run finds nothing new
+    return jobs.current_articles(store).select("article_id", "pub_id")

@@ -54,12 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
     as is. Only when it is unset (local tests) a scratch folder is made.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a JVM context: the setting alone
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
         d = tempfile.mkdtemp(prefix="newsdesk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
