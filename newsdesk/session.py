@@ -36,6 +36,7 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)  # the UDF workers import the package, wherever the driver runs
     return spark
 
 
