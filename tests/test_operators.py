@@ -177,3 +177,32 @@ def test_hot_url_holding_a_third_of_rows(spark):
     hot = keep.filter(F.col("url") == "hot").collect()
     assert len(hot) == 1 and hot[0].article_id == f"{1:024x}"
     assert rej.count() == n // 3 - 1
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=39), min_size=1, max_size=3, unique=True))
+def test_incremental_counts_any_split(spark, cuts):
+    a = spark.createDataFrame([(f"{i:024x}", f"p{i % 5}", f"f{i % 4}") for i in range(40)],
+                              "article_id string, pub_id string, feed_id string")
+    full = rows(counts.article_counts(a))
+    stored, last = spark.createDataFrame([], "type string, id string, n bigint"), None
+    for c in sorted(cuts) + [39]:
+        stored = counts.article_counts_incremental(stored, a, last, f"{c:024x}")
+        last = f"{c:024x}"
+    assert rows(stored) == full
+
+
+def test_store_versions_and_vacuum(spark):
+    import uuid
+    from newsdesk.session import checkpoint_dir
+    from newsdesk.store import TableStore
+    store = TableStore(spark, checkpoint_dir(spark, "tests", uuid.uuid4().hex))
+    df = spark.createDataFrame([(1,)], "x int")
+    for _ in range(4):
+        store.write("t", df)
+    assert store.versions("t") == [1, 2, 3, 4]
+    assert store.vacuum("t", keep=2) == [1, 2] and store.versions("t") == [3, 4]
+    assert store.read("t").count() == 1
