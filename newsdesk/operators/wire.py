@@ -82,7 +82,7 @@ def wire_parents(wire: DataFrame, feeds: DataFrame, is_lexisnexis: bool, run_ts,
 
 
 def wire_to_article(wire: DataFrame, links: DataFrame, is_lexisnexis: bool, run_ts,
-                    a: str = "a", xml_col: str | None = "xml",
+                    a: str = "a", xml_col: str | None = None,
                     link_base: str = VIEW_LINK_BASE, batch_name: str = "batch") -> DataFrame:
     """Newswire rows -> article rows (article schema, metabase struct set)."""
     run = _ts(run_ts)
