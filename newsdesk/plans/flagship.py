@@ -3,6 +3,7 @@ counts per publication and feed."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsdesk.functions.ids import id_from_number as oid
@@ -23,7 +24,9 @@ def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rss_article_counts(spark: SparkSession, sf_dir: str, store: DataFrame | None = None) -> DataFrame:
-    batch = page_articles(spark, sf_dir)
+    # the URL judgement reads the batch three times (rows, first id per url,
+    # urls to filter the store): clean the URLs once
+    batch = page_articles(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     if store is None:
         store = batch.limit(0)
     keep, _dups = new_articles(batch, store)
