@@ -96,9 +96,65 @@ def stream_article_counts(spark: SparkSession, articles_dir: str, out_table: str
     return w.start()
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _base_version(spark: SparkSession, table: str) -> int | None:
+    fs, p = _fs(spark, table + "_base")
+    if not fs.exists(p):
+        return None
+    vs = [int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
+          if st.getPath().getName().startswith("v=")
+          and fs.exists(st.getPath().suffix("/_SUCCESS"))]
+    return max(vs) if vs else None
+
+
 def current_counts(spark: SparkSession, table: str) -> DataFrame:
-    t = spark.read.parquet(table)
-    return (t.groupBy("type", "id").agg(F.max_by("n", "batch").alias("n")))
+    """Current count per key: the compacted base (if any) plus the batches
+    after it, newest value per key (a grouped max_by: partial aggregate)."""
+    parts = []
+    v = _base_version(spark, table)
+    if v is not None:
+        parts.append(spark.read.parquet(f"{table}_base/v={v:012d}").withColumn("batch", F.lit(v)))
+    if _has_data(spark, table):
+        b = spark.read.parquet(table)
+        parts.append(b.filter(F.col("batch") > v) if v is not None else b)
+    if not parts:
+        return spark.createDataFrame([], "type string, id string, n bigint")
+    t = parts[0]
+    for x in parts[1:]:
+        t = t.unionByName(x)
+    return t.groupBy("type", "id").agg(F.max_by("n", "batch").alias("n"))
+
+
+def compact_counts(spark: SparkSession, table: str) -> int | None:
+    """Fold every batch folder into a new base snapshot and drop the folded
+    batches, so reads stop growing with the number of micro-batches. Safe to
+    run next to the stream: batches written later have larger ids and stay.
+    Returns the base version (the largest folded batch id)."""
+    if not _has_data(spark, table):
+        return _base_version(spark, table)
+    top = spark.read.parquet(table).agg(F.max("batch")).first()[0]   # one value
+    # the new base holds the state as of batch `top`: batches written after
+    # it (a running stream) are left for readers to apply on top
+    v = _base_version(spark, table)
+    parts = []
+    if v is not None:
+        parts.append(spark.read.parquet(f"{table}_base/v={v:012d}").withColumn("batch", F.lit(v)))
+    b = spark.read.parquet(table)
+    parts.append(b.filter((F.col("batch") <= top) & ((F.col("batch") > v) if v is not None else F.lit(True))))
+    t = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    base = t.groupBy("type", "id").agg(F.max_by("n", "batch").alias("n"))
+    base.write.mode("overwrite").parquet(f"{table}_base/v={top:012d}")
+    fs, p = _fs(spark, table)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("batch=") and int(name.split("=", 1)[1]) <= top:
+            fs.delete(st.getPath(), True)
+    return top
 
 
 def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_table: str,

@@ -80,3 +80,20 @@ def test_stream_entries_history_across_batches_and_restart(spark):
     jobs.stream_feed_entries(spark, *args).awaitTermination()       # restart: history kept in state
     out = spark.read.parquet(os.path.join(base, "out"))
     assert rows(out, "link") == [("a",), ("b",), ("c",), ("d",)]
+
+
+def test_stream_counts_compaction(spark):
+    base = checkpoint_dir(spark, "tests", uuid.uuid4().hex)
+    mk = lambda lo, hi: spark.createDataFrame([(f"{i:024x}", f"p{i % 4}", f"f{i % 3}") for i in range(lo, hi)],
+                                              "article_id string, pub_id string, feed_id string")
+    args = lambda: (os.path.join(base, "in"), os.path.join(base, "out"), os.path.join(base, "ck"))
+    mk(0, 20).coalesce(1).write.mode("append").parquet(os.path.join(base, "in"))
+    mk(20, 30).coalesce(1).write.mode("append").parquet(os.path.join(base, "in"))
+    jobs.stream_article_counts(spark, *args(), schema=mk(0, 1).schema, max_files=1).awaitTermination()
+    top = jobs.compact_counts(spark, os.path.join(base, "out"))
+    assert top is not None and not jobs._has_data(spark, os.path.join(base, "out"))
+    mk(30, 45).coalesce(1).write.mode("append").parquet(os.path.join(base, "in"))
+    jobs.stream_article_counts(spark, *args(), schema=mk(0, 1).schema, max_files=1).awaitTermination()
+    assert rows(jobs.current_counts(spark, os.path.join(base, "out"))) == rows(counts.article_counts(mk(0, 45)))
+    jobs.compact_counts(spark, os.path.join(base, "out"))
+    assert rows(jobs.current_counts(spark, os.path.join(base, "out"))) == rows(counts.article_counts(mk(0, 45)))
