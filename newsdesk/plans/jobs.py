@@ -45,9 +45,28 @@ def _rejects(store: TableStore) -> PartTable:
     return PartTable(store, "rejects")
 
 
-def current_articles(store: TableStore, exclude_part: str | None = None) -> DataFrame:
-    """All saved articles, newest part per id, pub ids through the merge map."""
-    a = _articles(store).read(S.ARTICLE, exclude_part)
+def current_articles(store: TableStore, exclude_part: str | None = None,
+                     columns: list[str] | None = None) -> DataFrame:
+    """All saved articles, newest part per id, pub ids through the merge map.
+    The per-id dedupe is a shuffle of every id: readers that do not need
+    exact rows use ``raw_articles``; readers that need few columns name them
+    (the dedupe cannot prune inside its struct)."""
+    if columns is not None and store.exists(REDIRECTS):
+        columns = list(dict.fromkeys(list(columns) + ["pub_id"]))
+    a = _articles(store).read(S.ARTICLE, exclude_part, columns)
+    if store.exists(REDIRECTS):
+        a = pb.pub_repoint(a, store.read(REDIRECTS))
+    return a
+
+
+def raw_articles(store: TableStore, exclude_part: str | None = None) -> DataFrame:
+    """Union of the article parts without the per-id dedupe (a replayed id
+    may appear twice), pub ids through the merge map. Enough for per-url
+    min/max ids, the newest article per pub and the largest id, none of
+    which a repeated (id, row) changes."""
+    a = PartTable(store, "articles").read(S.ARTICLE, exclude_part)
+    if "part" in a.columns:
+        a = a.drop("part")
     if store.exists(REDIRECTS):
         a = pb.pub_repoint(a, store.read(REDIRECTS))
     return a
@@ -103,7 +122,7 @@ def process_pages(store: TableStore, pages: DataFrame, part: str, now,
     from pyspark import StorageLevel
     from newsdesk.plans.rss import process_pages as stages
     pages = pages.persist(StorageLevel.MEMORY_AND_DISK)
-    store_urls = current_articles(store, exclude_part=part).select("article_id", "url")
+    store_urls = raw_articles(store, exclude_part=part).select("article_id", "url")
     keep, rejects, cached = stages(pages, store.read("pubs", S.PUB), store_urls, size_limit)
     _articles(store).append(conform(keep.withColumn("added", F.lit(now).cast("timestamp")), S.ARTICLE), part)
     _rejects(store).append(rejects.withColumn("added", F.lit(now).cast("timestamp")), part)
@@ -135,12 +154,15 @@ def metabase(store: TableStore, wire_rows: DataFrame, part: str, run_ts,
 def recount_articles(store: TableStore) -> bool:
     """Add the articles after the cursor to the stored counts and move the
     cursor; False when there is nothing to count."""
-    a = current_articles(store)
     last = store.read("count_cursor", CURSOR_SCHEMA).first()
     last_id = last.last_id if last else None
-    wm = cnt.article_id_watermark(a).first()          # one row: (n, max id)
+    # the largest id from the raw parts (one row to the driver); only the new
+    # id range is then deduped: that filter is on the dedupe's grouping key,
+    # so it is pushed under it into the scan
+    wm = cnt.article_id_watermark(raw_articles(store).select("article_id")).first()
     if wm.n == 0 or wm.last_id == last_id:
         return False
+    a = current_articles(store, columns=["article_id", "pub_id", "feed_id"])
     counts = cnt.article_counts_incremental(store.read("counts", S.ARTICLE_COUNT), a.select(
         "article_id", "pub_id", "feed_id"), last_id, wm.last_id)
     store.write("counts", counts)
@@ -174,7 +196,7 @@ def pub_cats(store: TableStore) -> None:
     from their newest newswire article's XML."""
     from newsdesk.sources.wire import parse_wire
     spark = store.spark
-    out = pb.pub_category_backfill(store.read("pubs", S.PUB), current_articles(store),
+    out = pb.pub_category_backfill(store.read("pubs", S.PUB), raw_articles(store),
                                    lambda c: parse_wire(spark, F.decode(c, "UTF-8"), mapped=True))
     store.write("pubs", out)
 

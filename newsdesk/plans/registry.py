@@ -1164,4 +1164,4 @@ def q_job_merge_publications(spark, d):
     jobs._articles(store).append(jobs.conform(dt.articles(spark, d), S.ARTICLE), "000001")
     jobs.merge_publications(store)
     jobs.merge_publications(store)   # a second run finds nothing new
-    return jobs.current_articles(store).select("article_id", "pub_id")
+    return jobs.current_articles(store, columns=["article_id", "pub_id"])

@@ -98,10 +98,13 @@ class PartTable:
         df.write.mode("overwrite").parquet(p)
         return p
 
-    def read(self, schema=None, exclude_part: str | None = None) -> DataFrame:
+    def read(self, schema=None, exclude_part: str | None = None,
+             columns: list[str] | None = None) -> DataFrame:
         """Union of the parts; ``exclude_part`` leaves one part out (a job
         rewriting that part must not read it: partition pruning keeps its
-        files out of the scan)."""
+        files out of the scan). ``columns`` narrows the read before the
+        per-key dedupe, whose aggregated struct would otherwise pull every
+        column through the scan."""
         from pyspark.sql import functions as F
         fs, p = self.store._fs(self.path())
         if not fs.exists(p):
@@ -111,6 +114,9 @@ class PartTable:
         df = self.store.spark.read.parquet(self.path())
         if exclude_part is not None:
             df = df.filter(F.col("part") != self.part_value(exclude_part))
+        if columns is not None:
+            keep = list(dict.fromkeys(([self.key] if self.key else []) + list(columns) + ["part"]))
+            df = df.select(*keep)
         if self.key is None:
             return df
         return _newest_per_key(df, self.key)
