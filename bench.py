@@ -30,18 +30,26 @@ def main() -> None:
     from newsdesk.plans.registry import QUERIES
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     names = sys.argv[1:] or HEADLINE
-    times = {}
+    times, failed = {}, []
     for name in names:
         fn = QUERIES[name]
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        spark.catalog.clearCache()  # no cached data carried into the timed run
-        t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            spark.catalog.clearCache()  # no cached data carried into the timed run
+            t0 = time.perf_counter()
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - report and go on with the rest
+            times[name] = None
+            failed.append(name)
+            print(f"bench: {name} failed: {str(e)[:300]}", file=sys.stderr)
         spark.catalog.clearCache()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": int(cpus)}))
+    out = {"metric": "total_sec", "value": round(sum(v for v in times.values() if v is not None), 3),
+           "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus)}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 

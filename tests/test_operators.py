@@ -206,3 +206,16 @@ def test_store_versions_and_vacuum(spark):
     assert store.versions("t") == [1, 2, 3, 4]
     assert store.vacuum("t", keep=2) == [1, 2] and store.versions("t") == [3, 4]
     assert store.read("t").count() == 1
+
+
+def test_hot_name_holding_a_third_of_pubs(spark):
+    n = 30000
+    p = spark.range(n).select(F.format_string("%024x", "id").alias("pub_id"),
+                              F.when(F.col("id") % 3 == 0, F.lit("Hot"))
+                               .otherwise(F.concat(F.lit("N"), (F.col("id") % 5000).cast("string"))).alias("name"))
+    m = pubs.duplicate_pubs(p)
+    hot = m.filter(F.col("name") == "Hot")
+    assert hot.count() == n // 3 - 1 and hot.select("new_id").distinct().first()[0] == f"{0:024x}"
+    from collections import Counter
+    names = Counter("Hot" if i % 3 == 0 else f"N{i % 5000}" for i in range(n))
+    assert m.count() == sum(c - 1 for c in names.values() if c > 1)      # brute force
