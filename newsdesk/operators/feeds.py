@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsdesk.operators.tables import dedupe_first
 from newsdesk.functions.ids import make_id
@@ -13,7 +13,8 @@ SKIP_STATUSES = [304, 410, 500]
 
 
 def _ts(now):
-    return F.lit(now).cast("timestamp")
+    """A time parameter: a Column as is, anything else as a timestamp literal."""
+    return now if isinstance(now, Column) else F.lit(now).cast("timestamp")
 
 
 def feeds_due_filter(feeds: DataFrame, now) -> DataFrame:
@@ -41,9 +42,14 @@ def feeds_not_due(feeds: DataFrame, now) -> DataFrame:
     return feeds.filter(F.col("metabase_id").isNull() & (nd.isNull() | (nd >= _ts(now))))
 
 
+REPOLL = "INTERVAL 1 HOUR"
+
+
 def next_download(bozo, now):
-    return F.when(F.col(bozo) == 0, _ts(now) + F.expr("INTERVAL 1 HOUR")) if isinstance(bozo, str) \
-        else F.when(bozo == 0, _ts(now) + F.expr("INTERVAL 1 HOUR"))
+    """Next poll one hour after ``now`` when the poll parsed cleanly (bozo 0),
+    else NULL (the feed stays out of the due list)."""
+    b = F.col(bozo) if isinstance(bozo, str) else bozo
+    return F.when(b == 0, _ts(now) + F.expr(REPOLL))
 
 
 def latest_poll(polls: DataFrame) -> DataFrame:
@@ -75,7 +81,7 @@ def feed_poll_update(feeds: DataFrame, polls: DataFrame, now) -> DataFrame:
         "bozo": F.col("_p_bozo"), "etag": F.col("_p_etag"), "modified": F.col("_p_modified"),
         "status": F.coalesce(F.col("_p_status"), F.lit(500)),
         "last_download": _ts(now),
-        "next_download": F.when(F.col("_p_bozo") == 0, _ts(now) + F.expr("INTERVAL 1 HOUR")),
+        "next_download": next_download("_p_bozo", now),
     }
     out = []
     for c in feeds.columns:

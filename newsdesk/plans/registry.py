@@ -605,8 +605,7 @@ def q_category_slug(spark, d):
 SELECT event_id, {ts_sql("CASE WHEN bozo = 0 THEN fetched_at + INTERVAL 1 HOUR END")} AS next_download FROM d_poll""")
 def q_next_download(spark, d):
     p = dt.feed_polls(spark, d)
-    return p.select("event_id", ts_str(F.when(F.col("bozo") == 0, F.col("fetched_at") + F.expr("INTERVAL 1 HOUR")))
-                    .alias("next_download"))
+    return p.select("event_id", ts_str(feeds.next_download("bozo", F.col("fetched_at"))).alias("next_download"))
 
 
 @query("moved_url", """
