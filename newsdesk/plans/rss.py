@@ -17,7 +17,7 @@ from newsdesk.operators.extract import extract_content, extract_xpath, merge_ext
 from newsdesk.operators.tables import dead_letter
 
 ARTICLE_COLS = ["article_id", "feed_id", "pub_id", "url", "title", "author", "published",
-                "body_text", "body_html", "origin", "goose", "xpath"]
+                "body_text", "body_html", "origin", "entry", "goose", "xpath"]
 
 
 def check_pages(pages: DataFrame, size_limit: int = art.SIZE_LIMIT) -> DataFrame:
@@ -31,11 +31,13 @@ def extract_articles(pages_ok: DataFrame, pubs: DataFrame) -> DataFrame:
     is missing). One narrow stage per UDF; the only shuffle is the join to
     the publication rules."""
     p = art.resolve_links(pages_ok).withColumn("published", parse_rfc1123("published"))
+    # what the feed entry said, kept next to what extraction decides
+    p = p.withColumn("entry", F.struct(F.col("link").alias("url"), "title", "author", "published"))
     ruled = art.extract_route(art.article_pub_rules(p, pubs))
     content = extract_content(ruled).withColumn("body_text", F.col("content.body_text"))
     # rules run only where a list is non-empty; other rows return at once
     merged = merge_extracted(extract_xpath(content))
-    return merged.withColumn("origin", F.lit("rss")).select(*ARTICLE_COLS, "link", "reject_reason")
+    return merged.withColumn("origin", art.origin_tag()).select(*ARTICLE_COLS, "link", "reject_reason")
 
 
 def process_pages(pages: DataFrame, pubs: DataFrame, store: DataFrame,
