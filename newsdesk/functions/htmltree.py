@@ -2,8 +2,9 @@
 the standard library's ``html.parser`` and a small XPath subset.
 
 Supported paths: ``/`` and ``//`` steps over a tag name or ``*``, predicates
-``[@a]``, ``[@a='v']``, ``[contains(@a,'v')]`` and ``[n]``, a final
-``text()`` or ``@attr`` step, optionally wrapped in ``normalize-space(..)``.
+``[@a]``, ``[@a='v']``, ``[contains(@a,'v')]`` (joined with ``and``) and
+``[n]``, a final ``text()`` or ``@attr`` step, ``(path)[n]``, optionally
+wrapped in ``normalize-space(..)``.
 Anything else raises ``UnsupportedXPath`` naming the rule.
 """
 
@@ -140,6 +141,10 @@ def _steps(path: str):
 
 
 def _pred_ok(node: Node, pred: str) -> bool:
+    parts = re.split(r"\s+and\s+", pred.strip())
+    if len(parts) > 1:
+        return all(_pred_ok(node, p) for p in parts)
+    pred = parts[0]
     m = _PRED_ATTR_EQ.match(pred)
     if m:
         return node.attrs.get(m.group(1)) == m.group(3)
@@ -152,7 +157,13 @@ def _pred_ok(node: Node, pred: str) -> bool:
 
 
 def select(root: Node, path: str) -> list:
-    """Nodes (or strings for text()/@attr) matched by ``path``."""
+    """Nodes (or strings for text()/@attr) matched by ``path``; ``(path)[n]``
+    takes the n-th match in document order."""
+    m = re.fullmatch(r"\s*\((.*)\)\s*\[(\d+)\]\s*", path)
+    if m:
+        found = select(root, m.group(1))
+        i = int(m.group(2))
+        return found[i - 1:i]
     current: list = [root]
     for axis, name, preds in _steps(path):
         nxt: list = []

@@ -75,3 +75,13 @@ def test_fix_removed_node_keeps_tail():
 def test_wire_cursor_from_file(spark):
     from newsdesk.sources.wire import wire_cursor_from_files
     assert wire_cursor_from_files(spark, GOLDEN).first().sequence_id == "950"
+
+
+def test_xpath_subset_forms():
+    doc = ht.parse_html(b"<div class='a' id='x'><p>one</p><p>two</p></div><div class='a'><p>three</p></div>"
+                        b"<meta property='article:published_time' content='2024-01-02'>")
+    assert ht.evaluate(doc, "(//p)[3]") == "three"
+    assert ht.evaluate(doc, "//div[@class='a' and @id='x']/p[2]") == "two"
+    assert ht.evaluate(doc, "//div[contains(@class,'a')]//p") == "one"
+    assert ht.evaluate(doc, "//meta[@property='article:published_time']/@content") == "2024-01-02"
+    assert ht.evaluate(doc, "normalize-space(//div[2])") == "three"
