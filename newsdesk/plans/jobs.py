@@ -89,13 +89,15 @@ def apply_cats(store: TableStore) -> None:
 # ---------------------------------------------------------------- feed path
 def enqueue_feeds(store: TableStore, now, limit: int = fd.DEFAULT_LIMIT,
                   threshold: int = wk.DEFAULT_THRESHOLD) -> DataFrame:
-    """Due feeds, or none when the work queue is over its threshold (one
-    boolean reaches the driver: the go / no-go of the run)."""
+    """Due feeds with what a conditional poll sends (url, etag, modified:
+    the one name the poll update writes), or none when the work queue is
+    over its threshold (one boolean reaches the driver: the go / no-go)."""
     feeds = store.read("feeds", S.FEED)
+    cols = ["feed_id", "url", "etag", "modified"]
     depth = wk.queue_depth(store.read("work", S.WORK), threshold)
     if not wk.may_enqueue(depth).first().ok:
-        return feeds.limit(0).select("feed_id")
-    return fd.feeds_due(feeds, now, limit).select("feed_id")
+        return feeds.limit(0).select(*cols)
+    return fd.feeds_due(feeds, now, limit).select(*cols)
 
 
 def download_feed(store: TableStore, polls: DataFrame, now) -> DataFrame:

@@ -1133,7 +1133,7 @@ WHERE coalesce(bozo, 0) = 0 AND metabase_id IS NULL AND (next_download IS NULL O
 ORDER BY next_download ASC NULLS FIRST, feed_id LIMIT 25""")
 def q_job_enqueue_feeds(spark, d):
     from newsdesk.plans import jobs
-    return jobs.enqueue_feeds(_job_store(spark, d), NOW)
+    return jobs.enqueue_feeds(_job_store(spark, d), NOW).select("feed_id")
 
 
 @query("job_recount_articles", _COUNTS_SQL)

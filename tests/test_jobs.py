@@ -71,3 +71,19 @@ def test_prime_from_legacy_dump(spark):
     p, f = store.read("pubs"), store.read("feeds")
     assert p.count() == 150 and f.count() == sum(k % 4 for k in range(150))
     assert p.schema == jobs.S.PUB and store.versions("pubs") == [1]
+
+
+def test_conditional_poll_fields_round_trip(spark):
+    # Fix: the poll update writes `modified` and the next enqueue hands the
+    # same field to the fetcher (one name, so conditional polls work)
+    import datetime as dt
+    store = TableStore(spark, checkpoint_dir(spark, "tests", uuid.uuid4().hex, "tables"))
+    cols = [f.name for f in jobs.S.FEED.fields]
+    feed = {"feed_id": "a", "url": "http://f/a", "bozo": 0}
+    store.write("feeds", spark.createDataFrame([tuple(feed.get(c) for c in cols)], jobs.S.FEED))
+    t0 = dt.datetime(2024, 1, 30, 10)
+    polls = spark.createDataFrame([("a", t0, 200, 0, "http://f/a", '"e1"', "Tue, 30 Jan 2024 10:00:00 GMT", None, [])],
+                                  jobs.S.FEED_POLL)
+    jobs.download_feed(store, polls, "2024-01-30 10:00:00")
+    due = jobs.enqueue_feeds(store, "2024-01-30 12:00:00").collect()
+    assert [(r.feed_id, r.etag, r.modified) for r in due] == [("a", '"e1"', "Tue, 30 Jan 2024 10:00:00 GMT")]
