@@ -10,7 +10,6 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from newsdesk.functions.ids import is_object_id
 
 DEFAULT_LIMIT = 20
 MAX_LIMIT = 10000

@@ -16,11 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsdesk import schema as S
 from newsdesk.operators import articles as art
-from newsdesk.operators import counts, feeds, wire
+from newsdesk.operators import counts, feeds
 from newsdesk.sources.wire import read_wire
 
 
-
 def _batch_dir(table: str, batch_id: int) -> str:
     return os.path.join(table, f"batch={batch_id:012d}")
 
