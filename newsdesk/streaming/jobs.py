@@ -190,21 +190,34 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
 
 def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame, store_table: str,
                     checkpoint: str, size_limit: int = art.SIZE_LIMIT, max_files: int | None = None,
-                    trigger_once: bool = True) -> StreamingQuery:
+                    trigger_once: bool = True, url_history: str = "store") -> StreamingQuery:
     """Fetched pages -> checks -> final URL -> extraction -> XPath rules ->
-    merge -> URL dedupe against the store -> save; rejects go to
-    ``<store>_rejects``. One streaming query; the stages are the batch
-    functions of ``plans.rss``."""
+    merge -> URL dedupe -> save; rejects go to ``<store>_rejects``. One
+    streaming query; the stages are the batch functions of ``plans.rss``.
+
+    ``url_history`` picks how a url already saved is recognised:
+    ``"store"`` (exact, duplicates become rejects) checks each micro-batch
+    against the stored urls, narrowed to the batch's urls (a scan of the
+    store's url column, no shuffle of the store); ``"state"`` keeps the urls
+    in RocksDB keyed state and drops later copies before extraction (no
+    scan, and duplicates never reach the UDFs, but they leave no reject
+    row)."""
     from newsdesk.plans.rss import process_pages
     r = spark.readStream.schema(S.PAGE_FETCH)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     pages = r.parquet(pages_dir)
+    if url_history == "state":
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        pages = art.resolve_links(pages).dropDuplicates(["url"]).drop("url")
+    elif url_history != "store":
+        raise ValueError(f"url_history must be 'store' or 'state', not {url_history!r}")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # two outputs from one read
-        store = (spark.read.parquet(store_table).filter(F.col("batch") < batch_id).drop("batch")
-                 if _has_data(spark, store_table) else None)
+        store = None
+        if url_history == "store" and _has_data(spark, store_table):
+            store = spark.read.parquet(store_table).filter(F.col("batch") < batch_id).drop("batch")
         if store is None:
             store = spark.createDataFrame([], "article_id string, url string")
         keep, rejects, cached = process_pages(batch, pubs_table, store, size_limit)

@@ -97,3 +97,22 @@ def test_stream_counts_compaction(spark):
     assert rows(jobs.current_counts(spark, os.path.join(base, "out"))) == rows(counts.article_counts(mk(0, 45)))
     jobs.compact_counts(spark, os.path.join(base, "out"))
     assert rows(jobs.current_counts(spark, os.path.join(base, "out"))) == rows(counts.article_counts(mk(0, 45)))
+
+
+def test_stream_articles_url_history_modes(spark):
+    from newsdesk.sources import driver_tables as dt
+    base = checkpoint_dir(spark, "tests", uuid.uuid4().hex)
+    pages = dt.page_fetches(spark, SF)
+    again = pages.withColumn("article_id", F.format_string("%024x", F.conv("article_id", 16, 10).cast("bigint") + 1000))
+    pages.coalesce(1).write.mode("append").parquet(os.path.join(base, "in"))
+    again.coalesce(1).write.mode("append").parquet(os.path.join(base, "in"))   # same urls, new ids, later
+    saved = {}
+    for mode in ("store", "state"):
+        out = os.path.join(base, mode)
+        jobs.stream_articles(spark, os.path.join(base, "in"), dt.pubs(spark, SF), out,
+                             os.path.join(base, "ck-" + mode), max_files=1, url_history=mode).awaitTermination()
+        saved[mode] = rows(spark.read.parquet(out), "article_id")
+    assert saved["store"] == saved["state"] and len(saved["store"]) > 0
+    assert all(int(a, 16) < 1000 for (a,) in saved["store"])      # first arrival of each url wins
+    dups = spark.read.parquet(os.path.join(base, "store_rejects")).filter(F.col("reason").contains("URL"))
+    assert dups.count() == len(saved["store"])                       # store mode reports each copy
