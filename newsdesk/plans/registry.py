@@ -1164,3 +1164,18 @@ def q_job_merge_publications(spark, d):
     jobs.merge_publications(store)
     jobs.merge_publications(store)   # a second run finds nothing new
     return jobs.current_articles(store, columns=["article_id", "pub_id"])
+
+
+@query("stream_articles_state", f"""
+SELECT g.article_id FROM d_page g JOIN d_pub p ON g.pub_id = p.pub_id
+WHERE g.content_type <> 'audio/mpeg' AND g.n_bytes > 0 AND g.n_bytes < 2097152""")
+def q_stream_articles_state(spark, d):
+    """The article stream with its url history in keyed state."""
+    import os
+    from newsdesk.streaming import jobs
+    base = _run_dir(spark, "stream_articles_state")
+    _land(dt.page_fetches(spark, d), os.path.join(base, "in"), "fetched_at")
+    q = jobs.stream_articles(spark, os.path.join(base, "in"), dt.pubs(spark, d),
+                             os.path.join(base, "store"), os.path.join(base, "ck"), url_history="state")
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "store")).select("article_id")
