@@ -671,11 +671,18 @@ ORACLE["category_alias_lookup"] = _alias_sql()
 
 
 def _wire_articles(spark, d) -> DataFrame:
-    """Articles of the newswire origins carrying their raw XML (orders)."""
-    w = dt.wire_rows(spark, d).select("order_key", render_wire(F.col("article")).alias("xml"))
-    a = dt.articles(spark, d).withColumn("_k", F.conv("article_id", 16, 10).cast("bigint"))
-    return (a.drop("html").join(w, F.col("_k") == F.col("order_key"), "inner")
-            .withColumn("html", F.encode("xml", "UTF-8")).drop("_k", "order_key", "xml"))
+    """Articles carrying their newswire XML (from orders), landed once per
+    session as a parquet table, as stored articles are."""
+    key = (spark.sparkContext.applicationId, d, "wire_articles")
+    if key not in _LANDED:
+        w = dt.wire_rows(spark, d).select("order_key", render_wire(F.col("article")).alias("xml"))
+        a = dt.articles(spark, d).withColumn("_k", F.conv("article_id", 16, 10).cast("bigint"))
+        out = (a.drop("html").join(w, F.col("_k") == F.col("order_key"), "inner")
+               .withColumn("html", F.encode("xml", "UTF-8")).drop("_k", "order_key", "xml"))
+        path = _run_dir(spark, "wire_articles")
+        out.write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
 
 
 @query("pub_category_backfill", """
