@@ -934,11 +934,9 @@ def q_extract_xpath(spark, d):
 
 @query("merge_extracted")
 def q_merge_extracted(spark, d):
-    from newsdesk.operators.extract import extract_content, extract_xpath, merge_extracted
+    from newsdesk.operators.extract import extract_page, merge_extracted
     base = _pages_with_rules(spark, d).withColumn("published", dates.parse_rfc1123("published"))
-    e = extract_content(base).withColumn("body_text", F.col("content.body_text"))
-    x = extract_xpath(e)
-    m = merge_extracted(x)
+    m = merge_extracted(extract_page(base))     # one parse per page
     return m.select("article_id", "title", "author", ts_str("published").alias("published"),
                     F.octet_length("body_text").alias("body_bytes"),
                     (F.col("body_html") == "").alias("body_html_cleared"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from newsdesk.functions.dates import parse_rfc1123
 from newsdesk.operators import articles as art
-from newsdesk.operators.extract import extract_content, extract_xpath, merge_extracted
+from newsdesk.operators.extract import extract_page, merge_extracted
 from newsdesk.operators.tables import dead_letter
 
 ARTICLE_COLS = ["article_id", "feed_id", "pub_id", "url", "title", "author", "published",
@@ -34,9 +34,8 @@ def extract_articles(pages_ok: DataFrame, pubs: DataFrame) -> DataFrame:
     # what the feed entry said, kept next to what extraction decides
     p = p.withColumn("entry", F.struct(F.col("link").alias("url"), "title", "author", "published"))
     ruled = art.extract_route(art.article_pub_rules(p, pubs))
-    content = extract_content(ruled).withColumn("body_text", F.col("content.body_text"))
-    # rules run only where a list is non-empty; other rows return at once
-    merged = merge_extracted(extract_xpath(content))
+    # one pass of Python over each page: content and publication rules
+    merged = merge_extracted(extract_page(ruled))
     return merged.withColumn("origin", art.origin_tag()).select(*ARTICLE_COLS, "link", "reject_reason")
 
 

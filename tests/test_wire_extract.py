@@ -85,3 +85,14 @@ def test_xpath_subset_forms():
     assert ht.evaluate(doc, "//div[contains(@class,'a')]//p") == "one"
     assert ht.evaluate(doc, "//meta[@property='article:published_time']/@content") == "2024-01-02"
     assert ht.evaluate(doc, "normalize-space(//div[2])") == "three"
+
+
+def test_one_pass_page_extraction_matches_two_pass():
+    from newsdesk.operators.extract import _page_row
+    for rules in ((["-//nav", "//article"], ["//span[@class='author']"], ["//time~~%d"], ["normalize-space(//h1)"]),
+                  ([], [], [], ["//h2", "//h1"]), ([], [], [], [])):
+        one = _page_row(PAGE, *rules)
+        assert one["content"] == _content(PAGE)
+        two = _xpath_row(PAGE, *rules, _content(PAGE)["body_text"])
+        assert one["xp"] == two
+    assert _page_row(b"", [], [], [], [])["xp"]["error"] == "No HTML"
