@@ -162,7 +162,8 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
     """Newswire files in arrival order (``maxFilesPerTrigger``), mapped to
     articles with their parent pub/feed (``plans.wire.ingest_wire``). New
     parents of a batch are written next to the articles, and later batches
-    see them as known parents."""
+    see them as known parents. ``run_ts=None`` (continuous runs) takes each
+    micro-batch's time from its newest harvest date."""
     from newsdesk.plans.wire import ingest_wire, wire_rows_from_files
     src = (spark.readStream.format("xml").option("rowTag", "article")
            .option("maxFilesPerTrigger", max_files)
@@ -170,18 +171,26 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
            .load(wire_dir))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = wire_rows_from_files(batch)
+        rows = wire_rows_from_files(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        ts = run_ts
+        if ts is None:
+            # the batch's own clock: its newest harvest date (one value; the
+            # same on a replay of the batch, so ids repeat)
+            from newsdesk.functions.dates import parse_rfc3339_strict
+            ts = rows.agg(F.max(parse_rfc3339_strict(F.col("a.harvestDate")))).first()[0]
+            ts = ts or "1970-01-01 00:00:00"
         known = feeds_table.select("feed_id", "pub_id", "metabase_id")
         ptable = os.path.join(out_table, "_parents_feeds")
         if _has_data(spark, ptable):
             prior = spark.read.parquet(ptable).filter(F.col("batch") < batch_id)
             known = known.unionByName(prior.select("feed_id", "pub_id", "metabase_id"))
-        new_pubs, new_feeds, arts, cached = ingest_wire(rows, known, run_ts, is_lexisnexis,
+        new_pubs, new_feeds, arts, cached = ingest_wire(rows, known, ts, is_lexisnexis,
                                                         batch_name=f"batch-{batch_id}")
         new_feeds.write.mode("overwrite").parquet(_batch_dir(ptable, batch_id))
         new_pubs.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "_parents_pubs"), batch_id))
         arts.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "articles"), batch_id))
         cached.unpersist()
+        rows.unpersist()
 
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")

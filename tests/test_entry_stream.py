@@ -116,3 +116,21 @@ def test_stream_articles_url_history_modes(spark):
     assert all(int(a, 16) < 1000 for (a,) in saved["store"])      # first arrival of each url wins
     dups = spark.read.parquet(os.path.join(base, "store_rejects")).filter(F.col("reason").contains("URL"))
     assert dups.count() == len(saved["store"])                       # store mode reports each copy
+
+
+def test_stream_wire_batch_clock(spark):
+    from newsdesk.streaming import jobs as sj
+    from tests.test_wire_extract import GOLDEN
+    import shutil
+    base = checkpoint_dir(spark, "tests", uuid.uuid4().hex)
+    os.makedirs(os.path.join(base, "in"))
+    shutil.copy(GOLDEN, os.path.join(base, "in", "r1.xml"))
+    feeds = spark.createDataFrame([], "feed_id string, pub_id string, metabase_id bigint")
+    sj.stream_wire(spark, os.path.join(base, "in"), feeds, os.path.join(base, "out"),
+                   os.path.join(base, "ck"), None).awaitTermination()
+    a = spark.read.parquet(os.path.join(base, "out", "articles"))
+    assert a.count() == 3
+    # newest harvest date of the batch is 2014-11-21T07:30Z: ids start with its epoch seconds
+    import datetime as dt
+    want = "%08x" % int(dt.datetime(2014, 11, 21, 7, 30, tzinfo=dt.timezone.utc).timestamp())
+    assert {r.article_id[:8] for r in a.collect()} == {want}
