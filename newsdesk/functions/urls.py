@@ -9,27 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from newsdesk.fixed import BAD_KEYS, BAD_KEY_PREFIXES, BAD_KEY_SUBSTRING, BAD_PAIRS, BAD_VALUES
 from newsdesk.functions._col import as_col
 
-# ---- fixed values: must equal the reference's rules -------------------------
-# Query keys that are always dropped (the empty key included).
-BAD_KEYS = [
-    "", "_r", "action_object_map", "action_ref_map", "action_type_map", "amp",
-    "asrc", "beta", "CMP", "cmp", "cmpid", "comm_ref", "cpage", "dlvrit",
-    "ex_cid", "f", "feedName", "feedType", "ft", "gplus", "kc", "lifehealth",
-    "logvisit", "mbid", "ncid", "npu", "op", "rpc", "s_cid", "sc", "source",
-    "subj", "tag", "tc", "urw", "virtualBrandChannel",
-]
-# Values that drop their key wherever they appear.
-BAD_VALUES = ["rss"]
-# Key prefixes that are dropped.
-BAD_KEY_PREFIXES = ["utm_", "fb", "atc"]
-# Substring of a key that drops it.
-BAD_KEY_SUBSTRING = ".99"
-# (key, first value) pairs that are dropped.
-BAD_PAIRS = [("ref", "25"), ("ana", "RSS"), ("s", "article_search"), ("attr", "all")]
-# -----------------------------------------------------------------------------
-
 
 def query_decode(c: Column) -> Column:
     """Form decoding: ``+`` is a space, %XX a byte; NULL on a bad escape."""

@@ -9,9 +9,7 @@ from newsdesk.functions.text import empty_body_flag, size0
 from newsdesk.functions.urls import clean_url, resolve_url
 from newsdesk.operators.tables import upsert
 
-SIZE_LIMIT = 2097152
-# Content types that are refused outright (exact match).
-BAD_CONTENT_TYPES = ["audio/mpeg"]
+from newsdesk.fixed import BAD_CONTENT_TYPES, RSS_ORIGIN, SIZE_LIMIT, WIRE_ORIGINS
 RULE_COLS = ["xpath_body", "xpath_author", "xpath_date", "xpath_title"]
 
 
@@ -38,7 +36,7 @@ def resolve_links(pages: DataFrame) -> DataFrame:
 
 
 def origin_tag(is_wire: bool = False, is_lexisnexis: bool = False):
-    return F.lit("lexisnexis" if is_lexisnexis else ("webnews" if is_wire else "rss"))
+    return F.lit(WIRE_ORIGINS[1] if is_lexisnexis else (WIRE_ORIGINS[0] if is_wire else RSS_ORIGIN))
 
 
 def article_pub_rules(articles: DataFrame, pubs: DataFrame) -> DataFrame:

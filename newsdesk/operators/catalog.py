@@ -11,8 +11,8 @@ import re
 from pyspark.sql import DataFrame, functions as F
 
 
-DEFAULT_LIMIT = 20
-MAX_LIMIT = 10000
+from newsdesk.fixed import EXPORT_DATE_FORMAT, EXPORT_HEADER
+from newsdesk.fixed import PAGE_LIMIT as DEFAULT_LIMIT, PAGE_LIMIT_MAX as MAX_LIMIT
 SORTABLE = {"name", "pub_id", "country", "num_articles", "num_feeds", "num_readers", "added", "homepage"}
 
 
@@ -128,6 +128,5 @@ def pub_overview(pubs: DataFrame, feeds: DataFrame, articles: DataFrame, pub_id:
 
 def export_rows(pubs: DataFrame) -> DataFrame:
     """Rows of the pub CSV export: ID, Pub Name, Homepage, Added (MM/dd/yyyy)."""
-    return pubs.select(F.col("pub_id").alias("ID"), F.col("name").alias("Pub Name"),
-                       F.col("homepage").alias("Homepage"),
-                       F.date_format("added", "MM/dd/yyyy").alias("Added"))
+    cols = [F.col("pub_id"), F.col("name"), F.col("homepage"), F.date_format("added", EXPORT_DATE_FORMAT)]
+    return pubs.select(*[c.alias(h) for c, h in zip(cols, EXPORT_HEADER)])

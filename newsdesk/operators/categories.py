@@ -4,46 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from newsdesk.fixed import CATEGORY_ALIASES
 from newsdesk.functions.text import category_key, category_slug
 
-# ---- fixed values: the category alias table (15 aliases, 124 categories) ----
-CATEGORY_ALIASES = [
-    ("Agricultural", ["Agricultural Products"]),
-    ("Arts", ["Arts", "Charity", "Film", "Music", "Photography", "Society", "Theater"]),
-    ("Automotive", ["Automobiles Components"]),
-    ("Business", ["Business", "Company Site", "Human Resources", "Industrials", "Insurance",
-                  "International Agency", "Management", "Management Consulting", "Marketing",
-                  "Media", "Media Advertising", "Online Marketing", "Organisations",
-                  "Professional"]),
-    ("Consumer", ["Beverages", "Consumables", "Consumer", "Extreme", "Fashion", "Food Products",
-                  "Gossip", "Home", "Hotels Restaurants Leisure", "Lifestyle", "Literature",
-                  "Offbeat", "Real Estate", "Recipes", "Recreation", "Religion", "Restaurants",
-                  "Retailing", "Satire", "Television", "Textiles Apparel", "Tobacco",
-                  "Travel Tourism", "Winter"]),
-    ("Education", ["Education"]),
-    ("Engineering and Science", ["Construction Engineering", "Chemicals", "Energy", "Environment",
-                                 "Geographic", "Materials", "Metals Mining", "Oil Gas",
-                                 "Paper Forest Products", "Transportation", "Utilities", "Science"]),
-    ("Financial", ["Accounting", "Banking", "Financials"]),
-    ("Government", ["Aerospace Defense", "Politics", "Government"]),
-    ("Healthcare", ["Health", "Health Care", "Health Care Equipment Services", "Healthcare",
-                    "Medical", "Pharmaceuticals"]),
-    ("Information Technology", ["Biotechnology", "Computers", "Electronic Equipment",
-                                "Imaging Equipment", "Software", "Telecommunication Services",
-                                "Information Technology", "Internet"]),
-    ("Legal", ["Law"]),
-    ("Logistics", ["Air Freight Logistics", "Containers Packaging"]),
-    ("News", ["Global", "Local", "Miscellaneous", "National", "News", "Regional", "Standard",
-              "Wires"]),
-    ("Sports", ["American Football", "Athletics", "Badminton", "Baseball", "Basketball", "Boxing",
-                "Casinos Gaming", "Cricket", "Cycling", "Field Hockey", "Fishing", "Games", "Golf",
-                "Gymnastics", "Handball", "Horse Racing", "Ice Hockey", "Martial Arts",
-                "Motor Racing", "Olympics", "Rowing", "Rugby", "Snooker", "Soccer", "Sports",
-                "Squash", "Swimming", "Table Tennis", "Tennis", "Volleyball", "Wrestling",
-                "Yachting"]),
-]
-# -----------------------------------------------------------------------------
-
 
 def alias_table(spark: SparkSession) -> DataFrame:
     """The alias table as published: categories stored with spaces removed."""
@@ -66,7 +29,7 @@ def unique_categories(pubs: DataFrame, store: DataFrame | None, now) -> DataFram
 
 def category_alias_lookup(pubs: DataFrame, aliases: DataFrame) -> DataFrame:
     """(pub_id, category, alias) for every pub category whose space-free key
-    is listed under an alias. The alias table is a fixed list of 124 rows,
+    is listed under an alias. The alias table is a fixed list of 123 rows,
     so broadcasting it is bounded."""
     a = aliases.select("alias", F.explode("categories").alias("key"))
     p = pubs.select("pub_id", F.explode("categories").alias("category"))

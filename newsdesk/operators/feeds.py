@@ -7,9 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsdesk.operators.tables import dedupe_first
 from newsdesk.functions.ids import make_id
 
-DEFAULT_LIMIT = 25
-# Poll statuses after which entries are not read (a missing status is 500).
-SKIP_STATUSES = [304, 410, 500]
+from newsdesk.fixed import DUE_FEEDS_LIMIT as DEFAULT_LIMIT, MISSING_STATUS, REPOLL, SKIP_STATUSES
 
 
 def _ts(now):
@@ -42,9 +40,6 @@ def feeds_not_due(feeds: DataFrame, now) -> DataFrame:
     return feeds.filter(F.col("metabase_id").isNull() & (nd.isNull() | (nd >= _ts(now))))
 
 
-REPOLL = "INTERVAL 1 HOUR"
-
-
 def next_download(bozo, now):
     """Next poll one hour after ``now`` when the poll parsed cleanly (bozo 0),
     else NULL (the feed stays out of the due list)."""
@@ -79,7 +74,7 @@ def feed_poll_update(feeds: DataFrame, polls: DataFrame, now) -> DataFrame:
     moved = hit & (F.col("_p_status") == 301)
     new = {
         "bozo": F.col("_p_bozo"), "etag": F.col("_p_etag"), "modified": F.col("_p_modified"),
-        "status": F.coalesce(F.col("_p_status"), F.lit(500)),
+        "status": F.coalesce(F.col("_p_status"), F.lit(MISSING_STATUS)),
         "last_download": _ts(now),
         "next_download": next_download("_p_bozo", now),
     }
@@ -101,7 +96,7 @@ def feed_poll_update(feeds: DataFrame, polls: DataFrame, now) -> DataFrame:
 
 def fetch_status_filter(polls: DataFrame) -> DataFrame:
     """Polls whose entries are read: status not 304/410/500 (missing = 500)."""
-    return polls.filter(~F.coalesce(F.col("status"), F.lit(500)).isin(SKIP_STATUSES))
+    return polls.filter(~F.coalesce(F.col("status"), F.lit(MISSING_STATUS)).isin(SKIP_STATUSES))
 
 
 def feed_entries(polls: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from newsdesk.functions.text import size0
 from newsdesk.operators.tables import delete_by_key
 
-WIRE_ORIGINS = ["webnews", "lexisnexis"]
+from newsdesk.fixed import WIRE_ORIGINS
 
 
 def pubs_by_name(pubs: DataFrame) -> DataFrame:

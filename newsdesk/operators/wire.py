@@ -11,7 +11,7 @@ from newsdesk.operators.tables import dedupe_first
 
 VIEW_LINK_BASE = "http://www.example.com/view/"
 FEED_URL_TEMPLATE = "http://www.example.com/feed/%d.xml"
-WIRE_BODY_MIN_BYTES = 10
+from newsdesk.fixed import WIRE_BODY_MIN_BYTES, WIRE_ORIGINS
 
 
 def _ts(x):
@@ -19,7 +19,7 @@ def _ts(x):
 
 
 def wire_origin(is_lexisnexis: bool) -> str:
-    return "lexisnexis" if is_lexisnexis else "webnews"
+    return WIRE_ORIGINS[1] if is_lexisnexis else WIRE_ORIGINS[0]
 
 
 def wire_url(a: str = "a", link_base: str = VIEW_LINK_BASE) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_THRESHOLD = 100
+from newsdesk.fixed import QUEUE_THRESHOLD as DEFAULT_THRESHOLD
 
 
 def queue_depth(work: DataFrame, threshold: int = DEFAULT_THRESHOLD, stages=None) -> DataFrame:

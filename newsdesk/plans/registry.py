@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from newsdesk import fixed
 from newsdesk.functions import dates, ids, text, urls
 from newsdesk.operators import articles as art
 from newsdesk.operators import catalog, categories, counts, feeds, pubs, tables, work, wire
@@ -474,7 +475,7 @@ def _q_decode(x: str) -> str:
     return f"url_decode(replace({x}, '+', ' '))"
 
 
-_BAD_KEYS_SQL = ", ".join("'" + k + "'" for k in urls.BAD_KEYS)
+_BAD_KEYS_SQL = ", ".join("'" + k + "'" for k in fixed.BAD_KEYS)
 _CLEAN_URL_SQL = f"""d_split AS (
   SELECT page_id, link,
     CASE WHEN strpos(link, '#') > 0 THEN substr(link, 1, strpos(link, '#') - 1) ELSE link END AS base,
@@ -660,7 +661,7 @@ def q_category_alias_lookup(spark, d):
 
 
 def _alias_sql() -> str:
-    rows = ", ".join(f"('{a}', '{c.replace(' ', '')}')" for a, cats in categories.CATEGORY_ALIASES for c in cats)
+    rows = ", ".join(f"('{a}', '{c.replace(' ', '')}')" for a, cats in fixed.CATEGORY_ALIASES for c in cats)
     return with_views(f"""
 , d_alias(alias, key) AS (VALUES {rows}),
 d_pc AS (SELECT pub_id, unnest(categories) AS category FROM d_pub)
