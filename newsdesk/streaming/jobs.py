@@ -38,7 +38,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 def stream_feed_entries(spark: SparkSession, polls_dir: str, out_table: str, checkpoint: str,
                         seen: DataFrame | None = None, trigger_once: bool = True,
-                        max_files: int | None = None) -> StreamingQuery:
+                        max_files: int | None = None, fmt: str = "parquet") -> StreamingQuery:
     """Landed poll results -> entries of readable polls -> links never seen
     before, over all history.
 
@@ -53,7 +53,7 @@ def stream_feed_entries(spark: SparkSession, polls_dir: str, out_table: str, che
     r = spark.readStream.schema(_poll_schema())
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    polls = r.parquet(polls_dir)
+    polls = r.format(fmt).load(polls_dir)        # landed polls: parquet or JSON lines
     entries = (feeds.entries_with_link(feeds.feed_entries(polls))
                .select("feed_id", "fetched_at", "entry_pos", "link", "author", "title", "published")
                .dropDuplicates(["link"]))
@@ -158,17 +158,21 @@ def compact_counts(spark: SparkSession, table: str) -> int | None:
 
 def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_table: str,
                 checkpoint: str, run_ts, is_lexisnexis: bool = False, max_files: int = 1,
-                trigger_once: bool = True) -> StreamingQuery:
+                trigger_once: bool = True, max_file_age: str | None = None) -> StreamingQuery:
     """Newswire files in arrival order (``maxFilesPerTrigger``), mapped to
     articles with their parent pub/feed (``plans.wire.ingest_wire``). New
     parents of a batch are written next to the articles, and later batches
     see them as known parents. ``run_ts=None`` (continuous runs) takes each
-    micro-batch's time from its newest harvest date."""
+    micro-batch's time from its newest harvest date. ``max_file_age`` (e.g.
+    "48h") ignores older files, the cursor expiry of the reference; a fresh
+    checkpoint restarts the cursor."""
     from newsdesk.plans.wire import ingest_wire, wire_rows_from_files
     src = (spark.readStream.format("xml").option("rowTag", "article")
            .option("maxFilesPerTrigger", max_files)
-           .schema(read_wire(spark, wire_dir, with_file=False, mapped=True).schema)
-           .load(wire_dir))
+           .schema(read_wire(spark, wire_dir, with_file=False, mapped=True).schema))
+    if max_file_age:
+        src = src.option("maxFileAge", max_file_age)
+    src = src.load(wire_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = wire_rows_from_files(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -199,7 +203,8 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
 
 def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame, store_table: str,
                     checkpoint: str, size_limit: int = art.SIZE_LIMIT, max_files: int | None = None,
-                    trigger_once: bool = True, url_history: str = "store") -> StreamingQuery:
+                    trigger_once: bool = True, url_history: str = "store",
+                    fmt: str = "parquet") -> StreamingQuery:
     """Fetched pages -> checks -> final URL -> extraction -> XPath rules ->
     merge -> URL dedupe -> save; rejects go to ``<store>_rejects``. One
     streaming query; the stages are the batch functions of ``plans.rss``.
@@ -215,7 +220,7 @@ def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame,
     r = spark.readStream.schema(S.PAGE_FETCH)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    pages = r.parquet(pages_dir)
+    pages = r.format(fmt).load(pages_dir)
     if url_history == "state":
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         pages = art.resolve_links(pages).dropDuplicates(["url"]).drop("url")

@@ -134,3 +134,14 @@ def test_stream_wire_batch_clock(spark):
     import datetime as dt
     want = "%08x" % int(dt.datetime(2014, 11, 21, 7, 30, tzinfo=dt.timezone.utc).timestamp())
     assert {r.article_id[:8] for r in a.collect()} == {want}
+
+
+def test_stream_entries_from_json_polls(spark):
+    import datetime as dt
+    base = checkpoint_dir(spark, "tests", uuid.uuid4().hex)
+    t0 = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([("f1", t0, 200, 0, None, None, None, None, [("http://a/1", None, None, None)], 1)],
+                          jobs._poll_schema()).write.json(os.path.join(base, "in"))
+    jobs.stream_feed_entries(spark, os.path.join(base, "in"), os.path.join(base, "out"),
+                             os.path.join(base, "ck"), fmt="json").awaitTermination()
+    assert rows(spark.read.parquet(os.path.join(base, "out")), "link") == [("http://a/1",)]
