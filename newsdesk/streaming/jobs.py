@@ -243,3 +243,22 @@ def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame,
     w = pages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def stream_wire_archive(spark: SparkSession, wire_dir: str, archive_path: str, checkpoint: str,
+                        trigger_once: bool = True) -> StreamingQuery:
+    """Keep a copy of every raw newswire response as it arrives, partitioned
+    by the file's modification date (the file's own time: a replay files it
+    under the same date). A response is one API page (at most 500 articles),
+    so one whole file per row is a bounded unit."""
+    from newsdesk.sources.wire import archive_wire
+    raw = (spark.readStream.format("text").option("wholetext", True).load(wire_dir)
+           .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("source_file"),
+                   F.col("_metadata.file_modification_time").alias("fetched_at")))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        archive_wire(batch, os.path.join(archive_path, f"batch={batch_id:012d}"))
+
+    w = raw.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")
+    return w.start()

@@ -145,3 +145,17 @@ def test_stream_entries_from_json_polls(spark):
     jobs.stream_feed_entries(spark, os.path.join(base, "in"), os.path.join(base, "out"),
                              os.path.join(base, "ck"), fmt="json").awaitTermination()
     assert rows(spark.read.parquet(os.path.join(base, "out")), "link") == [("http://a/1",)]
+
+
+def test_stream_wire_archive(spark):
+    import shutil
+    from newsdesk.streaming import jobs as sj
+    from tests.test_wire_extract import GOLDEN
+    base = checkpoint_dir(spark, "tests", uuid.uuid4().hex)
+    os.makedirs(os.path.join(base, "in"))
+    shutil.copy(GOLDEN, os.path.join(base, "in", "r1.xml"))
+    sj.stream_wire_archive(spark, os.path.join(base, "in"), os.path.join(base, "arch"),
+                           os.path.join(base, "ck")).awaitTermination()
+    got = spark.read.parquet(os.path.join(base, "arch"))
+    assert got.count() == 1 and "fetch_date" in got.columns
+    assert got.first().raw == open(GOLDEN).read()
