@@ -28,6 +28,6 @@ def rss_article_counts(spark: SparkSession, sf_dir: str, store: DataFrame | None
     # urls to filter the store): clean the URLs once
     batch = page_articles(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     if store is None:
-        store = batch.limit(0)
+        store = spark.createDataFrame([], "article_id string, url string")   # nothing stored yet
     keep, _dups = new_articles(batch, store)
     return article_counts(keep)

@@ -96,7 +96,7 @@ def enqueue_feeds(store: TableStore, now, limit: int = fd.DEFAULT_LIMIT,
     cols = ["feed_id", "url", "etag", "modified"]
     depth = wk.queue_depth(store.read("work", S.WORK), threshold)
     if not wk.may_enqueue(depth).first().ok:
-        return feeds.limit(0).select(*cols)
+        return feeds.filter(F.lit(False)).select(*cols)      # no-go: no feeds this run
     return fd.feeds_due(feeds, now, limit).select(*cols)
 
 
