@@ -5,6 +5,12 @@ tables derived from the driver data; ``ORACLE[name]`` is the same result in
 DuckDB SQL over the driver's views. Outputs use plain types (timestamps as
 ``yyyy-MM-dd HH:mm:ss`` text, lists joined with ``|``) so both sides hash
 alike.
+
+Sections: sources; sinks and table updates; predicates; newswire; scalars;
+joins; aggregations; catalogue; rules; flagship; extraction (rows-only,
+brute-force tests instead of SQL); legacy dump; streaming (inputs landed
+under the checkpoint folder, run with availableNow); further inventory
+items; batch jobs over the table store.
 """
 
 from __future__ import annotations
