@@ -536,7 +536,8 @@ def q_entry_dedupe(spark, d):
   FROM d_entry WHERE coalesce(status, 500) NOT IN (304, 410, 500) AND link IS NOT NULL)
 SELECT link, event_id, entry_pos FROM firsts WHERE rn = 1 AND link NOT IN (SELECT link FROM d_work)""")
 def q_entry_dedupe_seen(spark, d):
-    e = feeds.feed_entries(dt.feed_polls(spark, d))
+    e = feeds.feed_entries(dt.feed_polls(spark, d)).select(
+        "link", "event_id", "entry_pos", "fetched_at", "feed_id")     # the order columns and the output
     return feeds.entry_dedupe(e, dt.work(spark, d)).select("link", "event_id", "entry_pos")
 
 
@@ -709,7 +710,8 @@ def q_pub_category_backfill(spark, d):
 @query("latest_article_per_pub", """
 SELECT pub_id, max(article_id) AS article_id FROM d_article WHERE origin IN ('webnews', 'lexisnexis') GROUP BY pub_id""")
 def q_latest_article_per_pub(spark, d):
-    return pubs.latest_article_per_pub(dt.articles(spark, d)).select("pub_id", "article_id")
+    a = dt.articles(spark, d).select("pub_id", "article_id", "origin")   # only what the struct needs
+    return pubs.latest_article_per_pub(a).select("pub_id", "article_id")
 
 
 # ---------------------------------------------------------------- aggregations
