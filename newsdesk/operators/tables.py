@@ -21,7 +21,9 @@ def dedupe_first(df: DataFrame, keys, order) -> DataFrame:
 
     Done as ``min(struct(order..., row))`` grouped by key: a partial
     aggregate, so a key holding a third of all rows is combined map-side
-    instead of sorting in one task as a window would.
+    instead of sorting in one task as a window would. The struct carries
+    every column of ``df`` (the optimizer cannot prune inside it), so pass
+    only the columns the result needs.
     """
     keys = _keys(keys)
     order = [order] if isinstance(order, str) else list(order)
