@@ -2,7 +2,7 @@
 
 Every operator is a function from DataFrames (and plain parameters such as
 ``now``) to DataFrames. Nothing is collected to the driver; the only Python
-that runs per row lives in the two extraction pandas UDFs.
+that runs per row lives in the HTML extraction pandas UDFs.
 """
 
 from newsdesk.session import get_spark, checkpoint_dir

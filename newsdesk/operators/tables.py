@@ -1,7 +1,7 @@
 """Set-based table updates: upsert, partial update, insert-ignore, delete.
 
 Each takes the current table and a change set and returns the new table;
-the caller writes it as a new snapshot (see ``newsdesk.sinks``). Replays
+the caller writes it as a new snapshot (see ``newsdesk.store``). Replays
 give the same result, so a retried task or batch is harmless.
 """
 
