@@ -84,6 +84,10 @@ def clean_url(c) -> Column:
     """Drop tracking parameters; keep scheme, host, path and fragment."""
     u = as_col(c)
     head, rawq, frag = split_url(u)
+    # the scheme is case-insensitive and written in lower case, as a URL
+    # parser does; host and path keep their case
+    scheme = F.regexp_extract(head, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    head = F.concat(F.lower(scheme), F.substring(head, F.length(scheme) + 1, F.length(head)))
     q = clean_query(rawq)
     out = F.concat(head, F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")), frag)
     return F.when(u.isNotNull(), out)

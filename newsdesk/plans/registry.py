@@ -489,7 +489,10 @@ _CLEAN_URL_SQL = f"""d_split AS (
   FROM d_links),
 d_parts AS (
   SELECT page_id, link, frag,
-    CASE WHEN strpos(base, '?') > 0 THEN substr(base, 1, strpos(base, '?') - 1) ELSE base END AS head,
+    lower(regexp_extract(CASE WHEN strpos(base, '?') > 0 THEN substr(base, 1, strpos(base, '?') - 1) ELSE base END,
+                         '^([A-Za-z][A-Za-z0-9+.-]*):', 1))
+    || substr(CASE WHEN strpos(base, '?') > 0 THEN substr(base, 1, strpos(base, '?') - 1) ELSE base END,
+              length(regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) + 1) AS head,
     CASE WHEN strpos(base, '?') > 0 THEN substr(base, strpos(base, '?') + 1) ELSE '' END AS rawq
   FROM d_split),
 d_pairs AS (

@@ -21,6 +21,8 @@ URLS = {
     "http://a.com/p?a=%zz&b=1": "http://a.com/p?b=1",
     "http://a.com/p?b=2&a=1&b=1": "http://a.com/p?a=1&b=2&b=1",
     "http://a.com/p?source=x&tag=y&keep=1": "http://a.com/p?keep=1",
+    "HTTPS://A.com/P?b=1": "https://A.com/P?b=1",                 # scheme in lower case only
+    "no-scheme/path?utm_x=1": "no-scheme/path",
 }
 
 
