@@ -142,10 +142,12 @@ def q_read_page_fetches(spark, d):
 
 
 @query("read_feed_fetches", f"""
-SELECT feed_id, {ts_sql('fetched_at')} AS fetched_at, status, bozo, etag FROM d_poll""")
+SELECT feed_id, {ts_sql('fetched_at')} AS fetched_at, CAST(status AS VARCHAR) AS status, bozo, etag FROM d_poll""")
 def q_read_feed_fetches(spark, d):
+    # status is NULL when the poll reported none: carried as text so a NULL
+    # stays NULL through any conversion of the result (no NaN)
     return dt.feed_polls(spark, d).select("feed_id", ts_str("fetched_at").alias("fetched_at"),
-                                          "status", "bozo", "etag")
+                                          F.col("status").cast("string").alias("status"), "bozo", "etag")
 
 
 # ---------------------------------------------------------------- sinks
