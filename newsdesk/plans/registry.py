@@ -6,11 +6,12 @@ DuckDB SQL over the driver's views. Outputs use plain types (timestamps as
 ``yyyy-MM-dd HH:mm:ss`` text, lists joined with ``|``) so both sides hash
 alike.
 
-Sections: sources; sinks and table updates; predicates; newswire; scalars;
-joins; aggregations; catalogue; rules; flagship; extraction (rows-only,
-brute-force tests instead of SQL); legacy dump; streaming (inputs landed
-under the checkpoint folder, run with availableNow); further inventory
-items; batch jobs over the table store.
+The queries live in ``newsdesk.plans.queries`` (one module per group:
+sources, updates, predicates, newswire, scalars, joins, aggregations,
+catalogue, extraction (rows-only, brute-force tests instead of SQL),
+flagship, streaming (inputs landed under the checkpoint folder, run with
+availableNow), further inventory items, batch jobs) and register here on
+import; shared fixture readers and SQL fragments are in ``plans.common``.
 """
 
 from __future__ import annotations
@@ -58,1143 +59,7 @@ def joined(c) -> Column:
     return F.array_join(c, "|")
 
 
-# ---------------------------------------------------------------- sources
-@query("read_catalog", """
-SELECT pub_id, name, homepage, country, num_readers,
-       array_to_string(categories, '|') AS categories, deleted
-FROM d_pub""")
-def q_read_catalog(spark, d):
-    return dt.pubs(spark, d).select("pub_id", "name", "homepage", "country", "num_readers",
-                                    joined("categories").alias("categories"), "deleted")
-
-
-def _id_requests(spark, d) -> DataFrame:
-    """Id strings as a caller would send them, good and bad, from events."""
-    ev = dt.read(spark, d, "events")
-    u = F.col("user_id")
-    t = F.col("event_type")
-    s = (F.when(t == "click", ids.id_from_number(u))
-          .when(t == "view", F.upper(ids.id_from_number(u)))
-          .when(t == "error", F.format_string("%023x", u))
-          .otherwise(F.concat(F.lit("g"), F.format_string("%023x", u))))
-    return ev.select(F.col("event_id"), s.alias("id"))
-
-
-_ID_REQ_SQL = """d_req AS (SELECT event_id, CASE event_type
-    WHEN 'click' THEN printf('%024x', user_id) WHEN 'view' THEN upper(printf('%024x', user_id))
-    WHEN 'error' THEN printf('%023x', user_id) ELSE 'g' || printf('%023x', user_id) END AS id FROM events)"""
-
-
-@query("read_by_ids", f"""
-, {_ID_REQ_SQL}
-SELECT feed_id, url FROM d_feed
-WHERE feed_id IN (SELECT lower(id) FROM d_req WHERE regexp_full_match(id, '[0-9a-fA-F]{{24}}'))""")
-def q_read_by_ids(spark, d):
-    found, _bad = tables.read_by_ids(dt.feeds(spark, d), _id_requests(spark, d), "feed_id")
-    return found.select("feed_id", "url")
-
-
-_LANDED: dict = {}
-WIRE_FILES = 16
-
-
-def _wire_files(spark, d) -> str:
-    """The newswire fixture (orders ⋈ customer ⋈ nation) landed as XML
-    response files, in sequence order, once per session and scale factor:
-    the queries then read it the way newswire batches arrive (as files,
-    through the XML source)."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _LANDED:
-        path = _run_dir(spark, "wire_xml")
-        w = dt.wire_rows(spark, d).select("order_key", "article.*")
-        (w.repartitionByRange(WIRE_FILES, "order_key").sortWithinPartitions("order_key").drop("order_key")
-          .write.format("xml").option("rowTag", "article").option("rootTag", "articles").save(path))
-        _LANDED[key] = path
-    return _LANDED[key]
-
-
-def _wire(spark, d, mapped: bool = True) -> DataFrame:
-    """Parsed newswire rows (struct ``a``, order ``seq``) read from the
-    landed files; mapping paths read only the fields they use."""
-    from newsdesk.plans.wire import wire_rows_from_files
-    from newsdesk.sources.wire import read_wire
-    return wire_rows_from_files(read_wire(spark, _wire_files(spark, d), with_file=False, mapped=mapped))
-
-
-@query("read_wire", """
-SELECT seq, wid AS id, title, published_date, wire_feed_id AS feed_id, country,
-       segment || '|News' AS topics
-FROM d_wire""")
-def q_read_wire(spark, d):
-    return _wire(spark, d, mapped=False).select(
-        "seq", F.col("a.id").alias("id"), F.col("a.title").alias("title"),
-        F.col("a.publishedDate").alias("published_date"),
-        F.col("a.source.feed.id").alias("feed_id"),
-        F.col("a.source.location.country").alias("country"),
-        joined(F.col("a.source.feed.editorialTopics.editorialTopic")).alias("topics"))
-
-
-@query("read_page_fetches", """
-SELECT article_id, link, content_type, CAST(n_bytes AS INTEGER) AS n_bytes FROM d_page""")
-def q_read_page_fetches(spark, d):
-    return dt.page_fetches(spark, d).select(
-        "article_id", "link", "content_type", F.octet_length("html").alias("n_bytes"))
-
-
-@query("read_feed_fetches", f"""
-SELECT feed_id, {ts_sql('fetched_at')} AS fetched_at, CAST(status AS VARCHAR) AS status, bozo, etag FROM d_poll""")
-def q_read_feed_fetches(spark, d):
-    # status is NULL when the poll reported none: carried as text so a NULL
-    # stays NULL through any conversion of the result (no NaN)
-    return dt.feed_polls(spark, d).select("feed_id", ts_str("fetched_at").alias("fetched_at"),
-                                          F.col("status").cast("string").alias("status"), "bozo", "etag")
-
-
-# ---------------------------------------------------------------- sinks
-def _store_and_new(spark, d):
-    a = dt.articles(spark, d)
-    k = F.conv(F.col("article_id"), 16, 10).cast("bigint")
-    store = a.filter(k % 2 == 0)
-    new = a.filter(k % 3 == 0).withColumn("title", F.concat(F.col("title"), F.lit(" (v2)")))
-    return store, new
-
-
-@query("upsert_articles", """
-SELECT article_id, title, url FROM d_article WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0
-UNION ALL
-SELECT article_id, title || ' (v2)', url FROM d_article WHERE o_orderkey % 3 = 0""")
-def q_upsert_articles(spark, d):
-    store, new = _store_and_new(spark, d)
-    return art.upsert_articles(store, new).select("article_id", "title", "url")
-
-
-@query("partial_update", f"""
-SELECT feed_id, CASE WHEN CAST(('0x' || feed_id) AS BIGINT) % 3 = 0 THEN NULL
-       ELSE {ts_sql('next_download')} END AS next_download, url FROM d_feed""")
-def q_partial_update(spark, d):
-    f = dt.feeds(spark, d)
-    upd = (f.filter(F.conv("feed_id", 16, 10).cast("bigint") % 3 == 0)
-           .select("feed_id", F.lit(None).cast("timestamp").alias("next_download")))
-    out = tables.partial_update(f, upd, "feed_id", ["next_download"])
-    return out.select("feed_id", ts_str("next_download").alias("next_download"), "url")
-
-
-_LATEST_POLL_SQL = """d_last_poll AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed_id ORDER BY fetched_at DESC, event_id) AS rn
-                 FROM d_poll) WHERE rn = 1)"""
-
-
-@query("feed_poll_update", f"""
-, {_LATEST_POLL_SQL}
-SELECT f.feed_id,
-  CASE WHEN p.status = 301 THEN p.href ELSE f.url END AS url,
-  CASE WHEN p.status = 301 THEN f.url ELSE f.original_url END AS original_url,
-  CASE WHEN p.feed_id IS NULL THEN f.bozo ELSE p.bozo END AS bozo,
-  CASE WHEN p.feed_id IS NULL THEN f.status ELSE coalesce(p.status, 500) END AS status,
-  CASE WHEN p.feed_id IS NULL THEN f.etag ELSE p.etag END AS etag,
-  {ts_sql(f"CASE WHEN p.feed_id IS NULL THEN f.last_download ELSE {SQL_NOW} END")} AS last_download,
-  {ts_sql(f"CASE WHEN p.feed_id IS NULL THEN f.next_download WHEN p.bozo = 0 THEN {SQL_NOW} + INTERVAL 1 HOUR END")} AS next_download,
-  {ts_sql("coalesce(p.updated, f.updated)")} AS updated
-FROM d_feed f LEFT JOIN d_last_poll p ON f.feed_id = p.feed_id""")
-def q_feed_poll_update(spark, d):
-    out = feeds.feed_poll_update(dt.feeds(spark, d), dt.feed_polls(spark, d), NOW)
-    return out.select("feed_id", "url", "original_url", "bozo", "status", "etag",
-                      ts_str("last_download").alias("last_download"),
-                      ts_str("next_download").alias("next_download"),
-                      ts_str("updated").alias("updated"))
-
-
-@query("advance_stage", f"""
-SELECT article_id, CASE WHEN stage = 'click' THEN 'extract' ELSE stage END AS stage,
-  {ts_sql(f"CASE WHEN stage = 'click' THEN {SQL_NOW} ELSE last_action END")} AS last_action
-FROM d_work""")
-def q_advance_stage(spark, d):
-    w = dt.work(spark, d)
-    out = tables.advance_stage(w, w.filter(F.col("stage") == "click"), "extract", NOW)
-    return out.select("article_id", "stage", ts_str("last_action").alias("last_action"))
-
-
-def _new_entries(spark, d) -> DataFrame:
-    return feeds.entry_ids(feeds.entries_with_link(feeds.feed_entries(dt.feed_polls(spark, d))))
-
-
-_ENTRY_ROWS_SQL = f"""d_entry_rows AS (
-  SELECT *, {sql_make_id('fetched_at', 'feed_id', 'link')} AS article_id
-  FROM d_entry WHERE coalesce(status, 500) NOT IN (304, 410, 500) AND link IS NOT NULL)"""
-
-
-@query("insert_ignore", f"""
-, {_ENTRY_ROWS_SQL},
-fresh AS (SELECT * FROM d_entry_rows
-          WHERE link NOT IN (SELECT link FROM d_work) AND article_id NOT IN (SELECT article_id FROM d_work)),
-firsts AS (SELECT *, row_number() OVER (PARTITION BY link ORDER BY fetched_at, feed_id, entry_pos) AS rn FROM fresh)
-SELECT article_id, link FROM firsts WHERE rn = 1""")
-def q_insert_ignore(spark, d):
-    e = _new_entries(spark, d).select("article_id", "link", "fetched_at", "feed_id", "entry_pos")
-    e = e.withColumn("order", F.struct("fetched_at", "feed_id", "entry_pos"))
-    return tables.insert_ignore(dt.work(spark, d), e, ["link", "article_id"]).select("article_id", "link")
-
-
-_DUP_SQL = """d_dups AS (
-  SELECT p.pub_id AS old_id, s.new_id, p.name FROM d_pub p JOIN (
-    SELECT name, min(pub_id) AS new_id FROM d_pub GROUP BY name HAVING count(*) > 1) s
-  ON p.name = s.name WHERE p.pub_id <> s.new_id)"""
-
-
-@query("delete_by_key", f"""
-, {_DUP_SQL}
-SELECT pub_id, name FROM d_pub WHERE pub_id NOT IN (SELECT old_id FROM d_dups)""")
-def q_delete_by_key(spark, d):
-    p = dt.pubs(spark, d)
-    m = pubs.duplicate_pubs(p).select(F.col("old_id").alias("pub_id"))
-    return tables.delete_by_key(p, m, "pub_id").select("pub_id", "name")
-
-
-SMALL_PAGE_LIMIT = 4096
-_REASON_SQL = f"""CASE WHEN content_type = 'audio/mpeg' THEN 'Invalid Content-Type: audio/mpeg'
-       WHEN n_bytes >= {SMALL_PAGE_LIMIT} THEN 'Received more than {SMALL_PAGE_LIMIT} bytes' END"""
-
-
-@query("dead_letter", f"""
-SELECT article_id, link, coalesce({_REASON_SQL}, CASE WHEN n_bytes = 0 THEN 'No HTML' END) AS reason
-FROM d_page WHERE coalesce({_REASON_SQL}, CASE WHEN n_bytes = 0 THEN 'No HTML' END) IS NOT NULL""")
-def q_dead_letter(spark, d):
-    checked = art.has_html(art.page_validate(dt.page_fetches(spark, d), SMALL_PAGE_LIMIT))
-    _ok, bad = tables.dead_letter(checked)
-    return bad.select("article_id", "link", "reason")
-
-
-@query("export_pubs_csv", """
-SELECT pub_id AS "ID", name AS "Pub Name", homepage AS "Homepage", strftime(added, '%m/%d/%Y') AS "Added"
-FROM d_pub""")
-def q_export_pubs_csv(spark, d):
-    """Written with the CSV sink and read back (header, MM/dd/yyyy dates)."""
-    from newsdesk.sinks import export_pubs_csv
-    path = _run_dir(spark, "export_pubs_csv")
-    export_pubs_csv(dt.pubs(spark, d), path)
-    back = spark.read.option("header", True).schema(
-        "`ID` string, `Pub Name` string, `Homepage` string, `Added` string").csv(path)
-    # CSV has no NULL: an empty field reads back as the empty string
-    return back.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in back.columns])
-
-
-# ---------------------------------------------------------------- predicates
-@query("feeds_due", f"""
-SELECT feed_id, {ts_sql('next_download')} AS next_download FROM d_feed
-WHERE coalesce(bozo, 0) = 0 AND metabase_id IS NULL AND (next_download IS NULL OR next_download <= {SQL_NOW})
-ORDER BY next_download ASC NULLS FIRST, feed_id LIMIT 25""")
-def q_feeds_due(spark, d):
-    return feeds.feeds_due(dt.feeds(spark, d), NOW, 25).select(
-        "feed_id", ts_str("next_download").alias("next_download"))
-
-
-@query("feeds_not_due", f"""
-SELECT feed_id FROM d_feed WHERE metabase_id IS NULL AND (next_download IS NULL OR next_download >= {SQL_NOW} - INTERVAL 2 DAY)""")
-def q_feeds_not_due(spark, d):
-    now = "2024-01-28 12:00:00"
-    return feeds.feeds_not_due(dt.feeds(spark, d), now).select("feed_id")
-
-
-@query("entries_with_link", """
-SELECT event_id, entry_pos, link FROM d_entry
-WHERE coalesce(status, 500) NOT IN (304, 410, 500) AND link IS NOT NULL""")
-def q_entries_with_link(spark, d):
-    return feeds.entries_with_link(feeds.feed_entries(dt.feed_polls(spark, d))).select(
-        "event_id", "entry_pos", "link")
-
-
-@query("feed_entries", """
-SELECT event_id, entry_pos, link, author FROM d_entry WHERE coalesce(status, 500) NOT IN (304, 410, 500)""")
-def q_feed_entries(spark, d):
-    return feeds.feed_entries(dt.feed_polls(spark, d)).select("event_id", "entry_pos", "link", "author")
-
-
-@query("fetch_status_filter", """
-SELECT event_id, status FROM d_poll WHERE coalesce(status, 500) NOT IN (304, 410, 500)""")
-def q_fetch_status_filter(spark, d):
-    return feeds.fetch_status_filter(dt.feed_polls(spark, d)).select("event_id", "status")
-
-
-@query("page_validate", f"""
-SELECT article_id, {_REASON_SQL} AS reject_reason FROM d_page""")
-def q_page_validate(spark, d):
-    return art.page_validate(dt.page_fetches(spark, d), SMALL_PAGE_LIMIT).select("article_id", "reject_reason")
-
-
-@query("has_html", """
-SELECT article_id, CASE WHEN n_bytes = 0 THEN 'No HTML' END AS reject_reason FROM d_page""")
-def q_has_html(spark, d):
-    return art.has_html(dt.page_fetches(spark, d)).select("article_id", "reject_reason")
-
-
-_ROUTE_SQL = """
-SELECT g.article_id, g.pub_id,
-  CASE WHEN coalesce(len(p.xpath_body), 0) > 0 OR coalesce(len(p.xpath_author), 0) > 0
-         OR coalesce(len(p.xpath_date), 0) > 0 OR coalesce(len(p.xpath_title), 0) > 0
-       THEN 'xpath' ELSE 'save' END AS route,
-  CASE WHEN p.pub_id IS NULL THEN 'No pub found' END AS reject_reason
-FROM d_page g LEFT JOIN d_pub p ON g.pub_id = p.pub_id"""
-
-
-@query("extract_route", _ROUTE_SQL)
-def q_extract_route(spark, d):
-    j = art.extract_route(art.article_pub_rules(dt.page_fetches(spark, d), dt.pubs(spark, d)))
-    return j.select("article_id", "pub_id", "route", "reject_reason")
-
-
-@query("article_pub_rules", """
-SELECT g.article_id, array_to_string(p.xpath_title, '|') AS xpath_title,
-  array_to_string(p.xpath_body, '|') AS xpath_body,
-  CASE WHEN p.pub_id IS NULL THEN 'No pub found' END AS reject_reason
-FROM d_page g LEFT JOIN d_pub p ON g.pub_id = p.pub_id""")
-def q_article_pub_rules(spark, d):
-    j = art.article_pub_rules(dt.page_fetches(spark, d), dt.pubs(spark, d))
-    return j.select("article_id", joined("xpath_title").alias("xpath_title"),
-                    joined("xpath_body").alias("xpath_body"), "reject_reason")
-
-
-@query("origin_tag", """
-SELECT article_id, origin, is_lexisnexis FROM d_article""")
-def q_origin_tag(spark, d):
-    return dt.articles(spark, d).select("article_id", "origin", "is_lexisnexis")
-
-
-@query("empty_body_flag", """
-SELECT article_id, coalesce(octet_length(encode(body_text)), 0) < 1 AS rss_empty,
-       coalesce(octet_length(encode(body_text)), 0) < 10 AS wire_empty FROM d_text""")
-def q_empty_body_flag(spark, d):
-    t = dt.text_articles(spark, d)
-    return t.select("article_id", text.empty_body_flag("body_text", 1).alias("rss_empty"),
-                    text.empty_body_flag("body_text", 10).alias("wire_empty"))
-
-
-@query("pubs_missing_categories", """
-SELECT pub_id FROM d_pub WHERE coalesce(len(categories), 0) = 0""")
-def q_pubs_missing_categories(spark, d):
-    return pubs.pubs_missing_categories(dt.pubs(spark, d)).select("pub_id")
-
-
-@query("pubs_with_categories", """
-SELECT pub_id FROM d_pub WHERE coalesce(len(categories), 0) > 0""")
-def q_pubs_with_categories(spark, d):
-    return pubs.pubs_with_categories(dt.pubs(spark, d)).select("pub_id")
-
-
-@query("wire_origin_filter", """
-SELECT article_id, origin FROM d_article WHERE origin IN ('webnews', 'lexisnexis')""")
-def q_wire_origin_filter(spark, d):
-    return pubs.wire_origin_filter(dt.articles(spark, d)).select("article_id", "origin")
-
-
-# ---------------------------------------------------------------- newswire
-def _wire_links(spark, d, w=None):
-    w = _wire(spark, d) if w is None else w
-    return wire.wire_parents(w, dt.feeds(spark, d), False, RUN_TS)
-
-
-_LINKS_SQL = f"""d_wire_ids AS (SELECT DISTINCT wire_feed_id AS metabase_id FROM d_wire),
-d_known AS (SELECT metabase_id, min(feed_id) AS feed_id, min_by(pub_id, feed_id) AS pub_id
-            FROM d_feed WHERE metabase_id IS NOT NULL GROUP BY metabase_id),
-d_wire_links AS (
-  SELECT i.metabase_id,
-    coalesce(k.pub_id, {sql_make_id(f"TIMESTAMP '{RUN_TS}'", "'pub'", 'i.metabase_id')}) AS pub_id,
-    coalesce(k.feed_id, {sql_make_id(f"TIMESTAMP '{RUN_TS}'", "'feed'", 'i.metabase_id')}) AS feed_id,
-    k.feed_id IS NULL AS created
-  FROM d_wire_ids i LEFT JOIN d_known k ON i.metabase_id = k.metabase_id)"""
-
-
-@query("wire_parents", f"""
-, {_LINKS_SQL}
-SELECT metabase_id, pub_id, feed_id, created FROM d_wire_links""")
-def q_wire_parents(spark, d):
-    _p, _f, links = _wire_links(spark, d)
-    return links.select("metabase_id", "pub_id", "feed_id", "created")
-
-
-_WIRE_URL_SQL = "coalesce('http://www.example.com/view/' || lni, original_url, url)"
-
-
-@query("wire_to_article", f"""
-, {_LINKS_SQL}
-SELECT w.seq, {_WIRE_URL_SQL} AS url, w.title,
-  regexp_replace(w.author_name, '^(By ){{1,2}}', '') AS author, w.genre,
-  {ts_sql("CASE WHEN w.seq % 9 = 4 THEN w.published_ts + INTERVAL 2 HOUR ELSE w.published_ts END")} AS published,
-  octet_length(encode(w.content)) < 10 AS has_empty_body, 'webnews' AS origin,
-  l.pub_id, l.feed_id
-FROM d_wire w LEFT JOIN d_wire_links l ON w.wire_feed_id = l.metabase_id""")
-def q_wire_to_article(spark, d):
-    from newsdesk.plans.wire import ingest_wire
-    # parents and articles both read the parsed batch: ingest_wire parses
-    # the XML once (persist keeps lineage; a lost executor recomputes)
-    _p, _f, a, _cached = ingest_wire(_wire(spark, d), dt.feeds(spark, d), RUN_TS)
-    return a.select(F.col("metabase.sequence_id").cast("bigint").alias("seq"), "url", "title", "author",
-                    "genre", ts_str("published").alias("published"), "has_empty_body", "origin",
-                    "pub_id", "feed_id")
-
-
-@query("wire_url", f"""
-SELECT seq, {_WIRE_URL_SQL} AS url FROM d_wire""")
-def q_wire_url(spark, d):
-    return _wire(spark, d).select("seq", wire.wire_url("a").alias("url"))
-
-
-@query("wire_cursor", """
-SELECT seq // 500 AS batch, CAST(max_by(seq, seq % 500) AS VARCHAR) AS sequence_id FROM d_wire GROUP BY seq // 500""")
-def q_wire_cursor(spark, d):
-    w = _wire(spark, d).select((F.col("seq") / 500).cast("bigint").alias("batch"),
-                               (F.col("seq") % 500).alias("pos"), "a")
-    return wire.wire_cursor(w, "batch", "pos")
-
-
-@query("wire_batch_stats", f"""
-, {_LINKS_SQL}
-SELECT seq // 500 AS batch, count(*) AS articles, count(*) - count(DISTINCT wire_feed_id) AS hits,
-  count(DISTINCT wire_feed_id) AS misses,
-  count(DISTINCT CASE WHEN wire_feed_id IN (SELECT metabase_id FROM d_wire_links WHERE created) THEN wire_feed_id END) AS created
-FROM d_wire GROUP BY seq // 500""")
-def q_wire_batch_stats(spark, d):
-    w = (_wire(spark, d).withColumn("batch", (F.col("seq") / 500).cast("bigint"))
-         .persist(StorageLevel.MEMORY_AND_DISK))
-    _p, _f, links = _wire_links(spark, d, w)
-    return wire.wire_batch_stats(w, links, "batch")
-
-
-@query("parse_rfc3339", f"""
-SELECT seq, {ts_sql("CASE WHEN seq % 9 = 4 THEN published_ts + INTERVAL 2 HOUR ELSE published_ts END")} AS published
-FROM d_wire""")
-def q_parse_rfc3339(spark, d):
-    w = _wire(spark, d)
-    p = dates.parse_rfc3339(F.col("a.publishedDate"), F.col("a.harvestDate"), F.lit(RUN_TS).cast("timestamp"))
-    return w.select("seq", ts_str(p).alias("published"))
-
-
-@query("clean_author", """
-SELECT seq, regexp_replace(author_name, '^(By ){1,2}', '') AS author FROM d_wire""")
-def q_clean_author(spark, d):
-    return _wire(spark, d).select("seq", text.clean_author(F.col("a.author.name")).alias("author"))
-
-
-# ---------------------------------------------------------------- scalars
-def _q_encode(x: str) -> str:
-    return f"replace(url_encode({x}), '%20', '+')"
-
-
-def _q_decode(x: str) -> str:
-    return f"url_decode(replace({x}, '+', ' '))"
-
-
-_BAD_KEYS_SQL = ", ".join("'" + k + "'" for k in fixed.BAD_KEYS)
-_CLEAN_URL_SQL = f"""d_split AS (
-  SELECT page_id, link,
-    CASE WHEN strpos(link, '#') > 0 THEN substr(link, 1, strpos(link, '#') - 1) ELSE link END AS base,
-    CASE WHEN strpos(link, '#') > 0 THEN substr(link, strpos(link, '#')) ELSE '' END AS frag
-  FROM d_links),
-d_parts AS (
-  SELECT page_id, link, frag,
-    lower(regexp_extract(CASE WHEN strpos(base, '?') > 0 THEN substr(base, 1, strpos(base, '?') - 1) ELSE base END,
-                         '^([A-Za-z][A-Za-z0-9+.-]*):', 1))
-    || substr(CASE WHEN strpos(base, '?') > 0 THEN substr(base, 1, strpos(base, '?') - 1) ELSE base END,
-              length(regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) + 1) AS head,
-    CASE WHEN strpos(base, '?') > 0 THEN substr(base, strpos(base, '?') + 1) ELSE '' END AS rawq
-  FROM d_split),
-d_pairs AS (
-  SELECT page_id, u.pos, u.p,
-    {_q_decode("CASE WHEN strpos(u.p, '=') > 0 THEN substr(u.p, 1, strpos(u.p, '=') - 1) ELSE u.p END")} AS k,
-    CASE WHEN strpos(u.p, '=') > 0 THEN {_q_decode("substr(u.p, strpos(u.p, '=') + 1)")} ELSE '' END AS v
-  FROM d_parts, LATERAL (SELECT unnest(string_split(rawq, '&')) AS p, generate_subscripts(string_split(rawq, '&'), 1) AS pos) u
-  WHERE u.p <> '' AND NOT contains(u.p, ';')),
-d_first AS (SELECT page_id, k, arg_min(v, pos) AS fv FROM d_pairs GROUP BY page_id, k),
-d_kept AS (
-  SELECT p.page_id, p.k, p.v, p.pos FROM d_pairs p JOIN d_first f ON p.page_id = f.page_id AND p.k = f.k
-  WHERE NOT (p.k IN ({_BAD_KEYS_SQL}) OR f.fv = 'rss' OR contains(p.k, '.99')
-    OR starts_with(p.k, 'utm_') OR starts_with(p.k, 'fb') OR starts_with(p.k, 'atc')
-    OR (p.k = 'ref' AND f.fv = '25') OR (p.k = 'ana' AND f.fv = 'RSS')
-    OR (p.k = 's' AND f.fv = 'article_search') OR (p.k = 'attr' AND f.fv = 'all'))),
-d_q AS (
-  SELECT page_id, string_agg({_q_encode('k')} || '=' || {_q_encode('v')}, '&' ORDER BY k, pos) AS q
-  FROM d_kept GROUP BY page_id),
-d_clean AS (
-  SELECT s.page_id, s.link,
-    s.head || CASE WHEN coalesce(q.q, '') <> '' THEN '?' || q.q ELSE '' END || s.frag AS clean
-  FROM d_parts s LEFT JOIN d_q q ON s.page_id = q.page_id)"""
-
-
-@query("clean_url", f"""
-, {_CLEAN_URL_SQL}
-SELECT page_id, link, clean FROM d_clean""")
-def q_clean_url(spark, d):
-    return dt.entry_links(spark, d).select("page_id", "link", urls.clean_url("link").alias("clean"))
-
-
-@query("entry_dedupe", f"""
-, {_CLEAN_URL_SQL},
-firsts AS (SELECT clean, page_id, row_number() OVER (PARTITION BY clean ORDER BY page_id) AS rn FROM d_clean)
-SELECT clean AS link, page_id FROM firsts WHERE rn = 1""")
-def q_entry_dedupe(spark, d):
-    e = dt.entry_links(spark, d).select("page_id", urls.clean_url("link").alias("link"))
-    return feeds.entry_dedupe(e, None, order=("page_id",)).select("link", "page_id")
-
-
-@query("entry_dedupe_seen", """
-, firsts AS (SELECT link, event_id, entry_pos,
-  row_number() OVER (PARTITION BY link ORDER BY fetched_at, feed_id, entry_pos) AS rn
-  FROM d_entry WHERE coalesce(status, 500) NOT IN (304, 410, 500) AND link IS NOT NULL)
-SELECT link, event_id, entry_pos FROM firsts WHERE rn = 1 AND link NOT IN (SELECT link FROM d_work)""")
-def q_entry_dedupe_seen(spark, d):
-    e = feeds.feed_entries(dt.feed_polls(spark, d)).select(
-        "link", "event_id", "entry_pos", "fetched_at", "feed_id")     # the order columns and the output
-    return feeds.entry_dedupe(e, dt.work(spark, d)).select("link", "event_id", "entry_pos")
-
-
-@query("resolve_url", """
-SELECT article_id, CASE WHEN location IS NOT NULL
-  THEN regexp_extract(link, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || location ELSE link END AS url
-FROM d_page""")
-def q_resolve_url(spark, d):
-    p = dt.page_fetches(spark, d)
-    return p.select("article_id", urls.resolve_url(F.col("location"), F.col("link")).alias("url"))
-
-
-@query("parse_rfc1123", f"""
-SELECT article_id, {ts_sql('''CASE WHEN page_id % 4 = 1 THEN fetched_at + INTERVAL 7 HOUR
-  WHEN page_id % 4 = 2 THEN NULL ELSE fetched_at END''')} AS published FROM d_page""")
-def q_parse_rfc1123(spark, d):
-    p = dt.page_fetches(spark, d)
-    return p.select("article_id", ts_str(dates.parse_rfc1123("published")).alias("published"))
-
-
-def _loose_strings(spark, d) -> DataFrame:
-    ev = dt.read(spark, d, "events")
-    e, ts = F.col("event_id"), F.col("ts")
-    s = (F.when(e % 6 == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
-          .when(e % 6 == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-          .when(e % 6 == 2, F.date_format(ts, "dd MMM yyyy"))
-          .when(e % 6 == 3, F.date_format(ts, "MM/dd/yyyy"))
-          .when(e % 6 == 4, dates.format_rfc1123(ts))
-          .otherwise(F.lit("sometime soon")))
-    return ev.select("event_id", s.alias("s"))
-
-
-@query("parse_loose_date", f"""
-SELECT event_id, {ts_sql('''CASE event_id % 6 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts)
-  WHEN 2 THEN date_trunc('day', ts) WHEN 3 THEN date_trunc('day', ts) WHEN 4 THEN date_trunc('second', ts) END''')} AS parsed
-FROM events""")
-def q_parse_loose_date(spark, d):
-    return _loose_strings(spark, d).select("event_id", ts_str(dates.parse_loose_date("s")).alias("parsed"))
-
-
-@query("published_fallback", f"""
-SELECT article_id, {ts_sql("coalesce(published, TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST(('0x' || substr(article_id, 1, 8)) AS BIGINT)))")} AS published
-FROM d_article""")
-def q_published_fallback(spark, d):
-    return art.published_fallback(dt.articles(spark, d)).select(
-        "article_id", ts_str("published").alias("published"))
-
-
-@query("objectid_time", f"""
-SELECT event_id, {ts_sql("date_trunc('second', ts)")} AS t FROM events""")
-def q_objectid_time(spark, d):
-    ev = dt.read(spark, d, "events")
-    return ev.select("event_id", ts_str(ids.objectid_time(ids.make_id(F.col("ts"), F.col("event_id")))).alias("t"))
-
-
-@query("make_id", f"""
-, {_ENTRY_ROWS_SQL}
-SELECT event_id, entry_pos, article_id FROM d_entry_rows""")
-def q_make_id(spark, d):
-    return _new_entries(spark, d).select("event_id", "entry_pos", "article_id")
-
-
-@query("category_slug", """
-SELECT DISTINCT c AS category, replace(lower(c), ' ', '_') AS slug, replace(c, ' ', '') AS key
-FROM (SELECT unnest(categories) AS c FROM d_pub)""")
-def q_category_slug(spark, d):
-    c = dt.pubs(spark, d).select(F.explode("categories").alias("category")).distinct()
-    return c.select("category", text.category_slug("category").alias("slug"),
-                    text.category_key("category").alias("key"))
-
-
-@query("next_download", f"""
-SELECT event_id, {ts_sql("CASE WHEN bozo = 0 THEN fetched_at + INTERVAL 1 HOUR END")} AS next_download FROM d_poll""")
-def q_next_download(spark, d):
-    p = dt.feed_polls(spark, d)
-    return p.select("event_id", ts_str(feeds.next_download("bozo", F.col("fetched_at"))).alias("next_download"))
-
-
-@query("moved_url", """
-SELECT p.event_id, CASE WHEN p.status = 301 THEN p.href ELSE f.url END AS url,
-  CASE WHEN p.status = 301 THEN f.url END AS original_url
-FROM d_poll p JOIN d_feed f ON p.feed_id = f.feed_id""")
-def q_moved_url(spark, d):
-    p = dt.feed_polls(spark, d).select("event_id", "feed_id", "status", "href")
-    f = dt.feeds(spark, d).select("feed_id", "url")
-    j = p.join(f, "feed_id")
-    moved = F.col("status") == 301
-    return j.select("event_id", F.when(moved, F.col("href")).otherwise(F.col("url")).alias("url"),
-                    F.when(moved, F.col("url")).alias("original_url"))
-
-
-@query("pubs_by_name", """
-SELECT pub_id, name FROM d_pub ORDER BY name, pub_id""")
-def q_pubs_by_name(spark, d):
-    return pubs.pubs_by_name(dt.pubs(spark, d)).select("pub_id", "name")
-
-
-# ---------------------------------------------------------------- joins
-@query("new_articles", """
-, store AS (SELECT * FROM d_article WHERE o_orderkey % 2 = 0),
-batch AS (SELECT * FROM d_article WHERE o_orderkey % 2 = 1),
-judged AS (
-  SELECT b.article_id, b.url,
-    CASE WHEN EXISTS (SELECT 1 FROM store s WHERE s.url = b.url AND s.article_id <> b.article_id)
-           OR (NOT EXISTS (SELECT 1 FROM store s WHERE s.url = b.url)
-               AND EXISTS (SELECT 1 FROM batch c WHERE c.url = b.url AND c.article_id < b.article_id))
-         THEN 'Article URL already exists' END AS reject_reason
-  FROM batch b)
-SELECT * FROM judged""")
-def q_new_articles(spark, d):
-    a = dt.articles(spark, d)
-    k = F.conv(F.col("article_id"), 16, 10).cast("bigint")
-    judged = art.judge_new_articles(a.filter(k % 2 == 1), a.filter(k % 2 == 0))
-    return judged.select("article_id", "url", "reject_reason")
-
-
-@query("pub_repoint", f"""
-, {_DUP_SQL}
-SELECT f.feed_id, coalesce(m.new_id, f.pub_id) AS pub_id FROM d_feed f LEFT JOIN d_dups m ON f.pub_id = m.old_id""")
-def q_pub_repoint(spark, d):
-    m = pubs.duplicate_pubs(dt.pubs(spark, d))
-    return pubs.pub_repoint(dt.feeds(spark, d), m).select("feed_id", "pub_id")
-
-
-@query("category_alias_lookup", None)
-def q_category_alias_lookup(spark, d):
-    return categories.category_alias_lookup(dt.pubs(spark, d), categories.alias_table(spark))
-
-
-def _alias_sql() -> str:
-    rows = ", ".join(f"('{a}', '{c.replace(' ', '')}')" for a, cats in fixed.CATEGORY_ALIASES for c in cats)
-    return with_views(f"""
-, d_alias(alias, key) AS (VALUES {rows}),
-d_pc AS (SELECT pub_id, unnest(categories) AS category FROM d_pub)
-SELECT p.pub_id, p.category, a.alias FROM d_pc p JOIN d_alias a ON replace(p.category, ' ', '') = a.key""")
-
-
-ORACLE["category_alias_lookup"] = _alias_sql()
-
-
-def _wire_articles(spark, d) -> DataFrame:
-    """Articles carrying their newswire XML (from orders), landed once per
-    session as a parquet table, as stored articles are."""
-    key = (spark.sparkContext.applicationId, d, "wire_articles")
-    if key not in _LANDED:
-        w = dt.wire_rows(spark, d).select("order_key", render_wire(F.col("article")).alias("xml"))
-        a = dt.articles(spark, d).withColumn("_k", F.conv("article_id", 16, 10).cast("bigint"))
-        out = (a.drop("html").join(w, F.col("_k") == F.col("order_key"), "inner")
-               .withColumn("html", F.encode("xml", "UTF-8")).drop("_k", "order_key", "xml"))
-        path = _run_dir(spark, "wire_articles")
-        out.write.parquet(path)
-        _LANDED[key] = path
-    return spark.read.parquet(_LANDED[key])
-
-
-@query("pub_category_backfill", """
-, need AS (SELECT pub_id FROM d_pub WHERE coalesce(len(categories), 0) = 0),
-latest AS (SELECT pub_id, max(o_orderkey) AS k FROM d_article
-           WHERE origin IN ('webnews', 'lexisnexis') AND pub_id IN (SELECT pub_id FROM need) GROUP BY pub_id)
-SELECT p.pub_id, CASE WHEN l.k IS NULL THEN array_to_string(p.categories, '|') ELSE w.segment || '|News' END AS categories,
-  CASE WHEN l.k IS NULL THEN p.country ELSE w.country END AS country,
-  CASE WHEN l.k IS NULL THEN p.genre ELSE w.genre END AS genre
-FROM d_pub p LEFT JOIN latest l ON p.pub_id = l.pub_id LEFT JOIN d_wire w ON w.seq = l.k""")
-def q_pub_category_backfill(spark, d):
-    out = pubs.pub_category_backfill(dt.pubs(spark, d), _wire_articles(spark, d),
-                                     lambda c: parse_wire(spark, F.decode(c, "UTF-8"), mapped=True))
-    return out.select("pub_id", joined("categories").alias("categories"), "country", "genre")
-
-
-@query("latest_article_per_pub", """
-SELECT pub_id, max(article_id) AS article_id FROM d_article WHERE origin IN ('webnews', 'lexisnexis') GROUP BY pub_id""")
-def q_latest_article_per_pub(spark, d):
-    a = dt.articles(spark, d).select("pub_id", "article_id", "origin")   # only what the struct needs
-    return pubs.latest_article_per_pub(a).select("pub_id", "article_id")
-
-
-# ---------------------------------------------------------------- aggregations
-_COUNTS_SQL = """SELECT type, id, count(*) AS n FROM (
-  SELECT 'pub' AS type, pub_id AS id FROM d_article UNION ALL SELECT 'feed', feed_id FROM d_article)
-GROUP BY type, id"""
-
-
-@query("article_counts", _COUNTS_SQL)
-def q_article_counts(spark, d):
-    return counts.article_counts(dt.articles(spark, d))
-
-
-@query("article_counts_incremental", _COUNTS_SQL)
-def q_article_counts_incremental(spark, d):
-    a = dt.articles(spark, d)
-    cut = ids.id_from_number(F.lit(5000))
-    first = counts.article_counts(a.filter(F.col("article_id") <= cut))
-    # the cursor after the first run is the cut; the second run reads up to
-    # the current watermark (the largest id)
-    upto = None
-    return counts.article_counts_incremental(first, a, "%024x" % 5000, upto)
-
-
-@query("article_id_watermark", """
-SELECT count(*) AS n, max(article_id) AS last_id FROM d_article""")
-def q_article_id_watermark(spark, d):
-    return counts.article_id_watermark(dt.articles(spark, d))
-
-
-@query("last_article", """SELECT max(article_id) AS last_id FROM d_article""")
-def q_last_article(spark, d):
-    return counts.last_article(dt.articles(spark, d))
-
-
-@query("apply_counts", f"""
-, c AS ({_COUNTS_SQL})
-SELECT p.pub_id, CAST(coalesce(c.n, 0) AS INTEGER) AS num_articles
-FROM d_pub p LEFT JOIN c ON c.type = 'pub' AND c.id = p.pub_id""")
-def q_apply_counts(spark, d):
-    c = counts.article_counts(dt.articles(spark, d))
-    return counts.apply_counts(dt.pubs(spark, d), c, "pub", "pub_id").select("pub_id", "num_articles")
-
-
-@query("unique_categories", f"""
-SELECT replace(lower(c), ' ', '_') AS category_id, min(c) AS category, '{NOW}' AS added
-FROM (SELECT unnest(categories) AS c FROM d_pub) GROUP BY 1""")
-def q_unique_categories(spark, d):
-    out = categories.unique_categories(dt.pubs(spark, d), None, NOW)
-    return out.select("category_id", "category", ts_str("added").alias("added"))
-
-
-@query("duplicate_pubs", f"""
-, {_DUP_SQL}
-SELECT old_id, new_id, name FROM d_dups""")
-def q_duplicate_pubs(spark, d):
-    return pubs.duplicate_pubs(dt.pubs(spark, d))
-
-
-@query("merge_publications", f"""
-, {_DUP_SQL}
-SELECT a.article_id, coalesce(m.new_id, a.pub_id) AS pub_id FROM d_article a LEFT JOIN d_dups m ON a.pub_id = m.old_id""")
-def q_merge_publications(spark, d):
-    _p, _f, a = pubs.merge_publications(dt.pubs(spark, d), dt.feeds(spark, d), dt.articles(spark, d))
-    return a.select("article_id", "pub_id")
-
-
-QUEUE_THRESHOLD = 2000
-
-
-@query("queue_depth", f"""
-SELECT stage, count(*) AS depth,
-  CASE WHEN count(*) > {QUEUE_THRESHOLD}
-       THEN stage || ' Channel depth (' || CAST(count(*) AS VARCHAR) || ') exceeds threshold ({QUEUE_THRESHOLD})' END AS error
-FROM d_work GROUP BY stage""")
-def q_queue_depth(spark, d):
-    return work.queue_depth(dt.work(spark, d), QUEUE_THRESHOLD)
-
-
-@query("pub_feed_count", """
-SELECT pub_id, CAST(count(*) AS INTEGER) AS num_feeds FROM d_feed WHERE NOT deleted GROUP BY pub_id""")
-def q_pub_feed_count(spark, d):
-    return pubs.pub_feed_count(dt.feeds(spark, d))
-
-
-# ---------------------------------------------------------------- catalogue
-@query("search_pubs", """
-SELECT pub_id, name FROM d_pub WHERE NOT deleted AND regexp_matches(name, 'machinery-1', 'i')
-ORDER BY name, pub_id LIMIT 20 OFFSET 5""")
-def q_search_pubs(spark, d):
-    return catalog.search_pubs(dt.pubs(spark, d), "machinery-1", "name", 20, 5).select("pub_id", "name")
-
-
-@query("search_pubs_total", """
-SELECT count(*) AS total, CAST(ceil(count(*) / 20) AS BIGINT) AS pages FROM d_pub
-WHERE NOT deleted AND regexp_matches(name, 'machinery-1', 'i')""")
-def q_search_pubs_total(spark, d):
-    return catalog.search_pubs_total(dt.pubs(spark, d), "machinery-1", 20)
-
-
-@query("page_links", """
-, t AS (SELECT count(*) AS total, CAST(ceil(count(*) / 20) AS BIGINT) AS pages FROM d_pub WHERE NOT deleted)
-SELECT total, pages,
-  CASE WHEN pages > 1 THEN CAST(0 AS BIGINT) END AS first,
-  CASE WHEN pages > 1 THEN CAST(20 AS BIGINT) END AS prev,
-  CASE WHEN pages > 1 AND 60 < total THEN CAST(60 AS BIGINT) END AS next,
-  CASE WHEN pages > 1 AND 60 < total THEN (pages - 1) * 20 END AS last
-FROM t""")
-def q_page_links(spark, d):
-    t = catalog.search_pubs_total(dt.pubs(spark, d), None, 20)
-    return catalog.page_links(t, 20, 40)
-
-
-@query("pub_feeds", """
-SELECT feed_id, url FROM d_feed WHERE NOT deleted ORDER BY url, feed_id LIMIT 20""")
-def q_pub_feeds(spark, d):
-    return catalog.pub_feeds(dt.feeds(spark, d)).select("feed_id", "url")
-
-
-@query("pub_by_id", f"""
-SELECT pub_id, name, country FROM d_pub WHERE pub_id = {sql_oid('1')}""")
-def q_pub_by_id(spark, d):
-    return catalog.pub_by_id(dt.pubs(spark, d), "%024x" % 1).select("pub_id", "name", "country")
-
-
-@query("feed_by_id", f"""
-SELECT feed_id, url FROM d_feed WHERE feed_id = {sql_oid('3')}""")
-def q_feed_by_id(spark, d):
-    return catalog.feed_by_id(dt.feeds(spark, d), "%024x" % 3).select("feed_id", "url")
-
-
-@query("latest_articles", f"""
-SELECT article_id, title FROM d_article WHERE pub_id = {sql_oid('1')} ORDER BY article_id DESC LIMIT 20""")
-def q_latest_articles(spark, d):
-    return catalog.latest_articles(dt.articles(spark, d), pub_id="%024x" % 1).select("article_id", "title")
-
-
-@query("soft_delete", """
-, fc AS (SELECT pub_id, count(*) AS n FROM d_feed GROUP BY pub_id),
-dec AS (SELECT pub_id, count(*) AS n FROM d_feed WHERE CAST(('0x' || feed_id) AS BIGINT) % 5 = 0 AND NOT deleted GROUP BY pub_id)
-SELECT fc.pub_id, CAST(fc.n - coalesce(dec.n, 0) AS INTEGER) AS num_feeds FROM fc LEFT JOIN dec ON fc.pub_id = dec.pub_id""")
-def q_soft_delete(spark, d):
-    f = dt.feeds(spark, d)
-    p = f.groupBy("pub_id").agg(F.count("*").cast("int").alias("num_feeds"))
-    gone = f.filter(F.conv("feed_id", 16, 10).cast("bigint") % 5 == 0).select("feed_id")
-    new_pubs, _new_feeds = pubs.soft_delete_feeds(p, f, gone)
-    return new_pubs.select("pub_id", "num_feeds")
-
-
-@query("pub_overview", f"""
-SELECT feed_id, url, coalesce({ts_sql('last_download')}, 'Never') AS last_download,
-  coalesce({ts_sql('next_download')}, 'Soon') AS next_download,
-  coalesce(metabase_id, 0) > 0 AS is_newswire
-FROM d_feed WHERE NOT deleted ORDER BY url, feed_id LIMIT 20""")
-def q_pub_overview(spark, d):
-    f = dt.feeds(spark, d)
-    # all feeds of the fixture belong to distinct pubs: list the first page
-    # of feeds regardless of pub, with the overview's labels
-    page = catalog.pub_feeds(f, None, 20)
-    return page.select("feed_id", "url",
-                       catalog.date_label(F.col("last_download")).alias("last_download"),
-                       catalog.date_label(F.col("next_download"), soon=True).alias("next_download"),
-                       (F.coalesce(F.col("metabase_id"), F.lit(0)) > 0).alias("is_newswire"))
-
-
-# ---------------------------------------------------------------- rules
-@query("xpath_rule_split", """
-, r AS (SELECT pub_id, unnest(list_concat(list_concat(coalesce(xpath_body, []), coalesce(xpath_title, [])), coalesce(xpath_date, []))) AS rule FROM d_pub
-        WHERE xpath_body IS NOT NULL OR xpath_title IS NOT NULL OR xpath_date IS NOT NULL)
-SELECT pub_id,
-  coalesce(array_to_string(list_sort(list(substr(rule, 2)) FILTER (WHERE starts_with(rule, '-'))), '|'), '') AS removes,
-  coalesce(array_to_string(list_sort(list(split_part(rule, '~~', 1)) FILTER (WHERE NOT starts_with(rule, '-'))), '|'), '') AS searches
-FROM r GROUP BY pub_id""")
-def q_xpath_rule_split(spark, d):
-    from newsdesk.operators.extract import split_rules
-    p = dt.pubs(spark, d)
-    rules = F.concat(F.coalesce("xpath_body", F.array().cast("array<string>")),
-                     F.coalesce("xpath_title", F.array().cast("array<string>")),
-                     F.coalesce("xpath_date", F.array().cast("array<string>")))
-    s = p.filter(F.size(rules) > 0).select("pub_id", split_rules(rules).alias("r"))
-    return s.select("pub_id", joined(F.array_sort("r.removes")).alias("removes"),
-                    joined(F.array_sort("r.searches")).alias("searches"))
-
-
-# ---------------------------------------------------------------- flagship
-@query("rss_article_counts", """
-, base AS (SELECT page_id, link, page_id % 1000000 AS b FROM d_links),
-""" + "__CLEAN__" + """,
-kept AS (SELECT c.page_id, b.b FROM d_clean c JOIN base b ON c.page_id = b.page_id
-         QUALIFY row_number() OVER (PARTITION BY c.clean ORDER BY printf('%024x', c.page_id)) = 1)
-SELECT type, id, count(*) AS n FROM (
-  SELECT 'pub' AS type, printf('%024x', b % 150) AS id FROM kept
-  UNION ALL SELECT 'feed', printf('%024x', b % 15) FROM kept)
-GROUP BY type, id""")
-def q_rss_article_counts(spark, d):
-    from newsdesk.plans.flagship import rss_article_counts
-    return rss_article_counts(spark, d)
-
-
-ORACLE["rss_article_counts"] = ORACLE["rss_article_counts"].replace("__CLEAN__", _CLEAN_URL_SQL.strip())
-
-
-# ---------------------------------------------------------------- extraction
-def _pages_with_rules(spark, d) -> DataFrame:
-    p = art.has_html(art.page_validate(dt.page_fetches(spark, d)))
-    p = p.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    return art.extract_route(art.article_pub_rules(p, dt.pubs(spark, d))).drop("reject_reason")
-
-
-@query("extract_content")
-def q_extract_content(spark, d):
-    from newsdesk.operators.extract import extract_content
-    e = extract_content(_pages_with_rules(spark, d))
-    return e.select("article_id", F.col("content.title").alias("title"),
-                    F.octet_length("content.body_text").alias("body_bytes"),
-                    F.col("content.body_xpath").alias("body_xpath"),
-                    joined("content.authors").alias("authors"),
-                    F.col("content.published").alias("published"))
-
-
-@query("extract_xpath")
-def q_extract_xpath(spark, d):
-    from newsdesk.operators.extract import extract_content, extract_xpath
-    e = extract_content(_pages_with_rules(spark, d).filter(F.col("route") == "xpath"))
-    x = extract_xpath(e.withColumn("body_text", F.col("content.body_text")))
-    return x.select("article_id", "xp.title", "xp.author", "xp.published",
-                    F.octet_length("xp.body").alias("body_bytes"), "xp.error")
-
-
-@query("merge_extracted")
-def q_merge_extracted(spark, d):
-    from newsdesk.operators.extract import extract_page, merge_extracted
-    base = _pages_with_rules(spark, d).withColumn("published", dates.parse_rfc1123("published"))
-    m = merge_extracted(extract_page(base))     # one parse per page
-    return m.select("article_id", "title", "author", ts_str("published").alias("published"),
-                    F.octet_length("body_text").alias("body_bytes"),
-                    (F.col("body_html") == "").alias("body_html_cleared"))
-
-
-# ---------------------------------------------------------------- legacy dump
-def _legacy_dump(spark, d) -> str:
-    """Land the legacy catalogue dump (JSON lines) derived from customer:
-    pub k lists k % 4 feeds."""
-    import uuid
-    from newsdesk.session import checkpoint_dir
-    c = dt.read(spark, d, "customer")
-    k = F.col("c_custkey")
-    feeds_arr = F.transform(F.sequence(F.lit(0), (k % 4).cast("int") - 1),
-                            lambda i: F.struct(
-                                F.upper(F.concat(F.lpad(F.hex(F.lit(1262304000) + k), 8, "0"),
-                                                 F.format_string("%016x", k * 4 + i))).alias("ID"),
-                                F.concat(F.lit("http://legacy.example.com/"), k.cast("string"),
-                                         F.lit("/"), i.cast("string"), F.lit(".xml")).alias("URL"),
-                                F.lit(None).cast("timestamp").alias("Updated")))
-    rows = c.select(
-        F.upper(F.concat(F.lpad(F.hex(F.lit(1262304000) + k), 8, "0"), F.format_string("%016x", k))).alias("ID"),
-        F.col("c_name").alias("Title"),
-        F.concat(F.lit("http://legacy.example.com/"), k.cast("string")).alias("URL"),
-        (k % 1000).cast("int").alias("NumReaders"),
-        F.struct(F.when(k % 3 == 0, F.array(F.lit("//h1"))).alias("Title"),
-                 F.lit(None).cast("array<string>").alias("Author"),
-                 F.lit(None).cast("array<string>").alias("Body"),
-                 F.lit(None).cast("array<string>").alias("Date")).alias("XPaths"),
-        F.when(k % 4 > 0, feeds_arr).alias("Feeds"))
-    path = checkpoint_dir(spark, "runs", uuid.uuid4().hex, "legacy")
-    rows.write.json(path)
-    return path
-
-
-@query("read_legacy_pubs", """
-SELECT lower(lpad(hex(1262304000 + c_custkey), 8, '0') || printf('%016x', c_custkey)) AS pub_id,
-  c_name AS name, CAST(c_custkey % 4 AS INTEGER) AS num_feeds,
-  CASE WHEN c_custkey % 3 = 0 THEN '//h1' END AS xpath_title,
-  strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(1262304000 + c_custkey), '%Y-%m-%d %H:%M:%S') AS added
-FROM customer""")
-def q_read_legacy_pubs(spark, d):
-    from newsdesk.sources.files import read_legacy_pubs
-    p, _f = read_legacy_pubs(spark, _legacy_dump(spark, d))
-    return p.select("pub_id", "name", "num_feeds", joined("xpath_title").alias("xpath_title"),
-                    ts_str("added").alias("added"))
-
-
-@query("legacy_pub_feeds", """
-SELECT lower(lpad(hex(1262304000 + c_custkey), 8, '0') || printf('%016x', c_custkey * 4 + i)) AS feed_id,
-  lower(lpad(hex(1262304000 + c_custkey), 8, '0') || printf('%016x', c_custkey)) AS pub_id,
-  'http://legacy.example.com/' || CAST(c_custkey AS VARCHAR) || '/' || CAST(i AS VARCHAR) || '.xml' AS url
-FROM customer, range(CAST(c_custkey % 4 AS BIGINT)) t(i)""")
-def q_legacy_pub_feeds(spark, d):
-    from newsdesk.sources.files import read_legacy_pubs
-    _p, f = read_legacy_pubs(spark, _legacy_dump(spark, d))
-    return f.select("feed_id", "pub_id", "url")
-
-
-# ---------------------------------------------------------------- streaming
-def _run_dir(spark, name):
-    import uuid
-    from newsdesk.session import checkpoint_dir
-    return checkpoint_dir(spark, "runs", uuid.uuid4().hex, name)
-
-
-def _land(df: DataFrame, path: str, order_col: str, files: int = 4) -> None:
-    """Land an input as a few files in ``order_col`` order (arrival order)."""
-    df.repartitionByRange(files, order_col).sortWithinPartitions(order_col).write.parquet(path)
-
-
-@query("stream_article_counts", _COUNTS_SQL)
-def q_stream_article_counts(spark, d):
-    import os
-    from newsdesk.streaming import jobs
-    base = _run_dir(spark, "stream_article_counts")
-    a = dt.articles(spark, d).select("article_id", "pub_id", "feed_id")
-    _land(a, os.path.join(base, "in"), "article_id")
-    q = jobs.stream_article_counts(spark, os.path.join(base, "in"), os.path.join(base, "out"),
-                                   os.path.join(base, "ck"), schema=a.schema, max_files=1)
-    q.awaitTermination()
-    return jobs.current_counts(spark, os.path.join(base, "out"))
-
-
-@query("stream_feed_entries", """
-SELECT DISTINCT link FROM d_entry WHERE coalesce(status, 500) NOT IN (304, 410, 500) AND link IS NOT NULL""")
-def q_stream_feed_entries(spark, d):
-    import os
-    from newsdesk.streaming import jobs
-    base = _run_dir(spark, "stream_feed_entries")
-    _land(dt.feed_polls(spark, d), os.path.join(base, "in"), "fetched_at")
-    q = jobs.stream_feed_entries(spark, os.path.join(base, "in"), os.path.join(base, "out"),
-                                 os.path.join(base, "ck"))
-    q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "out")).select("link")
-
-
-@query("stream_wire", f"""
-SELECT seq, {_WIRE_URL_SQL} AS url, title FROM d_wire""")
-def q_stream_wire(spark, d):
-    import os
-    from newsdesk.streaming import jobs
-    base = _run_dir(spark, "stream_wire")
-    q = jobs.stream_wire(spark, _wire_files(spark, d), dt.feeds(spark, d), os.path.join(base, "out"),
-                         os.path.join(base, "ck"), RUN_TS, max_files=WIRE_FILES // 4)
-    q.awaitTermination()
-    a = spark.read.parquet(os.path.join(base, "out", "articles"))
-    return a.select(F.col("metabase.sequence_id").cast("bigint").alias("seq"), "url", "title")
-
-
-@query("stream_articles", f"""
-SELECT g.article_id FROM d_page g JOIN d_pub p ON g.pub_id = p.pub_id
-WHERE g.content_type <> 'audio/mpeg' AND g.n_bytes > 0 AND g.n_bytes < 2097152""")
-def q_stream_articles(spark, d):
-    import os
-    from newsdesk.streaming import jobs
-    base = _run_dir(spark, "stream_articles")
-    _land(dt.page_fetches(spark, d), os.path.join(base, "in"), "fetched_at")
-    q = jobs.stream_articles(spark, os.path.join(base, "in"), dt.pubs(spark, d),
-                             os.path.join(base, "store"), os.path.join(base, "ck"))
-    q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "store")).select("article_id")
-
-
-# ---------------------------------------------------------------- more §2 items
-@query("category_key", """
-SELECT DISTINCT c AS category, replace(c, ' ', '') AS key FROM (SELECT unnest(categories) AS c FROM d_pub)""")
-def q_category_key(spark, d):
-    c = dt.pubs(spark, d).select(F.explode("categories").alias("category")).distinct()
-    return c.select("category", text.category_key("category").alias("key"))
-
-
-@query("name_order", """
-SELECT pub_id, name FROM d_pub ORDER BY name, pub_id""")
-def q_name_order(spark, d):
-    return pubs.pubs_by_name(dt.pubs(spark, d)).select("pub_id", "name")
-
-
-@query("archive_wire", """
-SELECT strftime(TIMESTAMP '2024-02-01 00:00:00' + to_hours(o_orderkey // 500), '%Y-%m-%d') AS fetch_date,
-  count(*) AS responses FROM orders GROUP BY 1""")
-def q_archive_wire(spark, d):
-    """Raw responses archived under their fetch date, read back per date."""
-    from newsdesk.sources.wire import archive_wire
-    # one fetch per batch of 500 articles, an hour apart
-    o = dt.read(spark, d, "orders").select(
-        F.col("o_orderkey").alias("order_key"),
-        (F.lit(RUN_TS).cast("timestamp")
-         + F.make_interval(hours=(F.col("o_orderkey") / 500).cast("int"))).alias("fetched_at"))
-    raw = dt.wire_rows(spark, d).select("order_key", render_wire(F.col("article")).alias("raw"))
-    path = _run_dir(spark, "archive_wire")
-    archive_wire(raw.join(o, "order_key"), path)
-    back = spark.read.parquet(path)
-    return back.groupBy(F.date_format("fetch_date", "yyyy-MM-dd").alias("fetch_date")).agg(
-        F.count("*").alias("responses"))
-
-
-@query("union_sources", """
-SELECT origin, count(*) AS n FROM (
-  SELECT 'rss' AS origin FROM pages
-  UNION ALL SELECT 'webnews' FROM orders)
-GROUP BY origin""")
-def q_union_sources(spark, d):
-    """Feed articles (from pages) and newswire articles land in one table;
-    columns missing on one side are NULL."""
-    rss = dt.page_fetches(spark, d).select("article_id", F.col("link").alias("url"), F.lit("rss").alias("origin"))
-    w = _wire(spark, d)
-    _p, _f, links = _wire_links(spark, d, w)
-    wa = wire.wire_to_article(w, links, False, RUN_TS).select("article_id", "url", "origin", "metabase")
-    both = rss.unionByName(wa, allowMissingColumns=True)
-    # count a real column: a count(*) would leave only the XML source's
-    # corrupt-record column in the wire scan, which Spark refuses
-    return both.groupBy("origin").agg(F.count("article_id").alias("n"))
-
-
-@query("decode_work_data", """
-SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
-def q_decode_work_data(spark, d):
-    """The JSON blob of a work row decoded with an explicit schema."""
-    ev = dt.read(spark, d, "events")
-    return ev.select("event_id", F.from_json("props", "k INT").getField("k").alias("k"))
-
-
-# ---------------------------------------------------------------- batch jobs
-def _job_store(spark, d):
-    """A fresh table store holding the fixture's pubs and feeds."""
-    from newsdesk import schema as S
-    from newsdesk.plans import jobs
-    from newsdesk.store import TableStore
-    store = TableStore(spark, _run_dir(spark, "tables"))
-    store.write("pubs", jobs.conform(dt.pubs(spark, d), S.PUB))
-    store.write("feeds", jobs.conform(dt.feeds(spark, d), S.FEED))
-    return store
-
-
-@query("job_enqueue_feeds", f"""
-SELECT feed_id FROM d_feed
-WHERE coalesce(bozo, 0) = 0 AND metabase_id IS NULL AND (next_download IS NULL OR next_download <= {SQL_NOW})
-ORDER BY next_download ASC NULLS FIRST, feed_id LIMIT 25""")
-def q_job_enqueue_feeds(spark, d):
-    from newsdesk.plans import jobs
-    return jobs.enqueue_feeds(_job_store(spark, d), NOW).select("feed_id")
-
-
-@query("job_recount_articles", _COUNTS_SQL)
-def q_job_recount_articles(spark, d):
-    """Two recount runs over two article parts (the second adds only the
-    ids after the cursor) give the full counts."""
-    from newsdesk import schema as S
-    from newsdesk.plans import jobs
-    store = _job_store(spark, d)
-    a = jobs.conform(dt.articles(spark, d), S.ARTICLE)
-    cut = "%024x" % 7000
-    jobs._articles(store).append(a.filter(F.col("article_id") <= cut), "000001")
-    jobs.recount_articles(store)
-    jobs._articles(store).append(a.filter(F.col("article_id") > cut), "000002")
-    jobs.recount_articles(store)
-    return store.read("counts")
-
-
-@query("job_merge_publications", f"""
-, {_DUP_SQL}
-SELECT a.article_id, coalesce(m.new_id, a.pub_id) AS pub_id FROM d_article a LEFT JOIN d_dups m ON a.pub_id = m.old_id""")
-def q_job_merge_publications(spark, d):
-    """Articles read through the merge job's pub map (no article rewrite)."""
-    from newsdesk import schema as S
-    from newsdesk.plans import jobs
-    store = _job_store(spark, d)
-    jobs._articles(store).append(jobs.conform(dt.articles(spark, d), S.ARTICLE), "000001")
-    jobs.merge_publications(store)
-    jobs.merge_publications(store)   # a second run finds nothing new
-    return jobs.current_articles(store, columns=["article_id", "pub_id"])
-
-
-@query("stream_articles_state", f"""
-SELECT g.article_id FROM d_page g JOIN d_pub p ON g.pub_id = p.pub_id
-WHERE g.content_type <> 'audio/mpeg' AND g.n_bytes > 0 AND g.n_bytes < 2097152""")
-def q_stream_articles_state(spark, d):
-    """The article stream with its url history in keyed state."""
-    import os
-    from newsdesk.streaming import jobs
-    base = _run_dir(spark, "stream_articles_state")
-    _land(dt.page_fetches(spark, d), os.path.join(base, "in"), "fetched_at")
-    q = jobs.stream_articles(spark, os.path.join(base, "in"), dt.pubs(spark, d),
-                             os.path.join(base, "store"), os.path.join(base, "ck"), url_history="state")
-    q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "store")).select("article_id")
+# registration: each module adds its queries to QUERIES / ORACLE on import
+from newsdesk.plans.queries import (  # noqa: E402,F401
+    sources, updates, predicates, newswire, scalars, joins, aggregations, catalogue,
+    extraction, flagship, streaming, more, jobs)

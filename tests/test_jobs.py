@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from newsdesk.operators import counts
 from newsdesk.plans import jobs
-from newsdesk.plans.registry import _wire, _legacy_dump
+from newsdesk.plans.common import _legacy_dump, _wire
 from newsdesk.session import checkpoint_dir
 from newsdesk.sources import driver_tables as dt
 from newsdesk.store import TableStore
