@@ -18,16 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newsdesk import fixed
-from newsdesk.functions import dates, ids, text, urls
-from newsdesk.operators import articles as art
-from newsdesk.operators import catalog, categories, counts, feeds, pubs, tables, work, wire
-from newsdesk.plans.fixture_sql import NOW as SQL_NOW, TS, make_id as sql_make_id, oid as sql_oid, with_views
+from newsdesk.plans.fixture_sql import TS, with_views
 from newsdesk.sources import driver_tables as dt
-from newsdesk.sources.wire import parse_wire, render_wire
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
