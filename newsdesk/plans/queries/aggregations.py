@@ -2,24 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel  # noqa: F401
-from pyspark.sql import DataFrame, functions as F  # noqa: F401
-
-from newsdesk import fixed  # noqa: F401
-from newsdesk.functions import dates, ids, text, urls  # noqa: F401
-from newsdesk.operators import articles as art  # noqa: F401
-from newsdesk.operators import catalog, categories, counts, feeds, pubs, tables, work, wire  # noqa: F401
-from newsdesk.plans.common import *  # noqa: F401,F403
-from newsdesk.plans.common import _CLEAN_URL_SQL, _COUNTS_SQL, _DUP_SQL, _ENTRY_ROWS_SQL  # noqa: F401
-from newsdesk.plans.common import _ID_REQ_SQL, _LATEST_POLL_SQL, _LINKS_SQL, _REASON_SQL  # noqa: F401
-from newsdesk.plans.common import _ROUTE_SQL, _WIRE_URL_SQL, _alias_sql, _id_requests  # noqa: F401
-from newsdesk.plans.common import _job_store, _land, _legacy_dump, _loose_strings  # noqa: F401
-from newsdesk.plans.common import _new_entries, _pages_with_rules, _run_dir, _store_and_new  # noqa: F401
-from newsdesk.plans.common import _wire, _wire_articles, _wire_files, _wire_links  # noqa: F401
-from newsdesk.plans.fixture_sql import NOW as SQL_NOW, oid as sql_oid  # noqa: F401
-from newsdesk.plans.registry import NOW, ORACLE, RUN_TS, joined, query, ts_sql, ts_str  # noqa: F401
-from newsdesk.sources import driver_tables as dt  # noqa: F401
-from newsdesk.sources.wire import parse_wire, render_wire  # noqa: F401
+from pyspark.sql import functions as F
+
+from newsdesk.functions import ids
+from newsdesk.operators import categories, counts, feeds, pubs, work
+from newsdesk.plans.common import QUEUE_THRESHOLD, _COUNTS_SQL, _DUP_SQL
+from newsdesk.plans.registry import NOW, query, ts_str
+from newsdesk.sources import driver_tables as dt
 
 
 @query("article_counts", _COUNTS_SQL)
