@@ -96,3 +96,21 @@ def test_one_pass_page_extraction_matches_two_pass():
         two = _xpath_row(PAGE, *rules, _content(PAGE)["body_text"])
         assert one["xp"] == two
     assert _page_row(b"", [], [], [], [])["xp"]["error"] == "No HTML"
+
+
+def test_failure_response_and_licensed_origin(spark, tmp_path):
+    from newsdesk.sources.wire import read_wire_status
+    bad = tmp_path / "fail.xml"
+    bad.write_text("<response><status>FAILURE</status><messageCode>1001</messageCode>"
+                   "<userMessage>bad key</userMessage></response>")
+    st = read_wire_status(spark, str(bad)).first()
+    assert st.failed is True and st.messageCode == "1001"
+    assert read_wire(spark, str(bad)).count() == 0               # no articles in a failed response
+    w = read_wire(spark, GOLDEN)
+    w = w.select(F.struct(*[c for c in w.columns if c not in ("_corrupt_record", "source_file")]).alias("a"))
+    w = w.withColumn("seq", F.col("a.sequenceId").cast("bigint"))
+    feeds = spark.createDataFrame([], "feed_id string, pub_id string, metabase_id bigint")
+    _p, new_feeds, links = wire.wire_parents(w, feeds, True, "2024-02-01 00:00:00")
+    arts = wire.wire_to_article(w, links, True, "2024-02-01 00:00:00").collect()
+    assert {a.origin for a in arts} == {"lexisnexis"} and all(a.is_lexisnexis for a in arts)
+    assert {f.origin for f in new_feeds.collect()} == {"lexisnexis"}
