@@ -219,3 +219,9 @@ def test_hot_name_holding_a_third_of_pubs(spark):
     from collections import Counter
     names = Counter("Hot" if i % 3 == 0 else f"N{i % 5000}" for i in range(n))
     assert m.count() == sum(c - 1 for c in names.values() if c > 1)      # brute force
+
+
+def test_fix_full_links_compared(spark):
+    base = "http://a.example/" + "x" * 300
+    e = spark.createDataFrame([(base + "1", 0), (base + "2", 1), (base + "1", 2)], "link string, entry_pos int")
+    assert rows(feeds.entry_dedupe(e, None, order=("entry_pos",)), "link") == [(base + "1",), (base + "2",)]
