@@ -52,8 +52,9 @@ def apply_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is made.
+    ``spark.checkpoint.dir`` names it and is used as is. Only a local session
+    without one gets a scratch folder; on a cluster a machine-local folder
+    would lose data, so there the setting is asked for.
     """
     try:
         sc = spark.sparkContext
@@ -61,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="newsdesk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
@@ -77,26 +81,23 @@ def checkpoint_dir(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, *parts) if parts else base
 
 
+_ZIP: list[str] = []
+
+
 def ship_package(spark: SparkSession) -> str:
-    """Zip this package into the shared folder and add it to the executors'
-    Python path (the ``--py-files`` route for clusters whose image does not
-    carry it). Content-addressed, so repeated calls reuse one zip."""
-    import hashlib
+    """Zip this package into a local folder of the driver and add it to the
+    executors' Python path (the ``--py-files`` route for clusters whose image
+    does not carry it); Spark itself carries the file to them. One zip for
+    each driver process."""
     import zipfile
 
-    root = os.path.dirname(os.path.abspath(__file__))
-    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py"))
-    h = hashlib.sha256()
-    for f in files:
-        with open(f, "rb") as fh:
-            h.update(f.encode() + fh.read())
-    target = checkpoint_dir(spark, "_pkg", f"newsdesk-{h.hexdigest()[:16]}.zip")
-    if not os.path.exists(target):
-        os.makedirs(os.path.dirname(target), exist_ok=True)
-        tmp = target + ".part"
-        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+    if not _ZIP:
+        root = os.path.dirname(os.path.abspath(__file__))
+        files = sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py"))
+        target = os.path.join(tempfile.mkdtemp(prefix="newsdesk-pkg-"), "newsdesk-package.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
             for f in files:
                 z.write(f, os.path.join("newsdesk", os.path.relpath(f, root)))
-        os.replace(tmp, target)
-    spark.sparkContext.addPyFile(target)
-    return target
+        _ZIP.append(os.path.abspath(target))
+    spark.sparkContext.addPyFile(_ZIP[0])
+    return _ZIP[0]
