@@ -98,6 +98,6 @@ def ship_package(spark: SparkSession) -> str:
         with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
             for f in files:
                 z.write(f, os.path.join("newsdesk", os.path.relpath(f, root)))
-        _ZIP.append(os.path.abspath(target))
+        _ZIP.append(os.path.realpath(target))
     spark.sparkContext.addPyFile(_ZIP[0])
     return _ZIP[0]
