@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsdesk.llm import bpe_tree, packing, quality, token_files
-from newsdesk.llm.common import prepare, table
+from newsdesk.llm import bpe_tree, packing, quality, token_files, toxicity
+from newsdesk.llm.common import fold_of, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,6 +45,15 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, to).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.scored(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), F.col(toxicity.SCORE).alias("score"),
+                        (F.col(toxicity.SCORE) >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe_tree.encode_and_decode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
