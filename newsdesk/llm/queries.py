@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsdesk.llm import bpe_tree, packing, quality, token_files, toxicity
+from newsdesk.llm import bpe_tree, neardup, packing, quality, token_files, toxicity
 from newsdesk.llm.common import fold_of, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     to = token_files.new_folder(spark)
