@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsdesk.llm import bpe_tree, neardup, packing, quality, token_files, toxicity
+from newsdesk.llm import bpe_tree, language_model, neardup, packing, quality, token_files, toxicity
 from newsdesk.llm.common import fold_of, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col(toxicity.SCORE) >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op9_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"), language_model.held_out_sevenths())
+
+
 @query
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe_tree.encode_and_decode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
