@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsdesk.llm import bpe_tree, language_model, neardup, packing, quality, token_files, toxicity
+from newsdesk.llm import bpe_tree, language_model, licenses, neardup, packing, quality, quotes, token_files, toxicity
 from newsdesk.llm.common import fold_of, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -50,6 +55,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, to).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op7_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quotes.ordered(quotes.linked(table(spark, sf_dir, "conversations")))
+    return found.select("conv_id", "turn", "role", "parent_turn", "root_turn", "depth", "n_quoted", F.sha2("text", 256).alias("text_sha256"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
