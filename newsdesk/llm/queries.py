@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsdesk.llm import bpe_tree, language_model, licenses, neardup, packing, quality, quotes, token_files, toxicity
+from newsdesk.llm import bpe_tree, language_model, licenses, neardup, packing, quality, quotes, search, token_files, toxicity
 from newsdesk.llm.common import fold_of, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, to).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op6_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents whose id is divisible by 20, as queries, against all."""
+    return search.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
 @query
 def op7_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quotes.ordered(quotes.linked(table(spark, sf_dir, "conversations")))
