@@ -155,6 +155,8 @@ def _counted(train: DataFrame, of, contexts: bool = False) -> DataFrame:
             for text, toxic in zip(b["text"].tolist(), b["toxic"].tolist()):
                 seen[toxic].update(of(folded(text)))
         keys = list(seen[0] | seen[1])
+        if not keys:
+            return
         yield pd.DataFrame({"entry": [k[0] if contexts else k for k in keys], "context": [k[1] if contexts else 0 for k in keys],
                             "toxic": [seen[1][k] for k in keys], "clean": [seen[0][k] for k in keys]})
 
@@ -227,7 +229,8 @@ def _fit(rows: DataFrame, weights: dict[str, float], safe: list[str]) -> tuple[f
             for text, toxic in zip(b["text"].tolist(), b["toxic"].tolist()):
                 x, y = _features(matcher(), folded(text))
                 seen[min(127, round(16 * x)), min(127, round(16 * y)), bool(toxic)] += 1
-        yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["x", "y", "toxic", "n"])
+        if seen:
+            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["x", "y", "toxic", "n"])
 
     bins = rows.mapInPandas(run, "x int, y int, toxic boolean, n long").groupBy("x", "y", "toxic").agg(F.sum("n").alias("n")).collect()
     a = np.array([(1, r["x"] / 16, r["y"] / 16) for r in bins])
