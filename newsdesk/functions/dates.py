@@ -19,6 +19,9 @@ LOOSE_PATTERNS = [
     "dd MMM yyyy HH:mm:ss Z", "dd MMM yyyy HH:mm:ss", "dd MMM yyyy",
     "d MMM yyyy", "MMM d, yyyy HH:mm", "MMM d, yyyy", "MMMM d, yyyy",
     "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy", "yyyyMMdd'T'HHmmssZ",
+    "yyyy-MM-dd'T'HH:mm:ssZ", "yyyy-MM-dd'T'HH:mm:ss.SSSZ", "yyyy-MM-dd HH:mm:ss Z", "yyyy-MM-dd HH:mm Z",
+    "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm", "d MMMM yyyy HH:mm:ss", "d MMMM yyyy HH:mm", "d MMMM yyyy",
+    "MMM d, yyyy HH:mm:ss", "MMM d, yyyy h:mm a", "MMMM d, yyyy HH:mm:ss", "MMMM d, yyyy HH:mm", "MMMM d, yyyy h:mm a",
 ]
 
 

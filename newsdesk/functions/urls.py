@@ -93,12 +93,30 @@ def clean_url(c) -> Column:
     return F.when(u.isNotNull(), out)
 
 
+def _joined_path(path: Column) -> Column:
+    """The path with ``.`` and ``..`` segments taken out."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1))))
+                        .when(x == ".", acc).otherwise(F.concat(acc, F.array(x))))
+    # a path that ends in a dot segment names a folder
+    return F.concat(F.array_join(kept, "/"), F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit("")))
+
+
 def resolve_url(location, link) -> Column:
     """Redirect target if the fetch left one, else the link. A relative
-    target is made absolute against the link's scheme and host."""
+    target is made absolute against the link: its scheme, host, path or
+    query, by what the target lacks."""
     loc, lnk = as_col(location), as_col(link)
     origin = F.regexp_extract(lnk, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(lnk, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.when(path.contains("/"), F.regexp_extract(path, r"^(.*/)", 1)).otherwise(F.lit("/"))
+    rel_path, rest = F.regexp_extract(loc, r"^([^?#]*)", 1), F.regexp_extract(loc, r"^[^?#]*(.*)$", 1)
     absolute = (F.when(loc.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), loc)
                  .when(loc.startswith("//"), F.concat(F.substring_index(lnk, "//", 1), loc))
-                 .when(loc.startswith("/"), F.concat(origin, loc)))
+                 .when(loc.startswith("/"), F.concat(origin, loc))
+                 .when(loc.startswith("?"), F.concat(origin, path, loc))
+                 .when(loc.startswith("#"), F.concat(F.substring_index(lnk, "#", 1), loc))
+                 .when(~loc.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(origin, _joined_path(F.concat(folder, rel_path)), rest)))
     return F.coalesce(F.when(loc != "", absolute), lnk)

@@ -112,7 +112,7 @@ def split_rules(rules) -> Column:
     """Split a rule list: ``-path`` rules remove nodes; any other rule is a
     search, cut at ``~~`` (a legacy date format suffix)."""
     r = rules if isinstance(rules, Column) else F.col(rules)
-    removes = F.transform(F.filter(r, lambda x: x.startswith("-")), lambda x: F.substring(x, 2, 1 << 20))
+    removes = F.transform(F.filter(r, lambda x: x.startswith("-")), lambda x: F.right(x, F.length(x) - 1))
     searches = F.transform(F.filter(r, lambda x: ~x.startswith("-")), lambda x: F.substring_index(x, "~~", 1))
     return F.struct(removes.alias("removes"), searches.alias("searches"))
 

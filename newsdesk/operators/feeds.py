@@ -47,6 +47,14 @@ def next_download(bozo, now):
     return F.when(b == 0, _ts(now) + F.expr(REPOLL))
 
 
+def moved_url(status, href, url, original_url=None) -> tuple[Column, Column]:
+    """(url, original_url) after a poll: on 301 the final href and the url it
+    replaces; else the url and what was there (none by default)."""
+    moved = F.coalesce(status == 301, F.lit(False))
+    before = F.lit(None).cast("string") if original_url is None else original_url
+    return F.when(moved, href).otherwise(url), F.when(moved, url).otherwise(before)
+
+
 def latest_poll(polls: DataFrame) -> DataFrame:
     """Newest poll per feed (fetched_at, then etag as tie-break), as a
     partial aggregate."""
@@ -71,7 +79,8 @@ def feed_poll_update(feeds: DataFrame, polls: DataFrame, now) -> DataFrame:
         F.lit(True).alias("_hit"))
     j = feeds.join(p, "feed_id", "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
-    moved = hit & (F.col("_p_status") == 301)
+    url, original = moved_url(F.when(hit, F.col("_p_status")), F.col("_p_href"), F.col("url"),
+                              F.col("original_url") if "original_url" in feeds.columns else None)
     new = {
         "bozo": F.col("_p_bozo"), "etag": F.col("_p_etag"), "modified": F.col("_p_modified"),
         "status": F.coalesce(F.col("_p_status"), F.lit(MISSING_STATUS)),
@@ -86,9 +95,9 @@ def feed_poll_update(feeds: DataFrame, polls: DataFrame, now) -> DataFrame:
             out.append(F.when(hit & F.col("_p_updated").isNotNull(), F.col("_p_updated"))
                         .otherwise(F.col(c)).alias(c))
         elif c == "url":
-            out.append(F.when(moved, F.col("_p_href")).otherwise(F.col(c)).alias(c))
+            out.append(url.alias(c))
         elif c == "original_url":
-            out.append(F.when(moved, F.col("url")).otherwise(F.col(c)).alias(c))
+            out.append(original.alias(c))
         else:
             out.append(F.col(c))
     return j.select(*out)

@@ -110,9 +110,8 @@ def q_moved_url(spark, d):
     p = dt.feed_polls(spark, d).select("event_id", "feed_id", "status", "href")
     f = dt.feeds(spark, d).select("feed_id", "url")
     j = p.join(f, "feed_id")
-    moved = F.col("status") == 301
-    return j.select("event_id", F.when(moved, F.col("href")).otherwise(F.col("url")).alias("url"),
-                    F.when(moved, F.col("url")).alias("original_url"))
+    url, original = feeds.moved_url(F.col("status"), F.col("href"), F.col("url"))
+    return j.select("event_id", url.alias("url"), original.alias("original_url"))
 
 
 @query("pubs_by_name", """

@@ -56,6 +56,24 @@ def test_resolve_url(spark):
     assert got == ["https://h.example/x", "http://h/a", "http://o.example/z", "http://h/a"]
 
 
+def test_resolve_relative_targets(spark):
+    link = "https://h.example/a/b/c?q=1#f"
+    cases = {"next.html": "https://h.example/a/b/next.html", "../z": "https://h.example/a/z", "?p=2": "https://h.example/a/b/c?p=2",
+             "./x/../y?k=..": "https://h.example/a/b/y?k=..", "../../../up": "https://h.example/up", "#top": "https://h.example/a/b/c?q=1#top",
+             "..": "https://h.example/a/", "//o.example/p": "https://o.example/p", "mailto:a@b": link}
+    df = spark.createDataFrame([(k, link) for k in cases] + [("x", "http://h.example")], "loc string, link string")
+    got = {r[0]: r[1] for r in df.select("loc", urls.resolve_url("loc", "link")).collect()}
+    assert got == {**cases, "x": "http://h.example/x"}
+
+
+def test_loose_dates(spark):
+    day, ten = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 10)
+    cases = {"2024-01-02 10:00:00 UTC": ten, "2024-01-02 10:00:00 GMT": ten, "2 January 2024": day, "January 2, 2024 3:04 PM": dt.datetime(2024, 1, 2, 15, 4),
+             "Jan 2, 2024 15:04:05": dt.datetime(2024, 1, 2, 15, 4, 5), "2024-01-02T10:00:00+0000": ten}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    assert {r[0]: r[1] for r in df.select("s", dates.parse_loose_date("s")).collect()} == cases
+
+
 def test_dates(spark):
     df = spark.createDataFrame([(x,) for x in [
         "Mon, 02 Jan 2006 15:04:05 GMT", "Mon, 02 Jan 2006 15:04:05 -0700", "2014-11-20T10:00:00Z",
