@@ -65,22 +65,45 @@ def latest_poll(polls: DataFrame) -> DataFrame:
         "feed_id", ["_neg"] + [c for c in ("event_id",) if c in cols]).drop("_neg")
 
 
+def _poll_summary(polls: DataFrame) -> DataFrame:
+    """Per feed: the latest poll's values, the last ``updated`` and the last
+    two moves (301), in the order of ``latest_poll``."""
+    tie = -F.col("event_id") if "event_id" in polls.columns else F.lit(0)
+    at = F.struct(F.unix_micros("fetched_at").alias("t"), tie.alias("k"))
+    q = polls.select("feed_id", at.alias("_at"), "bozo", "etag", "modified", "status", "updated", "href")
+    vals = F.struct("bozo", "etag", "modified", "status")
+    move = F.when(F.col("status") == 301, F.struct("_at", "href"))
+    per = q.groupBy("feed_id").agg(
+        F.max(F.struct("_at", vals.alias("v"))).alias("_last"),
+        F.max(F.when(F.col("updated").isNotNull(), F.struct("_at", "updated"))).alias("_upd"),
+        F.max(move).alias("_p_move"))
+    before = (q.filter(F.col("status") == 301).join(
+                  per.filter("_p_move IS NOT NULL").select("feed_id", F.col("_p_move._at").alias("_m")), "feed_id")
+              .filter(F.col("_at") < F.col("_m"))
+              .groupBy("feed_id").agg(F.max(F.struct("_at", "href")).alias("_p_before")))
+    return per.join(before, "feed_id", "left").select(
+        "feed_id", *[F.col(f"_last.v.{c}").alias(f"_p_{c}") for c in ("bozo", "etag", "modified", "status")],
+        F.col("_upd.updated").alias("_p_updated"), "_p_move", "_p_before", F.lit(True).alias("_hit"))
+
+
 def feed_poll_update(feeds: DataFrame, polls: DataFrame, now) -> DataFrame:
-    """Apply each feed's latest poll: bozo, etag, modified, status (missing
-    = 500), last/next download and, if the poll had it, updated; on 301 the
-    url moves to the final href and the old one is kept as original_url.
-
-    One left join of the feed table with the per-feed latest poll; the
-    aggregate is already hash-partitioned on feed_id, so only the feed
-    side is shuffled for the join."""
-    p = latest_poll(polls).select(
-        "feed_id", *[F.col(c).alias(f"_p_{c}") for c in
-                     ("bozo", "etag", "modified", "status", "updated", "href")],
-        F.lit(True).alias("_hit"))
+    """The feed table after all polls of a batch, as if applied one by one:
+    bozo, etag, modified, status (missing = 500) and last/next download of the
+    feed's latest poll; the last ``updated`` that any poll had; the href of
+    its last 301 as url, with the url before that move (an earlier 301 of the
+    batch, else the table's) as original_url.
+
+    One partial aggregate of the polls per feed, joined to the feed table; the
+    aggregate is already hash-partitioned on feed_id, so only the feed side is
+    shuffled for the join. It keeps the two last moves of a feed, no lists."""
+    p = _poll_summary(polls)
     j = feeds.join(p, "feed_id", "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
-    url, original = moved_url(F.when(hit, F.col("_p_status")), F.col("_p_href"), F.col("url"),
-                              F.col("original_url") if "original_url" in feeds.columns else None)
+    had = F.col("original_url") if "original_url" in feeds.columns else F.lit(None).cast("string")
+    moved = F.col("_p_move").isNotNull()
+    url = F.when(moved, F.col("_p_move.href")).otherwise(F.col("url"))
+    original = (F.when(F.col("_p_before").isNotNull(), F.col("_p_before.href"))
+                 .when(moved, F.col("url")).otherwise(had))
     new = {
         "bozo": F.col("_p_bozo"), "etag": F.col("_p_etag"), "modified": F.col("_p_modified"),
         "status": F.coalesce(F.col("_p_status"), F.lit(MISSING_STATUS)),

@@ -36,8 +36,8 @@ def dedupe_first(df: DataFrame, keys, order) -> DataFrame:
 
 def upsert(table: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Insert or replace by key (replay-safe). New rows with the same key
-    collapse to one."""
-    new = new.dropDuplicates([key])
+    collapse to the smallest of them (the same one on a replay)."""
+    new = dedupe_first(new, key, [])
     return table.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 

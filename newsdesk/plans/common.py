@@ -10,10 +10,11 @@ from newsdesk.functions import dates, ids
 from newsdesk.operators import articles as art
 from newsdesk.operators import feeds, wire
 from newsdesk.plans.fixture_sql import make_id as sql_make_id, with_views
-from newsdesk.plans.registry import RUN_TS
 from newsdesk.sources import driver_tables as dt
 from newsdesk.sources.wire import render_wire
 
+RUN_TS = dt.RUN_TS
+
 
 def _id_requests(spark, d) -> DataFrame:
     """Id strings as a caller would send them, good and bad, from events."""

@@ -22,11 +22,11 @@ from newsdesk.operators import feeds as fd
 from newsdesk.operators import pubs as pb
 from newsdesk.operators import tables as tb
 from newsdesk.operators import work as wk
-from newsdesk.store import PartTable, TableStore
+from newsdesk.store import PartTable, TableStore, newest_per_key
 
 REDIRECTS = "pub_redirects"
 REDIRECT_SCHEMA = "old_id string, new_id string"
-CURSOR_SCHEMA = "last_id string"
+CURSOR_SCHEMA = "last_part string"
 WIRE_CURSOR_SCHEMA = "sequence_id string"
 
 
@@ -110,6 +110,7 @@ def download_feed(store: TableStore, polls: DataFrame, now) -> DataFrame:
             .select("article_id", "feed_id", "pub_id", "link",
                     F.lit("download-entry").alias("stage"),
                     F.col("fetched_at").alias("started"), F.lit(now).cast("timestamp").alias("last_action"),
+                    "title", "author", "published",
                     F.struct("fetched_at", "feed_id", "entry_pos").alias("order")))
     inserted = tb.insert_ignore(work, rows, ["link", "article_id"]).drop("order")
     store.write("feeds", fd.feed_poll_update(feeds, polls, now))
@@ -120,15 +121,26 @@ def download_feed(store: TableStore, polls: DataFrame, now) -> DataFrame:
 def process_pages(store: TableStore, pages: DataFrame, part: str, now,
                   size_limit: int = art.SIZE_LIMIT) -> None:
     """Fetched pages -> saved articles (new part) + rejects (new part); their
-    work rows leave the queue."""
+    work rows leave the queue. What the feed entry said (title, author,
+    published) comes from the work row where the fetch does not carry it, and
+    a reject carries its work row."""
     from pyspark import StorageLevel
     from newsdesk.plans.rss import process_pages as stages
-    pages = pages.persist(StorageLevel.MEMORY_AND_DISK)
+    work = store.read("work", S.WORK)
+    said = work.select("article_id", *[F.col(c).alias(f"_w_{c}") for c in ("title", "author", "published")])
+    fetched = conform(pages, S.PAGE_FETCH).join(said, "article_id", "left")
+    pages = fetched.select(*[F.coalesce(c, f"_w_{c}").alias(c) if f"_w_{c}" in fetched.columns else F.col(c)
+                             for c in S.PAGE_FETCH.names]).persist(StorageLevel.MEMORY_AND_DISK)
     store_urls = raw_articles(store, exclude_part=part).select("article_id", "url")
     keep, rejects, cached = stages(pages, store.read("pubs", S.PUB), store_urls, size_limit)
     _articles(store).append(conform(keep.withColumn("added", F.lit(now).cast("timestamp")), S.ARTICLE), part)
-    _rejects(store).append(rejects.withColumn("added", F.lit(now).cast("timestamp")), part)
-    work = store.read("work", S.WORK)
+    # the work row of a reject is complete: its own values win over the page's
+    origin = pages.select("article_id", F.col("feed_id").alias("_f"), F.col("pub_id").alias("_p"))
+    full = (rejects.select("article_id", F.col("link").alias("_l"), "reason")
+            .join(origin, "article_id", "left").join(work, "article_id", "left")
+            .withColumn("feed_id", F.coalesce("feed_id", "_f")).withColumn("pub_id", F.coalesce("pub_id", "_p"))
+            .withColumn("link", F.coalesce("_l", "link")).withColumn("added", F.lit(now).cast("timestamp")))
+    _rejects(store).append(conform(full, S.REJECT), part)
     store.write("work", tb.delete_by_key(work, pages.select("article_id"), "article_id"))
     cached.unpersist()
     pages.unpersist()
@@ -154,21 +166,28 @@ def metabase(store: TableStore, wire_rows: DataFrame, part: str, run_ts,
 
 # ---------------------------------------------------------------- upkeep
 def recount_articles(store: TableStore) -> bool:
-    """Add the articles after the cursor to the stored counts and move the
-    cursor; False when there is nothing to count."""
+    """Add the articles of the parts after the cursor to the stored counts and
+    move the cursor; False when there is no new part.
+
+    The cursor is the name of the last counted part, not an article id: ids
+    come from poll times and need not rise from part to part. An id that an
+    earlier part holds has been counted (the anti join reads the id column of
+    those parts alone)."""
     last = store.read("count_cursor", CURSOR_SCHEMA).first()
-    last_id = last.last_id if last else None
-    # the largest id from the raw parts (one row to the driver); only the new
-    # id range is then deduped: that filter is on the dedupe's grouping key,
-    # so it is pushed under it into the scan
-    wm = cnt.article_id_watermark(raw_articles(store).select("article_id")).first()
-    if wm.n == 0 or wm.last_id == last_id:
+    last_part = last.last_part if last else ""
+    table = _articles(store)
+    fresh = [p for p in table.parts() if p > last_part]
+    if not fresh:
         return False
-    a = current_articles(store, columns=["article_id", "pub_id", "feed_id"])
-    counts = cnt.article_counts_incremental(store.read("counts", S.ARTICLE_COUNT), a.select(
-        "article_id", "pub_id", "feed_id"), last_id, wm.last_id)
+    rows = PartTable(store, "articles").read(S.ARTICLE).select("article_id", "pub_id", "feed_id", "part")
+    new = newest_per_key(rows.filter((F.col("part") > last_part) & (F.col("part") <= fresh[-1])), "article_id")
+    if last_part:
+        new = new.join(rows.filter(F.col("part") <= last_part).select("article_id"), "article_id", "left_anti")
+    if store.exists(REDIRECTS):
+        new = pb.pub_repoint(new, store.read(REDIRECTS))
+    counts = cnt.article_counts_incremental(store.read("counts", S.ARTICLE_COUNT), new, None)
     store.write("counts", counts)
-    store.write("count_cursor", store.spark.createDataFrame([(wm.last_id,)], CURSOR_SCHEMA))
+    store.write("count_cursor", store.spark.createDataFrame([(fresh[-1],)], CURSOR_SCHEMA))
     return True
 
 
@@ -182,7 +201,8 @@ def merge_publications(store: TableStore) -> int:
     # a -> b from before and b -> c now make a -> c
     chained = (old.alias("o").join(m.alias("m"), F.col("o.new_id") == F.col("m.old_id"), "left")
                .select(F.col("o.old_id"), F.coalesce(F.col("m.new_id"), F.col("o.new_id")).alias("new_id")))
-    store.write(REDIRECTS, chained.unionByName(m).dropDuplicates(["old_id"]))
+    store.write(REDIRECTS, chained.unionByName(m)
+                .groupBy("old_id").agg(F.min("new_id").alias("new_id")))
     store.write("feeds", pb.pub_repoint(feeds, m))
     return store.write("pubs", tb.delete_by_key(pubs, m.select(F.col("old_id").alias("pub_id")), "pub_id"))
 

@@ -36,17 +36,25 @@ def q_partial_update(spark, d):
 
 
 @query("feed_poll_update", f"""
-, {_LATEST_POLL_SQL}
+, {_LATEST_POLL_SQL},
+moves AS (SELECT feed_id, href, row_number() OVER (PARTITION BY feed_id ORDER BY fetched_at DESC, event_id) AS back
+          FROM d_poll WHERE status = 301),
+upd AS (SELECT feed_id, updated, row_number() OVER (PARTITION BY feed_id ORDER BY fetched_at DESC, event_id) AS back
+        FROM d_poll WHERE updated IS NOT NULL)
 SELECT f.feed_id,
-  CASE WHEN p.status = 301 THEN p.href ELSE f.url END AS url,
-  CASE WHEN p.status = 301 THEN f.url ELSE f.original_url END AS original_url,
+  CASE WHEN m.feed_id IS NOT NULL THEN m.href ELSE f.url END AS url,
+  CASE WHEN b.feed_id IS NOT NULL THEN b.href WHEN m.feed_id IS NOT NULL THEN f.url
+       ELSE f.original_url END AS original_url,
   CASE WHEN p.feed_id IS NULL THEN f.bozo ELSE p.bozo END AS bozo,
   CASE WHEN p.feed_id IS NULL THEN f.status ELSE coalesce(p.status, 500) END AS status,
   CASE WHEN p.feed_id IS NULL THEN f.etag ELSE p.etag END AS etag,
   {ts_sql(f"CASE WHEN p.feed_id IS NULL THEN f.last_download ELSE {SQL_NOW} END")} AS last_download,
   {ts_sql(f"CASE WHEN p.feed_id IS NULL THEN f.next_download WHEN p.bozo = 0 THEN {SQL_NOW} + INTERVAL 1 HOUR END")} AS next_download,
-  {ts_sql("coalesce(p.updated, f.updated)")} AS updated
-FROM d_feed f LEFT JOIN d_last_poll p ON f.feed_id = p.feed_id""")
+  {ts_sql("coalesce(u.updated, f.updated)")} AS updated
+FROM d_feed f LEFT JOIN d_last_poll p ON f.feed_id = p.feed_id
+LEFT JOIN moves m ON f.feed_id = m.feed_id AND m.back = 1
+LEFT JOIN moves b ON f.feed_id = b.feed_id AND b.back = 2
+LEFT JOIN upd u ON f.feed_id = u.feed_id AND u.back = 1""")
 def q_feed_poll_update(spark, d):
     out = feeds.feed_poll_update(dt.feeds(spark, d), dt.feed_polls(spark, d), NOW)
     return out.select("feed_id", "url", "original_url", "bozo", "status", "etag",

@@ -27,7 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 NOW = dt.NOW
-RUN_TS = "2024-02-01 00:00:00"
+RUN_TS = dt.RUN_TS
 
 
 def query(name: str, sql: str | None = None):

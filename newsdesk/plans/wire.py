@@ -23,9 +23,16 @@ def ingest_wire(wire_rows: DataFrame, feeds: DataFrame, run_ts, is_lexisnexis: b
 
 
 def wire_rows_from_files(df: DataFrame) -> DataFrame:
-    """Rows of the XML file source -> (a struct, seq), corrupt records out."""
+    """Rows of the XML file source -> (a struct, seq), corrupt records out
+    (``wire_rejects`` has them). ``seq`` is NULL for an id that is no number."""
     cols = [c for c in df.columns if c not in ("_corrupt_record", "source_file")]
     out = df
     if "_corrupt_record" in df.columns:
         out = out.filter(F.col("_corrupt_record").isNull())
-    return out.select(F.struct(*cols).alias("a")).withColumn("seq", F.col("a.sequenceId").cast("bigint"))
+    return out.select(F.struct(*cols).alias("a")).withColumn("seq", F.col("a.sequenceId").try_cast("bigint"))
+
+
+def wire_rejects(df: DataFrame) -> DataFrame:
+    """Records that the XML source could not read, as (record, reason)."""
+    return (df.filter(F.col("_corrupt_record").isNotNull())
+            .select(F.col("_corrupt_record").alias("record"), F.lit("Malformed article").alias("reason")))

@@ -67,6 +67,8 @@ PAGE_FETCH = _st(
 WORK = _st(
     ("article_id", S), ("feed_id", S), ("pub_id", S), ("link", S),
     ("stage", S), ("started", TS), ("last_action", TS),
+    # what the feed entry said, for the article made of it
+    ("title", S), ("author", S), ("published", S),
 )
 
 REJECT = _st(*[(f.name, f.dataType) for f in WORK.fields],

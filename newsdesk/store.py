@@ -93,6 +93,15 @@ class PartTable:
         string (no numeric inference), so names keep their sort order."""
         return f"k{part}"
 
+    def parts(self) -> list[str]:
+        """Folder values of the committed parts, in name (= time) order."""
+        fs, p = self.store._fs(self.path())
+        if not fs.exists(p):
+            return []
+        return sorted(st.getPath().getName()[len("part="):] for st in fs.listStatus(p)
+                      if st.getPath().getName().startswith("part=")
+                      and fs.exists(st.getPath().suffix("/_SUCCESS")))
+
     def append(self, df: DataFrame, part: str) -> str:
         p = f"{self.path()}/part={self.part_value(part)}"
         df.write.mode("overwrite").parquet(p)
@@ -119,10 +128,10 @@ class PartTable:
             df = df.select(*keep)
         if self.key is None:
             return df
-        return _newest_per_key(df, self.key)
+        return newest_per_key(df, self.key)
 
 
-def _newest_per_key(df: DataFrame, key: str) -> DataFrame:
+def newest_per_key(df: DataFrame, key: str) -> DataFrame:
     """One row per key from the newest part (part names sort in time order):
     a grouped max of a struct led by the part name, combined map-side."""
     from pyspark.sql import functions as F

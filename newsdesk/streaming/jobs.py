@@ -166,15 +166,16 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
     micro-batch's time from its newest harvest date. ``max_file_age`` (e.g.
     "48h") ignores older files, the cursor expiry of the reference; a fresh
     checkpoint restarts the cursor."""
-    from newsdesk.plans.wire import ingest_wire, wire_rows_from_files
+    from newsdesk.plans.wire import ingest_wire, wire_rejects, wire_rows_from_files
     src = (spark.readStream.format("xml").option("rowTag", "article")
            .option("maxFilesPerTrigger", max_files)
-           .schema(read_wire(spark, wire_dir, with_file=False, mapped=True).schema))
+           .schema(read_wire(spark, wire_dir, with_file=False).schema))
     if max_file_age:
         src = src.option("maxFileAge", max_file_age)
     src = src.load(wire_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # records and rejects from one parse
         rows = wire_rows_from_files(batch).persist(StorageLevel.MEMORY_AND_DISK)
         ts = run_ts
         if ts is None:
@@ -193,8 +194,10 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
         new_feeds.write.mode("overwrite").parquet(_batch_dir(ptable, batch_id))
         new_pubs.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "_parents_pubs"), batch_id))
         arts.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "articles"), batch_id))
+        wire_rejects(batch).write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "rejects"), batch_id))
         cached.unpersist()
         rows.unpersist()
+        batch.unpersist()
 
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")
@@ -214,8 +217,9 @@ def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame,
     against the stored urls, narrowed to the batch's urls (a scan of the
     store's url column, no shuffle of the store); ``"state"`` keeps the urls
     in RocksDB keyed state and drops later copies before extraction (no
-    scan, and duplicates never reach the UDFs, but they leave no reject
-    row)."""
+    scan, and duplicates never reach the UDFs; they leave no reject row).
+    Both save the same urls: only a page that passes the checks and has a
+    publication claims its url."""
     from newsdesk.plans.rss import process_pages
     r = spark.readStream.schema(S.PAGE_FETCH)
     if max_files:
@@ -223,7 +227,14 @@ def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame,
     pages = r.format(fmt).load(pages_dir)
     if url_history == "state":
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        pages = art.resolve_links(pages).dropDuplicates(["url"]).drop("url")
+        # only a page that will be saved claims its url: a refused one or one
+        # without a publication has a claim of its own and goes on to its reject
+        known = pubs_table.select("pub_id", F.lit(True).alias("_known")).dropDuplicates(["pub_id"])
+        p = art.has_html(art.page_validate(art.resolve_links(pages), size_limit)).join(known, "pub_id", "left")
+        saved = F.col("reject_reason").isNull() & F.col("_known").isNotNull() & F.col("url").isNotNull()
+        pages = (p.withColumn("claim", F.when(saved, F.struct(F.lit("url").alias("kind"), F.col("url").alias("of")))
+                              .otherwise(F.struct(F.lit("page").alias("kind"), F.col("article_id").alias("of"))))
+                 .dropDuplicates(["claim"]).select(*S.PAGE_FETCH.names))
     elif url_history != "store":
         raise ValueError(f"url_history must be 'store' or 'state', not {url_history!r}")
 
@@ -257,7 +268,7 @@ def stream_wire_archive(spark: SparkSession, wire_dir: str, archive_path: str, c
                    F.col("_metadata.file_modification_time").alias("fetched_at")))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        archive_wire(batch, os.path.join(archive_path, f"batch={batch_id:012d}"))
+        archive_wire(batch, os.path.join(archive_path, f"batch={batch_id:012d}"), mode="overwrite")
 
     w = raw.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")
