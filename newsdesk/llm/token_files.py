@@ -41,7 +41,7 @@ from newsdesk.llm.common import partitions, settled
 from newsdesk.llm.tokens import as_array, encoder
 from newsdesk.session import ensure_checkpoint_dir
 
-BLOCK, LANES, EVERY = 1 << 18, 1024, 128
+BLOCK, LANES, EVERY = 1 << 18, 2048, 64
 SCALE = 18  # bits of the frequencies' sum
 LOW = 31  # a state is in [2**31, 2**63) between steps
 HEAD = struct.Struct("<4s6I")
@@ -135,32 +135,34 @@ def decode_block(block: bytes, table: Table, symbols: np.ndarray, first: int = 0
 
 def encoded_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id, crc (of the narrow ids), ids as uint16 where the vocabulary
-    allows it, else as uint32; the end id closes each."""
+    allows it, else as uint32; the end id closes each. One row more for each
+    partition, of width 0, has how often each id (``id``, ``n``) occurs in it."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
         narrow = "<u2" if enc.tokenizer.get_vocab_size(True) <= 1 << 16 and end_id < 1 << 16 else "<u4"
         end = np.array([end_id], "<u4").tobytes()
+        total = np.zeros(max(enc.tokenizer.get_vocab_size(True), end_id + 1), np.int64)
         for b in batches:
-            ids = [as_array(enc.ids(t) + end).astype(narrow).tobytes() for t in b["text"].tolist()]
+            ids = [as_array(enc.ids(t) + end).astype(narrow) for t in b["text"].tolist()]
+            for part in ids:
+                if len(part) > 4096:
+                    total += np.bincount(part, minlength=len(total))
+            if short := [part for part in ids if len(part) <= 4096]:
+                total += np.bincount(np.concatenate(short), minlength=len(total))
+            ids = [part.tobytes() for part in ids]
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "crc": list(map(zlib.crc32, ids)), "ids": ids,
-                                "width": int(narrow[-1])})
+                                "width": int(narrow[-1]), "id": None, "n": None})
+        has = np.flatnonzero(total)
+        yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "crc": [0], "ids": [b""], "width": [0], "id": [has], "n": [total[has]]})
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
-        run, "doc_id long, crc long, ids binary, width int")
+        run, "doc_id long, crc long, ids binary, width int, id array<int>, n array<long>")
 
 
 def counts(ids: DataFrame) -> DataFrame:
     """id, n: how often each id occurs, over all documents."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, np.int64)
-        for b in batches:
-            got = np.bincount(np.concatenate([np.frombuffer(i, f"<u{w}") for i, w in zip(b["ids"], b["width"])]))
-            total = np.pad(total, (0, max(0, len(got) - len(total))))
-            total[:len(got)] += got
-        has = np.flatnonzero(total)
-        yield pd.DataFrame({"id": has, "n": total[has]})
-
-    return ids.select("ids", "width").mapInPandas(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return (ids.where("width = 0").select(F.explode(F.arrays_zip("id", "n")).alias("x"))
+            .groupBy("x.id").agg(F.sum("x.n").alias("n")))
 
 
 def write(docs: DataFrame, path: str, to: str, end_id: int = 2) -> None:
@@ -194,7 +196,8 @@ def write(docs: DataFrame, path: str, to: str, end_id: int = 2) -> None:
         if held:
             yield cut()
 
-    (ids.repartitionByRange(partitions(spark), "doc_id", "crc").sortWithinPartitions("doc_id", "crc")
+    (ids.where("width > 0").select("doc_id", "crc", "ids", "width")
+     .repartitionByRange(partitions(spark), "doc_id", "crc").sortWithinPartitions("doc_id", "crc")
      .mapInPandas(blocks, BLOCKS).write.parquet(f"{to}/blocks"))
 
 

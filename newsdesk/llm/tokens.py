@@ -59,7 +59,11 @@ class Encoder(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         if self.plain.match(chunk):  # one pre-token: straight to the merges
-            text = (chunk.lower() if self.lowers else chunk).encode().decode("latin-1").translate(self.shown)
+            text = chunk.lower() if self.lowers else chunk
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(self.shown)
+            elif text[0] == " ":
+                text = self.shown[32] + text[1:]
             found = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
         else:
             found = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
