@@ -210,7 +210,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         freq[r["id"]] = r["freq"]
     files = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     size = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
-    # one row for each shard: as many as the write had partitions
+    # one row for each shard, as many as the write had partitions: small enough to broadcast, so blocks aren't shuffled
     shards = files.groupBy("shard").agg(F.sum(size).alias("n")).select(
         "shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
 
@@ -226,7 +226,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     "start": at + ends - lengths, "n_tokens": lengths,
                     "ids": [p.tobytes() for p in np.split(ids, ends[:-1])]})
 
-    return (files.join(shards, "shard").select((F.col("start") + F.col("before")).alias("start"), "doc_ids", "lengths", "bytes")
+    return (files.join(F.broadcast(shards), "shard").select((F.col("start") + F.col("before")).alias("start"), "doc_ids", "lengths", "bytes")
             .mapInPandas(run, "doc_id long, start long, n_tokens long, ids binary"))
 
 
