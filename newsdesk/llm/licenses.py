@@ -1,19 +1,20 @@
-"""Licence scans: a trained paragraph classifier, in DataFrame functions only.
+"""Licence scans: a trained paragraph classifier, in DataFrame functions and Spark ML.
 
-A paragraph is a line of a text. Its words and pairs of neighbouring words are
-the features of a multinomial logistic regression over licence families and
+A paragraph is a line of a text, or a run of two and more lines between blank
+ones (a notice wrapped over lines); both are scored, and come out if found. Its words and pairs of neighbouring words
+are the features of a multinomial logistic regression over licence families and
 "none", trained on variants of the templates below and on a bounded sample of
-the corpus' paragraphs (those unlike every template are "none"). The largest
-family probability that a held-out part of the sample gets, though it is none,
-sets the cutoff; a paragraph under it that is no clear "none" either is the
-class "unknown". The words a prediction shares with the family's nearest
-template (Jaccard of the word sets) confirm it.
-
-A paragraph without any of the templates' long words is "none" without further
-work: that is the model's first test, and holds in training as well.
-
-Fitting reads at most ``SAMPLE`` paragraphs (those with the smallest hashes);
-all paragraphs of all texts are scanned.
+the corpus' paragraphs (those unlike every template, that hold no larger part
+of one and no word of ``NAMES``, are "none"). The largest family probability that a held-out part of
+the sample gets, though it is none, sets the cutoff; a paragraph under it that
+is no clear "none" either is the class "unknown", and so is one that has none of
+the words by which the family's nearest template differs from other families'.
+The words a prediction shares with that template (Jaccard of the word sets)
+confirm it.
+
+The model scores every paragraph of every text. Fitting reads at most ``SAMPLE``
+paragraphs, half of them with a long word of the templates; they are taken from
+those with the smallest hashes.
 
 Defined results: null, empty and blank texts have no paragraphs; repeated rows
 get rows each; a null doc_id stays null; without rows there are no results.
@@ -22,15 +23,18 @@ Columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newsdesk.llm.common import settled
+from newsdesk.llm.common import partitions, settled
 
 SAMPLE, FEATURES, VARIANTS, CONFIRMED = 4000, 20_000, 12, 0.5
+DRAWN = 64  # paragraphs looked at for each one of the sample
 NONE, UNKNOWN = "none", "unknown"
 
 # Notices of the licences, as their publishers word them.
@@ -52,9 +56,31 @@ TEMPLATES = {
 }
 
 
+# The licences' short names, and notices that hold one.
+SHORT = {
+    "MIT": ["MIT"],
+    "Apache-2.0": ["Apache", "Apache-2.0"],
+    "GPL-3.0": ["GPL-3.0-or-later", "GPL-3.0-only", "GPLv3", "GPLv3 or later"],
+    "BSD": ["BSD", "BSD-3-Clause", "BSD-2-Clause"],
+    "CC-BY-NC": ["CC-BY-NC-4.0"],
+    "CC-BY": ["CC-BY-4.0"],
+    "CC0": ["CC0-1.0"],
+}
+NAMES = ["gnu", "gpl", "gplv3", "spdx", "bsd", "cc0"]  # words of no other use
+NOTICES = ["{}", "SPDX-License-Identifier: {}", "Code is {}.", "{}-licensed", "Licensed under {}", "Distributed under {}",
+           "Distributed under the {} license"]
+
+
+def notices() -> list[tuple[str, str]]:
+    """(family, template): the templates, and the notices of the short names."""
+    return ([(f, t) for f, ts in TEMPLATES.items() for t in ts]
+            + [(f, n.format(x)) for f, names in SHORT.items() for x in names for n in NOTICES])
+
+
 def words(text) -> Column:
-    """Lower-case words of letters, digits and inner dots or hyphens."""
-    return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.\-]+|\.(?=\s|$)", " "), " "), lambda w: w != "")
+    """Lower-case words of letters, digits and inner dots; licence as license."""
+    cut = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.]+|\.(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])\.", " ")
+    return F.filter(F.split(F.replace(cut, F.lit("licenc"), F.lit("licens")), " "), lambda w: w != "")
 
 
 def grams(w: str) -> Column:
@@ -63,32 +89,39 @@ def grams(w: str) -> Column:
 
 
 def _templates(spark: SparkSession) -> DataFrame:
-    rows = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
-    return spark.createDataFrame(rows, "family string, template string").withColumn("words", words("template"))
+    """family, template, words, and own: the words with a letter that no other
+    family's templates have."""
+    found = [(f, t, set(re.findall(r"[^\W_]+(?:\.[^\W_]+)*", t.lower()))) for f, t in notices()]
+    rows = [(f, t, sorted(x for x in w if re.search(r"[^\W\d_]", x) and not any(x in v for g, _, v in found if g != f))) for f, t, w in found]
+    return spark.createDataFrame(rows, "family string, template string, own array<string>").withColumn("words", words("template"))
 
 
 def _variants(spark: SparkSession) -> DataFrame:
     """The templates with some words left out, the same ones each time."""
     rows = []
-    for f, ts in TEMPLATES.items():
-        for t in ts:
-            w = t.split()
-            rows += [(f, " ".join(x for i, x in enumerate(w) if v == 0 or zlib.crc32(f"{t}{v}{i}".encode()) % 10 >= 2)) for v in range(VARIANTS)]
+    for f, t in notices():
+        w = t.split()
+        rows += [(f, " ".join(x for i, x in enumerate(w) if v == 0 or len(w) < 4 or zlib.crc32(f"{t}{v}{i}".encode()) % 10 >= 2)) for v in range(VARIANTS)]
     return spark.createDataFrame(rows, "family string, text string").select("family", words("text").alias("words"))
 
 
 def evidence() -> list[str]:
     """The templates' words of six letters and more, and their short names."""
-    found = {w.strip(".,:;()\"").lower() for ts in TEMPLATES.values() for t in ts for w in t.replace("/", " ").split()}
-    return sorted({w for w in found if len(w) >= 6 and w.isalpha()} | {"mit", "gnu", "bsd", "cc", "cc0", "rights"})
+    found = {w.strip(".,:;()\"").lower() for _, t in notices() for w in t.replace("/", " ").replace("-", " ").split()}
+    return sorted({w for w in found if len(w) >= 6 and w.isalpha()} | {*NAMES, "mit", "cc", "rights"})
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """row, doc_id, paragraph, words: those with a word of the evidence."""
-    each = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
-                       F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("paragraph", "line"))
-    return each.select("row", "doc_id", "paragraph", words("line").alias("words")).where(
-        F.arrays_overlap("words", F.array(*map(F.lit, evidence()))))
+    """doc_id, paragraph (number of its first line), lines (how many), text."""
+    d = docs.select(F.col("doc_id").cast("long"), F.split(F.col("text").cast("string"), "\n").alias("split"))
+    blank = F.filter(F.transform("split", lambda x, i: F.when(x.rlike(r"^\s*$"), i)), lambda i: i.isNotNull())
+    d = d.withColumn("ends", F.concat(F.array(F.lit(-1)), blank, F.array(F.size("split"))))
+    runs = F.transform("ends", lambda e, i: F.struct((e + 1).alias("paragraph"), (F.get("ends", i + 1) - e - 1).alias("lines")))
+    d = d.withColumn("runs", F.filter(runs, lambda r: r["lines"] > 1))
+    single = F.transform("split", lambda x, i: F.struct(i.alias("paragraph"), F.lit(1).alias("lines"), x.alias("text")))
+    run = F.transform("runs", lambda r: F.struct(r["paragraph"].alias("paragraph"), r["lines"].alias("lines"),
+                                                 F.array_join(F.slice("split", r["paragraph"] + 1, r["lines"]), " ").alias("text")))
+    return d.select("doc_id", F.explode(F.concat(single, run)).alias("x")).select("doc_id", "x.*")
 
 
 def _likeness(a, b) -> Column:
@@ -96,58 +129,77 @@ def _likeness(a, b) -> Column:
     return common / (F.size(F.array_distinct(a)) + F.size(F.array_distinct(b)) - common)
 
 
-def train(found: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, list[str], list[float], float]:
-    """weights (gram, w: an array by family), the families, their intercepts,
-    and the cutoff of the unknown class."""
-    spark = found.sparkSession
-    templates = _templates(spark)
-    # a bounded sample against a few templates; the family is the nearest one's
-    drawn = found.select("words").distinct().orderBy(F.xxhash64("words"), "words").limit(sample)
-    near = (drawn.crossJoin(F.broadcast(templates.select("family", F.col("words").alias("t"))))
-            .groupBy("words").agg(F.max(F.struct(_likeness("words", "t").alias("like"), "family")).alias("best")))
-    drawn = settled(near.select(F.when(F.col("best.like") >= 0.8, F.col("best.family")).when(F.col("best.like") < 0.34, F.lit(NONE))
-                                .alias("family"), "words").where("family is not null"), "license-sample")
+def _sample(docs: DataFrame, sample: int) -> DataFrame:
+    """words of at most ``sample`` distinct paragraphs."""
+    found = paragraphs(docs).select("text", F.xxhash64("text").alias("hash")).where(~F.col("text").rlike(r"^\s*$"))
+    share = min(1.0, DRAWN * sample / max(1, found.count()))
+    drawn = found.where(F.pmod("hash", F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select(words("text").alias("words"))
+    drawn = settled(drawn.where(F.size("words") > 0).distinct().withColumn("hash", F.xxhash64("words")), "license-drawn")
+    told = F.arrays_overlap("words", F.array(*map(F.lit, evidence())))
+    half = [drawn.where(x).orderBy("hash", "words").limit(sample // 2) for x in (told, ~told)]
+    return half[0].unionByName(half[1]).select("words")
+
+
+def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[CountVectorizerModel, LogisticRegressionModel, list[str], float]:
+    """The features' and the families' model, the families, and the cutoff of
+    the unknown class."""
+    spark = docs.sparkSession
+    t = _templates(spark).select("family", F.array_distinct("words").alias("words"), grams("words").alias("grams"))
+    t = t.agg(F.collect_list(F.struct("family", "words", "grams")).alias("templates"))
+    # a bounded sample against the templates; the family is the nearest one's
+    drawn = settled(_sample(docs, sample), "license-sample").repartition(partitions(spark)).withColumn("g", F.array_distinct(grams("words")))
+    # what no template has can be in no intersection
+    drawn = settled(drawn.crossJoin(F.broadcast(t)).select(  # one row
+        "words", F.arrays_overlap("words", F.array(*map(F.lit, NAMES))).alias("says"), F.size("g").alias("n_grams"), F.size(F.array_distinct("words")).alias("n_words"),
+        F.array_intersect("g", F.flatten("templates.grams")).alias("both")), "license-shared").crossJoin(F.broadcast(t))
+    of = lambda x: F.size(F.array_intersect("both", x))
+    near = drawn.withColumn("best", F.array_max(F.transform("templates", lambda x: F.struct(
+        (of(x["words"]) / (F.col("n_words") + F.size(x["words"]) - of(x["words"]))).alias("like"), x["family"].alias("family")))))
+    near = near.withColumn("part", F.array_max(F.transform("templates", lambda x: of(x["grams"]))) / F.col("n_grams"))
+    drawn = settled(near.select(F.when(F.col("best.like") >= 0.8, F.col("best.family"))
+                                .when((F.col("best.like") < 0.34) & (F.col("part") < 0.5) & ~F.col("says"), F.lit(NONE))
+                                .alias("family"), "words").where("family is not null"), "license-labelled")
     held = F.pmod(F.xxhash64("words"), F.lit(4)) == 0
-    rows = _variants(spark).unionByName(drawn.where(~held)).unionByName(spark.createDataFrame([(NONE, [])], "family string, words array<string>"))
+    rows = _variants(spark).unionByName(drawn.where(~held)).unionByName(spark.createDataFrame(
+        [(NONE, [])] * VARIANTS * len(TEMPLATES), "family string, words array<string>"))
     names = [*TEMPLATES, NONE]
     label = F.array_position(F.array(*map(F.lit, names)), F.col("family")).cast("double") - 1
-    rows = rows.select(label.alias("label"), grams("words").alias("grams")).cache()
+    rows = rows.select(label.alias("label"), grams("words").alias("grams")).coalesce(8).cache()
     try:
         counter = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=FEATURES, minDF=2, binary=True).fit(rows)
         model = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60).fit(counter.transform(rows))
     finally:
         rows.unpersist()
-    matrix, vocab = model.coefficientMatrix.toArray(), counter.vocabulary
-    weights = spark.createDataFrame([(g, [float(x) for x in matrix[:, i]]) for i, g in enumerate(vocab)], "gram string, w array<double>")
-    bias = [float(x) for x in model.interceptVector]
-    test = scores(drawn.where(held & (F.col("family") == NONE)).select(
-        F.monotonically_increasing_id().alias("row"), F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("paragraph"), "words"), weights, names, bias)
-    worst = test.agg(F.max("probability")).first()[0]
-    return weights, names, bias, min(0.95, max(0.5, worst or 0.0))
-
-
-def scores(found: DataFrame, weights: DataFrame, names: list[str], bias: list[float]) -> DataFrame:
-    """Per paragraph: the likeliest family, its probability, and that of none."""
-    each = found.select("row", "doc_id", "paragraph", F.explode(F.array_distinct(grams("words"))).alias("gram")).join(F.broadcast(weights), "gram", "left")
-    logits = [F.sum(F.coalesce(F.get("w", F.lit(i)), F.lit(0.0))) + b for i, b in enumerate(bias)]
-    s = each.groupBy("row", "doc_id", "paragraph").agg(F.array(*logits).alias("z"))
-    s = s.withColumn("e", F.transform("z", lambda z: F.exp(z - F.array_max("z"))))
-    s = s.withColumn("p", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, y: a + y)))
-    family = F.slice("p", 1, len(names) - 1)
-    return s.select("row", "doc_id", "paragraph", F.array_max(family).alias("probability"), F.get("p", F.lit(len(names) - 1)).alias("none"),
-                    F.get(F.array(*map(F.lit, names)), F.array_position(family, F.array_max(family)).cast("int") - 1).alias("family"))
+    model = model.setRawPredictionCol("").setPredictionCol("")
+    test = probabilities(drawn.where(held & (F.col("family") == NONE)), counter, model)
+    worst = test.agg(F.max(F.array_max(F.slice("p", 1, len(names) - 1)))).first()[0]
+    return counter, model, names, min(0.95, max(0.5, worst or 0.0))
+
+
+def probabilities(rows: DataFrame, counter: CountVectorizerModel, model: LogisticRegressionModel) -> DataFrame:
+    """The rows with p: the probabilities of the families and of none."""
+    found = model.transform(counter.transform(rows.withColumn("grams", grams("words"))))
+    return found.withColumn("p", vector_to_array("probability")).drop("grams", "features", "probability")
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Per licence paragraph: doc_id, paragraph (line number from 0), family
-    (or unknown), probability, likeness (to its nearest template), confirmed."""
-    found = settled(paragraphs(docs), "paragraphs")
-    weights, names, bias, cutoff = train(found)
-    s = scores(found, weights, names, bias).where(F.greatest("probability", 1 - F.col("none")) >= 0.5)
-    told = s.join(found.select("row", "paragraph", "words"), ["row", "paragraph"])
-    near = told.join(F.broadcast(_templates(docs.sparkSession).select("family", F.col("words").alias("t"))), "family")
-    out = near.groupBy("row", "doc_id", "paragraph", "family", "probability").agg(F.max(_likeness("words", "t")).alias("likeness"))
-    sure = F.col("probability") >= cutoff
-    return out.select("doc_id", "paragraph", F.when(sure, F.col("family")).otherwise(UNKNOWN).alias("family"),
+    """Per licence paragraph: doc_id, paragraph (line number from 0), lines,
+    family (or unknown), probability, likeness (to its nearest template),
+    confirmed."""
+    counter, model, names, cutoff = train(docs)
+    s = probabilities(paragraphs(docs).select("doc_id", "paragraph", "lines", words("text").alias("words")), counter, model)
+    # a generator, not a filter: a filter would move below and repeat the scoring
+    s = s.select("doc_id", "paragraph", "lines", "words", F.explode(F.filter(
+        F.array("p"), lambda p: F.get(p, F.lit(len(names) - 1)) <= 0.5)).alias("p")).where(F.size("words") > 0)
+    family = F.slice("p", 1, len(names) - 1)
+    s = s.withColumn("probability", F.array_max(family)).withColumn(
+        "family", F.get(F.array(*map(F.lit, names)), F.array_position(family, F.array_max(family)).cast("int") - 1))
+    told = settled(s.drop("p").withColumn("row", F.monotonically_increasing_id()), "license-found")
+    near = told.join(F.broadcast(_templates(docs.sparkSession).select("family", "own", F.col("words").alias("t"))), "family")
+    named = (F.size("own") == 0) | F.arrays_overlap("words", "own")
+    out = near.groupBy("row", "doc_id", "paragraph", "lines", "family", "probability").agg(
+        F.max(F.struct(_likeness("words", "t").alias("likeness"), named.alias("named"))).alias("best")).select("*", "best.likeness")
+    sure = (F.col("probability") >= cutoff) & F.col("best.named")
+    return out.select("doc_id", "paragraph", "lines", F.when(sure, F.col("family")).otherwise(UNKNOWN).alias("family"),
                       F.round("probability", 6).alias("probability"), F.round("likeness", 6).alias("likeness"),
                       (sure & (F.col("likeness") >= CONFIRMED)).alias("confirmed"))

@@ -267,6 +267,18 @@ def test_licenses(spark, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_licenses_short_names_and_wrapped_notices(spark):
+    wrapped = licenses.TEMPLATES["BSD"][0].replace(", ", ",\n# ").replace("provided", "provided\n#")
+    rows = [(1, "Code is CC-BY-4.0."), (2, "SPDX-License-Identifier: Apache-2.0"), (3, "GPLv3 or later"), (4, "MIT-licensed"),
+            (5, "Distributed under MPL 2.0"), (6, f"some words here\n\n# {wrapped}\n\nmore words"), (7, "This programme has a BSD licence")]
+    rows += [(100 + k, " ".join(f"v{(k * i) % 97}" for i in range(1, 30))) for k in range(200)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {(r.doc_id, r.paragraph, r.lines): (r.family, r.confirmed) for r in found}
+    assert [got[d, 0, 1] for d in (1, 2, 3, 4)] == [("CC-BY", True), ("Apache-2.0", True), ("GPL-3.0", True), ("MIT", True)]
+    assert got[5, 0, 1] == (licenses.UNKNOWN, False) and got[6, 2, wrapped.count("\n") + 1] == ("BSD", True)
+    assert (7, 0, 1) in got and not [k for k in got if k[0] >= 100]
+
+
 def test_pipeline_small(spark):
     import corpus_pipeline
     sf = "/root/testdata/sf0.001"
