@@ -1,8 +1,8 @@
 """Chat formatting by quotation linking.
 
 Lines that begin with ``>`` are quotes, one level for each sign. Runs of lines
-of one level are a passage; its text, in lower case with single spaces, is
-hashed, as is each of its lines. The same hashes of the messages' own lines,
+of one level are a passage, and so are its paragraphs between blank quoted lines;
+its text, in lower case with single spaces, is hashed, as is each line. The same hashes of the messages' own lines,
 paragraphs and whole texts are the originals; a hash of a quote belongs to the
 latest message before it in the conversation that has it as its own. A message
 replies to the message that most of its shallowest linked quotes belong to (a
@@ -57,15 +57,23 @@ def linked(messages: DataFrame) -> DataFrame:
                      .withColumn("own", _own_text(F.col("lines"))).drop("text"), "messages")
     keyed = parsed.where("conv_id is not null and turn is not null")
 
-    # quotes: runs of one level in a row, and their lines
-    each = (keyed.where("n_quoted > 0").select(*KEYS, F.monotonically_increasing_id().alias("row"), F.posexplode("lines").alias("at", "line"))
+    # quotes: runs of one level in a row, their paragraphs and their lines
+    # the row's number comes before the explode: beside it each line would get its own
+    each = (keyed.where("n_quoted > 0").select(*KEYS, F.monotonically_increasing_id().alias("row"), "lines")
+            .select(*KEYS, "row", F.posexplode("lines").alias("at", "line"))
             .select(*KEYS, "row", "at", "line.level", _plain(F.col("line.text")).alias("text")))
     of = Window.partitionBy("row").orderBy("at")
     each = each.withColumn("run", F.sum((F.col("level") != F.lag("level", 1, -1).over(of)).cast("int")).over(of))
-    passages = each.where("level > 0 and text <> ''").groupBy(*KEYS, "row", "run", "level").agg(
+    each = each.withColumn("para", F.sum((F.col("text") == "").cast("int")).over(of))
+    parts = each.where("level > 0 and text <> ''").groupBy(*KEYS, "row", "run", "level", "para").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), " ").alias("text"),
         F.count("*").alias("weight"))
-    quotes = settled(passages.select(*KEYS, "level", "text", "weight").unionByName(
+    runs = parts.groupBy(*KEYS, "row", "run", "level").agg(
+        F.array_sort(F.collect_list(F.struct("para", "text", "weight"))).alias("parts"), F.sum("weight").alias("weight"))
+    whole = F.array(F.struct(F.array_join(F.transform("parts", lambda x: x["text"]), " ").alias("text"), F.col("weight").alias("weight")))
+    inner = F.transform("parts", lambda x: F.struct(x["text"].alias("text"), x["weight"].alias("weight")))
+    passages = runs.select(*KEYS, "level", F.explode(F.when(F.size("parts") > 1, F.concat(whole, inner)).otherwise(whole)).alias("x"))
+    quotes = settled(passages.select(*KEYS, "level", "x.text", "x.weight").unionByName(
         each.where("level > 0 and text <> ''").select(*KEYS, "level", "text", F.lit(1).cast("long").alias("weight")))
         .select(*KEYS, "level", F.xxhash64("text").alias("hash"), "weight"), "quotes")
 

@@ -258,6 +258,15 @@ def test_quotes(spark):
     assert quotes.linked(m.where("false")).count() == 0
 
 
+def test_quotes_of_wrapped_paragraphs(spark):
+    first = "One two three four\nfive six.\n\nSeven eight nine\nten.\n\nEleven twelve."
+    rows = [(1, 0, "u", first), (1, 1, "a", "No quote here."),
+            (1, 2, "u", "> One two\n> three four five six.\n>\n> Eleven\n> twelve.\nYes"), (1, 3, "a", "> Seven\n> eight nine ten.\n>\n> not said\nNo")]
+    got = {r.turn: (r.parent_turn, r.root_turn, r.depth) for r in quotes.linked(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {0: (None, 0, 0), 1: (None, 1, 0), 2: (0, 0, 1), 3: (0, 0, 1)}
+
+
 def test_licenses(spark, none):
     text = "some ordinary words here\nReleased under the MIT License.\nAll rights reserved.\nthe public library reserved a table"
     rows = [(1, text), (1, text), (2, None), (3, ""), (None, "Licensed under CC BY-NC 4.0.")]
