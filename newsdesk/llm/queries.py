@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsdesk.llm import bpe_tree, language_model, licenses, neardup, packing, quality, quotes, search, token_files, toxicity
+from newsdesk.llm import (bpe_tree, language_model, licenses, neardup, packing, prefix_trie, quality, quotes, search, token_files,
+                          toxicity)
 from newsdesk.llm.common import fold_of, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,8 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_prefix_trie(table(spark, sf_dir, "conversations"))
