@@ -131,7 +131,8 @@ def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 key, digest = (depth, k1, k2), hashlib.sha256(str(conv).encode())
             else:
                 digest.update(f",{conv}".encode())
-        yield pd.DataFrame(done, columns=[*_NODE, "ends_sha256"])
+        if done:
+            yield pd.DataFrame(done, columns=[*_NODE, "ends_sha256"])
     if key:
         yield pd.DataFrame([(*key, digest.hexdigest())], columns=[*_NODE, "ends_sha256"])
 
