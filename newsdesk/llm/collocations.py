@@ -45,10 +45,10 @@ from newsdesk.session import ensure_checkpoint_dir
 
 LONGEST, THRESHOLD, TOP = 4, 30, 2000
 SHARDS, BITS = 3, 26
-TOKENS = 4_000_000
+TOKENS = 3_000_000
 _NEVER = 2 ** 15 - 1
 _SEED = np.uint64(0x9E3779B97F4A7C15)
-_ENDS = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"........." )
+_ENDS = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b".........")
 
 
 def _word_hash(lang: str, word: bytes) -> int:
@@ -110,11 +110,10 @@ def _counted(step: int, shards: int, maps: dict):
             of = np.flatnonzero(n)
             yield of[:, None], n[of], np.zeros(len(of), np.int16)
         at, code = np.arange(len(ids)), ids  # occurrences, and which phrase each is
-        phrase, h, from_ = np.arange(size)[:, None], _joined(np.uint64(0), hashes), None
+        phrase, h, activated = np.arange(size)[:, None], _joined(np.uint64(0), hashes), np.zeros(size, np.int16)
+        activated[0] = _NEVER
         for length in range(2, LONGEST + 1):
-            known_from = since(h)
-            if length == 2:
-                known_from[0] = _NEVER
+            known_from = np.maximum(since(h), activated)  # another phrase may have set the bit earlier
             reached = np.full(len(ids) + 1, _NEVER, np.int16)
             reached[at] = known_from[code]
             which = np.zeros(len(ids), np.int64)
@@ -133,11 +132,10 @@ def _counted(step: int, shards: int, maps: dict):
     def rows(ids: list[np.ndarray], known: list) -> Iterator[pa.RecordBatch]:
         langs = np.array(["", *(x[0] for x in known)], object)
         names = np.array(["", *(x[1].decode("utf-8") for x in known)], object)
-        all_ = np.concatenate(ids)
-        if step < shards:
-            words = pd.Series(langs[all_[all_ > 0]]).value_counts()
-            yield batch(words.index.to_numpy(object), np.full(len(words), "", object), words.to_numpy(), np.zeros(len(words)))
-        for phrase, n, activated in counts(all_, known):
+        for phrase, n, activated in counts(np.concatenate(ids), known):
+            if phrase.shape[1] == 1:
+                words = pd.Series(n).groupby(langs[phrase[:, 0]]).sum()
+                yield batch(words.index.to_numpy(object), np.full(len(words), "", object), words.to_numpy(), np.zeros(len(words)))
             for k in range(0, len(n), 100_000):
                 of = phrase[k:k + 100_000]
                 text = names[of[:, 0]]
@@ -152,8 +150,9 @@ def _counted(step: int, shards: int, maps: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, total, words, known = [], 0, {}, []
         for b in batches:
-            ids += _numbers(b.column("lang").to_pylist(), b.column("text").to_pylist(), words, known)
-            total = sum(map(len, ids[-len(words):])) + total
+            more = _numbers(b.column("lang").to_pylist(), b.column("text").to_pylist(), words, known)
+            ids += more
+            total += sum(map(len, more))
             if total >= TOKENS:
                 yield from rows(ids, known)
                 ids, total, words, known = [], 0, {}, []
@@ -162,17 +161,19 @@ def _counted(step: int, shards: int, maps: dict):
     return run
 
 
-def _bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _bits(bits: int):
     """(slot, bits) of the phrases that reached the threshold."""
-    for b in batches:
-        h = []
-        for lang, phrase in zip(b["lang"].tolist(), b["phrase"].tolist()):
-            x = np.uint64(0)
-            for word in phrase.encode("utf-8").split(b" "):
-                x = _joined(np.array([x]), np.uint64(_word_hash(lang, word)))[0]
-            h.append(x)
-        place = np.array(h, np.uint64) >> np.uint64(64 - BITS)
-        yield pd.DataFrame({"slot": (place >> np.uint64(6)).astype(np.int64), "bits": (np.uint64(1) << (place & np.uint64(63))).view(np.int64)})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            words = [p.encode("utf-8").split(b" ") for p in b["phrase"].tolist()]
+            h = np.zeros(len(words), np.uint64)
+            for k in range(max(map(len, words), default=0)):
+                of = np.array([i for i, w in enumerate(words) if len(w) > k])
+                langs = b["lang"].tolist()
+                h[of] = _joined(h[of], np.array([_word_hash(langs[i], words[i][k]) for i in of.tolist()], np.uint64))
+            place = h >> np.uint64(64 - bits)
+            yield pd.DataFrame({"slot": (place >> np.uint64(6)).astype(np.int64), "bits": (np.uint64(1) << (place & np.uint64(63))).view(np.int64)})
+    return run
 
 
 def _words_of(phrase: str) -> Column:
@@ -202,7 +203,7 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, shards: int | None = N
         active = F.col("since") + shards > step + 1
         counters = settled(summed.where(active | (F.col("n") >= threshold) | (F.col("phrase") == "")), f"scan-{step}")
         reached = counters.where((F.col("n") >= threshold) & (F.col("phrase") != "") & (F.size(_words_of("phrase")) < LONGEST))
-        slots = (reached.select("lang", "phrase").mapInPandas(_bits, "slot long, bits long")
+        slots = (reached.select("lang", "phrase").mapInPandas(_bits(BITS), "slot long, bits long")
                  .groupBy("slot").agg(F.bit_or("bits").alias("bits")).toPandas())
         step += 1
         maps[step] = np.zeros(2 ** BITS // 64, np.uint64)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsdesk.llm import (bpe_tree, language_model, licenses, neardup, packing, prefix_trie, quality, quotes, search, suffix_dedup,
-                          token_files, toxicity)
+from newsdesk.llm import (bpe_tree, collocations, language_model, licenses, neardup, packing, prefix_trie, quality, quotes, search,
+                          suffix_dedup, token_files, toxicity)
 from newsdesk.llm.common import fold_of, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
