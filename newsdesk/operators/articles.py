@@ -10,6 +10,7 @@ from newsdesk.functions.urls import clean_url, resolve_url
 from newsdesk.operators.tables import upsert
 
 from newsdesk.fixed import BAD_CONTENT_TYPES, RSS_ORIGIN, SIZE_LIMIT, WIRE_ORIGINS
+NO_PUB, DUPLICATE = "No pub found", "Article URL already exists"
 RULE_COLS = ["xpath_body", "xpath_author", "xpath_date", "xpath_title"]
 
 
@@ -48,12 +49,17 @@ def article_pub_rules(articles: DataFrame, pubs: DataFrame) -> DataFrame:
     pub side, and keeps the shuffle join when it is large."""
     rules = pubs.select("pub_id", *RULE_COLS, F.lit(True).alias("_pub_found"))
     j = articles.join(rules, "pub_id", "left")
-    reason = F.when(F.col("_pub_found").isNull(), F.lit("No pub found"))
+    reason = F.when(F.col("_pub_found").isNull(), F.lit(NO_PUB))
     if "reject_reason" in articles.columns:
         reason = F.coalesce(F.col("reject_reason"), reason)
     return j.withColumn("reject_reason", reason).drop("_pub_found")
 
 
+def pubs_with_rules(pubs: DataFrame) -> DataFrame:
+    """The publications that have any rule: pub_id and the four lists."""
+    return pubs.filter(" OR ".join(f"size({c}) > 0" for c in RULE_COLS)).select("pub_id", *RULE_COLS)
+
+
 def extract_route(articles_with_rules: DataFrame) -> DataFrame:
     """``xpath`` when any of the four rule lists is non-empty, else ``save``."""
     any_rule = None
@@ -103,7 +109,7 @@ def judge_new_articles(articles: DataFrame, store: DataFrame) -> DataFrame:
     other_in_store = F.col("_s_min").isNotNull() & ~((F.col("_s_min") == a) & (F.col("_s_max") == a))
     earlier_in_batch = F.col("_s_min").isNull() & F.col("_b_min").isNotNull() & (F.col("_b_min") < a)
     dup = F.coalesce(other_in_store | earlier_in_batch, F.lit(False))
-    return (j.withColumn("reject_reason", F.when(dup, F.lit("Article URL already exists")))
+    return (j.withColumn("reject_reason", F.when(dup, F.lit(DUPLICATE)))
              .drop("_s_min", "_s_max", "_b_min").select(*articles.columns, "reject_reason"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from newsdesk.functions.text import size0
-from newsdesk.operators.tables import delete_by_key
+from newsdesk.operators.tables import delete_by_key, small
 
 from newsdesk.fixed import WIRE_ORIGINS
 
@@ -87,10 +87,13 @@ def pub_category_backfill(pubs: DataFrame, articles: DataFrame, parse_xml) -> Da
     # columns; the XML of those articles (one per pub) is fetched by id after
     latest = latest_article_per_pub(
         articles.join(need, "pub_id", "left_semi").select("pub_id", "article_id", "origin"))
-    xml = (articles.select("article_id", "html").join(latest.select("article_id"), "article_id", "left_semi")
-           .dropDuplicates(["article_id"]))   # a replayed id stored twice gives one row
+    # by the ids of these (one for a pub, broadcast when measured small), so
+    # that no other XML is shuffled; an id stored twice gives one row
+    xml = (articles.select("article_id", "html").join(small(latest.select("article_id")), "article_id", "left_semi")
+           .groupBy("article_id").agg(F.max("html").alias("html")))
     w = latest.join(xml, "article_id").select("pub_id", parse_xml(F.col("html")).alias("w"))
-    upd = w.select(
+    # XML that can't be read has no source: the pub keeps its values
+    upd = w.filter(F.col("w.source").isNotNull()).select(
         "pub_id",
         F.col("w.source.feed.editorialTopics.editorialTopic").alias("_cats"),
         F.col("w.source.location.country").alias("_country"),

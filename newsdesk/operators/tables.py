@@ -12,6 +12,17 @@ from pyspark.sql import DataFrame, functions as F
 from newsdesk.functions.ids import is_object_id
 
 
+#: Most bytes of a side that is broadcast on request (the driver holds it once).
+BROADCAST_BYTES = 64 * 2 ** 20
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it was measured at ``most`` bytes or
+    fewer (its rows as JSON text), else as it is: the join shuffles then."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))).cast("long"))).first()[0]
+    return F.broadcast(df) if (size or 0) <= most else df
+
+
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -64,8 +75,8 @@ def insert_ignore(table: DataFrame, new: DataFrame, keys) -> DataFrame:
     rows; union them with the table to get the new table."""
     keys = _keys(keys)
     fresh = new
-    for k in keys:
-        fresh = fresh.join(table.select(k).distinct(), k, "left_anti")
+    for k in reversed(keys):  # the anti join by the first key and its dedupe share one exchange
+        fresh = fresh.join(table.select(k), k, "left_anti")
     for k in keys:
         fresh = dedupe_first(fresh, k, [c for c in ("order",) if c in fresh.columns] or [k])
     return fresh

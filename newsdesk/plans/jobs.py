@@ -7,7 +7,9 @@ articles: it publishes an old -> new pub map that ``current_articles``
 applies at read time (a join to one row per old id).
 
 Part names must sort in time order (e.g. ``20240130T120000`` or a
-zero-padded batch number); a replay with the same part name is harmless.
+zero-padded batch number); a replay with the same part name is harmless. The
+feed and the newswire job may use one name: each adds its own suffix. Tables
+that several jobs write are changed through ``TableStore.update``.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ from newsdesk.operators import feeds as fd
 from newsdesk.operators import pubs as pb
 from newsdesk.operators import tables as tb
 from newsdesk.operators import work as wk
-from newsdesk.store import PartTable, TableStore, newest_per_key
+from newsdesk.store import PartTable, TableStore, newest_per_key, url_index
 
 REDIRECTS = "pub_redirects"
 REDIRECT_SCHEMA = "old_id string, new_id string"
-CURSOR_SCHEMA = "last_part string"
+#: kind 'part': key = part, id = the write that was counted; kind 'count':
+#: key = type, id, n. One table, so that counts and cursor are one commit.
+COUNT_STATE_SCHEMA = "kind string, key string, id string, n bigint"
 WIRE_CURSOR_SCHEMA = "sequence_id string"
 
 
@@ -45,6 +49,24 @@ def _rejects(store: TableStore) -> PartTable:
     return PartTable(store, "rejects")
 
 
+def feed_part(part: str) -> str:
+    """Part name of a batch of feed articles."""
+    return f"{part}.feed"
+
+
+def wire_part(part: str) -> str:
+    """Part name of a newswire batch."""
+    return f"{part}.wire"
+
+
+def _save(store: TableStore, articles: DataFrame, part: str) -> None:
+    """A part of the article table, then its urls."""
+    table = _articles(store)
+    table.append(conform(articles, S.ARTICLE), part)
+    saved = table.rows(S.ARTICLE, {p: w for p, w in table.current().items() if p == table.part_value(part)})
+    url_index(store).add(saved, part)
+
+
 def current_articles(store: TableStore, exclude_part: str | None = None,
                      columns: list[str] | None = None) -> DataFrame:
     """All saved articles, newest part per id, pub ids through the merge map.
@@ -64,9 +86,7 @@ def raw_articles(store: TableStore, exclude_part: str | None = None) -> DataFram
     may appear twice), pub ids through the merge map. Enough for per-url
     min/max ids, the newest article per pub and the largest id, none of
     which a repeated (id, row) changes."""
-    a = PartTable(store, "articles").read(S.ARTICLE, exclude_part)
-    if "part" in a.columns:
-        a = a.drop("part")
+    a = PartTable(store, "articles").read(S.ARTICLE, exclude_part).drop("part")
     if store.exists(REDIRECTS):
         a = pb.pub_repoint(a, store.read(REDIRECTS))
     return a
@@ -104,7 +124,6 @@ def download_feed(store: TableStore, polls: DataFrame, now) -> DataFrame:
     """Apply poll results to the feed table and queue their new entries as
     work (insert-ignore on link and id). Returns the queued rows."""
     feeds = store.read("feeds", S.FEED)
-    work = store.read("work", S.WORK)
     entries = fd.entry_ids(fd.entries_with_link(fd.feed_entries(polls)))
     rows = (entries.join(feeds.select("feed_id", "pub_id"), "feed_id", "left")
             .select("article_id", "feed_id", "pub_id", "link",
@@ -112,10 +131,15 @@ def download_feed(store: TableStore, polls: DataFrame, now) -> DataFrame:
                     F.col("fetched_at").alias("started"), F.lit(now).cast("timestamp").alias("last_action"),
                     "title", "author", "published",
                     F.struct("fetched_at", "feed_id", "entry_pos").alias("order")))
-    inserted = tb.insert_ignore(work, rows, ["link", "article_id"]).drop("order")
-    store.write("feeds", fd.feed_poll_update(feeds, polls, now))
-    store.write("work", work.unionByName(inserted))
-    return inserted
+    store.update("feeds", lambda t: fd.feed_poll_update(t, polls, now), S.FEED)
+    inserted = []
+
+    def queued(work: DataFrame) -> DataFrame:
+        inserted.append(tb.insert_ignore(work, rows, ["link", "article_id"]).drop("order"))
+        return work.unionByName(inserted[-1])
+
+    store.update("work", queued, S.WORK)
+    return inserted[-1]
 
 
 def process_pages(store: TableStore, pages: DataFrame, part: str, now,
@@ -123,94 +147,153 @@ def process_pages(store: TableStore, pages: DataFrame, part: str, now,
     """Fetched pages -> saved articles (new part) + rejects (new part); their
     work rows leave the queue. What the feed entry said (title, author,
     published) comes from the work row where the fetch does not carry it, and
-    a reject carries its work row."""
-    from pyspark import StorageLevel
+    a reject carries its work row. URLs are held against all history in the
+    buckets of the url index that the batch touches."""
     from newsdesk.plans.rss import process_pages as stages
+    part = feed_part(part)
     work = store.read("work", S.WORK)
-    said = work.select("article_id", *[F.col(c).alias(f"_w_{c}") for c in ("title", "author", "published")])
-    fetched = conform(pages, S.PAGE_FETCH).join(said, "article_id", "left")
-    pages = fetched.select(*[F.coalesce(c, f"_w_{c}").alias(c) if f"_w_{c}" in fetched.columns else F.col(c)
-                             for c in S.PAGE_FETCH.names]).persist(StorageLevel.MEMORY_AND_DISK)
-    store_urls = raw_articles(store, exclude_part=part).select("article_id", "url")
-    keep, rejects, cached = stages(pages, store.read("pubs", S.PUB), store_urls, size_limit)
-    _articles(store).append(conform(keep.withColumn("added", F.lit(now).cast("timestamp")), S.ARTICLE), part)
+    index = url_index(store)
+    keep, rejects, cached = stages(
+        conform(pages, S.PAGE_FETCH), store.read("pubs", S.PUB), lambda urls: index.stored(urls, exclude_part=part), size_limit,
+        said=work.select("article_id", "title", "author", "published"))
+    _save(store, keep.withColumn("added", F.lit(now).cast("timestamp")), part)
     # the work row of a reject is complete: its own values win over the page's
-    origin = pages.select("article_id", F.col("feed_id").alias("_f"), F.col("pub_id").alias("_p"))
-    full = (rejects.select("article_id", F.col("link").alias("_l"), "reason")
-            .join(origin, "article_id", "left").join(work, "article_id", "left")
-            .withColumn("feed_id", F.coalesce("feed_id", "_f")).withColumn("pub_id", F.coalesce("pub_id", "_p"))
-            .withColumn("link", F.coalesce("_l", "link")).withColumn("added", F.lit(now).cast("timestamp")))
+    own = [c for c in S.WORK.names if c in rejects.columns and c not in ("article_id", "link")]
+    full = rejects.join(work.select("article_id", *[F.col(c).alias(f"_w_{c}") for c in S.WORK.names if c != "article_id"]), "article_id", "left")
+    full = full.select("article_id", F.coalesce("link", "_w_link").alias("link"), "reason", F.lit(now).cast("timestamp").alias("added"),
+                       *[F.coalesce(f"_w_{c}", c).alias(c) for c in own],
+                       *[F.col(f"_w_{c}").alias(c) for c in S.WORK.names if c not in ("article_id", "link", *own)])
     _rejects(store).append(conform(full, S.REJECT), part)
-    store.write("work", tb.delete_by_key(work, pages.select("article_id"), "article_id"))
+    store.update("work", lambda t: tb.delete_by_key(t, pages.select("article_id"), "article_id"), S.WORK)
     cached.unpersist()
-    pages.unpersist()
 
 
 # ---------------------------------------------------------------- newswire
 def metabase(store: TableStore, wire_rows: DataFrame, part: str, run_ts,
              is_lexisnexis: bool = False, xml_col: str | None = None) -> None:
-    """Newswire batch (parsed rows with ``a`` and ``seq``) -> new parents,
-    articles (new part) and the cursor (last sequence id in batch order)."""
-    from newsdesk.plans.wire import ingest_wire
+    """Newswire batch (parsed rows with ``a``, ``seq`` and, where the source
+    carries it, ``pos``) -> new parents, articles (new part) and the cursor:
+    the sequence id of the batch's last article in document order. A batch
+    without articles leaves the cursor."""
+    from newsdesk.plans.wire import ingest_wire, position
     from newsdesk.operators.wire import wire_cursor
-    pubs, feeds = store.read("pubs", S.PUB), store.read("feeds", S.FEED)
-    new_pubs, new_feeds, arts, cached = ingest_wire(wire_rows, feeds, run_ts, is_lexisnexis,
+    new_pubs, new_feeds, arts, cached = ingest_wire(wire_rows, store.read("feeds", S.FEED), run_ts, is_lexisnexis,
                                                     xml_col=xml_col, batch_name=part)
-    _articles(store).append(conform(arts, S.ARTICLE), part)
-    store.write("pubs", pubs.unionByName(conform(new_pubs, S.PUB)))
-    store.write("feeds", feeds.unionByName(conform(new_feeds, S.FEED)))
-    cur = wire_cursor(wire_rows.withColumn("_b", F.lit(1)), "_b", "seq").select("sequence_id")
-    store.write("wire_cursor", cur)
+    _save(store, arts, wire_part(part))
+
+    def with_new(new: DataFrame, schema, key: str):
+        # a replay, or another writer, may have added the same parents
+        return lambda t: t.unionByName(conform(new, schema).join(t.select(key), key, "left_anti").select(*t.columns))
+
+    store.update("pubs", with_new(new_pubs, S.PUB, "pub_id"), S.PUB)
+    store.update("feeds", with_new(new_feeds, S.FEED, "feed_id"), S.FEED)
+    last = wire_cursor(cached.withColumn("_b", F.lit(1)), "_b", position(cached)).select("sequence_id").first()
+    if last is not None:
+        store.write("wire_cursor", store.spark.createDataFrame([(last.sequence_id,)], WIRE_CURSOR_SCHEMA))
     cached.unpersist()
 
 
+def metabase_files(store: TableStore, path: str, part: str, run_ts, is_lexisnexis: bool = False) -> None:
+    """Newswire response files -> ``metabase``. A response with status FAILURE
+    stops the job before anything is written; records that can't be read go to
+    the rejects with their text."""
+    from pyspark import StorageLevel
+    from newsdesk.plans.wire import wire_rejects, wire_rows_from_files
+    from newsdesk.sources.wire import check_status, read_wire
+    check_status(store.spark, path)
+    records = read_wire(store.spark, path, with_position=True).persist(StorageLevel.MEMORY_AND_DISK)
+    metabase(store, wire_rows_from_files(records), part, run_ts, is_lexisnexis)
+    bad = wire_rejects(records).select(F.col("record").alias("data"), "reason", F.lit("metabase").alias("stage"),
+                                       F.lit(run_ts).cast("timestamp").alias("added"))
+    _rejects(store).append(conform(bad, S.REJECT), wire_part(part))
+    records.unpersist()
+
+
 # ---------------------------------------------------------------- upkeep
+def _publish_counts(store: TableStore, state: DataFrame) -> None:
+    """The table ``counts``: what was counted, pubs through the merge map."""
+    c = state.filter("kind = 'count'").select(F.col("key").alias("type"), "id", "n")
+    if store.exists(REDIRECTS):
+        pubs = pb.pub_repoint(c.filter("type = 'pub'").withColumnRenamed("id", "pub_id"), store.read(REDIRECTS))
+        c = c.filter("type <> 'pub'").unionByName(pubs.withColumnRenamed("pub_id", "id"))
+    store.write("counts", c.groupBy("type", "id").agg(F.sum("n").alias("n")))
+
+
 def recount_articles(store: TableStore) -> bool:
-    """Add the articles of the parts after the cursor to the stored counts and
-    move the cursor; False when there is no new part.
-
-    The cursor is the name of the last counted part, not an article id: ids
-    come from poll times and need not rise from part to part. An id that an
-    earlier part holds has been counted (the anti join reads the id column of
-    those parts alone)."""
-    last = store.read("count_cursor", CURSOR_SCHEMA).first()
-    last_part = last.last_part if last else ""
+    """Bring the stored counts up to the article table; False when nothing
+    was written since.
+
+    The cursor is the set of (part, write) that the counts hold, not an article
+    id or the name of the last part: a late part has a name before others, and a
+    part may be written again. Only ids of new, rewritten or removed parts can
+    count differently. What they counted before (the newest of the counted
+    writes) is taken out, what they count now is added. Parts of other times are
+    pruned by the range of these ids, which begin with their time."""
     table = _articles(store)
-    fresh = [p for p in table.parts() if p > last_part]
-    if not fresh:
+    now = table.current()
+    state = store.read("count_state", COUNT_STATE_SCHEMA)
+    was = {r.key: r.id for r in state.filter("kind = 'part'").collect()}          # one row for each part
+    have = table.writes()
+    lost = any(w not in have.get(p, []) for p, w in was.items())                   # vacuumed: count anew
+    if lost:
+        was, state = {}, state.filter(F.lit(False))
+    changed = {p for p in {*now, *was} if now.get(p) != was.get(p)}
+    if not changed:
         return False
-    rows = PartTable(store, "articles").read(S.ARTICLE).select("article_id", "pub_id", "feed_id", "part")
-    new = newest_per_key(rows.filter((F.col("part") > last_part) & (F.col("part") <= fresh[-1])), "article_id")
-    if last_part:
-        new = new.join(rows.filter(F.col("part") <= last_part).select("article_id"), "article_id", "left_anti")
-    if store.exists(REDIRECTS):
-        new = pb.pub_repoint(new, store.read(REDIRECTS))
-    counts = cnt.article_counts_incremental(store.read("counts", S.ARTICLE_COUNT), new, None)
-    store.write("counts", counts)
-    store.write("count_cursor", store.spark.createDataFrame([(fresh[-1],)], CURSOR_SCHEMA))
+    narrow = ["article_id", "pub_id", "feed_id", "part"]
+    before, after = table.rows(S.ARTICLE, was).select(*narrow), table.rows(S.ARTICLE, now).select(*narrow)
+
+    def ids(writes: dict[str, str]) -> DataFrame:
+        return table.rows(S.ARTICLE, {p: w for p, w in writes.items() if p in changed}).select("article_id")
+
+    touched = ids(was).union(ids(now)).distinct().persist()
+    span = touched.agg(F.min("article_id").alias("low"), F.max("article_id").alias("high")).first()
+
+    def counted(rows: DataFrame, sign: int) -> DataFrame:
+        near = rows.filter(F.col("article_id").between(span.low, span.high)).join(touched, "article_id", "left_semi")
+        return cnt.article_counts(newest_per_key(near, "article_id")).withColumn("n", sign * F.col("n"))
+
+    old = state.filter("kind = 'count'").select(F.col("key").alias("type"), "id", "n")
+    counts = (old.unionByName(counted(before, -1)).unionByName(counted(after, 1))
+              .groupBy("type", "id").agg(F.sum("n").alias("n")).filter("n <> 0"))
+    parts = store.spark.createDataFrame([("part", p, w, None) for p, w in now.items()], COUNT_STATE_SCHEMA)
+    store.write("count_state", counts.select(F.lit("count").alias("kind"), F.col("type").alias("key"), "id", "n").unionByName(parts))
+    _publish_counts(store, store.read("count_state"))
+    touched.unpersist()
     return True
 
 
+def vacuum_articles(store: TableStore) -> list[str]:
+    """Remove article writes that a newer write of their part replaced, but
+    not those that the counts still hold."""
+    state = store.read("count_state", COUNT_STATE_SCHEMA)
+    return _articles(store).vacuum({r.key: r.id for r in state.filter("kind = 'part'").collect()})
+
+
 def merge_publications(store: TableStore) -> int:
     """Fold duplicate pubs into their survivor: pubs lose the duplicates,
-    feeds are repointed, articles get the map (composed with earlier ones).
-    Returns the version of the pub table written."""
-    pubs, feeds = store.read("pubs", S.PUB), store.read("feeds", S.FEED)
-    m = pb.duplicate_pubs(pubs).select("old_id", "new_id")
-    old = store.read(REDIRECTS, REDIRECT_SCHEMA)
-    # a -> b from before and b -> c now make a -> c
-    chained = (old.alias("o").join(m.alias("m"), F.col("o.new_id") == F.col("m.old_id"), "left")
-               .select(F.col("o.old_id"), F.coalesce(F.col("m.new_id"), F.col("o.new_id")).alias("new_id")))
-    store.write(REDIRECTS, chained.unionByName(m)
-                .groupBy("old_id").agg(F.min("new_id").alias("new_id")))
-    store.write("feeds", pb.pub_repoint(feeds, m))
-    return store.write("pubs", tb.delete_by_key(pubs, m.select(F.col("old_id").alias("pub_id")), "pub_id"))
+    feeds are repointed, articles get the map (composed with earlier ones), and
+    so do the stored counts. Returns the version of the pub table written."""
+    m = pb.duplicate_pubs(store.read("pubs", S.PUB)).select("old_id", "new_id")
+
+    def composed(old: DataFrame) -> DataFrame:
+        # a -> b from before and b -> c now make a -> c
+        chained = (old.alias("o").join(m.alias("m"), F.col("o.new_id") == F.col("m.old_id"), "left")
+                   .select(F.col("o.old_id"), F.coalesce(F.col("m.new_id"), F.col("o.new_id")).alias("new_id")))
+        return chained.unionByName(m).groupBy("old_id").agg(F.min("new_id").alias("new_id"))
+
+    store.update(REDIRECTS, composed, REDIRECT_SCHEMA)
+    store.update("feeds", lambda t: pb.pub_repoint(t, m), S.FEED)
+    v = store.update("pubs", lambda t: tb.delete_by_key(t, m.select(F.col("old_id").alias("pub_id")), "pub_id"), S.PUB)
+    if store.exists("count_state"):
+        _publish_counts(store, store.read("count_state"))
+    return v
 
 
 def unique_categories(store: TableStore, now) -> None:
-    have = store.read("categories", S.CATEGORY_UNIQUE)
-    new = cat.unique_categories(store.read("pubs", S.PUB), have, now)
-    store.write("categories", have.unionByName(new.select(*[f.name for f in S.CATEGORY_UNIQUE.fields])))
+    pubs = store.read("pubs", S.PUB)
+    store.update("categories", lambda have: have.unionByName(
+        cat.unique_categories(pubs, have, now).select(*S.CATEGORY_UNIQUE.names)), S.CATEGORY_UNIQUE)
 
 
 def pub_cats(store: TableStore) -> None:
@@ -218,9 +301,8 @@ def pub_cats(store: TableStore) -> None:
     from their newest newswire article's XML."""
     from newsdesk.sources.wire import parse_wire
     spark = store.spark
-    out = pb.pub_category_backfill(store.read("pubs", S.PUB), raw_articles(store),
-                                   lambda c: parse_wire(spark, F.decode(c, "UTF-8"), mapped=True))
-    store.write("pubs", out)
+    articles = raw_articles(store)
+    store.update("pubs", lambda t: pb.pub_category_backfill(t, articles, lambda c: parse_wire(spark, F.decode(c, "UTF-8"), mapped=True)), S.PUB)
 
 
 def pub_export(store: TableStore, path: str) -> None:

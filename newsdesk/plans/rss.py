@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 from newsdesk.functions.dates import parse_rfc1123
 from newsdesk.operators import articles as art
 from newsdesk.operators.extract import extract_page, merge_extracted
-from newsdesk.operators.tables import dead_letter
+from newsdesk.operators.tables import dead_letter, small
 
+ENTRY_COLS = ["title", "author", "published"]
 ARTICLE_COLS = ["article_id", "feed_id", "pub_id", "url", "title", "author", "published",
                 "body_text", "body_html", "origin", "entry", "goose", "xpath"]
 
@@ -26,35 +27,68 @@ def check_pages(pages: DataFrame, size_limit: int = art.SIZE_LIMIT) -> DataFrame
     return art.has_html(art.page_validate(pages, size_limit))
 
 
+class Cached:
+    """Frames that a stage persisted; the caller unpersists them after writing."""
+
+    def __init__(self, *frames: DataFrame):
+        self.frames = frames
+
+    def unpersist(self) -> None:
+        for f in self.frames:
+            f.unpersist()
+
+
+def decide(pages: DataFrame, pubs: DataFrame, stored, size_limit: int = art.SIZE_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """Each page without its HTML, with ``url`` and ``reject_reason``: the
+    checks, a missing publication, a URL that is already saved. ``stored`` has
+    the saved (article_id, url), or maps the batch's urls to those of them that
+    are saved. Second, the persisted frame it reads."""
+    checked = check_pages(art.resolve_links(pages), size_limit).drop("html")
+    known = pubs.select("pub_id", F.lit(True).alias("_known")).distinct()
+    p = (checked.join(known, "pub_id", "left")
+         .withColumn("reject_reason", F.coalesce("reject_reason", F.when(F.col("_known").isNull(), F.lit(art.NO_PUB))))
+         .drop("_known").persist(StorageLevel.MEMORY_AND_DISK))
+    found = p.filter(F.col("reject_reason").isNull()).select("article_id", "url")
+    urls = stored(found.select("url")) if callable(stored) else stored.select("article_id", "url")
+    dups = (art.judge_new_articles(found, urls).filter(F.col("reject_reason").isNotNull())
+            .select("article_id", "url", F.col("reject_reason").alias("_dup")).distinct())
+    out = (p.join(dups, ["article_id", "url"], "left")
+           .withColumn("reject_reason", F.coalesce("reject_reason", "_dup")).drop("_dup"))
+    return out.select(*p.columns), p
+
+
 def extract_articles(pages_ok: DataFrame, pubs: DataFrame) -> DataFrame:
-    """Checked pages -> articles (``reject_reason`` set when the publication
-    is missing). One narrow stage per UDF; the only shuffle is the join to
-    the publication rules."""
-    p = art.resolve_links(pages_ok).withColumn("published", parse_rfc1123("published"))
+    """Checked pages -> what extraction and the publication's rules found in
+    them, without the HTML. One pass of Python over each page in the task that
+    reads it; the rules come to the pages (broadcast when measured small)."""
+    ruled = art.article_pub_rules(art.resolve_links(pages_ok), small(art.pubs_with_rules(pubs)))
+    return extract_page(ruled).drop("html", "reject_reason", *art.RULE_COLS)
+
+
+def process_pages(pages: DataFrame, pubs: DataFrame, stored, size_limit: int = art.SIZE_LIMIT,
+                  said: DataFrame | None = None) -> tuple[DataFrame, DataFrame, Cached]:
+    """(articles to save, rejects, cached frames). HTML is in no exchange: it is
+    read for the checks and for extraction, and all decisions are made on ids
+    and urls. ``said`` (article_id, title, author, published) is what the feed
+    entries said, for pages that don't carry it."""
+    decided, narrow = decide(pages, pubs, stored, size_limit)
+    decided = decided.persist(StorageLevel.MEMORY_AND_DISK)
+    ok, _ = dead_letter(check_pages(pages, size_limit))
+    # persisted before any join, so that no join moves below the extraction
+    pages_read = extract_articles(ok, pubs).persist(StorageLevel.MEMORY_AND_DISK)
+    keep = decided.filter(F.col("reject_reason").isNull()).select("article_id", "url").distinct()
+    found = pages_read.join(keep, ["article_id", "url"], "left_semi")
+    if said is not None:
+        s = said.select("article_id", *[F.col(c).alias(f"_s_{c}") for c in ENTRY_COLS])
+        found = found.join(s, "article_id", "left").select(
+            *[F.coalesce(c, f"_s_{c}").alias(c) if c in ENTRY_COLS else F.col(c) for c in found.columns])
     # what the feed entry said, kept next to what extraction decides
-    p = p.withColumn("entry", F.struct(F.col("link").alias("url"), "title", "author", "published"))
-    ruled = art.extract_route(art.article_pub_rules(p, pubs))
-    # one pass of Python over each page: content and publication rules
-    merged = merge_extracted(extract_page(ruled))
-    return merged.withColumn("origin", art.origin_tag()).select(*ARTICLE_COLS, "link", "reject_reason")
-
-
-def process_pages(pages: DataFrame, pubs: DataFrame, store: DataFrame,
-                  size_limit: int = art.SIZE_LIMIT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(articles to save, rejects(article_id, link, reason), cached frame).
-    The extracted articles feed both outputs, so they are persisted once;
-    the caller unpersists the third element after writing."""
-    checked = check_pages(pages, size_limit)
-    ok, bad = dead_letter(checked)
-    arts = extract_articles(ok, pubs).persist(StorageLevel.MEMORY_AND_DISK)
-    found = arts.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    no_pub = arts.filter(F.col("reject_reason").isNotNull())
-    judged = art.judge_new_articles(found.drop("link"), store.select("article_id", "url"))
-    keep = art.mark_empty_body(art.published_fallback(
-        judged.filter(F.col("reject_reason").isNull()).drop("reject_reason")))
-    dups = judged.filter(F.col("reject_reason").isNotNull())
-    rejects = (bad.select("article_id", "link", "reason")
-               .unionByName(no_pub.select("article_id", "link", F.col("reject_reason").alias("reason")))
-               .unionByName(dups.select("article_id", F.col("url").alias("link"),
-                                        F.col("reject_reason").alias("reason"))))
-    return keep, rejects, arts
+    found = found.withColumn("published", parse_rfc1123("published")).withColumn(
+        "entry", F.struct(F.col("link").alias("url"), *ENTRY_COLS))
+    arts = merge_extracted(found).withColumn("origin", art.origin_tag()).select(*ARTICLE_COLS)
+    articles = art.mark_empty_body(art.published_fallback(arts))
+    bad = decided.filter(F.col("reject_reason").isNotNull())
+    rejects = bad.select(
+        "article_id", "feed_id", "pub_id", F.when(F.col("reject_reason") == art.DUPLICATE, F.col("url")).otherwise(F.col("link")).alias("link"),
+        F.col("fetched_at").alias("started"), *ENTRY_COLS, F.col("reject_reason").alias("reason"))
+    return articles, rejects, Cached(pages_read, decided, narrow)

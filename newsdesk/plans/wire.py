@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 from newsdesk.operators import wire as w
 
 
+def position(wire_rows: DataFrame) -> str:
+    """The column that orders a batch: the place in its documents, or the
+    sequence number where the source carries no place."""
+    return "pos" if "pos" in wire_rows.columns else "seq"
+
+
 def ingest_wire(wire_rows: DataFrame, feeds: DataFrame, run_ts, is_lexisnexis: bool = False,
                 a: str = "a", xml_col: str | None = None, batch_name: str = "batch"):
     """(new_pubs, new_feeds, articles, cached). ``wire_rows`` has the parsed
@@ -16,20 +22,22 @@ def ingest_wire(wire_rows: DataFrame, feeds: DataFrame, run_ts, is_lexisnexis: b
     both the parent resolution and the mapping, so they are persisted once
     (the caller unpersists ``cached`` after writing)."""
     rows = wire_rows.persist(StorageLevel.MEMORY_AND_DISK)
-    new_pubs, new_feeds, links = w.wire_parents(rows, feeds, is_lexisnexis, run_ts, a=a)
+    new_pubs, new_feeds, links = w.wire_parents(rows, feeds, is_lexisnexis, run_ts, a=a, order=position(rows))
     articles = w.wire_to_article(rows, links, is_lexisnexis, run_ts, a=a, xml_col=xml_col,
                                  batch_name=batch_name)
     return new_pubs, new_feeds, articles, rows
 
 
 def wire_rows_from_files(df: DataFrame) -> DataFrame:
-    """Rows of the XML file source -> (a struct, seq), corrupt records out
-    (``wire_rejects`` has them). ``seq`` is NULL for an id that is no number."""
-    cols = [c for c in df.columns if c not in ("_corrupt_record", "source_file")]
+    """Rows of the XML file source -> (a struct, seq, and pos where the rows
+    have it), corrupt records out (``wire_rejects`` has them). ``seq`` is NULL
+    for an id that is no number."""
+    cols = [c for c in df.columns if c not in ("_corrupt_record", "source_file", "pos")]
     out = df
     if "_corrupt_record" in df.columns:
         out = out.filter(F.col("_corrupt_record").isNull())
-    return out.select(F.struct(*cols).alias("a")).withColumn("seq", F.col("a.sequenceId").try_cast("bigint"))
+    return (out.select(F.struct(*cols).alias("a"), *[c for c in ("pos",) if c in df.columns])
+            .withColumn("seq", F.col("a.sequenceId").try_cast("bigint")))
 
 
 def wire_rejects(df: DataFrame) -> DataFrame:

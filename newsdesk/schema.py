@@ -72,7 +72,7 @@ WORK = _st(
 )
 
 REJECT = _st(*[(f.name, f.dataType) for f in WORK.fields],
-             ("added", TS), ("reason", S))
+             ("added", TS), ("reason", S), ("data", S))   # data: the text of a record that can't be read
 
 CATEGORY_ALIAS = _st(("alias", S), ("categories", STRS))
 CATEGORY_UNIQUE = _st(("category_id", S), ("category", S), ("added", TS))

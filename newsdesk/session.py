@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # keyed state of streams on local disk, snapshots in the checkpoint
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Arrow batch size of the extraction UDFs: pages are capped at 2 MiB, so
     # 256 pages bound one batch to 512 MiB of HTML in the Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",

@@ -102,8 +102,22 @@ def wire_schema(spark: SparkSession, mapped: bool = False) -> T.StructType:
     return WIRE_ARTICLE
 
 
-def read_wire(spark: SparkSession, path: str, with_file: bool = True, mapped: bool = False) -> DataFrame:
-    """Newswire response files -> one row per ``article`` element.
+class WireFailure(RuntimeError):
+    """A newswire response says that the request failed."""
+
+
+def position() -> Column:
+    """Place of a row in the documents: file name, start of its split, order in
+    the split. Taken at the scan (before any shuffle), where rows come in
+    document order; names of files that arrive later sort later."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
+def read_wire(spark: SparkSession, path: str, with_file: bool = True, mapped: bool = False,
+              with_position: bool = False) -> DataFrame:
+    """Newswire response files -> one row per ``article`` element, with its
+    place ``pos`` in the documents if asked for.
 
     Malformed articles land in ``_corrupt_record`` (PERMISSIVE mode), so a
     bad record is visible instead of becoming a row of nulls."""
@@ -111,9 +125,10 @@ def read_wire(spark: SparkSession, path: str, with_file: bool = True, mapped: bo
     df = (spark.read.format("xml").option("rowTag", "article")
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .schema(schema).load(path))
-    if with_file:
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
-    return df
+    extra = {"source_file": F.col("_metadata.file_path")} if with_file else {}
+    if with_position:
+        extra["pos"] = position()
+    return df.select("*", *[c.alias(n) for n, c in extra.items()])
 
 
 def read_wire_status(spark: SparkSession, path: str) -> DataFrame:
@@ -123,6 +138,14 @@ def read_wire_status(spark: SparkSession, path: str) -> DataFrame:
             .withColumn("failed", F.coalesce(F.col("status") == "FAILURE", F.lit(False))))
 
 
+def check_status(spark: SparkSession, path: str) -> None:
+    """Stop on responses with status FAILURE (their messages in the error):
+    they hold no articles, and going on would move the cursor past them."""
+    failed = read_wire_status(spark, path).filter("failed").select("source_file", "messageCode", "userMessage").limit(10).collect()
+    if failed:
+        raise WireFailure("; ".join(f"{r.source_file}: {r.messageCode or ''} {r.userMessage or ''}".strip() for r in failed))
+
+
 def parse_wire(spark: SparkSession, xml: Column, mapped: bool = False) -> Column:
     """One ``<article>`` XML string -> the newswire struct."""
     return F.from_xml(xml, wire_schema(spark, mapped), {"mode": "PERMISSIVE"})

@@ -17,7 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from newsdesk import schema as S
 from newsdesk.operators import articles as art
 from newsdesk.operators import counts, feeds
+from newsdesk.operators.tables import dedupe_first
 from newsdesk.sources.wire import read_wire
+from newsdesk.store import KeyIndex, TableStore
 
 
 def _batch_dir(table: str, batch_id: int) -> str:
@@ -33,36 +35,51 @@ def _has_data(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and any(st.getPath().getName().startswith("batch=") for st in fs.listStatus(p))
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+def _table(table):
+    """A dimension of a stream: a function is called in each micro-batch, so
+    that the batch sees the newest snapshot (``lambda: store.read("pubs")``); a
+    DataFrame stays as it was when the stream began."""
+    return table() if callable(table) else table
+
+
+def _index(spark: SparkSession, table: str, suffix: str, key: str, columns: list[str]) -> KeyIndex:
+    """The index next to a stream's output table."""
+    return KeyIndex(TableStore(spark, os.path.dirname(table)), os.path.basename(table) + suffix, key, columns)
+
+
+def _part(batch_id: int) -> str:
+    return f"{batch_id:012d}"
 
 
 def stream_feed_entries(spark: SparkSession, polls_dir: str, out_table: str, checkpoint: str,
-                        seen: DataFrame | None = None, trigger_once: bool = True,
+                        seen=None, trigger_once: bool = True,
                         max_files: int | None = None, fmt: str = "parquet") -> StreamingQuery:
     """Landed poll results -> entries of readable polls -> links never seen
     before, over all history.
 
-    The history is Spark's keyed streaming state (``dropDuplicates`` on the
-    link, no watermark). The state store holds only the link keys,
-    partitioned by link hash, in RocksDB on local disk, with snapshots in
-    the checkpoint. It grows with the number of distinct links without any
-    single task holding it, and a restarted query resumes with it. Among
-    copies of a new link inside one micro-batch, one is kept. ``seen`` (e.g.
-    the links still in the work table) is an extra anti join."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    The history is the table of links itself, in hash buckets (``KeyIndex``): a
+    micro-batch is held against the buckets it touches. The stream keeps no
+    state that grows, a late copy of any age is recognised, and a restarted
+    query (or a batch that runs again) finds the same history. Of the copies of
+    a new link in a micro-batch the first by (fetched_at, feed, place in the
+    poll) is kept. ``seen`` (a DataFrame with ``link``, or a function that reads
+    it anew, e.g. the links still in the work table) is an extra anti join."""
     r = spark.readStream.schema(_poll_schema())
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     polls = r.format(fmt).load(polls_dir)        # landed polls: parquet or JSON lines
     entries = (feeds.entries_with_link(feeds.feed_entries(polls))
-               .select("feed_id", "fetched_at", "entry_pos", "link", "author", "title", "published")
-               .dropDuplicates(["link"]))
+               .select("feed_id", "fetched_at", "entry_pos", "link", "author", "title", "published"))
+    index = _index(spark, out_table, "_links", "link", ["article_id"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        fresh = feeds.entry_ids(batch)
+        first = dedupe_first(batch, "link", ["fetched_at", "feed_id", "entry_pos"]).persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = first.join(index.stored(first, exclude_part=_part(batch_id)).select("link"), "link", "left_anti")
         if seen is not None:
-            fresh = fresh.join(seen.select("link"), "link", "left_anti")
-        fresh.write.mode("overwrite").parquet(_batch_dir(out_table, batch_id))
+            fresh = fresh.join(_table(seen).select("link"), "link", "left_anti")
+        feeds.entry_ids(fresh).write.mode("overwrite").parquet(_batch_dir(out_table, batch_id))
+        index.add(spark.read.parquet(_batch_dir(out_table, batch_id)), _part(batch_id))
+        first.unpersist()
 
     w = entries.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")
@@ -156,26 +173,31 @@ def compact_counts(spark: SparkSession, table: str) -> int | None:
     return top
 
 
-def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_table: str,
+def stream_wire(spark: SparkSession, wire_dir: str, feeds_table, out_table: str,
                 checkpoint: str, run_ts, is_lexisnexis: bool = False, max_files: int = 1,
                 trigger_once: bool = True, max_file_age: str | None = None) -> StreamingQuery:
     """Newswire files in arrival order (``maxFilesPerTrigger``), mapped to
-    articles with their parent pub/feed (``plans.wire.ingest_wire``). New
-    parents of a batch are written next to the articles, and later batches
+    articles with their parent pub/feed (``plans.wire.ingest_wire``).
+    ``feeds_table`` is a DataFrame, or a function that reads the newest snapshot
+    in each micro-batch. ``cursor`` gets each batch's last sequence id in
+    document order. New parents of a batch are written next to the articles, and later batches
     see them as known parents. ``run_ts=None`` (continuous runs) takes each
     micro-batch's time from its newest harvest date. ``max_file_age`` (e.g.
     "48h") ignores older files, the cursor expiry of the reference; a fresh
     checkpoint restarts the cursor."""
+    from newsdesk.operators.wire import wire_cursor
     from newsdesk.plans.wire import ingest_wire, wire_rejects, wire_rows_from_files
     src = (spark.readStream.format("xml").option("rowTag", "article")
            .option("maxFilesPerTrigger", max_files)
            .schema(read_wire(spark, wire_dir, with_file=False).schema))
     if max_file_age:
         src = src.option("maxFileAge", max_file_age)
-    src = src.load(wire_dir)
+    src = src.load(wire_dir).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # records and rejects from one parse
+        pos = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))
+        # records and rejects from one parse; places as the scan had them
+        batch = batch.withColumn("pos", pos).drop("_file", "_block").persist(StorageLevel.MEMORY_AND_DISK)
         rows = wire_rows_from_files(batch).persist(StorageLevel.MEMORY_AND_DISK)
         ts = run_ts
         if ts is None:
@@ -184,7 +206,7 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
             from newsdesk.functions.dates import parse_rfc3339_strict
             ts = rows.agg(F.max(parse_rfc3339_strict(F.col("a.harvestDate")))).first()[0]
             ts = ts or "1970-01-01 00:00:00"
-        known = feeds_table.select("feed_id", "pub_id", "metabase_id")
+        known = _table(feeds_table).select("feed_id", "pub_id", "metabase_id")
         ptable = os.path.join(out_table, "_parents_feeds")
         if _has_data(spark, ptable):
             prior = spark.read.parquet(ptable).filter(F.col("batch") < batch_id)
@@ -194,6 +216,8 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
         new_feeds.write.mode("overwrite").parquet(_batch_dir(ptable, batch_id))
         new_pubs.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "_parents_pubs"), batch_id))
         arts.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "articles"), batch_id))
+        wire_cursor(rows.withColumn("_b", F.lit(batch_id)), "_b", "pos").select("sequence_id").write.mode("overwrite").parquet(
+            _batch_dir(os.path.join(out_table, "cursor"), batch_id))
         wire_rejects(batch).write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "rejects"), batch_id))
         cached.unpersist()
         rows.unpersist()
@@ -204,7 +228,7 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table: DataFrame, out_
     return w.start()
 
 
-def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame, store_table: str,
+def stream_articles(spark: SparkSession, pages_dir: str, pubs_table, store_table: str,
                     checkpoint: str, size_limit: int = art.SIZE_LIMIT, max_files: int | None = None,
                     trigger_once: bool = True, url_history: str = "store",
                     fmt: str = "parquet") -> StreamingQuery:
@@ -212,24 +236,27 @@ def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame,
     merge -> URL dedupe -> save; rejects go to ``<store>_rejects``. One
     streaming query; the stages are the batch functions of ``plans.rss``.
 
+    ``pubs_table`` is a DataFrame, or a function that reads the newest snapshot
+    in each micro-batch: a publication created while the stream runs is found.
+
     ``url_history`` picks how a url already saved is recognised:
     ``"store"`` (exact, duplicates become rejects) checks each micro-batch
-    against the stored urls, narrowed to the batch's urls (a scan of the
-    store's url column, no shuffle of the store); ``"state"`` keeps the urls
-    in RocksDB keyed state and drops later copies before extraction (no
-    scan, and duplicates never reach the UDFs; they leave no reject row).
-    Both save the same urls: only a page that passes the checks and has a
-    publication claims its url."""
+    against the index of saved urls, in the buckets that the batch touches;
+    ``"state"`` keeps the urls in RocksDB keyed state and drops later copies
+    before extraction (no scan, and duplicates never reach the UDFs; they leave
+    no reject row), with the publications of the stream's start; later ones are
+    held against the index. Both save the same urls: only a page that passes the
+    checks and has a publication claims its url. A reject is a work row."""
+    from newsdesk.plans.jobs import conform
     from newsdesk.plans.rss import process_pages
     r = spark.readStream.schema(S.PAGE_FETCH)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     pages = r.format(fmt).load(pages_dir)
     if url_history == "state":
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         # only a page that will be saved claims its url: a refused one or one
         # without a publication has a claim of its own and goes on to its reject
-        known = pubs_table.select("pub_id", F.lit(True).alias("_known")).dropDuplicates(["pub_id"])
+        known = _table(pubs_table).select("pub_id", F.lit(True).alias("_known")).dropDuplicates(["pub_id"])
         p = art.has_html(art.page_validate(art.resolve_links(pages), size_limit)).join(known, "pub_id", "left")
         saved = F.col("reject_reason").isNull() & F.col("_known").isNotNull() & F.col("url").isNotNull()
         pages = (p.withColumn("claim", F.when(saved, F.struct(F.lit("url").alias("kind"), F.col("url").alias("of")))
@@ -237,17 +264,21 @@ def stream_articles(spark: SparkSession, pages_dir: str, pubs_table: DataFrame,
                  .dropDuplicates(["claim"]).select(*S.PAGE_FETCH.names))
     elif url_history != "store":
         raise ValueError(f"url_history must be 'store' or 'state', not {url_history!r}")
+    index = _index(spark, store_table, "_urls", "url", ["article_id"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # two outputs from one read
-        store = None
-        if url_history == "store" and _has_data(spark, store_table):
-            store = spark.read.parquet(store_table).filter(F.col("batch") < batch_id).drop("batch")
-        if store is None:
-            store = spark.createDataFrame([], "article_id string, url string")
-        keep, rejects, cached = process_pages(batch, pubs_table, store, size_limit)
+        check = url_history == "store" or callable(pubs_table)
+        if check and batch_id and not index.parts.parts() and _has_data(spark, store_table):   # a table from before the index
+            index.add(spark.read.parquet(store_table).filter(F.col("batch") < batch_id), "0")
+        none = spark.createDataFrame([], "article_id string, url string")
+        keep, rejects, cached = process_pages(
+            batch, _table(pubs_table), (lambda urls: index.stored(urls, exclude_part=_part(batch_id))) if check else none, size_limit)
         keep.write.mode("overwrite").parquet(_batch_dir(store_table, batch_id))
-        rejects.write.mode("overwrite").parquet(_batch_dir(store_table + "_rejects", batch_id))
+        if check:
+            index.add(spark.read.parquet(_batch_dir(store_table, batch_id)), _part(batch_id))
+        whole = conform(rejects.withColumn("stage", F.lit("download-entry")).withColumn("added", F.col("started")), S.REJECT)
+        whole.write.mode("overwrite").parquet(_batch_dir(store_table + "_rejects", batch_id))
         cached.unpersist()
         batch.unpersist()
 
