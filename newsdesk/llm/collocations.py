@@ -4,8 +4,8 @@ Texts are lower-cased (A-Z), split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and th
 into words ``[^\\x20\\x09]+``; phrases are 1 to ``LONGEST`` words in a row of one
 piece. Everything is per language.
 
-The documents are dealt to ``SHARDS`` shards, which are scanned in turn, round
-and round. A scan counts phrases of all lengths at once. Words are counted from
+The documents are dealt to ``SHARDS`` shards of word numbers, which are scanned
+in turn, round and round. A scan counts phrases of all lengths at once. Words are counted from
 the start; a longer phrase is activated as soon as the phrases without its last
 and without its first word have both reached ``threshold`` in what was counted
 so far, is counted from the next scan on, and is complete after one full cycle,
@@ -19,8 +19,8 @@ is counted in scan t if the bits of both parts are set in the bitmap of t and
 not in that of t - ``SHARDS`` (then its cycle is over). Bits that are set by
 another phrase's hash only have more phrases counted: for a phrase the
 bitmaps say the same in every task and scan, so each has exactly one cycle.
-Counts are summed in the task (``TOKENS`` words at a time) before they are
-shuffled; the counters of a scan are a written table, and a phrase that
+Counts are summed in the task (``TOKENS`` words at a time; there, hashes of 64
+bits that agree are taken as one phrase) before they are shuffled by text; the counters of a scan are a written table, and a phrase that
 completes its cycle below the threshold leaves it.
 
 Defined results: a null text is empty, a null language ``und``; ids aren't read,
@@ -44,7 +44,7 @@ from newsdesk.llm.neardup import _mixed
 from newsdesk.session import ensure_checkpoint_dir
 
 LONGEST, THRESHOLD, TOP = 4, 30, 2000
-SHARDS, BITS = 3, 26
+SHARDS, BITS = 2, 26
 TOKENS = 3_000_000
 _NEVER = 2 ** 15 - 1
 _SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -63,7 +63,7 @@ def _joined(h: np.ndarray, word: np.ndarray) -> np.ndarray:
 class _Words(dict):
     """Numbers from 1 for the words of one language; 0 ends a piece."""
 
-    def __init__(self, lang: str, known: list[tuple[str, bytes]]):
+    def __init__(self, lang: int, known: list[tuple[int, bytes]]):
         super().__init__({b".": 0})
         self.lang, self.known = lang, known
 
@@ -73,18 +73,59 @@ class _Words(dict):
         return len(self.known)
 
 
-def _numbers(langs: list, texts: list, words: dict[str, _Words], known: list) -> list[np.ndarray]:
-    """The word numbers of some texts, a 0 after each piece."""
-    by: dict[str, list[bytes]] = {}
-    for lang, text in zip(langs, texts):
-        by.setdefault(lang, []).append(text.encode("utf-8", "replace"))
-    out = []
-    for lang, all_ in by.items():
-        if lang not in words:
-            words[lang] = _Words(lang, known)
-        tokens = (b".".join(all_) + b".").lower().translate(_ENDS).replace(b".", b" . ").split()
-        out.append(np.fromiter(map(words[lang].__getitem__, tokens), np.int64, len(tokens)))
-    return out
+class _Chunk:
+    """Word numbers of some documents, and what the numbers stand for."""
+
+    def __init__(self) -> None:
+        self.ids: list[np.ndarray] = []
+        self.size, self.langs, self.words, self.known = 0, [], {}, []
+
+    def add(self, lang: str, texts: list[bytes]) -> None:
+        if lang not in self.words:
+            self.words[lang] = _Words(len(self.langs), self.known)
+            self.langs.append(lang)
+        tokens = (b".".join(texts) + b".").lower().translate(_ENDS).replace(b".", b" . ").split()
+        self.ids.append(np.fromiter(map(self.words[lang].__getitem__, tokens), np.int32, len(tokens)))
+        self.size += len(tokens)
+
+    def row(self, shard: int) -> pa.RecordBatch:
+        hashes = np.fromiter((_word_hash(self.langs[k], w) for k, w in self.known), np.uint64, len(self.known))
+        of = np.fromiter((k for k, _ in self.known), np.int32, len(self.known))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int32()), pa.array([np.concatenate(self.ids).tobytes()], pa.binary()), pa.array([hashes.tobytes()], pa.binary()),
+             pa.array([of.tobytes()], pa.binary()), pa.array([b" ".join(w for _, w in self.known)], pa.binary()),
+             pa.array([self.langs], pa.list_(pa.string()))], ["shard", "ids", "hashes", "lang_of", "words", "langs"])
+
+
+CHUNKS = "shard int, ids binary, hashes binary, lang_of binary, words binary, langs array<string>"
+
+
+def _chunks(shards: int):
+    """The documents as chunks of some ``TOKENS`` word numbers for each shard."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [_Chunk() for _ in range(shards)]
+        for b in batches:
+            by: dict[tuple, list[bytes]] = {}
+            for shard, lang, text in zip(b.column("shard").to_pylist(), b.column("lang").to_pylist(), b.column("text").to_pylist()):
+                by.setdefault((shard, lang), []).append(text.encode("utf-8", "replace"))
+            for (shard, lang), texts in by.items():
+                held[shard].add(lang, texts)
+                if held[shard].size >= TOKENS:
+                    yield held[shard].row(shard)
+                    held[shard] = _Chunk()
+        for shard, c in enumerate(held):
+            if c.size:
+                yield c.row(shard)
+    return run
+
+
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one of each value, and how often it occurs."""
+    order = np.argsort(h)
+    new = np.ones(len(h), bool)
+    new[1:] = h[order[1:]] != h[order[:-1]]
+    at = np.flatnonzero(new)
+    return order[at], np.diff(np.append(at, len(h)))
 
 
 def _counted(step: int, shards: int, maps: dict):
@@ -99,65 +140,56 @@ def _counted(step: int, shards: int, maps: dict):
             out[(maps[u].value[slot] & bit) != 0] = u
         return out
 
-    def counts(ids: np.ndarray, known: list) -> Iterator[tuple]:
+    def counts(ids: np.ndarray, hashes: np.ndarray) -> Iterator[tuple]:
         """(numbers of the words, n, since) for each length."""
-        size = len(known) + 1
-        hashes = np.fromiter((_word_hash(*x) for x in known), np.uint64, len(known))
-        hashes = np.concatenate([[np.uint64(0)], hashes])
+        words = np.concatenate([[np.uint64(0)], hashes])
         if step < shards:
-            n = np.bincount(ids, minlength=size)
+            n = np.bincount(ids, minlength=len(words))
             n[0] = 0
             of = np.flatnonzero(n)
             yield of[:, None], n[of], np.zeros(len(of), np.int16)
-        at, code = np.arange(len(ids)), ids  # occurrences, and which phrase each is
-        phrase, h, activated = np.arange(size)[:, None], _joined(np.uint64(0), hashes), np.zeros(size, np.int16)
-        activated[0] = _NEVER
-        for length in range(2, LONGEST + 1):
-            known_from = np.maximum(since(h), activated)  # another phrase may have set the bit earlier
-            reached = np.full(len(ids) + 1, _NEVER, np.int16)
-            reached[at] = known_from[code]
-            which = np.zeros(len(ids), np.int64)
-            which[at] = code
-            from_ = np.maximum(reached[:-2], reached[1:-1])  # the part without the last word, and that without the first
+        h = _joined(np.uint64(0), words)
+        first = since(h)
+        first[0] = _NEVER
+        reached, h = first[ids], h[ids]  # at each place: since when the phrase that begins there, and its hash
+        for length in range(2, min(LONGEST, len(ids)) + 1):
+            from_ = np.maximum(reached[:-1], reached[1:])  # the part without the last word, and that without the first
             at = np.flatnonzero(from_ <= step)
-            at = at[at + length <= len(ids)]
-            last = ids[at + length - 1]
-            pairs, first, code, n = np.unique(which[at] * size + last, return_index=True, return_inverse=True, return_counts=True)
-            activated = from_[at[first]]
-            phrase = np.concatenate([phrase[pairs // size], (pairs % size)[:, None]], axis=1)
-            h = _joined(h[pairs // size], hashes[pairs % size])
-            now = activated > step - shards  # else its cycle is over
-            yield phrase[now], n[now], activated[now]
-
-    def rows(ids: list[np.ndarray], known: list) -> Iterator[pa.RecordBatch]:
-        langs = np.array(["", *(x[0] for x in known)], object)
-        names = np.array(["", *(x[1].decode("utf-8") for x in known)], object)
-        for phrase, n, activated in counts(np.concatenate(ids), known):
+            from_ = from_[at]
+            of = _joined(h[at], words[ids[at + length - 1]])
+            now = from_ > step - shards  # else its cycle is over
+            one, n = _distinct(of[now])
+            places = at[now][one]
+            yield ids[places[:, None] + np.arange(length)], n, from_[now][one]
+            if length < LONGEST:
+                h = np.zeros(len(h) - 1, np.uint64)
+                h[at] = of
+                reached = np.full(len(reached) - 1, _NEVER, np.int16)
+                reached[at] = np.maximum(since(of), from_)  # another phrase may have set the bit earlier
+
+    def rows(chunk: dict) -> Iterator[pa.RecordBatch]:
+        lang_of = np.concatenate([[0], np.frombuffer(chunk["lang_of"], np.int32)])
+        langs = np.array(chunk["langs"], object)
+        names = np.array([b"", *chunk["words"].split(b" ")], object)
+        for phrase, n, activated in counts(np.frombuffer(chunk["ids"], np.int32), np.frombuffer(chunk["hashes"], np.uint64)):
             if phrase.shape[1] == 1:
-                words = pd.Series(n).groupby(langs[phrase[:, 0]]).sum()
-                yield batch(words.index.to_numpy(object), np.full(len(words), "", object), words.to_numpy(), np.zeros(len(words)))
+                words = np.bincount(lang_of[phrase[:, 0]], weights=n, minlength=len(langs)).astype(np.int64)
+                yield batch(langs, np.full(len(langs), b"", object), words, np.zeros(len(langs)))
             for k in range(0, len(n), 100_000):
                 of = phrase[k:k + 100_000]
                 text = names[of[:, 0]]
                 for j in range(1, of.shape[1]):
-                    text = text + " " + names[of[:, j]]
-                yield batch(langs[of[:, 0]], text, n[k:k + 100_000], activated[k:k + 100_000])
+                    text = text + b" " + names[of[:, j]]
+                yield batch(langs[lang_of[of[:, 0]]], text, n[k:k + 100_000], activated[k:k + 100_000])
 
     def batch(lang, phrase, n, activated) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(n.astype(np.int64)),
+        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64)),
                                            pa.array(activated.astype(np.int32))], ["lang", "phrase", "n", "since"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, total, words, known = [], 0, {}, []
         for b in batches:
-            more = _numbers(b.column("lang").to_pylist(), b.column("text").to_pylist(), words, known)
-            ids += more
-            total += sum(map(len, more))
-            if total >= TOKENS:
-                yield from rows(ids, known)
-                ids, total, words, known = [], 0, {}, []
-        if ids:
-            yield from rows(ids, known)
+            for k in range(b.num_rows):
+                yield from rows({c: b.column(c)[k].as_py() for c in ("ids", "hashes", "lang_of", "words", "langs")})
     return run
 
 
@@ -188,13 +220,13 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, shards: int | None = N
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/shards-{uuid.uuid4().hex}"
     (docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                  F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
-     .write.partitionBy("shard").option("compression", "zstd").parquet(path))
-    all_ = spark.read.schema("lang string, text string, shard int").parquet(path)
+     .mapInArrow(_chunks(shards), CHUNKS).write.partitionBy("shard").option("compression", "zstd").parquet(path))
+    all_ = spark.read.schema(CHUNKS).parquet(path)
     maps = {0: np.zeros(2 ** BITS // 64, np.uint64)}
     sent = {0: spark.sparkContext.broadcast(maps[0])}
     counters, step = None, 0
     while True:
-        scan = all_.where(F.col("shard") == step % shards).select("lang", "text")
+        scan = all_.where(F.col("shard") == step % shards).drop("shard")
         seen = {u: b for u, b in sent.items() if step - shards <= u <= step}
         found = scan.mapInArrow(_counted(step, shards, seen), "lang string, phrase string, n long, since int")
         if counters is not None:
