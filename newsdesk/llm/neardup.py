@@ -45,11 +45,12 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newsdesk.llm.common import settled
+from newsdesk.llm.common import settled, unused
 
 WIDTH, SIMILARITY = 5, 0.8
 ROWS, BANDS = 4, 28
 BLOCK = 256
+HOT = 1024  # members of a bucket that one task joins with what the bucket has one row of
 REMEMBERED = 1_000_000
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -176,14 +177,24 @@ def _labelled(members: DataFrame, edges: DataFrame) -> DataFrame:
     alone that have more than one."""
     labels = components(edges)
     out = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = out.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-    return out.join(mixed, "bucket")
+    mixed = out.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("n").alias("n")).where("low <> high")
+    return _meet(out, mixed.select("bucket", "n"))
+
+
+def _meet(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The members (bucket, id, n) with the row that ``buckets`` (bucket, n) has
+    of their bucket. A bucket of very many members is split by a salt, and its
+    row is repeated for each part."""
+    parts = lambda n: F.ceil(n / HOT).cast("long")
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("id"), parts(F.col("n"))))
+    each = buckets.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), parts(F.col("n")) - 1))).drop("n")
+    return salted.join(each, ["bucket", "salt"]).drop("salt")
 
 
 def _centred(members: DataFrame) -> DataFrame:
     """bucket, and its member with the greatest mass."""
-    return members.groupBy("bucket").agg(F.max(F.struct(F.col("mass"), (-F.col("id")).alias("neg"))).alias("top")).select(
-        "bucket", (-F.col("top.neg")).alias("centre"))
+    return members.groupBy("bucket").agg(F.max("n").alias("n"), F.max(F.struct(F.col("mass"), (-F.col("id")).alias("neg"))).alias("top")).select(
+        "bucket", "n", (-F.col("top.neg")).alias("centre"))
 
 
 def _pairs(a, b) -> list:
@@ -300,10 +311,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
     found = one.select("id", F.explode("bands").alias("bucket")).distinct()
     sizes = found.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = found.join(sizes, "bucket")
-    members = settled(shared.join(shared.groupBy("id").agg(F.sum("n").alias("mass")), "id").select("bucket", "id", "mass"), "buckets")
+    members = settled(shared.join(shared.groupBy("id").agg(F.sum("n").alias("mass")), "id").select("bucket", "id", "mass", "n"), "buckets")
+    # the texts that are compared: of classes in a shared bucket, moved once
+    docs = settled(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
+        members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
 
     def with_centre(m: DataFrame, centres: DataFrame) -> DataFrame:
-        near = m.join(centres, "bucket").where(F.col("id") != F.col("centre"))
+        near = _meet(m, centres).where(F.col("id") != F.col("centre"))
         if "label" in m.columns:
             near = near.where(F.col("label") != F.col("of"))
         return near.select(*_pairs(F.col("id"), F.col("centre"))).distinct()
@@ -312,13 +326,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
     edges = settled(confirmed(tried, docs, width, similarity), "links")
 
     left = settled(_labelled(members, edges), "mixed")
-    first = _centred(left).join(left.select("bucket", F.col("id").alias("centre"), "label"), ["bucket", "centre"]).select("bucket", F.col("label").alias("first"))
-    second = _centred(left.join(first, "bucket").where("label <> first"))
+    first = _centred(left).join(left.select("bucket", F.col("id").alias("centre"), "label"), ["bucket", "centre"]).select("bucket", "n", F.col("label").alias("first"))
+    second = _centred(_meet(left, first).where("label <> first"))
     second = second.join(left.select("bucket", F.col("id").alias("centre"), F.col("label").alias("of")), ["bucket", "centre"])
     more = settled(with_centre(left, second).join(tried, ["a", "b"], "left_anti"), "pairs")
     edges = settled(edges.union(confirmed(more, docs, width, similarity)), "links")
 
-    left = settled(_labelled(left.select("bucket", "id", "mass"), edges), "mixed")
+    left = settled(_labelled(left.select("bucket", "id", "mass", "n"), edges), "mixed")
     edges = settled(edges.union(_across(left, sigs, docs, width, similarity)), "links")
 
     # rows that repeat a doc_id with different texts are linked as one document
@@ -334,5 +348,6 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
 
 def keep(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of one document of each group, with the columns of ``docs``."""
-    gone = near_duplicates(docs, width, similarity).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    name = unused(docs, "gone")
+    gone = near_duplicates(docs, width, similarity).where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")

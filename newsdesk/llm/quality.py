@@ -2,17 +2,21 @@
 
 Five measures of a text (per mille: symbols, capitals and exclamation marks in
 its word characters, repeated lines, words in repeated 3-word windows) each
-have a cutoff per stratum (language). A cutoff is chosen on labelled documents
-so that the rate of good documents it rejects is below its share of ``RISK``:
-from the most lenient cutoff on, each is tested by the exact binomial tail
-P(Bin(good, risk) <= rejected good) <= level, and the sequence stops at the
-first that fails (fixed-sequence testing: no correction is owed within it);
-the level is ``DELTA`` divided by the number of strata times measures
-(Bonferroni). By the union bound, with probability 1 - DELTA no stratum loses
-more than ``RISK`` of its good documents. Among the cutoffs that passed, the
-one with the least cost is taken: bad documents missed plus ``WORTH`` times the
-good ones lost, as rates; a stratum with too few labels gets no cutoff, and
-then only the base rules reject.
+have a cutoff per stratum (language). The cutoffs of a stratum are chosen
+together on labelled documents that the base rules keep, so that the rate of
+good ones that any of them rejects is at most ``RISK``. One in ``PLANNING``
+labels of a stratum plans: it puts the (measure, cutoff) pairs that catch a bad
+document in an order, those that lose it the fewest good ones first. The other
+labels test: step by step along that fixed order, the pairs taken so far are
+tested jointly by the exact binomial tail P(Bin(good, RISK) <= rejected good)
+<= level, and the sequence stops at the first step that fails (fixed-sequence
+testing: no correction is owed within it); the level is ``DELTA`` divided by the
+number of strata (Bonferroni). By the union bound, with probability 1 - DELTA
+no stratum loses more than ``RISK`` of its good documents; some 144 good labels
+without a loss are enough with four strata. Of the steps that passed, the one of
+least cost is taken: bad documents missed plus ``WORTH`` times the good ones
+lost, as rates. A stratum with too few labels gets no cutoff (a row of
+``cutoffs`` without any), and then only the base rules reject.
 
 Base rules: fewer than 50 words, or more than half of the words in repeated
 windows.
@@ -20,8 +24,7 @@ windows.
 Defined results: null text is empty (fails the base rules); a null language is
 a stratum of its own; labels without a doc_id or quality, or that contradict
 each other for a document, are not used; repeated rows get a row each; no rows
-give no rows. Other columns pass through ``measured`` untouched unless they
-have a measure's name, and are then replaced.
+give no rows. Columns of any other name pass through ``keep`` as they are.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from newsdesk.llm.common import settled
 
 RISK, DELTA, WORTH = 0.03, 0.05, 10.0
+PLANNING = 4  # one label in so many plans, the others test
 STEP, BINS = 25, 40  # cutoffs: multiples of 25 per mille up to 1000
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -113,34 +117,44 @@ def _tail(k: Column, n: Column, p: float) -> Column:
 
 
 def cutoffs(rows: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """Per stratum a row: the smallest per mille that each measure rejects at
-    (null: it rejects nothing). ``rows`` has doc_id, the stratum and MEASURES."""
+    """Per stratum with labels a row: n_good (tested), and the smallest per
+    mille that each measure rejects at (null: it rejects nothing). ``rows`` has
+    doc_id, the stratum, MEASURES and base_failed."""
     sure = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id")
-            .agg(F.min("quality").alias("_low"), F.max("quality").alias("_high")).where("_low = _high")
-            .select("doc_id", (F.col("_low") > 0).alias("good")))
-    known = rows.select("doc_id", F.col(stratum).cast("string").alias("stratum"), *MEASURES).join(sure, "doc_id")
-    each = known.select("stratum", "good", F.explode(F.array(*(
-        F.struct(F.lit(m).alias("measure"), F.least(F.floor(F.col(m) / STEP), F.lit(BINS)).cast("int").alias("bin")) for m in MEASURES))).alias("m"))
-    # at most strata x measures x 41 rows from here on
-    bins = each.groupBy("stratum", "m.measure", "m.bin").agg(
-        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
-    of = Window.partitionBy("stratum", "measure")
-    above = of.orderBy(F.desc("bin"))
-    tested = bins.where("bin > 0").withColumns({"k": F.sum("good").over(above), "caught": F.sum("bad").over(above)})
-    totals = bins.groupBy("stratum", "measure").agg(F.sum("good").alias("n"), F.sum("bad").alias("n_bad"))
-    strata = bins.select("stratum").distinct().agg(F.count("*").alias("n_strata"), F.max(F.lit(len(MEASURES))).alias("n_measures"))
-    share = risk / len(MEASURES)
-    tested = (tested.withColumn("_s", F.coalesce("stratum", F.lit("\0"))).drop("stratum")
-              .join(totals.withColumn("_s", F.coalesce("stratum", F.lit("\0"))), ["_s", "measure"])
-              .crossJoin(F.broadcast(strata)))  # one row
-    k, n = F.col("k"), F.col("n")
-    tested = tested.withColumn("passed", F.when(k < n * share, _tail(k, n, share) <= delta / (F.col("n_strata") * F.col("n_measures"))).otherwise(False))
-    of = Window.partitionBy("_s", "measure").orderBy(F.desc("bin"))
-    tested = tested.where(F.col("caught") > 0).withColumn("passed", F.min(F.col("passed").cast("int")).over(of) == 1)
-    cost = 1 - F.col("caught") / F.col("n_bad") + WORTH * k / n
-    best = tested.where("passed").groupBy("_s", "measure").agg(
-        F.min(F.struct(cost.alias("cost"), (-F.col("bin")).alias("bin"))).alias("best"))
-    return best.groupBy("_s").agg(*(F.max(F.when(F.col("measure") == m, -F.col("best.bin") * STEP)).alias(f"cut_{m}") for m in MEASURES))
+            .agg(F.min("quality").alias("low"), F.max("quality").alias("high")).where("low = high")
+            .select("doc_id", (F.col("low") > 0).alias("good")))
+    values = F.array(*(F.least(F.floor(F.col(m) / STEP), F.lit(BINS)).cast("int") for m in MEASURES))
+    known = rows.where(~F.col("base_failed")).select(
+        "doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("\0")).alias("_s"), values.alias("bins")).join(sure, "doc_id")
+    known = known.withColumn("plans", F.pmod(F.xxhash64("doc_id"), F.lit(PLANNING)) == 0)
+    # at most strata x measures x (BINS + 1) rows from here on
+    counted = (known.select("_s", "plans", "good", F.posexplode("bins").alias("m", "bin")).groupBy("_s", "m", "bin")
+               .agg(*(F.count_if(F.col("plans") & (F.col("good") == g)).alias(n) for g, n in ((True, "lost"), (False, "caught")))))
+    every = (counted.select("_s").distinct().select("_s", F.explode(F.sequence(F.lit(0), F.lit(len(MEASURES) - 1))).alias("m"))
+             .select("_s", "m", F.explode(F.sequence(F.lit(1), F.lit(BINS))).alias("bin")))
+    above = Window.partitionBy("_s", "m").orderBy(F.desc("bin"))
+    planned = every.join(counted, ["_s", "m", "bin"], "left").withColumns({
+        n: F.sum(F.coalesce(n, F.lit(0))).over(above) for n in ("lost", "caught")})
+    # the fixed sequence: cutoffs that cost the planning part least come first
+    path = planned.where("caught > 0").withColumn("step", F.row_number().over(
+        Window.partitionBy("_s").orderBy("lost", F.desc("caught"), F.desc("bin"), "m")))
+    steps = path.groupBy("_s").agg(F.sort_array(F.collect_list(F.struct("step", "m", "bin"))).alias("path"))  # at most 200
+    first = F.array_min(F.transform(F.filter("path", lambda x: F.get("bins", x["m"]) >= x["bin"]), lambda x: x["step"]))
+    tested = (known.where(~F.col("plans")).join(steps, "_s", "left").withColumn("step", first)
+              .groupBy("_s", "step").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")))
+    totals = tested.groupBy("_s").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"))
+    strata = totals.agg(F.count("*").alias("n_strata"))
+    upto = Window.partitionBy("_s").orderBy("step")
+    walk = (path.select("_s", "step").join(tested, ["_s", "step"], "left").join(totals, "_s").crossJoin(F.broadcast(strata))  # one row
+            .withColumns({"k": F.sum(F.coalesce("good", F.lit(0))).over(upto), "c": F.sum(F.coalesce("bad", F.lit(0))).over(upto)}))
+    k, n = F.col("k"), F.col("n_good")
+    sure_ = F.when(k < n * risk, _tail(k, n, risk) <= delta / F.col("n_strata")).otherwise(False)
+    passed = walk.withColumn("passed", F.min(sure_.cast("int")).over(upto) == 1).where("passed and c > 0")
+    cost = 1 - F.col("c") / F.col("n_bad") + WORTH * k / n
+    best = passed.groupBy("_s").agg(F.min(F.struct(cost.alias("cost"), "step")).alias("best")).select("_s", F.col("best.step").alias("last"))
+    cuts = path.join(best, "_s").where("step <= last").groupBy("_s").agg(
+        *(F.min(F.when(F.col("m") == i, F.col("bin") * STEP)).alias(f"cut_{m}") for i, m in enumerate(MEASURES)))
+    return totals.select("_s", "n_good").join(cuts, "_s", "left")
 
 
 def judged(rows: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -163,7 +177,9 @@ def decide(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFra
 
 
 def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The rows of the kept documents, with the columns of ``docs``."""
-    rows = settled(measured(docs), "quality")
+    """The rows of the kept documents, with the columns of ``docs``: they are
+    carried in one struct, so that no name meets one of the measures'."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = settled(measured(docs.select(whole, "doc_id", "text", stratum)).drop("text"), "quality")
     cuts = settled(cutoffs(rows, labels, stratum), "cutoffs")
-    return judged(rows, cuts, stratum).where("kept").select(*docs.columns)
+    return judged(rows, cuts, stratum).where("kept").select("row.*")

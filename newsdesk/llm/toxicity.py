@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from newsdesk.llm.common import fold_of, settled
+from newsdesk.llm.common import fold_of, settled, unused
 
 TRAIN_ROWS = 20_000
 MAX_ENTRIES = 5_000
@@ -246,9 +246,9 @@ def _fit(rows: DataFrame, weights: dict[str, float], safe: list[str]) -> tuple[f
     return tuple(float(x) for x in w)
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows with SCORE, 0 to 1."""
-    docs = docs.drop(SCORE)
+def scored(docs: DataFrame, model: Model, name: str = SCORE) -> DataFrame:
+    """The rows with the score, 0 to 1, as column ``name``."""
+    docs = docs.drop(name)
     at = [c.lower() for c in docs.columns].index("text")
     matcher, fit = _matcher_of(model.weights, model.exceptions), model.fit
 
@@ -261,11 +261,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                     continue
                 x, y = _features(matcher(), folded(text))
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, fit[0] + fit[1] * x + fit[2] * y)))))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, SCORE])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(SCORE, DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows whose score is under one half, with the columns of ``docs``."""
-    return scored(docs, train(docs, labels)).where(F.col(SCORE) < 0.5).select(*docs.columns)
+    name = unused(docs, SCORE)
+    return scored(docs, train(docs, labels), name).where(F.col(name) < 0.5).drop(name)

@@ -143,10 +143,42 @@ def test_binomial_tail_and_cutoffs(spark):
     m = spark.range(3220).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") < 3200, "en").otherwise("xx").alias("lang"),
         F.when(F.col("id") < 3000, F.col("id") % 100).otherwise(600).cast("int").alias("m_symbols"),
-        *(F.lit(0).alias(x) for x in quality.MEASURES[1:]))
+        *(F.lit(0).alias(x) for x in quality.MEASURES[1:]), F.lit(False).alias("base_failed"))
     labels = m.select("doc_id", (F.col("doc_id") < 3000).cast("int").alias("quality"))
     cuts = quality.cutoffs(m, labels).collect()
-    assert [(r["_s"], r["cut_m_symbols"], r["cut_m_marks"]) for r in cuts] == [("en", 600, None)]
+    assert [(r["_s"], r["cut_m_symbols"], r["cut_m_marks"]) for r in sorted(cuts)] == [("en", 600, None), ("xx", None, None)]
+    assert sum(r["n_good"] for r in cuts) == pytest.approx(3000 * 3 / 4, rel=0.1)
+
+
+def test_cutoffs_are_tested_jointly(spark):
+    """Two measures that each lose 2 % of the good documents, others than each
+    other: either may be used at a risk of 3 %, not both. A stratum of some 200
+    good labels gets its rule; documents that the base rules reject don't count."""
+    m = spark.range(12000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") >= 11000, "small").otherwise("en").alias("lang"),
+        F.when((F.col("id") % 50 == 0) | (F.col("id") % 10 == 9), 300).otherwise(0).cast("int").alias("m_symbols"),
+        F.when((F.col("id") % 50 == 1) | (F.col("id") % 10 == 8), 300).otherwise(0).cast("int").alias("m_capitals"),
+        *(F.lit(0).alias(x) for x in quality.MEASURES[2:]), F.col("id").between(11300, 11999).alias("base_failed"))
+    m = m.withColumn("m_symbols", F.when((F.col("lang") == "small") & (F.col("doc_id") % 50 == 0), 0).otherwise(F.col("m_symbols")))
+    m = m.withColumn("m_capitals", F.when(F.col("lang") == "small", 0).otherwise(F.col("m_capitals")))
+    labels = m.select("doc_id", (F.col("doc_id") % 10 < 8).cast("int").alias("quality"))
+    cuts = {r["_s"]: r for r in quality.cutoffs(m, labels).collect()}
+    used = [x for x in quality.MEASURES if cuts["en"][f"cut_{x}"] is not None]
+    assert used in (["m_symbols"], ["m_capitals"])
+    assert cuts["small"]["n_good"] < 240 and cuts["small"]["cut_m_symbols"] == 300
+
+
+def test_stages_pass_columns_of_any_name(spark):
+    """Columns with the names that the operators use inside come back as they were."""
+    names = ["_text", "_words", "_lines", "_s", "row", "n_words", "m_symbols", "cut_m_marks", "kept", "gone", "_gone", "_toxicity", "score", "good", "bad"]
+    long = "the quick brown fox jumps over the lazy dog and runs far away " * 3
+    df = spark.createDataFrame([(i, f"{long} {i} " + " ".join(f"w{i}{j}" for j in range(60)), "en", "s", 0, *[f"{n}{i}" for n in names]) for i in range(6)],
+                               "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(4)], "doc_id long, quality int, toxic int")
+    for out in (quality.keep(df, labels), toxicity.keep(df, labels), neardup.keep(df)):
+        assert out.columns == df.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
 
 
 def brute_components(rows, width):
