@@ -11,6 +11,7 @@ Anything else raises ``UnsupportedXPath`` naming the rule.
 from __future__ import annotations
 
 import re
+from html import escape
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
@@ -33,20 +34,23 @@ class Node:
     def elements(self):
         return [c for c in self.children if isinstance(c, Node)]
 
+    # no recursion: a page of unclosed tags is as deep as it has tags
     def iter(self):
-        yield self
-        for c in self.children:
-            if isinstance(c, Node):
-                yield from c.iter()
+        todo = [self]
+        while todo:
+            n = todo.pop()
+            yield n
+            todo.extend(reversed(n.elements()))
 
     def text(self) -> str:
         """String value: all descendant text except scripts and styles."""
-        out = []
-        for c in self.children:
+        out, todo = [], list(reversed(self.children))
+        while todo:
+            c = todo.pop()
             if isinstance(c, str):
                 out.append(c)
             elif c.tag not in SKIP_TEXT:
-                out.append(c.text())
+                todo.extend(reversed(c.children))
         return "".join(out)
 
     def path(self) -> str:
@@ -58,11 +62,20 @@ class Node:
         return "/" + "/".join(reversed(parts))
 
     def to_html(self) -> str:
-        a = "".join(f' {k}="{v}"' if v is not None else f" {k}" for k, v in self.attrs.items())
-        if self.tag in VOID:
-            return f"<{self.tag}{a}>"
-        inner = "".join(c if isinstance(c, str) else c.to_html() for c in self.children)
-        return f"<{self.tag}{a}>{inner}</{self.tag}>"
+        """The element as markup; what was text is text again."""
+        out, todo = [], [(self, False)]
+        while todo:
+            c, close = todo.pop()
+            if isinstance(c, str):
+                out.append(c if close else escape(c, quote=False))     # close: a script's or style's text
+            elif close:
+                out.append(f"</{c.tag}>")
+            else:
+                out.append(f"<{c.tag}" + "".join(f" {k}" if v is None else f' {k}="{escape(v)}"' for k, v in c.attrs.items()) + ">")
+                if c.tag not in VOID:
+                    todo.append((c, True))
+                    todo.extend((x, isinstance(x, str) and c.tag in ("script", "style")) for x in reversed(c.children))
+        return "".join(out)
 
 
 class _Builder(HTMLParser):

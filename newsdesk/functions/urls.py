@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from newsdesk.fixed import BAD_KEYS, BAD_KEY_PREFIXES, BAD_KEY_SUBSTRING, BAD_PAIRS, BAD_VALUES
-from newsdesk.functions._col import as_col
+from newsdesk.functions._col import as_col, let
 
 
 def query_decode(c: Column) -> Column:
@@ -68,11 +68,11 @@ def query_pairs(rawq: Column) -> Column:
 
 def clean_query(rawq: Column) -> Column:
     """Cleaned, re-encoded query string ('' when nothing is left)."""
-    pairs = query_pairs(rawq)
     # the value tested is the first value of the key; all values of a bad key go
     # (a lookup within one URL's own parameters, a handful per row)
-    first_v = lambda q: F.element_at(F.filter(pairs, lambda r: r["k"] == q["k"]), 1)["v"]
-    kept = F.filter(pairs, lambda q: ~_key_is_bad(q["k"], first_v(q)))
+    first_v = lambda pairs, q: F.element_at(F.filter(pairs, lambda r: r["k"] == q["k"]), 1)["v"]
+    kept = let(query_pairs(rawq), lambda pairs: F.filter(
+        pairs, lambda q: let(first_v(pairs, q), lambda v: ~_key_is_bad(q["k"], v))))
     # keys in byte order, values of one key in input order
     ordered = F.array_sort(F.transform(kept, lambda q: F.struct(
         q["k"].alias("k"), q["pos"].alias("pos"), q["v"].alias("v"))))
@@ -82,15 +82,19 @@ def clean_query(rawq: Column) -> Column:
 
 def clean_url(c) -> Column:
     """Drop tracking parameters; keep scheme, host, path and fragment."""
-    u = as_col(c)
-    head, rawq, frag = split_url(u)
-    # the scheme is case-insensitive and written in lower case, as a URL
-    # parser does; host and path keep their case
-    scheme = F.regexp_extract(head, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    head = F.concat(F.lower(scheme), F.substring(head, F.length(scheme) + 1, F.length(head)))
-    q = clean_query(rawq)
-    out = F.concat(head, F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")), frag)
-    return F.when(u.isNotNull(), out)
+    def parts(u: Column) -> Column:
+        head, rawq, frag = split_url(u)
+        return F.when(u.isNotNull(), F.struct(head.alias("head"), rawq.alias("rawq"), frag.alias("frag")))
+
+    def joined(p: Column) -> Column:
+        # the scheme is case-insensitive and written in lower case, as a URL
+        # parser does; host and path keep their case
+        scheme = F.regexp_extract(p["head"], r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+        head = F.concat(F.lower(scheme), F.substring(p["head"], F.length(scheme) + 1, F.length(p["head"])))
+        query = let(clean_query(p["rawq"]), lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")))
+        return F.when(p.isNotNull(), F.concat(head, query, p["frag"]))
+
+    return let(as_col(c), lambda u: let(parts(u), joined))
 
 
 def _joined_path(path: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsdesk.functions.ids import objectid_time
 from newsdesk.functions.text import empty_body_flag, size0
@@ -36,8 +36,11 @@ def resolve_links(pages: DataFrame) -> DataFrame:
     return pages.withColumn("url", clean_url(resolve_url(F.col("location"), F.col("link"))))
 
 
-def origin_tag(is_wire: bool = False, is_lexisnexis: bool = False):
-    return F.lit(WIRE_ORIGINS[1] if is_lexisnexis else (WIRE_ORIGINS[0] if is_wire else RSS_ORIGIN))
+def origin_tag(is_wire=False, is_lexisnexis=False):
+    """Origin of an article; the flags are booleans of a job or columns."""
+    flag = lambda x: x if isinstance(x, Column) else F.lit(bool(x))
+    return (F.when(flag(is_lexisnexis), F.lit(WIRE_ORIGINS[1]))
+            .when(flag(is_wire), F.lit(WIRE_ORIGINS[0])).otherwise(F.lit(RSS_ORIGIN)))
 
 
 def article_pub_rules(articles: DataFrame, pubs: DataFrame) -> DataFrame:

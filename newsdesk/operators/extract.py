@@ -136,6 +136,16 @@ def _apply_rules(html, rules, shared=None) -> str | None:
     return None
 
 
+def _apply_lists(html, lists: dict, shared, out: dict) -> None:
+    """Each list's first match; a rule that isn't supported ends its own list
+    alone, and ``error`` names all of them."""
+    for field, rules in lists.items():
+        try:
+            out[field] = _apply_rules(html, rules, shared)
+        except ht.UnsupportedXPath as e:
+            out["error"] = f"{out['error']}; {e}" if out["error"] else f"Unsupported XPath: {e}"
+
+
 def _xpath_row(html, body_rules, author_rules, date_rules, title_rules, body_text) -> dict:
     out = {"author": None, "body": None, "published": None, "title": None, "error": None}
     if html is None or len(html) == 0:
@@ -145,14 +155,8 @@ def _xpath_row(html, body_rules, author_rules, date_rules, title_rules, body_tex
     if all(x is None or len(x) == 0 for x in lists):
         return out
     shared = ht.parse_html(html)
-    try:
-        out["author"] = _apply_rules(html, author_rules, shared)
-        if not body_text:
-            out["body"] = _apply_rules(html, body_rules, shared)
-        out["published"] = _apply_rules(html, date_rules, shared)
-        out["title"] = _apply_rules(html, title_rules, shared)
-    except ht.UnsupportedXPath as e:
-        out["error"] = f"Unsupported XPath: {e}"
+    rules = {"author": author_rules, "body": body_rules if not body_text else None, "published": date_rules, "title": title_rules}
+    _apply_lists(html, rules, shared, out)
     return out
 
 
@@ -186,18 +190,10 @@ def _page_row(html, body_rules, author_rules, date_rules, title_rules) -> dict:
         xp["error"] = "No HTML"
         return {"content": _content(html), "xp": xp}
     root = ht.parse_html(html)
-    try:
-        xp["author"] = _apply_rules(html, author_rules, root)
-        xp["published"] = _apply_rules(html, date_rules, root)
-        xp["title"] = _apply_rules(html, title_rules, root)
-    except ht.UnsupportedXPath as e:
-        xp["error"] = f"Unsupported XPath: {e}"
+    _apply_lists(html, {"author": author_rules, "published": date_rules, "title": title_rules}, root, xp)
     content = _content(html, root)
-    if not content["body_text"] and xp["error"] is None:
-        try:
-            xp["body"] = _apply_rules(html, body_rules, None)
-        except ht.UnsupportedXPath as e:
-            xp["error"] = f"Unsupported XPath: {e}"
+    if not content["body_text"]:
+        _apply_lists(html, {"body": body_rules}, None, xp)
     return {"content": content, "xp": xp}
 
 

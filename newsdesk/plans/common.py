@@ -36,20 +36,23 @@ _ID_REQ_SQL = """d_req AS (SELECT event_id, CASE event_type
 _LANDED: dict = {}
 
 
-WIRE_FILES = 16
+#: Articles of a landed response file: one API page, so that the files, and
+#: with them the tasks that read them, grow in number with the articles.
+WIRE_PAGE = 500
 
 
 def _wire_files(spark, d) -> str:
     """The newswire fixture (orders ⋈ customer ⋈ nation) landed as XML
-    response files, in sequence order, once per session and scale factor:
-    the queries then read it the way newswire batches arrive (as files,
-    through the XML source)."""
+    response files of one API page each, in sequence order, once per session
+    and scale factor: the queries then read it the way newswire batches arrive
+    (as files, through the XML source)."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _LANDED:
         path = _run_dir(spark, "wire_xml")
         w = dt.wire_rows(spark, d).select("order_key", "article.*")
-        (w.repartitionByRange(WIRE_FILES, "order_key").sortWithinPartitions("order_key").drop("order_key")
-          .write.format("xml").option("rowTag", "article").option("rootTag", "articles").save(path))
+        (w.repartitionByRange("order_key").sortWithinPartitions("order_key").drop("order_key")
+          .write.format("xml").option("rowTag", "article").option("rootTag", "articles")
+          .option("maxRecordsPerFile", WIRE_PAGE).save(path))
         _LANDED[key] = path
     return _LANDED[key]
 
@@ -63,11 +66,13 @@ def _wire(spark, d, mapped: bool = True) -> DataFrame:
 
 
 def _store_and_new(spark, d):
+    """The whole article table as store; a change for each of its rows: a third
+    of them saved again with another title, the others as articles of new ids."""
     a = dt.articles(spark, d)
     k = F.conv(F.col("article_id"), 16, 10).cast("bigint")
-    store = a.filter(k % 2 == 0)
-    new = a.filter(k % 3 == 0).withColumn("title", F.concat(F.col("title"), F.lit(" (v2)")))
-    return store, new
+    new = (a.withColumn("title", F.concat("title", F.when(k % 3 == 0, F.lit(" (v2)")).otherwise(F.lit(" (new)"))))
+           .withColumn("article_id", F.when(k % 3 == 0, F.col("article_id")).otherwise(ids.id_from_number(k + 1000000000))))
+    return a, new
 
 
 _LATEST_POLL_SQL = """d_last_poll AS (
@@ -255,9 +260,10 @@ def _run_dir(spark, name):
     return checkpoint_dir(spark, "runs", uuid.uuid4().hex, name)
 
 
-def _land(df: DataFrame, path: str, order_col: str, files: int = 4) -> None:
-    """Land an input as a few files in ``order_col`` order (arrival order)."""
-    df.repartitionByRange(files, order_col).sortWithinPartitions(order_col).write.parquet(path)
+def _land(df: DataFrame, path: str, order_col: str) -> None:
+    """Land an input in ``order_col`` order (arrival order), in files whose
+    number follows its size (the session's advisory partition size)."""
+    df.repartitionByRange(order_col).sortWithinPartitions(order_col).write.parquet(path)
 
 
 def _job_store(spark, d):

@@ -31,6 +31,7 @@ REDIRECT_SCHEMA = "old_id string, new_id string"
 #: kind 'part': key = part, id = the write that was counted; kind 'count':
 #: key = type, id, n. One table, so that counts and cursor are one commit.
 COUNT_STATE_SCHEMA = "kind string, key string, id string, n bigint"
+FEED_QUEUE, FEED_QUEUE_SCHEMA = "feed_queue", "feed_id string, enqueued timestamp"
 WIRE_CURSOR_SCHEMA = "sequence_id string"
 
 
@@ -108,16 +109,27 @@ def apply_cats(store: TableStore) -> None:
 
 # ---------------------------------------------------------------- feed path
 def enqueue_feeds(store: TableStore, now, limit: int = fd.DEFAULT_LIMIT,
-                  threshold: int = wk.DEFAULT_THRESHOLD) -> DataFrame:
+                  threshold: int = wk.DEFAULT_THRESHOLD, work_threshold: int | None = None) -> DataFrame:
     """Due feeds with what a conditional poll sends (url, etag, modified:
-    the one name the poll update writes), or none when the work queue is
-    over its threshold (one boolean reaches the driver: the go / no-go)."""
+    the one name the poll update writes), or none when the queues are too deep
+    (one boolean each reaches the driver: the go / no-go).
+
+    Two queues are looked at: the feeds that were enqueued and not polled yet
+    (the topic this job writes to, table ``feed_queue``, with its own depth),
+    and the entries in work. ``work_threshold`` is the latter's, if another.
+    The feeds of a run enter the queue; their polls (``download_feed``) take
+    them out."""
     feeds = store.read("feeds", S.FEED)
     cols = ["feed_id", "url", "etag", "modified"]
-    depth = wk.queue_depth(store.read("work", S.WORK), threshold)
-    if not wk.may_enqueue(depth).first().ok:
+    queued = store.read(FEED_QUEUE, FEED_QUEUE_SCHEMA).select(F.lit(FEED_QUEUE).alias("topic"), F.lit("download").alias("channel"))
+    topic = wk.topic_depth(queued, threshold)
+    depth = wk.queue_depth(store.read("work", S.WORK), work_threshold or threshold)
+    if not (wk.may_enqueue(topic).first().ok and wk.may_enqueue(depth).first().ok):
         return feeds.filter(F.lit(False)).select(*cols)      # no-go: no feeds this run
-    return fd.feeds_due(feeds, now, limit).select(*cols)
+    due = fd.feeds_due(feeds, now, limit).select(*cols)
+    store.update(FEED_QUEUE, lambda q: q.unionByName(
+        due.select("feed_id", F.lit(now).cast("timestamp").alias("enqueued")).join(q, "feed_id", "left_anti")), FEED_QUEUE_SCHEMA)
+    return due
 
 
 def download_feed(store: TableStore, polls: DataFrame, now) -> DataFrame:
@@ -139,6 +151,8 @@ def download_feed(store: TableStore, polls: DataFrame, now) -> DataFrame:
         return work.unionByName(inserted[-1])
 
     store.update("work", queued, S.WORK)
+    if store.exists(FEED_QUEUE):
+        store.update(FEED_QUEUE, lambda q: tb.delete_by_key(q, polls.select("feed_id"), "feed_id"), FEED_QUEUE_SCHEMA)
     return inserted[-1]
 
 

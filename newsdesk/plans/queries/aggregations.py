@@ -73,12 +73,32 @@ def q_merge_publications(spark, d):
 @query("queue_depth", f"""
 SELECT stage, count(*) AS depth,
   CASE WHEN count(*) > {QUEUE_THRESHOLD}
-       THEN stage || ' Channel depth (' || CAST(count(*) AS VARCHAR) || ') exceeds threshold ({QUEUE_THRESHOLD})' END AS error
+       THEN 'stage ' || stage || ': ' || CAST(count(*) AS VARCHAR) || ' rows wait, at most {QUEUE_THRESHOLD} may' END AS error
 FROM d_work GROUP BY stage""")
 def q_queue_depth(spark, d):
     return work.queue_depth(dt.work(spark, d), QUEUE_THRESHOLD)
 
 
+@query("topic_depth", f"""
+, m AS (SELECT event_type || '-' || CAST(user_id % 2 AS VARCHAR) AS topic,
+          CASE WHEN event_type = 'error' OR (event_type = 'view' AND user_id % 50 = 0) THEN NULL ELSE event_type || CAST(user_id % 3 AS VARCHAR) END AS channel
+        FROM events),
+t AS (SELECT topic, count(DISTINCT channel) AS channels, count_if(channel IS NULL) AS undelivered, count(channel) AS depth FROM m GROUP BY topic)
+SELECT topic, channels, CAST(undelivered AS BIGINT) AS undelivered, depth,
+  CASE WHEN channels = 0 THEN 'topic ' || topic || ': no channel reads it'
+       WHEN undelivered > 0 THEN 'topic ' || topic || ': ' || CAST(undelivered AS VARCHAR) || ' messages are not in a channel'
+       WHEN depth > {QUEUE_THRESHOLD // 2} THEN 'topic ' || topic || ': ' || CAST(depth AS VARCHAR) || ' messages wait, at most {QUEUE_THRESHOLD // 2} may' END AS error
+FROM t""")
+def q_topic_depth(spark, d):
+    """The events as messages of ten topics; errors are in no channel, and some
+    views are in none yet."""
+    e, u = F.col("event_type"), F.col("user_id")
+    m = dt.read(spark, d, "events").select(
+        F.concat(e, F.lit("-"), (u % 2).cast("string")).alias("topic"),
+        F.when((e == "error") | ((e == "view") & (u % 50 == 0)), F.lit(None)).otherwise(F.concat(e, (u % 3).cast("string"))).alias("channel"))
+    return work.topic_depth(m, QUEUE_THRESHOLD // 2)
+
+
 @query("pub_feed_count", """
 SELECT pub_id, CAST(count(*) AS INTEGER) AS num_feeds FROM d_feed WHERE NOT deleted GROUP BY pub_id""")
 def q_pub_feed_count(spark, d):

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsdesk.operators import catalog, feeds, pubs
+from newsdesk.functions import ids
+from newsdesk.operators import catalog, pubs
 from newsdesk.plans.fixture_sql import oid as sql_oid
 from newsdesk.plans.registry import query, ts_sql
 from newsdesk.sources import driver_tables as dt
 
 
+def _feeds_of_seven(spark, d):
+    """All feeds, dealt to the publications 0 to 6: one has many."""
+    return dt.feeds(spark, d).withColumn("pub_id", ids.id_from_number(F.conv("feed_id", 16, 10).cast("bigint") % 7))
+
+
 @query("search_pubs", """
 SELECT pub_id, name FROM d_pub WHERE NOT deleted AND regexp_matches(name, 'machinery-1', 'i')
 ORDER BY name, pub_id LIMIT 20 OFFSET 5""")
@@ -38,9 +44,10 @@ def q_page_links(spark, d):
 
 
 @query("pub_feeds", """
-SELECT feed_id, url FROM d_feed WHERE NOT deleted ORDER BY url, feed_id LIMIT 20""")
+SELECT feed_id, url FROM d_feed WHERE NOT deleted AND CAST(('0x' || feed_id) AS BIGINT) % 7 = 3
+ORDER BY url, feed_id LIMIT 20""")
 def q_pub_feeds(spark, d):
-    return catalog.pub_feeds(dt.feeds(spark, d)).select("feed_id", "url")
+    return catalog.pub_feeds(_feeds_of_seven(spark, d), "%024x" % 3).select("feed_id", "url")
 
 
 @query("pub_by_id", f"""
@@ -64,26 +71,30 @@ def q_latest_articles(spark, d):
 @query("soft_delete", """
 , fc AS (SELECT pub_id, count(*) AS n FROM d_feed GROUP BY pub_id),
 dec AS (SELECT pub_id, count(*) AS n FROM d_feed WHERE CAST(('0x' || feed_id) AS BIGINT) % 5 = 0 AND NOT deleted GROUP BY pub_id)
-SELECT fc.pub_id, CAST(fc.n - coalesce(dec.n, 0) AS INTEGER) AS num_feeds FROM fc LEFT JOIN dec ON fc.pub_id = dec.pub_id""")
+SELECT 'pub' AS kind, fc.pub_id AS id, CAST(fc.n - coalesce(dec.n, 0) AS INTEGER) AS num_feeds, NULL::BOOLEAN AS deleted
+FROM fc LEFT JOIN dec ON fc.pub_id = dec.pub_id
+UNION ALL
+SELECT 'feed', feed_id, NULL, deleted OR CAST(('0x' || feed_id) AS BIGINT) % 5 = 0 FROM d_feed""")
 def q_soft_delete(spark, d):
     f = dt.feeds(spark, d)
     p = f.groupBy("pub_id").agg(F.count("*").cast("int").alias("num_feeds"))
     gone = f.filter(F.conv("feed_id", 16, 10).cast("bigint") % 5 == 0).select("feed_id")
-    new_pubs, _new_feeds = pubs.soft_delete_feeds(p, f, gone)
-    return new_pubs.select("pub_id", "num_feeds")
+    new_pubs, new_feeds = pubs.soft_delete_feeds(p, f, gone)
+    return (new_pubs.select(F.lit("pub").alias("kind"), F.col("pub_id").alias("id"), "num_feeds", F.lit(None).cast("boolean").alias("deleted"))
+            .unionByName(new_feeds.select(F.lit("feed").alias("kind"), F.col("feed_id").alias("id"), F.lit(None).cast("int").alias("num_feeds"), "deleted")))
 
 
 @query("pub_overview", f"""
-SELECT feed_id, url, coalesce({ts_sql('last_download')}, 'Never') AS last_download,
-  coalesce({ts_sql('next_download')}, 'Soon') AS next_download,
-  coalesce(metabase_id, 0) > 0 AS is_newswire
-FROM d_feed WHERE NOT deleted ORDER BY url, feed_id LIMIT 20""")
+, f AS (SELECT * FROM d_feed WHERE NOT deleted AND CAST(('0x' || feed_id) AS BIGINT) % 7 = 3 ORDER BY url, feed_id LIMIT 20),
+a AS (SELECT article_id, title FROM d_article WHERE pub_id = {sql_oid('3')} ORDER BY article_id DESC LIMIT 20)
+SELECT 'pub' AS kind, pub_id AS id, name AS label, NULL::VARCHAR AS last_download, NULL::VARCHAR AS next_download, NULL::BOOLEAN AS is_newswire
+FROM d_pub WHERE pub_id = {sql_oid('3')}
+UNION ALL SELECT 'feed', feed_id, url, coalesce({ts_sql('last_download')}, 'Never'), coalesce({ts_sql('next_download')}, 'Soon'),
+  coalesce(metabase_id, 0) > 0 FROM f
+UNION ALL SELECT 'article', article_id, title, NULL, NULL, NULL FROM a""")
 def q_pub_overview(spark, d):
-    f = dt.feeds(spark, d)
-    # all feeds of the fixture belong to distinct pubs: list the first page
-    # of feeds regardless of pub, with the overview's labels
-    page = catalog.pub_feeds(f, None, 20)
-    return page.select("feed_id", "url",
-                       catalog.date_label(F.col("last_download")).alias("last_download"),
-                       catalog.date_label(F.col("next_download"), soon=True).alias("next_download"),
-                       (F.coalesce(F.col("metabase_id"), F.lit(0)) > 0).alias("is_newswire"))
+    pub, f, a = catalog.pub_overview(dt.pubs(spark, d), _feeds_of_seven(spark, d), dt.articles(spark, d), "%024x" % 3)
+    rows = lambda df, kind, key, label, *more: df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.col(label).alias("label"), *more)
+    return (rows(f, "feed", "feed_id", "url", "last_download", "next_download", "is_newswire")
+            .unionByName(rows(pub, "pub", "pub_id", "name"), allowMissingColumns=True)
+            .unionByName(rows(a, "article", "article_id", "title"), allowMissingColumns=True))

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from newsdesk.functions import text
 from newsdesk.operators import categories, pubs, work, wire
-from newsdesk.plans.common import _run_dir, _wire, _wire_links
-from newsdesk.plans.registry import RUN_TS, query
+from newsdesk.plans.common import _WIRE_URL_SQL, _run_dir, _wire, _wire_links
+from newsdesk.plans.fixture_sql import make_id as sql_make_id
+from newsdesk.plans.registry import RUN_TS, query, ts_str
 from newsdesk.sources import driver_tables as dt
 from newsdesk.sources.wire import render_wire
 
@@ -26,8 +27,9 @@ def q_name_order(spark, d):
 
 
 @query("archive_wire", """
-SELECT strftime(TIMESTAMP '2024-02-01 00:00:00' + to_hours(o_orderkey // 500), '%Y-%m-%d') AS fetch_date,
-  count(*) AS responses FROM orders GROUP BY 1""")
+SELECT o_orderkey AS order_key, strftime(TIMESTAMP '2024-02-01 00:00:00' + to_hours(o_orderkey // 500), '%Y-%m-%d') AS fetch_date,
+  strftime(TIMESTAMP '2024-02-01 00:00:00' + to_hours(o_orderkey // 500), '%Y-%m-%d %H:%M:%S') AS fetched_at,
+  CAST(o_orderkey AS VARCHAR) AS sequence_id, true AS whole FROM orders""")
 def q_archive_wire(spark, d):
     """Raw responses archived under their fetch date, read back per date."""
     from newsdesk.sources.wire import archive_wire
@@ -40,15 +42,15 @@ def q_archive_wire(spark, d):
     path = _run_dir(spark, "archive_wire")
     archive_wire(raw.join(o, "order_key"), path)
     back = spark.read.parquet(path)
-    return back.groupBy(F.date_format("fetch_date", "yyyy-MM-dd").alias("fetch_date")).agg(
-        F.count("*").alias("responses"))
+    same = raw.select("order_key", F.xxhash64("raw").alias("hash")).join(
+        back.withColumn("found", F.xxhash64("raw")), "order_key", "right")
+    return same.select("order_key", F.date_format("fetch_date", "yyyy-MM-dd").alias("fetch_date"), ts_str("fetched_at").alias("fetched_at"),
+                       F.regexp_extract("raw", "<sequenceId>([^<]*)<", 1).alias("sequence_id"), (F.col("hash") == F.col("found")).alias("whole"))
 
 
-@query("union_sources", """
-SELECT origin, count(*) AS n FROM (
-  SELECT 'rss' AS origin FROM pages
-  UNION ALL SELECT 'webnews' FROM orders)
-GROUP BY origin""")
+@query("union_sources", f"""
+SELECT article_id, link AS url, 'rss' AS origin, NULL::VARCHAR AS sequence_id FROM d_page
+UNION ALL SELECT {sql_make_id(f"TIMESTAMP '{RUN_TS}'", 'wid', 'seq')}, {_WIRE_URL_SQL}, 'webnews', CAST(seq AS VARCHAR) FROM d_wire""")
 def q_union_sources(spark, d):
     """Feed articles (from pages) and newswire articles land in one table;
     columns missing on one side are NULL."""
@@ -57,9 +59,7 @@ def q_union_sources(spark, d):
     _p, _f, links = _wire_links(spark, d, w)
     wa = wire.wire_to_article(w, links, False, RUN_TS).select("article_id", "url", "origin", "metabase")
     both = rss.unionByName(wa, allowMissingColumns=True)
-    # count a real column: a count(*) would leave only the XML source's
-    # corrupt-record column in the wire scan, which Spark refuses
-    return both.groupBy("origin").agg(F.count("article_id").alias("n"))
+    return both.select("article_id", "url", "origin", F.col("metabase.sequence_id").alias("sequence_id"))
 
 
 @query("decode_work_data", """

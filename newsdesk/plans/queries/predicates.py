@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 
-from newsdesk.functions import text
+from pyspark.sql import functions as F
+
+from newsdesk.functions import ids, text
 from newsdesk.operators import articles as art
 from newsdesk.operators import categories, feeds, pubs
 from newsdesk.plans.common import SMALL_PAGE_LIMIT, _REASON_SQL, _ROUTE_SQL
@@ -80,7 +82,10 @@ def q_article_pub_rules(spark, d):
 @query("origin_tag", """
 SELECT article_id, origin, is_lexisnexis FROM d_article""")
 def q_origin_tag(spark, d):
-    return dt.articles(spark, d).select("article_id", "origin", "is_lexisnexis")
+    st = F.col("o_orderstatus")
+    o = dt.read(spark, d, "orders").select("o_orderkey", st.isin("F", "O").alias("wire"), (st == "O").alias("is_lexisnexis"))
+    return o.select(ids.id_from_number(F.col("o_orderkey")).alias("article_id"),
+                    art.origin_tag(F.col("wire"), F.col("is_lexisnexis")).alias("origin"), "is_lexisnexis")
 
 
 @query("empty_body_flag", """

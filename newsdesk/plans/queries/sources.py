@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newsdesk.functions import text
 from newsdesk.operators import categories, feeds, pubs, tables
-from newsdesk.plans.common import _ID_REQ_SQL, _id_requests, _legacy_dump, _wire
+from newsdesk.plans.common import _ID_REQ_SQL, _id_requests, _job_store, _legacy_dump, _run_dir, _wire
 from newsdesk.plans.registry import joined, query, ts_sql, ts_str
 from newsdesk.sources import driver_tables as dt
 
@@ -16,8 +16,10 @@ SELECT pub_id, name, homepage, country, num_readers,
        array_to_string(categories, '|') AS categories, deleted
 FROM d_pub""")
 def q_read_catalog(spark, d):
-    return dt.pubs(spark, d).select("pub_id", "name", "homepage", "country", "num_readers",
-                                    joined("categories").alias("categories"), "deleted")
+    """A catalogue table written as a version of the table store and scanned."""
+    from newsdesk import schema as S
+    return _job_store(spark, d).read("pubs", S.PUB).select(
+        "pub_id", "name", "homepage", "country", "num_readers", joined("categories").alias("categories"), "deleted")
 
 
 @query("read_by_ids", f"""
@@ -45,17 +47,26 @@ def q_read_wire(spark, d):
 @query("read_page_fetches", """
 SELECT article_id, link, content_type, CAST(n_bytes AS INTEGER) AS n_bytes FROM d_page""")
 def q_read_page_fetches(spark, d):
-    return dt.page_fetches(spark, d).select(
-        "article_id", "link", "content_type", F.octet_length("html").alias("n_bytes"))
+    from newsdesk.sources.files import read_page_fetches
+    path = _run_dir(spark, "page_fetches")
+    dt.page_fetches(spark, d).write.parquet(path)
+    return read_page_fetches(spark, path).select("article_id", "link", "content_type", F.octet_length("html").alias("n_bytes"))
 
 
 @query("read_feed_fetches", f"""
-SELECT feed_id, {ts_sql('fetched_at')} AS fetched_at, CAST(status AS VARCHAR) AS status, bozo, etag FROM d_poll""")
+SELECT feed_id, {ts_sql('fetched_at')} AS fetched_at, CAST(status AS VARCHAR) AS status, bozo, etag,
+  3::INTEGER AS n_entries,
+  'http://news.example.com/' || CAST(event_id % 5000 AS VARCHAR) || '/story?utm_source=rss&id=' || CAST(event_id % 7 AS VARCHAR) AS second_link
+FROM d_poll""")
 def q_read_feed_fetches(spark, d):
     # status is NULL when the poll reported none: carried as text so a NULL
     # stays NULL through any conversion of the result (no NaN)
-    return dt.feed_polls(spark, d).select("feed_id", ts_str("fetched_at").alias("fetched_at"),
-                                          F.col("status").cast("string").alias("status"), "bozo", "etag")
+    from newsdesk.sources.files import read_feed_fetches
+    path = _run_dir(spark, "feed_fetches")
+    dt.feed_polls(spark, d).drop("event_id").write.json(path)        # as they are landed: JSON lines
+    return read_feed_fetches(spark, path).select(
+        "feed_id", ts_str("fetched_at").alias("fetched_at"), F.col("status").cast("string").alias("status"), "bozo", "etag",
+        F.size("entries").alias("n_entries"), F.element_at("entries", 2)["link"].alias("second_link"))
 
 
 @query("read_legacy_pubs", """

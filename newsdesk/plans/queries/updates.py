@@ -16,9 +16,9 @@ from newsdesk.sources import driver_tables as dt
 
 
 @query("upsert_articles", """
-SELECT article_id, title, url FROM d_article WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0
+SELECT article_id, CASE WHEN o_orderkey % 3 = 0 THEN title || ' (v2)' ELSE title END AS title, url FROM d_article
 UNION ALL
-SELECT article_id, title || ' (v2)', url FROM d_article WHERE o_orderkey % 3 = 0""")
+SELECT printf('%024x', o_orderkey + 1000000000), title || ' (new)', url FROM d_article WHERE o_orderkey % 3 <> 0""")
 def q_upsert_articles(spark, d):
     store, new = _store_and_new(spark, d)
     return art.upsert_articles(store, new).select("article_id", "title", "url")

@@ -15,6 +15,7 @@ from newsdesk.functions.dates import parse_rfc1123
 from newsdesk.operators import articles as art
 from newsdesk.operators.extract import extract_page, merge_extracted
 from newsdesk.operators.tables import dead_letter, small
+from newsdesk.store import Scratch
 
 ENTRY_COLS = ["title", "author", "published"]
 ARTICLE_COLS = ["article_id", "feed_id", "pub_id", "url", "title", "author", "published",
@@ -28,40 +29,42 @@ def check_pages(pages: DataFrame, size_limit: int = art.SIZE_LIMIT) -> DataFrame
 
 
 class Cached:
-    """Frames that a stage persisted; the caller unpersists them after writing."""
+    """What a stage holds until its outputs are written: persisted frames and
+    scratch folders. The caller lets them go."""
 
-    def __init__(self, *frames: DataFrame):
-        self.frames = frames
+    def __init__(self, scratch: Scratch, *frames: DataFrame):
+        self.scratch, self.frames = scratch, frames
 
     def unpersist(self) -> None:
         for f in self.frames:
             f.unpersist()
+        self.scratch.remove()
 
 
-def decide(pages: DataFrame, pubs: DataFrame, stored, size_limit: int = art.SIZE_LIMIT) -> tuple[DataFrame, DataFrame]:
-    """Each page without its HTML, with ``url`` and ``reject_reason``: the
-    checks, a missing publication, a URL that is already saved. ``stored`` has
-    the saved (article_id, url), or maps the batch's urls to those of them that
-    are saved. Second, the persisted frame it reads."""
-    checked = check_pages(art.resolve_links(pages), size_limit).drop("html")
+def decide(checked: DataFrame, pubs: DataFrame, stored) -> tuple[DataFrame, Scratch]:
+    """Each checked page (with ``url`` and ``reject_reason``) without its HTML,
+    with the reason of a missing publication or of a URL that is already saved.
+    ``stored`` has the saved (article_id, url), or maps the batch's urls to
+    those of them that are saved. Second, the written rows it reads."""
     known = pubs.select("pub_id", F.lit(True).alias("_known")).distinct()
-    p = (checked.join(known, "pub_id", "left")
-         .withColumn("reject_reason", F.coalesce("reject_reason", F.when(F.col("_known").isNull(), F.lit(art.NO_PUB))))
-         .drop("_known").persist(StorageLevel.MEMORY_AND_DISK))
+    narrow = Scratch(checked.drop("html").join(known, "pub_id", "left")
+                     .withColumn("reject_reason", F.coalesce("reject_reason", F.when(F.col("_known").isNull(), F.lit(art.NO_PUB))))
+                     .drop("_known"))
+    p = narrow.rows
     found = p.filter(F.col("reject_reason").isNull()).select("article_id", "url")
     urls = stored(found.select("url")) if callable(stored) else stored.select("article_id", "url")
     dups = (art.judge_new_articles(found, urls).filter(F.col("reject_reason").isNotNull())
             .select("article_id", "url", F.col("reject_reason").alias("_dup")).distinct())
     out = (p.join(dups, ["article_id", "url"], "left")
            .withColumn("reject_reason", F.coalesce("reject_reason", "_dup")).drop("_dup"))
-    return out.select(*p.columns), p
+    return out.select(*p.columns), narrow
 
 
 def extract_articles(pages_ok: DataFrame, pubs: DataFrame) -> DataFrame:
     """Checked pages -> what extraction and the publication's rules found in
     them, without the HTML. One pass of Python over each page in the task that
     reads it; the rules come to the pages (broadcast when measured small)."""
-    ruled = art.article_pub_rules(art.resolve_links(pages_ok), small(art.pubs_with_rules(pubs)))
+    ruled = art.article_pub_rules(pages_ok, small(art.pubs_with_rules(pubs)))
     return extract_page(ruled).drop("html", "reject_reason", *art.RULE_COLS)
 
 
@@ -71,9 +74,10 @@ def process_pages(pages: DataFrame, pubs: DataFrame, stored, size_limit: int = a
     read for the checks and for extraction, and all decisions are made on ids
     and urls. ``said`` (article_id, title, author, published) is what the feed
     entries said, for pages that don't carry it."""
-    decided, narrow = decide(pages, pubs, stored, size_limit)
+    checked = check_pages(art.resolve_links(pages), size_limit)
+    decided, narrow = decide(checked, pubs, stored)
     decided = decided.persist(StorageLevel.MEMORY_AND_DISK)
-    ok, _ = dead_letter(check_pages(pages, size_limit))
+    ok, _ = dead_letter(checked)
     # persisted before any join, so that no join moves below the extraction
     pages_read = extract_articles(ok, pubs).persist(StorageLevel.MEMORY_AND_DISK)
     keep = decided.filter(F.col("reject_reason").isNull()).select("article_id", "url").distinct()
@@ -91,4 +95,4 @@ def process_pages(pages: DataFrame, pubs: DataFrame, stored, size_limit: int = a
     rejects = bad.select(
         "article_id", "feed_id", "pub_id", F.when(F.col("reject_reason") == art.DUPLICATE, F.col("url")).otherwise(F.col("link")).alias("link"),
         F.col("fetched_at").alias("started"), *ENTRY_COLS, F.col("reject_reason").alias("reason"))
-    return articles, rejects, Cached(pages_read, decided, narrow)
+    return articles, rejects, Cached(narrow, pages_read, decided)

@@ -156,18 +156,15 @@ def render_wire(article: Column) -> Column:
     return F.to_xml(article, {"rowTag": "article"})
 
 
-def archive_wire(raw: DataFrame, path: str, ts_col: str = "fetched_at", files_per_date: int = 4,
-                 mode: str = "append") -> None:
+def archive_wire(raw: DataFrame, path: str, ts_col: str = "fetched_at", mode: str = "append") -> None:
     """Keep a copy of every raw response, partitioned by fetch date.
 
-    Rows are clustered by (date, salt) before the write, so each date gets at
-    most ``files_per_date`` files however many tasks produced it, and a date
-    holding a large share of the data is still spread over that many tasks.
+    Rows are rebalanced by date before the write: AQE gives a date tasks (and
+    files) in proportion to its bytes, by the session's advisory partition size,
+    and puts small dates together. A date with half of the data is split.
     A batch that may run again names its own folder and ``mode="overwrite"``,
     so that a replay replaces its rows; ``append`` adds to what is there."""
-    salt = F.pmod(F.xxhash64(*raw.columns), F.lit(files_per_date))
-    (raw.withColumn("fetch_date", F.to_date(ts_col))
-        .repartition("fetch_date", salt)
+    (raw.withColumn("fetch_date", F.to_date(ts_col)).hint("rebalance", "fetch_date")
         .write.mode(mode).partitionBy("fetch_date").parquet(path))
 
 

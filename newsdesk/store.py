@@ -23,6 +23,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from newsdesk.session import checkpoint_dir
 
 
+class Scratch:
+    """Rows written to the shared folder and read back: computed once, kept when
+    an executor is lost, and a short plan for what is built on them. ``remove``
+    deletes the folder after use."""
+
+    def __init__(self, df: DataFrame):
+        self.spark = df.sparkSession
+        self.path = checkpoint_dir(self.spark, "scratch", uuid.uuid4().hex)
+        df.write.parquet(self.path)
+        self.rows = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def remove(self) -> None:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class ConflictError(RuntimeError):
     """Another writer committed the version that was asked for."""
 
@@ -221,7 +237,7 @@ class KeyIndex:
     alone: the scan doesn't list the others. Batches are parts, with the replay
     rule of ``PartTable``."""
 
-    def __init__(self, store: TableStore, table: str, key: str, columns: list[str], buckets: int = 256):
+    def __init__(self, store: TableStore, table: str, key: str, columns: list[str], buckets: int = 64):
         self.key, self.columns, self.buckets = key, [key, *columns], buckets
         self.schema = ", ".join(f"{c} string" for c in self.columns)
         self.parts = PartTable(store, table, partition_by="bucket")
@@ -235,31 +251,38 @@ class KeyIndex:
         rows = rows.filter(F.col(self.key).isNotNull()).select(*self.columns).distinct().withColumn("bucket", self.bucket())
         self.parts.append(rows.hint("rebalance", "bucket"), part)
 
-    def stored(self, keys: DataFrame, exclude_part: str | None = None) -> DataFrame:
-        """The stored rows that have one of ``keys`` (a column ``key``)."""
+    def stored(self, keys: DataFrame, exclude_part: str | None = None, with_part: bool = False) -> DataFrame:
+        """The stored rows that have one of ``keys`` (a DataFrame with the key)."""
         now = self.parts.current()
         if exclude_part is not None:
             now.pop(PartTable.part_value(exclude_part), None)
         rows = self.parts.rows(self.schema, now)
         if not now or "bucket" not in rows.columns:                      # nothing stored yet
-            return self.parts.store.spark.createDataFrame([], self.schema)
+            return self.parts.store.spark.createDataFrame([], self.schema + ", part string" * with_part)
         asked = keys.filter(F.col(self.key).isNotNull()).select(self.key).distinct().withColumn("bucket", self.bucket())
         touched = sorted(r.bucket for r in asked.select("bucket").distinct().collect())   # at most ``buckets`` numbers
-        return rows.filter(F.col("bucket").isin(touched)).join(asked, ["bucket", self.key], "left_semi").select(*self.columns)
+        return rows.filter(F.col("bucket").isin(touched)).join(asked, ["bucket", self.key], "left_semi").select(
+            *self.columns, *["part"] * with_part)
+
+    def newest(self, keys: DataFrame, exclude_part: str | None = None) -> DataFrame:
+        """Of each of ``keys`` that is stored, the row of its newest part."""
+        rows = self.stored(keys, exclude_part, with_part=True)
+        return newest_per_key(rows, self.key).select(*self.columns)
 
-    def compact(self) -> None:
+    def compact(self, newest_only: bool = False) -> None:
         """Fold all parts into one, so that the files of a bucket don't grow in
-        number with the batches. It has a name of its own: a batch that runs
+        number with the batches; with ``newest_only`` one row for a key. It has a name of its own: a batch that runs
         again afterwards finds its own rows in it."""
         now = self.parts.current()
         if now:
-            self.add(self.parts.rows(self.schema, now), f"{max(now)[1:]}.base")
+            rows = newest_per_key(self.parts.rows(self.schema, now), self.key) if newest_only else self.parts.rows(self.schema, now)
+            self.add(rows, f"{max(now)[1:]}.base")
             for p, w in now.items():
                 fs, path = self.parts.store._fs(f"{self.parts.path()}/part={p}/write={w}")
                 fs.delete(path, True)
 
 
-def url_index(store: TableStore, table: str = "article_urls", buckets: int = 256) -> KeyIndex:
+def url_index(store: TableStore, table: str = "article_urls", buckets: int = 64) -> KeyIndex:
     """The (url, article_id) of all saved articles."""
     return KeyIndex(store, table, "url", ["article_id"], buckets)
 

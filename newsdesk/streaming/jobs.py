@@ -2,8 +2,9 @@
 
 Sinks are replay-safe: each micro-batch writes its own ``batch=<id>``
 folder with overwrite, so a batch re-run after a failure replaces its own
-output and nothing else; the checkpoint is the only cursor. Readers of such
-a table take, per key, the row of the highest batch (``current_counts``).
+output and nothing else; the checkpoint is the only cursor. What a batch must
+know of earlier ones is a table in hash buckets (``store.KeyIndex``), not state
+that grows.
 """
 
 from __future__ import annotations
@@ -94,20 +95,29 @@ def _poll_schema():
 def stream_article_counts(spark: SparkSession, articles_dir: str, out_table: str, checkpoint: str,
                           schema=None, max_files: int | None = None,
                           trigger_once: bool = True) -> StreamingQuery:
-    """Running counts per pub and feed in update mode; each batch writes the
-    keys it changed. The current count of a key is the one of its newest
-    batch (``current_counts``)."""
+    """Running counts per pub and feed. Each batch writes by how much it
+    changed the keys, and the current count of a key is the sum
+    (``current_counts``). An id that is saved again counts once, for the pub and
+    feed it was saved with last: what it counted before, as the index of ids in
+    hash buckets knows, is taken out. Of the rows of an id in one batch the
+    greatest (pub, feed) counts."""
     r = spark.readStream.schema(schema or S.ARTICLE)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    a = r.parquet(articles_dir)
-    agg = counts.article_counts(a.select("pub_id", "feed_id"))
+    a = r.parquet(articles_dir).select("article_id", "pub_id", "feed_id")
+    index = _index(spark, out_table, "_ids", "article_id", ["pub_id", "feed_id"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_dir(out_table, batch_id))
-
-    w = (agg.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint))
+        new = (batch.groupBy("article_id").agg(F.max(F.struct("pub_id", "feed_id")).alias("m"))
+               .select("article_id", "m.*").persist(StorageLevel.MEMORY_AND_DISK))
+        old = index.newest(new, exclude_part=_part(batch_id))
+        delta = (counts.article_counts(new).unionByName(counts.article_counts(old).withColumn("n", -F.col("n")))
+                 .groupBy("type", "id").agg(F.sum("n").alias("n")).filter("n <> 0"))
+        delta.write.mode("overwrite").parquet(_batch_dir(out_table, batch_id))
+        index.add(new, _part(batch_id))
+        new.unpersist()
+
+    w = a.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="5 minutes")
     return w.start()
 
@@ -129,8 +139,8 @@ def _base_version(spark: SparkSession, table: str) -> int | None:
 
 
 def current_counts(spark: SparkSession, table: str) -> DataFrame:
-    """Current count per key: the compacted base (if any) plus the batches
-    after it, newest value per key (a grouped max_by: partial aggregate)."""
+    """Current count per key: the compacted base (if any) plus what the batches
+    after it changed."""
     parts = []
     v = _base_version(spark, table)
     if v is not None:
@@ -143,7 +153,7 @@ def current_counts(spark: SparkSession, table: str) -> DataFrame:
     t = parts[0]
     for x in parts[1:]:
         t = t.unionByName(x)
-    return t.groupBy("type", "id").agg(F.max_by("n", "batch").alias("n"))
+    return t.groupBy("type", "id").agg(F.sum("n").alias("n")).filter("n <> 0")
 
 
 def compact_counts(spark: SparkSession, table: str) -> int | None:
@@ -163,7 +173,7 @@ def compact_counts(spark: SparkSession, table: str) -> int | None:
     b = spark.read.parquet(table)
     parts.append(b.filter((F.col("batch") <= top) & ((F.col("batch") > v) if v is not None else F.lit(True))))
     t = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    base = t.groupBy("type", "id").agg(F.max_by("n", "batch").alias("n"))
+    base = t.groupBy("type", "id").agg(F.sum("n").alias("n")).filter("n <> 0")
     base.write.mode("overwrite").parquet(f"{table}_base/v={top:012d}")
     fs, p = _fs(spark, table)
     for st in fs.listStatus(p):
