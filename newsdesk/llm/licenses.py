@@ -10,9 +10,12 @@ the sample gets, though it is none, sets the cutoff; a paragraph under it that
 is no clear "none" either is the class "unknown", and so is one that has none of
 the words by which the family's nearest template differs from other families'.
 The words a prediction shares with that template (Jaccard of the word sets)
-confirm it.
+confirm it, unless it has a word of ``CONTRARY`` (share alike, lesser, another
+version, not) that the template has not.
 
-The model scores every paragraph of every text. Fitting reads at most ``SAMPLE``
+The model decides on every paragraph of every text: those without a word that
+weighs for any family are none whatever else they hold (``needed_words``), and
+the others are scored. Fitting reads at most ``SAMPLE``
 paragraphs, half of them with a long word of the templates; they are taken from
 those with the smallest hashes.
 
@@ -23,6 +26,7 @@ Columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 
@@ -51,8 +55,15 @@ TEMPLATES = {
             "Licensed under the BSD 3-Clause License."],
     "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC-BY-ND": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
+    "LGPL": ["This library is licensed under the GNU Lesser General Public License."],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "CC0": ["To the extent possible under law, the author has waived all copyright and related rights under CC0 1.0, public domain dedication."],
-    "all-rights-reserved": ["All rights reserved.", "Copyright. All rights reserved. No part may be reproduced without permission."],
+    "all-rights-reserved": ["All rights reserved.", "Copyright. All rights reserved. No part may be reproduced without permission.",
+                            "Tous droits réservés.", "Alle Rechte vorbehalten.", "Todos los derechos reservados."],
 }
 
 
@@ -64,11 +75,20 @@ SHORT = {
     "BSD": ["BSD", "BSD-3-Clause", "BSD-2-Clause"],
     "CC-BY-NC": ["CC-BY-NC-4.0"],
     "CC-BY": ["CC-BY-4.0"],
+    "CC-BY-SA": ["CC-BY-SA-4.0"],
+    "CC-BY-ND": ["CC-BY-ND-4.0"],
+    "GPL-2.0": ["GPL-2.0-or-later", "GPL-2.0-only", "GPLv2"],
+    "LGPL": ["LGPL-3.0-or-later", "LGPL"],
+    "AGPL-3.0": ["AGPL-3.0-or-later", "AGPLv3"],
+    "MPL-2.0": ["MPL-2.0", "MPL 2.0"],
     "CC0": ["CC0-1.0"],
 }
-NAMES = ["gnu", "gpl", "gplv3", "spdx", "bsd", "cc0"]  # words of no other use
+NAMES = ["gnu", "gpl", "gplv3", "spdx", "bsd", "cc0", "mpl", "lgpl", "agpl"]  # words of no other use
+# Words that make one licence another, or deny it.
+CONTRARY = ["sa", "sharealike", "nd", "noderivatives", "noderivs", "nc", "noncommercial", "lesser", "lgpl", "affero", "agpl", "agplv3",
+            "gplv2", "gplv3", "2", "3", "2.0", "3.0", "not", "never", "nicht", "pas", "no"]
 NOTICES = ["{}", "SPDX-License-Identifier: {}", "Code is {}.", "{}-licensed", "Licensed under {}", "Distributed under {}",
-           "Distributed under the {} license"]
+           "Distributed under the {} license", "{}-Lizenz", "Licence {}", "Licencia {}"]
 
 
 def notices() -> list[tuple[str, str]]:
@@ -124,6 +144,38 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return d.select("doc_id", F.explode(F.concat(single, run)).alias("x")).select("doc_id", "x.*")
 
 
+def paragraph_words(docs: DataFrame, needed: list[str] | None = None) -> DataFrame:
+    """doc_id, paragraph, lines, words of the paragraphs that have a word, and
+    one of ``needed`` if given. A text is split into words once: those of a run
+    are those of its lines."""
+    d = docs.select(F.col("doc_id").cast("long"), F.split(F.col("text").cast("string"), "\n").alias("split"))
+    blank = F.filter(F.transform("split", lambda x, i: F.when(x.rlike(r"^\s*$"), i)), lambda i: i.isNotNull())
+    d = d.select("doc_id", F.transform("split", words).alias("said"), F.concat(F.array(F.lit(-1)), blank, F.array(F.size("split"))).alias("ends"))
+    runs = F.filter(F.transform("ends", lambda e, i: F.struct((e + 1).alias("paragraph"), (F.get("ends", i + 1) - e - 1).alias("lines"))),
+                    lambda r: r["lines"] > 1)
+    single = F.transform("said", lambda w, i: F.struct(i.alias("paragraph"), F.lit(1).alias("lines"), w.alias("words")))
+    run = F.transform(runs, lambda r: F.struct(r["paragraph"].alias("paragraph"), r["lines"].alias("lines"),
+                                               F.flatten(F.slice("said", r["paragraph"] + 1, r["lines"])).alias("words")))
+    fits = (lambda x: F.size(x["words"]) > 0) if needed is None else (lambda x: F.exists(x["words"], lambda w: w.isin(needed)))
+    return d.select("doc_id", F.explode(F.filter(F.concat(single, run), fits)).alias("x")).select("doc_id", "x.*")
+
+
+def needed_words(counter: CountVectorizerModel, model: LogisticRegressionModel, none: int) -> list[str] | None:
+    """Words of which a paragraph must have one to be anything but none, or None
+    if there is no such bound. A gram counts for a family where its weight is
+    over that for none; without such a gram every family is at most as likely,
+    next to none, as for a paragraph without features. Of a pair the rarer word
+    is taken: no pair is there without it."""
+    weight, start = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    e = [math.exp(x - start[none]) for x in start]
+    if e[none] / sum(e) <= 0.5:
+        return None
+    vocabulary = list(counter.vocabulary)  # by falling frequency
+    rank = {g: i for i, g in enumerate(vocabulary)}
+    more = weight.max(axis=0) > weight[none]
+    return sorted({max(g.split(" "), key=lambda w: rank.get(w, len(rank))) for g, m in zip(vocabulary, more.tolist()) if m})
+
+
 def _likeness(a, b) -> Column:
     common = F.size(F.array_intersect(a, b))
     return common / (F.size(F.array_distinct(a)) + F.size(F.array_distinct(b)) - common)
@@ -187,7 +239,7 @@ def scan(docs: DataFrame) -> DataFrame:
     family (or unknown), probability, likeness (to its nearest template),
     confirmed."""
     counter, model, names, cutoff = train(docs)
-    s = probabilities(paragraphs(docs).select("doc_id", "paragraph", "lines", words("text").alias("words")), counter, model)
+    s = probabilities(paragraph_words(docs, needed_words(counter, model, len(names) - 1)), counter, model)
     # a generator, not a filter: a filter would move below and repeat the scoring
     s = s.select("doc_id", "paragraph", "lines", "words", F.explode(F.filter(
         F.array("p"), lambda p: F.get(p, F.lit(len(names) - 1)) <= 0.5)).alias("p")).where(F.size("words") > 0)
@@ -196,10 +248,12 @@ def scan(docs: DataFrame) -> DataFrame:
         "family", F.get(F.array(*map(F.lit, names)), F.array_position(family, F.array_max(family)).cast("int") - 1))
     told = settled(s.drop("p").withColumn("row", F.monotonically_increasing_id()), "license-found")
     near = told.join(F.broadcast(_templates(docs.sparkSession).select("family", "own", F.col("words").alias("t"))), "family")
+    # what makes another licence of it, or denies it, must be in the template
+    fits = F.size(F.array_except(F.array_intersect("words", F.array(*map(F.lit, CONTRARY))), "t")) == 0
     named = (F.size("own") == 0) | F.arrays_overlap("words", "own")
     out = near.groupBy("row", "doc_id", "paragraph", "lines", "family", "probability").agg(
-        F.max(F.struct(_likeness("words", "t").alias("likeness"), named.alias("named"))).alias("best")).select("*", "best.likeness")
+        F.max(F.struct(_likeness("words", "t").alias("likeness"), named.alias("named"), fits.alias("fits"))).alias("best")).select("*", "best.likeness")
     sure = (F.col("probability") >= cutoff) & F.col("best.named")
     return out.select("doc_id", "paragraph", "lines", F.when(sure, F.col("family")).otherwise(UNKNOWN).alias("family"),
                       F.round("probability", 6).alias("probability"), F.round("likeness", 6).alias("likeness"),
-                      (sure & (F.col("likeness") >= CONFIRMED)).alias("confirmed"))
+                      (sure & (F.col("likeness") >= CONFIRMED) & F.col("best.fits")).alias("confirmed"))

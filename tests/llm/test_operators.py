@@ -311,7 +311,7 @@ def test_licenses(spark, none):
 def test_licenses_short_names_and_wrapped_notices(spark):
     wrapped = licenses.TEMPLATES["BSD"][0].replace(", ", ",\n# ").replace("provided", "provided\n#")
     rows = [(1, "Code is CC-BY-4.0."), (2, "SPDX-License-Identifier: Apache-2.0"), (3, "GPLv3 or later"), (4, "MIT-licensed"),
-            (5, "Distributed under MPL 2.0"), (6, f"some words here\n\n# {wrapped}\n\nmore words"), (7, "This programme has a BSD licence")]
+            (5, "Distributed under EUPL 1.2"), (6, f"some words here\n\n# {wrapped}\n\nmore words"), (7, "This programme has a BSD licence")]
     rows += [(100 + k, " ".join(f"v{(k * i) % 97}" for i in range(1, 30))) for k in range(200)]
     found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     got = {(r.doc_id, r.paragraph, r.lines): (r.family, r.confirmed) for r in found}
@@ -331,3 +331,35 @@ def test_pipeline_small(spark):
     assert ids and ids <= fine
     assert hashlib.sha256(str(sorted(ids)).encode()).hexdigest() == hashlib.sha256(str(sorted(
         {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()})).encode()).hexdigest()
+
+
+def test_licenses_kept_apart(spark):
+    """Share alike, no derivatives, lesser, affero and version 2 are families of
+    their own; a denial is not confirmed; short foreign notices are found."""
+    rows = [(1, "Licensed under CC BY-SA 4.0."), (2, "Licensed under CC BY-ND 4.0."), (3, "Licensed under the GNU General Public License, version 2."),
+            (4, "This work is licensed under the GNU Affero General Public License, version 3."), (5, "Not licensed under the MIT License."),
+            (6, "MIT-Lizenz"), (7, "Tous droits réservés."), (8, "Licensed under CC BY 4.0."), (9, "Licensed under the MIT License."),
+            (10, "Distributed under MPL 2.0")]
+    prose = [(100 + i, " ".join(f"word{(i * 7 + j) % 90}" for j in range(12)) + ".\nThe terms of this and that, free to all of us.") for i in range(60)]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows + prose, "doc_id long, text string")).collect()}
+    assert not any(d >= 100 for d in found)
+    families = {d: found[d].family for d in (1, 2, 3, 4, 6, 7, 8, 9, 10)}
+    confirmed = {d: found[d].confirmed for d in (1, 2, 3, 4, 8, 9)}
+    assert families == {1: "CC-BY-SA", 2: "CC-BY-ND", 3: "GPL-2.0", 4: "AGPL-3.0", 6: "MIT", 7: "all-rights-reserved", 8: "CC-BY", 9: "MIT", 10: "MPL-2.0"}
+    assert all(confirmed.values()) and not found[5].confirmed
+
+
+def test_licence_words_skip_exactly(spark):
+    """Paragraphs without a needed word are those that score as none anyway."""
+    text = "\n".join(["Released under the MIT License.", "plain line of words", "", "Apache", "of the and", "Some rights of the author", "word " * 30, "GPL"])
+    docs = spark.createDataFrame([(i, text.replace("plain", f"plain{i}")) for i in range(40)], "doc_id long, text string")
+    counter, model, names, _ = licenses.train(docs)
+    needed = licenses.needed_words(counter, model, len(names) - 1)
+    assert needed
+    every = licenses.probabilities(licenses.paragraph_words(docs), counter, model).collect()
+    likely = {(r.doc_id, r.paragraph, r.lines) for r in every if r.p[-1] <= 0.5}
+    some = {(r.doc_id, r.paragraph, r.lines) for r in licenses.paragraph_words(docs, needed).collect()}
+    assert likely and likely <= some and len(some) < len(every)
+    a = {(r.doc_id, r.paragraph, r.lines): r.words for r in licenses.paragraph_words(docs).collect()}
+    b = licenses.paragraphs(docs).select("doc_id", "paragraph", "lines", licenses.words("text").alias("words")).where("size(words) > 0").collect()
+    assert a == {(r.doc_id, r.paragraph, r.lines): r.words for r in b}
