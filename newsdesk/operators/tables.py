@@ -79,7 +79,7 @@ def insert_ignore(table: DataFrame, new: DataFrame, keys) -> DataFrame:
         fresh = fresh.join(table.select(k), k, "left_anti")
     for k in keys:
         fresh = dedupe_first(fresh, k, [c for c in ("order",) if c in fresh.columns] or [k])
-    return fresh
+    return fresh.select(*new.columns)
 
 
 def delete_by_key(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
