@@ -230,10 +230,12 @@ def _met(g: pd.DataFrame, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _alike(least: int):
-    """Rows of a group whose signature agrees with another's."""
+    """Rows of a group whose signature agrees with another's. Two that share
+    several buckets are compared in the first of them alone."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _groups(batches, 8192):
             sig = np.frombuffer(b"".join(g["sig"].tolist()), "<u2").reshape(len(g), -1)
+            bands, bucket = np.stack(g["bands"].tolist()), g["bucket"].to_numpy()
             of = g["g"].to_numpy()
             starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
             longest = int(np.diff(np.r_[starts, len(of)]).max())
@@ -245,6 +247,9 @@ def _alike(least: int):
                 for at in range(0, len(x), 4096):
                     k = x[at:at + 4096]
                     k = k[(sig[k] == sig[k + d]).sum(axis=1) >= least]
+                    both = bands[k] == bands[k + d]
+                    first = bands[k, both.argmax(axis=1)]
+                    k = k[(first == bucket[k]) | ~both.any(axis=1)]  # none: of an id with several texts
                     hit[k] = hit[k + d] = True
             yield g.loc[hit, ["g", "id", "label", "block", "same"]]
     return run
@@ -284,9 +289,9 @@ def _across(members: DataFrame, sigs: DataFrame, docs: DataFrame, width: int, si
     placed = (members.join(sizes, "bucket").join(sigs, "id")
               .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
     # each block meets every block once; a group holds the two that meet
-    meets = placed.select("id", "label", "sig", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "bucket").select(
+    meets = placed.select("id", "label", "sig", "bands", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "bucket").select(
         F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("g"),
-        "id", "label", "block", (F.col("block") == F.col("other")).alias("same"), "sig")
+        "id", "label", "block", (F.col("block") == F.col("other")).alias("same"), "sig", "bands", "bucket")
     # a pair of different blocks needs no row against its own block: that is the group of the block with itself
     near = settled(meets.repartition("g").sortWithinPartitions("g").mapInPandas(
         _alike(least), "g long, id long, label long, block int, same boolean"), "alike")
@@ -307,7 +312,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
     full = rows.where("set_key is not null and doc_id is not null")
     classes = settled(full.groupBy("set_key").agg(F.min("doc_id").alias("id")), "classes")
     one = full.join(classes, "set_key").where("doc_id = id")  # a row for each class
-    sigs = one.select("id", "sig").dropDuplicates(["id"])  # rows that repeat a doc_id: any of them, all are confirmed by text
+    sigs = one.select("id", "sig", "bands").dropDuplicates(["id"])  # rows that repeat a doc_id: any of them, all are confirmed by text
     found = one.select("id", F.explode("bands").alias("bucket")).distinct()
     sizes = found.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = found.join(sizes, "bucket")

@@ -219,7 +219,7 @@ def test_near_duplicates(spark, none):
 def test_block_comparison_finds_what_centres_miss(spark, monkeypatch):
     # no centre: every pair is left to the blocks
     monkeypatch.setattr(neardup, "BLOCK", 3)
-    monkeypatch.setattr(neardup, "_centred", lambda m: m.groupBy("bucket").agg(F.lit(-1).cast("long").alias("centre")))
+    monkeypatch.setattr(neardup, "_centred", lambda m: m.groupBy("bucket").agg(F.max("n").alias("n"), F.lit(-1).cast("long").alias("centre")))
     rows = [(k, " ".join(f"w{i}" for i in range(k, k + 60))) for k in range(12)]
     want = brute_components(rows, 4)
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()
