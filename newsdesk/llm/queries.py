@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsdesk.llm import (bpe_tree, collocations, language_model, licenses, neardup, packing, prefix_trie, quality, quotes, search,
-                          suffix_dedup, token_files, toxicity)
+from newsdesk.llm import (bpe_tree, collocations, language_model, licenses, neardup, oracles, packing, prefix_trie, quality, quotes,
+                          search, suffix_dedup, token_files, toxicity)
 from newsdesk.llm.common import fold_of, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,6 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE.update(op11_prefix_trie=oracles.PREFIX_TRIE, op12_phrase_collocations=oracles.COLLOCATIONS, op13_suffix_dedup=oracles.SUFFIX_DEDUP)
