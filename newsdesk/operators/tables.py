@@ -56,8 +56,8 @@ def partial_update(table: DataFrame, updates: DataFrame, key: str, cols) -> Data
     """Set only ``cols`` of matching keys; an explicit NULL in the update
     overwrites (``when``, not ``coalesce``)."""
     cols = list(cols)
-    u = updates.select(key, *[F.col(c).alias(f"_u_{c}") for c in cols],
-                       F.lit(True).alias("_hit")).dropDuplicates([key])
+    u = dedupe_first(updates.select(key, *cols), key, []).select(   # of repeated keys the smallest row, each time
+        key, *[F.col(c).alias(f"_u_{c}") for c in cols], F.lit(True).alias("_hit"))
     j = table.join(u, key, "left")
     out = []
     for c in table.columns:
