@@ -45,14 +45,16 @@ def _wire_files(spark, d) -> str:
     """The newswire fixture (orders ⋈ customer ⋈ nation) landed as XML
     response files of one API page each, in sequence order, once per session
     and scale factor: the queries then read it the way newswire batches arrive
-    (as files, through the XML source)."""
+    (as files, through the XML source). The exchange and the sort hold narrow
+    rows, the articles are made where they are written, and a response is
+    landed as it is sent, compressed."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _LANDED:
         path = _run_dir(spark, "wire_xml")
-        w = dt.wire_rows(spark, d).select("order_key", "article.*")
-        (w.repartitionByRange("order_key").sortWithinPartitions("order_key").drop("order_key")
+        w = dt.wire_orders(spark, d).repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
+        (dt.wire_articles_of(w).select("article.*")
           .write.format("xml").option("rowTag", "article").option("rootTag", "articles")
-          .option("maxRecordsPerFile", WIRE_PAGE).save(path))
+          .option("maxRecordsPerFile", WIRE_PAGE).option("compression", "gzip").save(path))
         _LANDED[key] = path
     return _LANDED[key]
 

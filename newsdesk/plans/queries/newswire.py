@@ -58,8 +58,9 @@ def q_wire_cursor(spark, d):
     from newsdesk.plans.wire import wire_rows_from_files
     from newsdesk.sources.wire import read_wire
     path = _run_dir(spark, "wire_cursor")
-    w = dt.wire_rows(spark, d).withColumn("batch", (F.col("order_key") / 500).cast("bigint"))
-    (w.repartitionByRange("batch").sortWithinPartitions("batch", (F.col("order_key") * 7919) % 100003).select("article.*")
+    w = dt.wire_orders(spark, d).withColumn("batch", (F.col("o_orderkey") / 500).cast("bigint"))
+    w = w.repartitionByRange("batch").sortWithinPartitions("batch", (F.col("o_orderkey") * 7919) % 100003)
+    (dt.wire_articles_of(w).select("article.*")
      .write.format("xml").option("rowTag", "article").option("rootTag", "articles").save(path))
     found = wire_rows_from_files(read_wire(spark, path, with_file=False, mapped=True, with_position=True))
     return wire.wire_cursor(found.withColumn("batch", (F.col("seq") / 500).cast("bigint")), "batch", "pos")

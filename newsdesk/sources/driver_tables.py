@@ -204,15 +204,26 @@ def text_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("body_text"))
 
 
-def wire_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newswire articles as nested structs (to be rendered to XML)."""
+def wire_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that newswire articles are made of, narrow: what moves the
+    articles moves these, and makes the articles last (``wire_articles_of``)."""
     o = read(spark, sf_dir, "orders")
     c = read(spark, sf_dir, "customer")
     n = F.broadcast(read(spark, sf_dir, "nation"))
+    j = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+    return j.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "c_name", "c_mktsegment", "n_name")
+
+
+def wire_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newswire articles as nested structs (to be rendered to XML)."""
+    return wire_articles_of(wire_orders(spark, sf_dir))
+
+
+def wire_articles_of(orders: DataFrame) -> DataFrame:
+    """order_key and the article of each row of ``wire_orders``."""
     k = F.col("o_orderkey")
     fid = F.col("o_custkey") % 50
-    j = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == n.n_nationkey, "left")
-    return j.select(
+    return orders.select(
         k.alias("order_key"),
         F.struct(
             k.cast("string").alias("sequenceId"),
