@@ -39,13 +39,20 @@ def feed_key(a: str = "a") -> Column:
 
 def wire_parents(wire: DataFrame, feeds: DataFrame, is_lexisnexis: bool, run_ts,
                  a: str = "a", order: str = "seq"):
+    """(new_pubs, new_feeds, links) of ``resolved_parents``."""
+    return resolved_parents(wire, feeds, is_lexisnexis, run_ts, a, order)[:3]
+
+
+def resolved_parents(wire: DataFrame, feeds: DataFrame, is_lexisnexis: bool, run_ts,
+                     a: str = "a", order: str = "seq"):
     """Resolve each wire feed id to (pub_id, feed_id).
 
     Known ids come from the feed table (smallest feed_id if several); the
     others get one new pub and one new feed built from the first article
     (by ``order``) carrying that id. Ids are deterministic, so a replay
-    creates nothing twice. Returns (new_pubs, new_feeds, links) with
-    links(metabase_id, pub_id, feed_id, created)."""
+    creates nothing twice. Returns (new_pubs, new_feeds, links, parents) with
+    links(metabase_id, pub_id, feed_id, created); the three are projections of
+    ``parents``, which has one row for each wire feed."""
     fid = feed_key(a)
     firsts = dedupe_first(
         wire.select(fid.alias("metabase_id"), F.col(order).alias("_ord"),
@@ -78,7 +85,7 @@ def wire_parents(wire: DataFrame, feeds: DataFrame, is_lexisnexis: bool, run_ts,
         "genre", F.lit(origin).alias("origin"), _ts(run_ts).alias("added"))
     links = j.select("metabase_id", F.col("_pub").alias("pub_id"), F.col("_feed").alias("feed_id"),
                      "created")
-    return new_pubs, new_feeds, links
+    return new_pubs, new_feeds, links, j
 
 
 def wire_to_article(wire: DataFrame, links: DataFrame, is_lexisnexis: bool, run_ts,

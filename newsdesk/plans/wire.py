@@ -7,6 +7,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from newsdesk.operators import wire as w
+from newsdesk.operators.tables import small
 
 
 def position(wire_rows: DataFrame) -> str:
@@ -16,16 +17,21 @@ def position(wire_rows: DataFrame) -> str:
 
 
 def ingest_wire(wire_rows: DataFrame, feeds: DataFrame, run_ts, is_lexisnexis: bool = False,
-                a: str = "a", xml_col: str | None = None, batch_name: str = "batch"):
+                a: str = "a", xml_col: str | None = None, batch_name: str = "batch", kept: bool = False):
     """(new_pubs, new_feeds, articles, cached). ``wire_rows`` has the parsed
     article struct in column ``a`` and an order column ``seq``; the rows feed
     both the parent resolution and the mapping, so they are persisted once
-    (the caller unpersists ``cached`` after writing)."""
-    rows = wire_rows.persist(StorageLevel.MEMORY_AND_DISK)
-    new_pubs, new_feeds, links = w.wire_parents(rows, feeds, is_lexisnexis, run_ts, a=a, order=position(rows))
-    articles = w.wire_to_article(rows, links, is_lexisnexis, run_ts, a=a, xml_col=xml_col,
+    (the caller unpersists ``cached`` after writing). With ``kept`` the caller
+    has persisted them, and ``cached`` are the parents (a row for each wire
+    feed), which three outputs share. The links are broadcast when they were
+    measured as small, so that no exchange holds whole articles."""
+    rows = wire_rows if kept else wire_rows.persist(StorageLevel.MEMORY_AND_DISK)
+    new_pubs, new_feeds, links, parents = w.resolved_parents(rows, feeds, is_lexisnexis, run_ts, a=a, order=position(rows))
+    if kept:
+        parents.persist(StorageLevel.MEMORY_AND_DISK)
+    articles = w.wire_to_article(rows, small(links), is_lexisnexis, run_ts, a=a, xml_col=xml_col,
                                  batch_name=batch_name)
-    return new_pubs, new_feeds, articles, rows
+    return new_pubs, new_feeds, articles, parents if kept else rows
 
 
 def wire_rows_from_files(df: DataFrame) -> DataFrame:
