@@ -260,9 +260,13 @@ class KeyIndex:
         if not now or "bucket" not in rows.columns:                      # nothing stored yet
             return self.parts.store.spark.createDataFrame([], self.schema + ", part string" * with_part)
         asked = keys.filter(F.col(self.key).isNotNull()).select(self.key).distinct().withColumn("bucket", self.bucket())
-        touched = sorted(r.bucket for r in asked.select("bucket").distinct().collect())   # at most ``buckets`` numbers
-        return rows.filter(F.col("bucket").isin(touched)).join(asked, ["bucket", self.key], "left_semi").select(
-            *self.columns, *["part"] * with_part)
+        # at most ``buckets`` rows. The range of the keys skips what is stored outside of it by the files' statistics:
+        # all history, where keys are in order of time
+        touched = asked.groupBy("bucket").agg(F.min(self.key).alias("low"), F.max(self.key).alias("high")).collect()
+        rows = rows.filter(F.col("bucket").isin(sorted(r.bucket for r in touched)))
+        if touched:
+            rows = rows.filter(F.col(self.key).between(min(r.low for r in touched), max(r.high for r in touched)))
+        return rows.join(asked, ["bucket", self.key], "left_semi").select(*self.columns, *["part"] * with_part)
 
     def newest(self, keys: DataFrame, exclude_part: str | None = None) -> DataFrame:
         """Of each of ``keys`` that is stored, the row of its newest part."""

@@ -20,7 +20,7 @@ from newsdesk.operators import articles as art
 from newsdesk.operators import counts, feeds
 from newsdesk.operators.tables import dedupe_first
 from newsdesk.sources.wire import read_wire
-from newsdesk.store import KeyIndex, TableStore
+from newsdesk.store import KeyIndex, Scratch, TableStore
 
 
 def _batch_dir(table: str, batch_id: int) -> str:
@@ -52,6 +52,22 @@ def _part(batch_id: int) -> str:
     return f"{batch_id:012d}"
 
 
+def _adaptive(sink):
+    """``sink`` with adaptive execution on for what it runs: a stream's session
+    has it off, so each exchange of a micro-batch would be read by all shuffle
+    partitions, and no join would turn into a broadcast. The batch's own plan
+    is already fixed then."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        was = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            sink(batch, batch_id)
+        finally:
+            conf.set("spark.sql.adaptive.enabled", was)
+    return run
+
+
 def stream_feed_entries(spark: SparkSession, polls_dir: str, out_table: str, checkpoint: str,
                         seen=None, trigger_once: bool = True,
                         max_files: int | None = None, fmt: str = "parquet") -> StreamingQuery:
@@ -108,16 +124,17 @@ def stream_article_counts(spark: SparkSession, articles_dir: str, out_table: str
     index = _index(spark, out_table, "_ids", "article_id", ["pub_id", "feed_id"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        new = (batch.groupBy("article_id").agg(F.max(F.struct("pub_id", "feed_id")).alias("m"))
-               .select("article_id", "m.*").persist(StorageLevel.MEMORY_AND_DISK))
+        # written, not cached: what reads it has as many tasks as it has bytes
+        kept = Scratch(batch.groupBy("article_id").agg(F.max(F.struct("pub_id", "feed_id")).alias("m")).select("article_id", "m.*"))
+        new = kept.rows
         old = index.newest(new, exclude_part=_part(batch_id))
         delta = (counts.article_counts(new).unionByName(counts.article_counts(old).withColumn("n", -F.col("n")))
                  .groupBy("type", "id").agg(F.sum("n").alias("n")).filter("n <> 0"))
         delta.write.mode("overwrite").parquet(_batch_dir(out_table, batch_id))
         index.add(new, _part(batch_id))
-        new.unpersist()
+        kept.remove()
 
-    w = a.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    w = a.writeStream.foreachBatch(_adaptive(sink)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="5 minutes")
     return w.start()
 
