@@ -225,7 +225,7 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table, out_table: str,
         pos = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))
         # records and rejects from one parse; places as the scan had them
         batch = batch.withColumn("pos", pos).drop("_file", "_block").persist(StorageLevel.MEMORY_AND_DISK)
-        rows = wire_rows_from_files(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = wire_rows_from_files(batch)          # a projection of what is kept
         ts = run_ts
         if ts is None:
             # the batch's own clock: its newest harvest date (one value; the
@@ -236,21 +236,21 @@ def stream_wire(spark: SparkSession, wire_dir: str, feeds_table, out_table: str,
         known = _table(feeds_table).select("feed_id", "pub_id", "metabase_id")
         ptable = os.path.join(out_table, "_parents_feeds")
         if _has_data(spark, ptable):
-            prior = spark.read.parquet(ptable).filter(F.col("batch") < batch_id)
-            known = known.unionByName(prior.select("feed_id", "pub_id", "metabase_id"))
-        new_pubs, new_feeds, arts, cached = ingest_wire(rows, known, ts, is_lexisnexis,
-                                                        batch_name=f"batch-{batch_id}")
+            prior = (spark.read.schema("feed_id string, pub_id string, metabase_id bigint, batch long").parquet(ptable)
+                     .filter(F.col("batch") < batch_id))
+            known = known.unionByName(prior.drop("batch"))
+        new_pubs, new_feeds, arts, parents = ingest_wire(rows, known, ts, is_lexisnexis,
+                                                         batch_name=f"batch-{batch_id}", kept=True)
         new_feeds.write.mode("overwrite").parquet(_batch_dir(ptable, batch_id))
         new_pubs.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "_parents_pubs"), batch_id))
         arts.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "articles"), batch_id))
         wire_cursor(rows.withColumn("_b", F.lit(batch_id)), "_b", "pos").select("sequence_id").write.mode("overwrite").parquet(
             _batch_dir(os.path.join(out_table, "cursor"), batch_id))
         wire_rejects(batch).write.mode("overwrite").parquet(_batch_dir(os.path.join(out_table, "rejects"), batch_id))
-        cached.unpersist()
-        rows.unpersist()
+        parents.unpersist()
         batch.unpersist()
 
-    w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    w = src.writeStream.foreachBatch(_adaptive(sink)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")
     return w.start()
 
