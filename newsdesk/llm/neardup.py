@@ -17,17 +17,22 @@ all written out:
 
 1. every bucket's members are compared with its centre, the member whose
    buckets hold most classes (of a group of near copies, what they are copies
-   of), on their full sets;
+   of): by signature first, and where those agree as nearly as a pair at the
+   limit would (five standard deviations below it), on their full sets;
 2. the same with a second centre, the best of those that are not in the first
    centre's component;
-3. members of one bucket that are still in different components are compared
-   by signature, block by block, inside the tasks, and those that agree with
-   another as nearly as a pair at the limit would (five standard deviations
-   below it) are compared on full sets, in the same blocks: a product of
+3. members of one bucket that are still in different components (a bucket of
+   two whose pair was compared is done) are compared by signature, block by
+   block, inside the tasks, and those that agree with another as nearly are
+   compared on full sets, in the same blocks: a product of
    shingle matrices has the intersections of all pairs of a block. Only links
    are written out. Nothing is left out, and a bucket is split into blocks of
    about ``BLOCK`` members.
 
+Only texts of documents that are compared on full sets are moved: a bitmap of
+their hashed ids, bounded in size, sifts the input where it is read, and an
+exact join follows.
+
 Defined results: null, empty and blank texts have an empty set and link with
 nothing; rows that repeat a doc_id are one document; a null doc_id links with
 nothing, has no component and is kept; no rows give no rows. Columns other than
@@ -43,7 +48,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsdesk.llm.common import settled, unused
 
@@ -52,7 +57,8 @@ ROWS, BANDS = 4, 28
 BLOCK = 256
 HOT = 1024  # members of a bucket that one task joins with what the bucket has one row of
 REMEMBERED = 1_000_000
-_M = np.uint64(0xFFFFFFFFFFFFFFFF)
+MOST_BITS = 1 << 27  # of the bitmap of ids
+_PART = 1 << 15  # bits in a row of Spark's bitmaps
 
 
 class _Words(dict):
@@ -106,36 +112,95 @@ def signature(hashes: np.ndarray, n: int = ROWS * BANDS) -> np.ndarray:
     return out
 
 
-def _bands(sig: np.ndarray) -> np.ndarray:
-    parts = sig.reshape(BANDS, ROWS).astype(np.uint64)
-    h = np.arange(1, BANDS + 1, dtype=np.uint64)
+def _coarse(sig: np.ndarray) -> bytes:
+    """16 bits a coordinate."""
+    return (sig & np.uint32(0xFFFF)).astype("<u2").tobytes()
+
+
+def _bands(sigs: np.ndarray) -> np.ndarray:
+    """The band hashes of coarse signatures (rows of uint16)."""
+    parts = sigs.reshape(len(sigs), BANDS, ROWS).astype(np.uint64)
+    h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2])
     for i in range(ROWS):
-        h = _mixed((h ^ parts[:, i]) * np.uint64(0x9E3779B97F4A7C15))
+        h = _mixed((h ^ parts[:, :, i]) * np.uint64(0x9E3779B97F4A7C15))
     return h.view(np.int64)
 
 
+def _sigs(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column.tolist()), "<u2").reshape(len(column), ROWS * BANDS)
+
+
 def sketched(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, set_key (null: empty), bands, sig (16 bits a
-    coordinate)."""
+    """doc_id, n_shingles, set_key (null: empty), sig (16 bits a coordinate)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for text in b["text"].tolist():
                 h = shingles(text, width)
                 if not len(h):
-                    rows.append((0, None, None, None))
+                    rows.append((0, None, None))
                     continue
-                sig = signature(h)
-                rows.append((len(h), xxhash.xxh128_digest(h.tobytes()), _bands(sig), (sig & np.uint32(0xFFFF)).astype("<u2").tobytes()))
-            yield pd.DataFrame(rows, columns=["n_shingles", "set_key", "bands", "sig"]).assign(doc_id=b["doc_id"].astype("Int64"))
+                rows.append((len(h), xxhash.xxh128_digest(h.tobytes()), _coarse(signature(h))))
+            yield pd.DataFrame(rows, columns=["n_shingles", "set_key", "sig"]).assign(doc_id=b["doc_id"].astype("Int64"))
 
     return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInPandas(run, "n_shingles long, set_key binary, bands array<long>, sig binary, doc_id long"))
+            .mapInPandas(run, "n_shingles long, set_key binary, sig binary, doc_id long"))
+
+
+def buckets(sigs: DataFrame) -> DataFrame:
+    """bucket, id: a row for each band."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"bucket": _bands(_sigs(b["sig"])).reshape(-1), "id": np.repeat(b["id"].to_numpy(), BANDS)})
+
+    return sigs.select("id", "sig").mapInPandas(run, "bucket long, id long")
+
+
+def _least(similarity: float) -> int:
+    """Coordinates that a pair at the limit shares, less five standard deviations."""
+    n = ROWS * BANDS
+    return math.floor(n * similarity - 5 * math.sqrt(n * similarity * (1 - similarity)))
+
+
+def _bitmap(ids: DataFrame) -> tuple[DataFrame, int]:
+    """part, bits: a bitmap of the hashed ids (column id); its size in bits. Some
+    16 bits an id and ``MOST_BITS`` at most, whatever the input."""
+    n = min(MOST_BITS, max(_PART, 1 << (16 * ids.count()).bit_length()))
+    at = F.pmod(F.xxhash64("id"), F.lit(n))
+    return ids.select(F.floor(at / _PART).alias("part"), (at % _PART).alias("at")).groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits")), n
+
+
+def sifted(df: DataFrame, id_: Column, bitmap: tuple[DataFrame, int], how: str = "left_semi") -> DataFrame:
+    """The rows whose id has its bit set (or, by "left_anti", has not): all that
+    are in the bitmap and few others. Nothing is shuffled."""
+    bits, n = bitmap
+    part, bits_ = unused(df, "part"), unused(df, "bits")
+    bits = bits.select(F.col("part").alias(part), F.col("bits").alias(bits_))
+    at = F.pmod(F.xxhash64(id_), F.lit(n))
+    place = at % _PART
+    byte = F.conv(F.hex(F.substring(F.col(bits_), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return df.join(F.broadcast(bits), (F.floor(at / _PART) == F.col(part)) & (F.bit_get(byte, (place % 8).cast("int")) == 1), how)
+
+
+def plausible(pairs: DataFrame, sigs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose signatures agree as nearly as those of a pair at
+    the limit would. An id with several signatures is held by any of them."""
+    least = _least(similarity)
+    both = (pairs.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
+            .join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in batches:
+            if len(g):
+                yield g.loc[(_sigs(g["sig_a"]) == _sigs(g["sig_b"])).sum(axis=1) >= least, ["a", "b"]]
+
+    return both.mapInPandas(run, "a long, b long").distinct()
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of doc_ids whose full sets link."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    texts = settled(sifted(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")), F.col("id"), _bitmap(ids)), "texts")
     both = (pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"))
     percent = round(100 * similarity)
@@ -172,13 +237,15 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _labelled(members: DataFrame, edges: DataFrame) -> DataFrame:
+def _labelled(members: DataFrame, edges: DataFrame, tried: DataFrame) -> DataFrame:
     """The members of buckets with their component's label, of those buckets
-    alone that have more than one."""
+    alone that have more than one and are not a pair that was tried."""
     labels = components(edges)
     out = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = out.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("n").alias("n")).where("low <> high")
-    return _meet(out, mixed.select("bucket", "n"))
+    mixed = out.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("n").alias("n"),
+                                       F.min("id").alias("a"), F.max("id").alias("b")).where("low <> high")
+    done = mixed.where("n = 2").join(tried, ["a", "b"], "left_semi").select("bucket")
+    return _meet(out, mixed.join(done, "bucket", "left_anti").select("bucket", "n"))
 
 
 def _meet(members: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -234,8 +301,8 @@ def _alike(least: int):
     several buckets are compared in the first of them alone."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _groups(batches, 8192):
-            sig = np.frombuffer(b"".join(g["sig"].tolist()), "<u2").reshape(len(g), -1)
-            bands, bucket = np.stack(g["bands"].tolist()), g["bucket"].to_numpy()
+            sig = _sigs(g["sig"])
+            bands, bucket = _bands(sig), g["bucket"].to_numpy()
             of = g["g"].to_numpy()
             starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
             longest = int(np.diff(np.r_[starts, len(of)]).max())
@@ -283,25 +350,24 @@ def _linked(percent: int):
 
 def _across(members: DataFrame, sigs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
     """The links between members of a bucket with different labels."""
-    n = ROWS * BANDS
-    least = math.floor(n * similarity - 5 * math.sqrt(n * similarity * (1 - similarity)))
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = (members.join(sizes, "bucket").join(sigs, "id")
               .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
     # each block meets every block once; a group holds the two that meet
-    meets = placed.select("id", "label", "sig", "bands", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "bucket").select(
+    meets = placed.select("id", "label", "sig", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "bucket").select(
         F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("g"),
-        "id", "label", "block", (F.col("block") == F.col("other")).alias("same"), "sig", "bands", "bucket")
+        "id", "label", "block", (F.col("block") == F.col("other")).alias("same"), "sig", "bucket")
     # a pair of different blocks needs no row against its own block: that is the group of the block with itself
     near = settled(meets.repartition("g").sortWithinPartitions("g").mapInPandas(
-        _alike(least), "g long, id long, label long, block int, same boolean"), "alike")
+        _alike(_least(similarity)), "g long, id long, label long, block int, same boolean"), "alike")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "hashes": [shingles(t, width).astype("<u8").tobytes() for t in b["text"].tolist()]})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    full = texts.join(near.select("id").distinct(), "id").mapInPandas(sets, "id long, hashes binary")
+    ids = near.select("id").distinct()
+    full = sifted(texts, F.col("id"), _bitmap(ids)).join(ids, "id").mapInPandas(sets, "id long, hashes binary")
     return (near.join(full, "id").repartition("g").sortWithinPartitions("g")
             .mapInPandas(_linked(round(100 * similarity)), "a long, b long").distinct())
 
@@ -310,16 +376,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     rows = settled(sketched(docs, width), "sketches")
     full = rows.where("set_key is not null and doc_id is not null")
-    classes = settled(full.groupBy("set_key").agg(F.min("doc_id").alias("id")), "classes")
-    one = full.join(classes, "set_key").where("doc_id = id")  # a row for each class
-    sigs = one.select("id", "sig", "bands").dropDuplicates(["id"])  # rows that repeat a doc_id: any of them, all are confirmed by text
-    found = one.select("id", F.explode("bands").alias("bucket")).distinct()
-    sizes = found.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = found.join(sizes, "bucket")
+    # documents of one set have one signature
+    classes = settled(full.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
+    sigs = classes.select("id", "sig")  # an id with several texts has several rows
+    found = buckets(sigs).repartition("bucket")
+    sizes = found.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("bucket", "n")
+    shared = settled(found.join(sizes, "bucket").distinct(), "shared")
     members = settled(shared.join(shared.groupBy("id").agg(F.sum("n").alias("mass")), "id").select("bucket", "id", "mass", "n"), "buckets")
-    # the texts that are compared: of classes in a shared bucket, moved once
-    docs = settled(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
-        members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
 
     def with_centre(m: DataFrame, centres: DataFrame) -> DataFrame:
         near = _meet(m, centres).where(F.col("id") != F.col("centre"))
@@ -328,24 +391,24 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
         return near.select(*_pairs(F.col("id"), F.col("centre"))).distinct()
 
     tried = settled(with_centre(members, _centred(members)), "pairs")
-    edges = settled(confirmed(tried, docs, width, similarity), "links")
+    edges = settled(confirmed(settled(plausible(tried, sigs, similarity), "plausible"), docs, width, similarity), "links")
 
-    left = settled(_labelled(members, edges), "mixed")
+    left = settled(_labelled(members, edges, tried), "mixed")
     first = _centred(left).join(left.select("bucket", F.col("id").alias("centre"), "label"), ["bucket", "centre"]).select("bucket", "n", F.col("label").alias("first"))
     second = _centred(_meet(left, first).where("label <> first"))
     second = second.join(left.select("bucket", F.col("id").alias("centre"), F.col("label").alias("of")), ["bucket", "centre"])
     more = settled(with_centre(left, second).join(tried, ["a", "b"], "left_anti"), "pairs")
-    edges = settled(edges.union(confirmed(more, docs, width, similarity)), "links")
+    edges = settled(edges.union(confirmed(settled(plausible(more, sigs, similarity), "plausible"), docs, width, similarity)), "links")
 
-    left = settled(_labelled(left.select("bucket", "id", "mass", "n"), edges), "mixed")
+    left = settled(_labelled(left.select("bucket", "id", "mass", "n"), edges, tried.union(more)), "mixed")
     edges = settled(edges.union(_across(left, sigs, docs, width, similarity)), "links")
 
     # rows that repeat a doc_id with different texts are linked as one document
-    same = full.join(classes, "set_key").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    same = full.join(classes.select("set_key", "id"), "set_key").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     twice = full.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low <> high").select("doc_id")
     edges = edges.union(same.join(twice, same["b"] == twice["doc_id"]).select("a", "b"))
     labels = components(edges)
-    of_class = classes.join(labels, "id", "left").select("set_key", F.coalesce("label", "id").alias("component"))
+    of_class = classes.select("set_key", "id").join(labels, "id", "left").select("set_key", F.coalesce("label", "id").alias("component"))
     out = rows.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
                       F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
@@ -354,5 +417,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
 def keep(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of one document of each group, with the columns of ``docs``."""
     name = unused(docs, "gone")
-    gone = near_duplicates(docs, width, similarity).where("not kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
+    gone = settled(near_duplicates(docs, width, similarity).where("not kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    bitmap, id_ = _bitmap(gone), F.col("doc_id").cast("long")
+    maybe = sifted(docs, id_, bitmap).join(gone.select(F.col("id").alias(name)), id_ == F.col(name), "left_anti")
+    return sifted(docs, id_, bitmap, "left_anti").union(maybe)

@@ -226,6 +226,34 @@ def test_block_comparison_finds_what_centres_miss(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_near_duplicates_move_only_texts_they_compare(spark, monkeypatch):
+    # documents that share half their words meet in bands, but link with nothing
+    rows = [(2 * k + j, " ".join([f"s{k}_{i}" for i in range(60)] + [f"o{k}_{j}_{i}" for i in range(25)])) for k in range(20) for j in (0, 1)]
+    rows += [(100, " ".join(f"n{i}" for i in range(90))), (101, " ".join(f"n{i}" for i in range(91)))]
+    moved, settled = [], neardup.settled
+
+    def watched(df, name):
+        out = settled(df, name)
+        if name == "texts":
+            moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "settled", watched)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 4)
+    assert sum(moved) < 10
+
+
+def test_sifted_loses_no_id(spark):
+    df = spark.createDataFrame([(k, "p", "b") for k in range(-500, 500)] + [(None, "p", "b")], "doc_id long, part string, bits string")
+    ids = spark.range(0, 40).select((F.col("id") * 7 - 140).alias("id"))
+    bitmap = neardup._bitmap(ids)
+    inside = [r.doc_id for r in neardup.sifted(df, F.col("doc_id"), bitmap).collect()]
+    outside = [r.doc_id for r in neardup.sifted(df, F.col("doc_id"), bitmap, "left_anti").collect()]
+    assert {r.id for r in ids.collect()} <= set(inside) and len(inside) < 80
+    assert Counter(inside + outside) == Counter(r.doc_id for r in df.collect())
+
+
 def test_toxicity(spark, none):
     assert toxicity.folded("L0SER, мoron! 12 5tup1d") == " ioser moron stupid "
     assert toxicity.folded(None) == " "
