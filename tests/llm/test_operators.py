@@ -308,6 +308,25 @@ def test_search(docs, none, monkeypatch):
     assert search.search(none, F.lit(True)).count() == 0
 
 
+def test_search_by_blocks_and_shards_is_the_same(spark, monkeypatch):
+    # small blocks and shards, and ties: the same rows as in one piece; queries and documents are not dealt out
+    rows = [(k, " ".join(f"w{(k * i) % 23}" for i in range(1, 12 + k % 5))) for k in range(60)] + [(7, "w1 w2 w3"), (None, "w1 w2"), (61, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    whole = sorted(map(tuple, search.search(docs, F.col("doc_id") % 4 == 0, 5).collect()))
+    assert 60 < len(whole) <= 15 * 5
+    monkeypatch.setattr(search, "SHARD_TOKENS", 40)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        plans, settled = [], search.settled
+        monkeypatch.setattr(search, "settled", lambda df, name: plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())) or settled(df, name))
+        assert sorted(map(tuple, search.search(docs, F.col("doc_id") % 4 == 0, 5).collect())) == whole
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    found = [p for name, p in plans if name == "found"]
+    assert len(found) == 4 and all("Generate" not in p and "CoGroup" not in p for p in found)
+
+
 def test_quotes(spark):
     rows = [(1, 0, "u", "Hello there\nHow are you?"), (1, 1, "a", "On Monday u wrote:\n> how   are you?\nFine."),
             (1, 2, "u", "> > How are you?\n> Fine.\nGood"), (1, 3, "x", "nothing"), (1, 4, "y", "> unmatched\nz"), (2, 0, "u", None), (None, 0, "u", "> a")]
