@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -410,3 +411,17 @@ def test_licence_words_skip_exactly(spark):
     a = {(r.doc_id, r.paragraph, r.lines): r.words for r in licenses.paragraph_words(docs).collect()}
     b = licenses.paragraphs(docs).select("doc_id", "paragraph", "lines", licenses.words("text").alias("words")).where("size(words) > 0").collect()
     assert a == {(r.doc_id, r.paragraph, r.lines): r.words for r in b}
+
+
+def test_model_features_of_many_texts_are_those_of_each():
+    texts = ["a b c d", "", None, "x", "x y", "A b  c", "one two three"]
+    alone = [language_model._tokens(t) for t in texts]
+    keys, c = np.unique(np.concatenate(alone), return_counts=True)
+    vocab = language_model.Vocabulary(keys[::2], np.arange(len(keys[::2])) % language_model.CLASSES, c[::2], int(c.sum()), len(keys))
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "keys": [k.tobytes() for k in alone]})
+    (rows_, all_, begins), = language_model._parts(iter([frame]))
+    assert rows_["doc_id"].tolist() == list(range(len(texts))) and begins.tolist() == np.cumsum([0, *map(len, alone[:-1])]).tolist()
+    together = language_model._cells(all_, begins, vocab)
+    each = [language_model._cells(k, np.array([0]), vocab) for k in alone]
+    for k in range(3):
+        assert together[k].tolist() == np.concatenate([x[k] for x in each]).tolist()
