@@ -58,7 +58,8 @@ class Encoder(dict):
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        if self.plain.match(chunk):  # one pre-token: straight to the merges
+        # one pre-token: straight to the merges (most chunks are ASCII letters, which need no pattern)
+        if (chunk.isascii() and chunk.isalpha()) or self.plain.match(chunk):
             text = chunk.lower() if self.lowers else chunk
             if not text.isascii():
                 text = text.encode().decode("latin-1").translate(self.shown)

@@ -425,3 +425,16 @@ def test_model_features_of_many_texts_are_those_of_each():
     each = [language_model._cells(k, np.array([0]), vocab) for k in alone]
     for k in range(3):
         assert together[k].tolist() == np.concatenate([x[k] for x in each]).tolist()
+
+
+def test_ascii_letters_need_no_pattern():
+    enc = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    class Never:
+        def match(self, chunk):
+            raise AssertionError(chunk)
+    words = ["hello", "WORLD", "qzxv"]
+    plain, enc.plain = enc.plain, Never()
+    assert [tokens.as_array(enc.ids(w)).tolist() for w in words] == [enc.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    enc.plain = plain
+    for w in ("\xaa\xb5\xba", "\u00e9t\u00e9", "\u0430b", "a1", "\u00df", "x\u0301"):
+        assert tokens.as_array(enc.ids(w)).tolist() == enc.tokenizer.encode(w, add_special_tokens=False).ids
