@@ -36,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -169,22 +170,20 @@ def _counted(step: int, shards: int, maps: dict):
 
     def rows(chunk: dict) -> Iterator[pa.RecordBatch]:
         lang_of = np.concatenate([[0], np.frombuffer(chunk["lang_of"], np.int32)])
-        langs = np.array(chunk["langs"], object)
-        names = np.array([b"", *chunk["words"].split(b" ")], object)
+        langs = pa.array(chunk["langs"], pa.string())
+        names = pa.array([b"", *chunk["words"].split(b" ")], pa.binary()).cast(pa.string())
         for phrase, n, activated in counts(np.frombuffer(chunk["ids"], np.int32), np.frombuffer(chunk["hashes"], np.uint64)):
             if phrase.shape[1] == 1:
                 words = np.bincount(lang_of[phrase[:, 0]], weights=n, minlength=len(langs)).astype(np.int64)
-                yield batch(langs, np.full(len(langs), b"", object), words, np.zeros(len(langs)))
+                yield batch(langs, pa.array([""] * len(langs), pa.string()), words, np.zeros(len(langs)))
             for k in range(0, len(n), 100_000):
                 of = phrase[k:k + 100_000]
-                text = names[of[:, 0]]
-                for j in range(1, of.shape[1]):
-                    text = text + b" " + names[of[:, j]]
-                yield batch(langs[lang_of[of[:, 0]]], text, n[k:k + 100_000], activated[k:k + 100_000])
+                text = pc.binary_join_element_wise(*(names.take(pa.array(w)) for w in of.T), " ")
+                yield batch(langs.take(pa.array(lang_of[of[:, 0]])), text, n[k:k + 100_000], activated[k:k + 100_000])
 
-    def batch(lang, phrase, n, activated) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64)),
-                                           pa.array(activated.astype(np.int32))], ["lang", "phrase", "n", "since"])
+    def batch(lang: pa.Array, phrase: pa.Array, n, activated) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([lang, phrase, pa.array(n.astype(np.int64)), pa.array(activated.astype(np.int32))],
+                                          ["lang", "phrase", "n", "since"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -231,7 +230,8 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, shards: int | None = N
         found = scan.mapInArrow(_counted(step, shards, seen), "lang string, phrase string, n long, since int")
         if counters is not None:
             found = found.unionByName(counters)
-        summed = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("since").alias("since"))
+        # the tasks have summed their counts, and the counters are distinct: no second sum before the shuffle
+        summed = found.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("since").alias("since"))
         active = F.col("since") + shards > step + 1
         counters = settled(summed.where(active | (F.col("n") >= threshold) | (F.col("phrase") == "")), f"scan-{step}")
         reached = counters.where((F.col("n") >= threshold) & (F.col("phrase") != "") & (F.size(_words_of("phrase")) < LONGEST))

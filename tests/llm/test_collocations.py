@@ -60,3 +60,19 @@ def test_against_brute_force(spark, monkeypatch, seed, shards, bits, tokens, thr
 
 def test_no_rows(spark):
     assert collocations.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_scans_sum_counts_after_the_shuffle_alone(spark, monkeypatch):
+    plans, real = [], collocations.settled
+
+    def settled(df, name):
+        if name.startswith("scan"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(collocations, "settled", settled)
+    rows = [("né b c", "é"), ("né b", "é"), ("a b", None), ("a b", None)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    got = {tuple(r) for r in collocations.frequent(docs, threshold=2).collect()}
+    assert got == {("é", "", 5), ("é", "né", 2), ("é", "b", 2), ("é", "né b", 2), ("und", "", 4), ("und", "a", 2), ("und", "b", 2), ("und", "a b", 2)}
+    assert plans and all(p.index("partial_sum") < p.index("hashpartitioning(lang") for p in plans)
