@@ -438,3 +438,30 @@ def test_ascii_letters_need_no_pattern():
     enc.plain = plain
     for w in ("\xaa\xb5\xba", "\u00e9t\u00e9", "\u0430b", "a1", "\u00df", "x\u0301"):
         assert tokens.as_array(enc.ids(w)).tolist() == enc.tokenizer.encode(w, add_special_tokens=False).ids
+
+
+def test_search_reads_each_text_once_and_prunes_by_bounds(spark, monkeypatch):
+    # several blocks of queries meet an index that is written once; no document is left out for its bounds, copies and ties included
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{w}" for w in (rng.pareto(0.6, 5 + k % 60) * 4).astype(int) % 4000) for k in range(700)]
+    rows = [(k, texts[k if k % 9 else 9]) for k in range(700)] + [(None, texts[9]), (1 << 40, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(search, "SHARD_TOKENS", 2500)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 20)
+    names, settled = [], search.settled
+    monkeypatch.setattr(search, "settled", lambda df, name: names.append((name, df._jdf.queryExecution().optimizedPlan().toString())) or settled(df, name))
+    got = {}
+    for r in search.search(docs, F.col("doc_id") % 7 == 0, 6).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((round(-r.score, 8), r.doc_id))
+    assert sum(n == "index" for n, _ in names) == 1 and len([p for n, p in names if n == "found"]) > 4
+    assert all("text" not in p for n, p in names if n in ("first", "found"))
+    bag = [(d, Counter(t.split())) for d, t in rows]
+    df = Counter(w for _, b in bag for w in b)
+    mean = sum(sum(b.values()) for _, b in bag) / len(bag)
+    idf = {w: math.log(1 + (len(bag) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    parts = [(d, {w: idf[w] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * sum(b.values()) / mean)) for w, n in b.items()}) for d, b in bag if d is not None]
+    assert set(got) == {d for d, _ in parts if d % 7 == 0}
+    for q, found in got.items():
+        query = next(b for d, b in bag if d == q)
+        scores = sorted((round(-sum(x for w, x in p.items() if w in query), 8), d) for d, p in parts if query.keys() & p.keys())
+        assert found == scores[:6]
