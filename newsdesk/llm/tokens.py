@@ -4,8 +4,8 @@ The tokenizers library encodes one chunk of a text without regard to the
 others wherever a pre-token must end, so each worker keeps the ids of the
 chunks it has met. Cuts are made only where every pre-tokenizer used here ends
 a pre-token: at white space (Unicode White_Space, written out below, as regex
-engines differ on it), and between a Latin letter and closing punctuation that
-white space follows. Strings of added tokens are matched first, as the library
+engines differ on it), and between a Latin letter and closing punctuation (or
+some symbols, as a word with them need not be met anew) that white space follows. Strings of added tokens are matched first, as the library
 does it.
 """
 
@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 
 WS = "\t-\r \x85\xa0  -     　"
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-PLAIN = f"[{LETTERS}]+(?=[.,;:!?|]*(?:[{WS}]|\\Z))"
+PLAIN = f"[{LETTERS}]+(?=[.,;:!?|#*$%&]*(?:[{WS}]|\\Z))"
 #: Chunks of a tokenizer that drops white space, and of one that keeps it.
 DROPS = re.compile(f"{PLAIN}|[^{WS}]+")
 KEEPS = re.compile(f" ?{PLAIN}| ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
@@ -59,9 +59,10 @@ class Encoder(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         # one pre-token: straight to the merges (most chunks are ASCII letters, which need no pattern)
-        if (chunk.isascii() and chunk.isalpha()) or self.plain.match(chunk):
+        plain = chunk.isascii() and (chunk if chunk[0] != " " else chunk[1:]).isalpha()
+        if plain or self.plain.match(chunk):
             text = chunk.lower() if self.lowers else chunk
-            if not text.isascii():
+            if not plain and not text.isascii():
                 text = text.encode().decode("latin-1").translate(self.shown)
             elif text[0] == " ":
                 text = self.shown[32] + text[1:]

@@ -465,3 +465,12 @@ def test_search_reads_each_text_once_and_prunes_by_bounds(spark, monkeypatch):
         query = next(b for d, b in bag if d == q)
         scores = sorted((round(-sum(x for w, x in p.items() if w in query), 8), d) for d, p in parts if query.keys() & p.keys())
         assert found == scores[:6]
+
+
+def test_words_before_symbols_are_not_met_anew():
+    # a word and the symbols after it are chunks of their own, with the library's ids
+    text = "then&&& other### Other$$$ thêr*** en%%% then the&&& a&b&& it's& x5&& <|&& the'&&&\n the#|.　&the $the* the*\x85the% é&"
+    for path in (WORD, BYTE):
+        enc, whole = tokens.Encoder(path), Tokenizer.from_file(path)
+        assert tokens.as_array(enc.ids(text)).tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert not {c.strip() for c in enc} & {"then&&&", "other###", "Other$$$", "thêr***", "en%%%"}
