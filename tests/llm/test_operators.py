@@ -474,3 +474,21 @@ def test_words_before_symbols_are_not_met_anew():
         enc, whole = tokens.Encoder(path), Tokenizer.from_file(path)
         assert tokens.as_array(enc.ids(text)).tolist() == whole.encode(text, add_special_tokens=False).ids
         assert not {c.strip() for c in enc} & {"then&&&", "other###", "Other$$$", "thêr***", "en%%%"}
+
+
+def test_search_takes_one_shard_at_a_time(spark, monkeypatch):
+    # a shard is a file and a batch of its own, whatever a task reads; the session's settings are as before
+    key, names, settled = "spark.sql.execution.arrow.maxRecordsPerBatch", [], search.settled
+    docs = spark.createDataFrame([(k, f"w{k % 7} w{k % 11} w{k % 3}") for k in range(60)], "doc_id long, text string").coalesce(1)
+    whole = sorted(map(tuple, search.search(docs, F.col("doc_id") % 4 == 0, 3).collect()))
+    monkeypatch.setattr(search, "SHARD_TOKENS", 10)
+    spark.conf.set(key, "4")
+    try:
+        monkeypatch.setattr(search, "settled", lambda df, name: names.append((name, spark.conf.get(key), out := settled(df, name))) or out)
+        assert sorted(map(tuple, search.search(docs, F.col("doc_id") % 4 == 0, 3).collect())) == whole
+        assert spark.conf.get(key) == "4" and spark.conf.get("spark.sql.files.maxRecordsPerFile") == "0"
+    finally:
+        spark.conf.set(key, "256")
+    index, = (out for name, _, out in names if name == "index")
+    assert index.count() == len(index.inputFiles()) == 15
+    assert {batch for name, batch, _ in names if name in ("frequencies", "first", "found")} == {"1"}
