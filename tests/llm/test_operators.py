@@ -492,3 +492,44 @@ def test_search_takes_one_shard_at_a_time(spark, monkeypatch):
     index, = (out for name, _, out in names if name == "index")
     assert index.count() == len(index.inputFiles()) == 15
     assert {batch for name, batch, _ in names if name in ("frequencies", "first", "found")} == {"1"}
+
+
+def test_model_tells_words_outside_the_head_by_both_words_before(spark, monkeypatch):
+    # without a head every word is in a group: its probability follows the word before, and the one before that
+    monkeypatch.setattr(language_model, "vocabulary", lambda counts, own=language_model.vocabulary: own(counts, 0))
+    rng = np.random.default_rng(3)
+    rows, of = [], {}
+    for k in range(400):
+        a, b = rng.integers(0, 2, 2).tolist()
+        if k % 2:  # the last word by the word before, or by the one before that
+            rows.append((k, f"near{a} {'xy'[a]}"))
+        else:
+            rows.append((k, f"far{b} m {'vw'[b]}"))
+        of[k] = a if k % 2 else b
+    swapped = [(1000 + k, t.translate(str.maketrans("xyvw", "yxwv"))) for k, t in rows[:60]]
+    docs = spark.createDataFrame(rows + swapped, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in language_model.scored(docs, F.col("doc_id") >= 1000).collect()}
+    assert all(got[1000 + k].held_out and got[1000 + k].n_known == got[1000 + k].n_tokens for k in range(60))
+    assert all(got[k].score > got[1000 + k].score + 0.2 for k in range(60))
+    # the base model has no context: there the two differ by the words' counts alone
+    assert max(abs(got[k].base_score - got[1000 + k].base_score) for k in range(60)) < 0.2
+
+
+def test_probabilities_of_a_group_sum_to_one():
+    rng = np.random.default_rng(0)
+    for v, n in ((1, 5), (2, 50), (3, 50), (37, 3000), (1025, 90000)):
+        words = np.sort(np.concatenate([np.arange(v), np.arange(v), rng.integers(0, v, n)]))
+        asked = np.append(True, np.diff(words) > 0)  # each word once, after the same two, not learned from
+        before, skip = (np.where(asked, 7, rng.integers(0, 50, len(words))).astype("<u4") for _ in range(2))
+        logs = language_model._choices(words, np.bincount(words, ~asked, v), before, skip, ~asked)
+        assert abs(np.exp(logs[asked]).sum() - 1) < 1e-9
+
+
+def test_both_words_before_reach_the_members_of_the_head():
+    keys = np.concatenate([language_model._tokens(f"{a} {b} word") for a in "abcdefgh" for b in "ijklmnop"])
+    vocab = language_model.Vocabulary(*(lambda k, c: (k, np.zeros(len(k), np.int64), c, int(c.sum()), len(k)))(*np.unique(keys, return_counts=True)))
+    cells = language_model._cells(keys, np.arange(0, len(keys), 4), vocab)[2].reshape(-1, 4)[:, 2]
+    by_near = {}
+    for k, cell in enumerate(cells.tolist()):
+        by_near.setdefault(k % 8, set()).add(cell)
+    assert all(len(found) > 1 for found in by_near.values())
